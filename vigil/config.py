@@ -174,6 +174,7 @@ class CheckConfig:
     positive_column: str | None = "Sales"
     le_pair: tuple | None = ("Profit", "Sales")  # first <= second
     bounded_column: tuple | None = ("Discount", 0, 20)
+    rule_names: tuple = ("sales_positive", "profit_le_sales", "discount_range")
     set_rules: tuple = (
         SetRule("valid_region", "Region", VALID_REGIONS),
         SetRule("valid_payment_mode", "Payment Mode", VALID_PAYMENT_MODES),
@@ -192,6 +193,8 @@ class CheckConfig:
     weights: dict = field(default_factory=lambda: dict(CHECK_WEIGHTS))
     default_weight: int = DEFAULT_WEIGHT
     critical_checks: tuple = CRITICAL_CHECKS
+    # exact full-row duplicate count (off: duplicate_rows is not computed)
+    row_duplicates: bool = True
     # quantiles: "exact" (percentile) or "approx" (percentile_approx)
     quantiles: str = "exact"
     approx_accuracy: int = 100000
@@ -201,3 +204,16 @@ class CheckConfig:
 
 
 DEFAULT = CheckConfig()
+
+
+def blank_config(**roles) -> CheckConfig:
+    """A config with every column role switched off, then ``roles`` set.
+    Used to point the checks at tables of another layout."""
+    off = dict(expected_columns=(), expected_dtypes={}, numeric_ranges={}, patterns={},
+               id_column=None, iqr_columns=(), zscore_columns=(), skew_columns=(),
+               date_column=None, psi_column=None, corr_columns=(), entropy_column=None,
+               positive_column=None, le_pair=None, bounded_column=None, set_rules=(),
+               parent_column=None, child_column=None, amount_column=None,
+               quantity_column=None, price_column=None, discount_column=None)
+    off.update(roles)
+    return CheckConfig(**off)

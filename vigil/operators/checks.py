@@ -45,7 +45,18 @@ class Checks:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return self.p.facts
+        """Profile facts plus the derived figures, computed once (keeps later
+        projections small enough for whole-stage codegen)."""
+        from pyspark import StorageLevel
+
+        base = self.p.facts
+        self._facts_base = base
+        derived = [self._psi_expr().alias("_psi"), self._corr_max_expr().alias("_corr_max")]
+        f = base.select("*", *derived)
+        f = f.select("*", self._corr_worst_expr().alias("_corr_worst"))
+        f = f.persist(StorageLevel.MEMORY_AND_DISK)
+        self.p._persisted.append(f)
+        return f
 
     # ---------------------------------------------------------------- C1
     def null_values_by_column(self) -> DataFrame:
@@ -255,6 +266,9 @@ class Checks:
 
     # ---------------------------------------------------------------- C13
     def _psi(self) -> Column:
+        return F.col("_psi")
+
+    def _psi_expr(self) -> Column:
         if not self.p.psi_on:
             return F.lit(None).cast("double")
         b = self.cfg.psi_bins
@@ -295,16 +309,22 @@ class Checks:
         return out
 
     def _corr_max(self) -> Column:
+        return F.col("_corr_max")
+
+    def _corr_max_expr(self) -> Column:
         if len(self.p.corr_cols) < 2:
             return F.lit(None).cast("double")
         d = self._corr_diffs()
         return F.when(F.col("prev_key").isNotNull(), greatest(*[x for _, _, x in d]))
 
     def _corr_worst(self) -> Column:
+        return F.col("_corr_worst")
+
+    def _corr_worst_expr(self) -> Column:
         if len(self.p.corr_cols) < 2:
             return F.lit(None).cast("string")
         names = self.p.corr_cols
-        m = self._corr_max()
+        m = F.col("_corr_max")
         expr = F.lit(None).cast("string")
         for i, j, x in reversed(self._corr_diffs()):
             expr = F.when(x == m, F.lit(f"('{names[i]}', '{names[j]}')")).otherwise(expr)
@@ -372,12 +392,13 @@ class Checks:
     def _rules(self):
         cfg, r = self.cfg, []
         cols = set(self.facts.columns)
+        names = cfg.rule_names
         if "br_pos" in cols:
-            r.append(("sales_positive", F.col("br_pos")))
+            r.append((names[0], F.col("br_pos")))
         if "br_le" in cols:
-            r.append(("profit_le_sales", F.col("br_le")))
+            r.append((names[1], F.col("br_le")))
         if "br_bnd" in cols:
-            r.append(("discount_range", F.col("br_bnd")))
+            r.append((names[2], F.col("br_bnd")))
         for i, s in enumerate(self.p.set_rules):
             r.append((s.name, F.col(f"br_set_{i}")))
         return r

@@ -294,8 +294,9 @@ class Profile:
         if self.ent_on:
             cols.append(col(cfg.entropy_column).alias("g_ent"))
             sets.append([k, "g_ent"])
-        cols.append(self._row_hash().alias("g_h"))
-        sets.append([k, "g_h"])
+        if self.cfg.row_duplicates:
+            cols.append(self._row_hash().alias("g_h"))
+            sets.append([k, "g_h"])
         x = d.select(*cols)
 
         aggs = [F.count(F.lit(1)).alias("cnt")]
@@ -305,7 +306,8 @@ class Profile:
             for b in range(1, cfg.psi_bins + 1):
                 aggs += [count_if(F.col("bc") == b).alias(f"bc_{b}"),
                          count_if(F.col("bn") == b).alias(f"bn_{b}")]
-        grp = [k] + (["g_idv"] if self.id_on else []) + (["g_ent"] if self.ent_on else []) + ["g_h"]
+        grp = ([k] + (["g_idv"] if self.id_on else []) + (["g_ent"] if self.ent_on else [])
+               + (["g_h"] if self.cfg.row_duplicates else []))
         aggs += [F.grouping(g).alias(f"gr_{g}") for g in grp[1:]]
         g = x.groupingSets(sets, *grp).agg(*aggs)
 
@@ -331,8 +333,11 @@ class Profile:
             c = F.col("cnt").cast("double")
             fin += [F.sum(F.when(s, c)).alias("ent_n"),
                     F.sum(F.when(s, c * F.log2(c))).alias("ent_s")]
-        s = only("g_h") & (F.col("cnt") > 1)
-        fin += [count_if(s).alias("dup_groups"), F.sum(F.when(s, F.col("cnt") - 1)).alias("dup_upper")]
+        if self.cfg.row_duplicates:
+            s = only("g_h") & (F.col("cnt") > 1)
+            fin += [count_if(s).alias("dup_groups"), F.sum(F.when(s, F.col("cnt") - 1)).alias("dup_upper")]
+        else:
+            fin += [F.lit(0).cast("long").alias("dup_groups"), F.lit(0).cast("long").alias("dup_upper")]
         out = g.groupBy(k).agg(*fin).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(out)
         return out
