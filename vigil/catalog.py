@@ -575,3 +575,7 @@ def c21(spark, sf):
     cfg = blank_config(amount_column="l_extendedprice", quantity_column="l_quantity", price_column="p_retailprice",
                        discount_column="l_discount_pct", row_duplicates=False)
     return tidy(run_series(s, cfg, key=KEY).checks.amount_calc())
+
+
+# registered last: queries of the monitoring layer
+from . import catalog_monitor  # noqa: E402,F401
