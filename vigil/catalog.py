@@ -579,3 +579,5 @@ def c21(spark, sf):
 
 # registered last: queries of the monitoring layer
 from . import catalog_monitor  # noqa: E402,F401
+from . import catalog_ml  # noqa: E402,F401
+from . import catalog_io  # noqa: E402,F401

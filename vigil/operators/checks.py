@@ -51,8 +51,22 @@ class Checks:
 
         base = self.p.facts
         self._facts_base = base
-        derived = [self._psi_expr().alias("_psi"), self._corr_max_expr().alias("_corr_max")]
-        f = base.select("*", *derived)
+        f = base
+        if self.p.psi_on:
+            # staged: totals, then shares, then the sum (small projections)
+            b = self.cfg.psi_bins
+            f = f.select("*", sum((F.col(f"bc_{i}") for i in range(2, b + 1)), F.col("bc_1")).cast("double")
+                         .alias("_ct"),
+                         sum((F.col(f"pbn_{i}") for i in range(2, b + 1)), F.col("pbn_1")).cast("double")
+                         .alias("_pt"))
+            sh = []
+            for i in range(1, b + 1):
+                sh.append((F.col(f"bc_{i}") / (F.col("_ct") + 1e-9)).alias(f"_cs{i}"))
+                sh.append((F.col(f"pbn_{i}") / (F.col("_pt") + 1e-9)).alias(f"_ps{i}"))
+            f = f.select("*", *sh)
+            f = f.select("*", *[F.when(F.col(f"_{r}{i}") == 0, 0.0001).otherwise(F.col(f"_{r}{i}"))
+                                .alias(f"_{r}z{i}") for i in range(1, b + 1) for r in ("cs", "ps")])
+        f = f.select("*", self._psi_expr().alias("_psi"), self._corr_max_expr().alias("_corr_max"))
         f = f.select("*", self._corr_worst_expr().alias("_corr_worst"))
         f = f.persist(StorageLevel.MEMORY_AND_DISK)
         self.p._persisted.append(f)
@@ -272,17 +286,12 @@ class Checks:
         if not self.p.psi_on:
             return F.lit(None).cast("double")
         b = self.cfg.psi_bins
-        ct = sum((F.col(f"bc_{i}") for i in range(2, b + 1)), F.col("bc_1")).cast("double")
-        pt = sum((F.col(f"pbn_{i}") for i in range(2, b + 1)), F.col("pbn_1")).cast("double")
         psi = F.lit(0.0)
         for i in range(1, b + 1):
-            c = F.col(f"bc_{i}") / (ct + 1e-9)
-            p = F.col(f"pbn_{i}") / (pt + 1e-9)
-            c = F.when(c == 0, 0.0001).otherwise(c)
-            p = F.when(p == 0, 0.0001).otherwise(p)
+            c, p = F.col(f"_csz{i}"), F.col(f"_psz{i}")
             psi = psi + (c - p) * F.log(c / p)
         has = F.col("prev_key").isNotNull() & F.col("bc_1").isNotNull() & F.col("pbn_1").isNotNull()
-        return F.when(has & ((ct > 0) | (pt > 0)), psi)
+        return F.when(has & ((F.col("_ct") > 0) | (F.col("_pt") > 0)), psi)
 
     @staticmethod
     def _drift_level(psi_r: Column) -> Column:

@@ -55,8 +55,7 @@ class Profile:
 
     def __init__(self, series: DataFrame, config: CheckConfig = DEFAULT,
                  key: str = "snapshot_date", as_of: _dt.date | None = None,
-                 prev_schema: T.StructType | None = None, keys: list | None = None,
-                 prev_key_map: dict | None = None):
+                 prev_schema: T.StructType | None = None, keys: list | None = None):
         self.series = series
         self.cfg = config
         self.key = key
@@ -65,7 +64,6 @@ class Profile:
         self.cols = self.schema.fieldNames()
         self.prev_schema = prev_schema
         self.keys = keys
-        self.prev_key_map = prev_key_map
         self._persisted: list[DataFrame] = []
 
     # ------------------------------------------------------------ columns
@@ -208,19 +206,14 @@ class Profile:
             kt = self.series.schema[self.key].dataType
             kdf = spark.createDataFrame([(k,) for k in self.keys], T.StructType([T.StructField(self.key, kt)]))
             a = kdf.join(a, self.key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        # ordinal and neighbours over the (tiny) key table
-        if self.prev_key_map == {}:
-            kt = self.series.schema[self.key].dataType
-            a = (a.withColumn("prev_key", F.lit(None).cast(kt))
-                 .withColumn("next_key", F.lit(None).cast(kt)))
-        elif self.prev_key_map is not None:
-            m = F.create_map(*[x for kv in self.prev_key_map.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-            inv = F.create_map(*[x for kv in self.prev_key_map.items() for x in (F.lit(kv[1]), F.lit(kv[0]))])
-            a = a.withColumn("prev_key", m[F.col(self.key)]).withColumn("next_key", inv[F.col(self.key)])
-        else:
-            w = Window.orderBy(self.key)
-            a = (a.withColumn("prev_key", F.lag(self.key).over(w))
-                 .withColumn("next_key", F.lead(self.key).over(w)))
+        # predecessor / successor by key order over the (tiny) per-snapshot
+        # table; their PSI ranges ride along so stage B needs no self-join
+        w = Window.orderBy(self.key)
+        a = (a.withColumn("prev_key", F.lag(self.key).over(w))
+             .withColumn("next_key", F.lead(self.key).over(w)))
+        if "pmin" in a.columns:
+            a = (a.withColumn("pmin_prev", F.lag("pmin").over(w)).withColumn("pmax_prev", F.lag("pmax").over(w))
+                 .withColumn("pmin_next", F.lead("pmin").over(w)).withColumn("pmax_next", F.lead("pmax").over(w)))
         a = a.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)
         self.n_keys = a.count()
@@ -245,18 +238,13 @@ class Profile:
         p = A.select(*sel, "prev_key", "next_key")
         if self.psi_on:
             b = self.cfg.psi_bins
-            mm = A.select(F.col(k).alias("_k"), "pmin", "pmax")
-            cur = (A.select(k, "prev_key", F.col("pmin").alias("c_min"), F.col("pmax").alias("c_max"))
-                   .join(self.small(mm), F.col("prev_key") == F.col("_k"), "left")
-                   .select(k, F.least("c_min", "pmin").alias("plo_c"),
-                           ((F.greatest("c_max", "pmax") - F.least("c_min", "pmin")) / b).alias("pst_c"),
-                           F.col("_k").isNotNull().alias("has_prev")))
-            nxt = (A.select(k, "next_key", F.col("pmin").alias("c_min"), F.col("pmax").alias("c_max"))
-                   .join(self.small(mm), F.col("next_key") == F.col("_k"), "left")
-                   .select(k, F.least("c_min", "pmin").alias("plo_n"),
-                           ((F.greatest("c_max", "pmax") - F.least("c_min", "pmin")) / b).alias("pst_n"),
-                           F.col("_k").isNotNull().alias("has_next")))
-            p = p.join(cur, k).join(nxt, k)
+            lo_c, hi_c = F.least("pmin", "pmin_prev"), F.greatest("pmax", "pmax_prev")
+            lo_n, hi_n = F.least("pmin", "pmin_next"), F.greatest("pmax", "pmax_next")
+            p = A.select(*sel, "prev_key", "next_key",
+                         lo_c.alias("plo_c"), ((hi_c - lo_c) / b).alias("pst_c"),
+                         F.col("prev_key").isNotNull().alias("has_prev"),
+                         lo_n.alias("plo_n"), ((hi_n - lo_n) / b).alias("pst_n"),
+                         F.col("next_key").isNotNull().alias("has_next"))
         return p
 
     def _row_hash(self) -> F.Column:
@@ -346,19 +334,19 @@ class Profile:
     @cached_property
     def duplicate_rows(self) -> DataFrame:
         """(key, duplicate_rows): exact count of rows equal to an earlier row
-        of the same snapshot (null equals null)."""
+        of the same snapshot (null equals null); None when no snapshot has a
+        repeated row hash (then every count is 0)."""
         k = self.key
         B = self.stage_b
         if B.filter(F.col("dup_groups") > 0).limit(1).count() == 0:
-            return B.select(k, F.lit(0).cast("long").alias("duplicate_rows"))
+            return None  # no row hash repeats: no duplicates anywhere
         h = self._row_hash().alias("_h")
         hashed = self.series.select("*", h)
         cand = (hashed.groupBy(k, "_h").count().filter(F.col("count") > 1).select(k, "_h"))
         exact = (hashed.join(cand, [k, "_h"], "left_semi")
                  .groupBy(k, "_h", *[col(c) for c in self.cols]).count()
                  .groupBy(k).agg(F.sum(F.col("count") - 1).alias("duplicate_rows")))
-        return (B.select(k).join(exact, k, "left")
-                .select(k, F.coalesce("duplicate_rows", F.lit(0)).cast("long").alias("duplicate_rows")))
+        return exact
 
     # ------------------------------------------------------------ time gaps
     @cached_property
@@ -386,7 +374,12 @@ class Profile:
         k, cfg = self.key, self.cfg
         A = self.stage_a
         f = A.join(self.small(self.stage_b), k, "left")
-        f = f.join(self.small(self.duplicate_rows), k, "left")
+        dups = self.duplicate_rows
+        if dups is None:
+            f = f.withColumn("duplicate_rows", F.lit(0).cast("long"))
+        else:
+            f = f.join(self.small(dups), k, "left").withColumn(
+                "duplicate_rows", F.coalesce("duplicate_rows", F.lit(0)).cast("long"))
         if self.date_on:
             f = f.join(self.small(self.time_gaps), k, "left")
         # entropy per snapshot
@@ -397,15 +390,15 @@ class Profile:
         for p in range(len(self.corr_pairs)):
             f = f.withColumn(f"corr_{p}", F.coalesce(
                 F.try_divide(F.col(f"cv_{p}"), F.col(f"sx_{p}") * F.col(f"sy_{p}")), F.lit(0.0)))
-        # predecessor figures
-        pcols = [F.col(k).alias("_pk"), F.col("n").alias("prev_n")]
+        # predecessor figures: lag over the per-snapshot rows (tiny, ordered)
+        w = Window.orderBy(k)
+        lagged = [F.lag("n").over(w).alias("prev_n")]
         if self.ent_on:
-            pcols.append(F.col("entropy").alias("prev_entropy"))
-        pcols += [F.col(f"corr_{p}").alias(f"pcorr_{p}") for p in range(len(self.corr_pairs))]
+            lagged.append(F.lag("entropy").over(w).alias("prev_entropy"))
+        lagged += [F.lag(f"corr_{p}").over(w).alias(f"pcorr_{p}") for p in range(len(self.corr_pairs))]
         if self.psi_on:
-            pcols += [F.col(f"bn_{b}").alias(f"pbn_{b}") for b in range(1, cfg.psi_bins + 1)]
-        prev = f.select(*pcols)
-        f = f.join(self.small(prev), F.col("prev_key") == F.col("_pk"), "left").drop("_pk")
+            lagged += [F.lag(f"bn_{b}").over(w).alias(f"pbn_{b}") for b in range(1, cfg.psi_bins + 1)]
+        f = f.select("*", *lagged)
         f = f.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(f)
         return f

@@ -53,8 +53,7 @@ def run_all_checks(current: DataFrame, previous: DataFrame | None = None,
     series, cur_key = pair_series(current, previous, key)
     prof = Profile(series, config, key=key, as_of=as_of,
                    prev_schema=None if previous is None else previous.schema,
-                   keys=[cur_key] if previous is None else [0, 1],
-                   prev_key_map={} if previous is None else {1: 0})
+                   keys=[cur_key] if previous is None else [0, 1])
     run = CheckRun(prof, Checks(prof), dataset_name)
     run.current_key = cur_key
     return run
