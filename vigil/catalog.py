@@ -576,8 +576,3 @@ def c21(spark, sf):
                        discount_column="l_discount_pct", row_duplicates=False)
     return tidy(run_series(s, cfg, key=KEY).checks.amount_calc())
 
-
-# registered last: queries of the monitoring layer
-from . import catalog_monitor  # noqa: E402,F401
-from . import catalog_ml  # noqa: E402,F401
-from . import catalog_io  # noqa: E402,F401

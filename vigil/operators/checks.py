@@ -3,36 +3,50 @@
 Each check has
 * a flat typed frame (one row per snapshot, or per snapshot and column),
   holding unrounded figures, and
-* a ``passed`` boolean and a ``details`` struct used by the result envelope
+* a ``passed`` flag and a ``details`` struct used by the result envelope
   ``(key, check_index, check, passed, details JSON)``; details round like the
-  original (half to even).
+  original (half to even, ``bround``).
 
 Nothing here scans data: every frame is a projection of the per-snapshot
-facts table (one row per snapshot).
+facts table (one row per snapshot). Expressions are Spark SQL text.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 
 from ..config import CHECK_ORDER
+from ..functions.sql import add, arr, greatest, num, q, s
 from .profile import Profile
-from ..functions.exprs import greatest
 
-R = F.bround  # Python-style rounding
 
+def _lit(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return num(v)
+    return s(str(v))
 
-def _lit_arr(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
+def struct(**fields) -> str:
+    """named_struct SQL from keyword -> SQL text."""
+    if not fields:
+        return "named_struct('none', CAST(NULL AS STRING))"
+    return "named_struct(" + ", ".join(f"{s(k)}, {v}" for k, v in fields.items()) + ")"
 
-def _explode(df: DataFrame, key: str, structs: list) -> DataFrame:
-    if not structs:
-        return None
-    return df.select(key, F.explode(F.array(*structs)).alias("_r")).select(key, "_r.*")
+
+def struct_l(pairs) -> str:
+    """named_struct SQL from (name, SQL) pairs (names may hold spaces)."""
+    pairs = list(pairs)
+    if not pairs:
+        return "named_struct('none', CAST(NULL AS STRING))"
+    return "named_struct(" + ", ".join(f"{s(k)}, {v}" for k, v in pairs) + ")"
+
+
+EMPTY_ARR = "CAST(array() AS ARRAY<STRING>)"
 
 
 class Checks:
@@ -42,88 +56,142 @@ class Checks:
         self.p = profile
         self.cfg = profile.cfg
         self.key = profile.key
+        self.k = q(profile.key)
 
+    # ---------------------------------------------------------------- facts
     @cached_property
     def facts(self) -> DataFrame:
-        """Profile facts plus the derived figures, computed once (keeps later
-        projections small enough for whole-stage codegen)."""
-        from pyspark import StorageLevel
-
-        base = self.p.facts
-        self._facts_base = base
-        f = base
+        """Profile facts plus the derived figures and pass flags, computed
+        once (staged projections stay small enough for codegen)."""
+        f = self.p.facts
         if self.p.psi_on:
-            # staged: totals, then shares, then the sum (small projections)
             b = self.cfg.psi_bins
-            f = f.select("*", sum((F.col(f"bc_{i}") for i in range(2, b + 1)), F.col("bc_1")).cast("double")
-                         .alias("_ct"),
-                         sum((F.col(f"pbn_{i}") for i in range(2, b + 1)), F.col("pbn_1")).cast("double")
-                         .alias("_pt"))
+            f = f.selectExpr("*", f"CAST({add(f'bc_{i}' for i in range(1, b + 1))} AS DOUBLE) AS _ct",
+                             f"CAST({add(f'pbn_{i}' for i in range(1, b + 1))} AS DOUBLE) AS _pt")
             sh = []
             for i in range(1, b + 1):
-                sh.append((F.col(f"bc_{i}") / (F.col("_ct") + 1e-9)).alias(f"_cs{i}"))
-                sh.append((F.col(f"pbn_{i}") / (F.col("_pt") + 1e-9)).alias(f"_ps{i}"))
-            f = f.select("*", *sh)
-            f = f.select("*", *[F.when(F.col(f"_{r}{i}") == 0, 0.0001).otherwise(F.col(f"_{r}{i}"))
-                                .alias(f"_{r}z{i}") for i in range(1, b + 1) for r in ("cs", "ps")])
-        f = f.select("*", self._psi_expr().alias("_psi"), self._corr_max_expr().alias("_corr_max"))
-        f = f.select("*", self._corr_worst_expr().alias("_corr_worst"))
+                sh += [f"bc_{i} / (_ct + 1e-9) AS _cs{i}", f"pbn_{i} / (_pt + 1e-9) AS _ps{i}"]
+            f = f.selectExpr("*", *sh)
+            f = f.selectExpr("*", *[f"CASE WHEN _{r}{i} = 0 THEN 0.0001 ELSE _{r}{i} END AS _{r}z{i}"
+                                    for i in range(1, b + 1) for r in ("cs", "ps")])
+            psi = add(f"(_csz{i} - _psz{i}) * ln(_csz{i} / _psz{i})" for i in range(1, b + 1))
+            f = f.selectExpr("*", f"CASE WHEN prev_key IS NOT NULL AND bc_1 IS NOT NULL AND pbn_1 IS NOT NULL "
+                                  f"AND (_ct > 0 OR _pt > 0) THEN {psi} END AS _psi")
+        else:
+            f = f.selectExpr("*", "CAST(NULL AS DOUBLE) AS _psi")
+        f = f.selectExpr("*", f"{self._corr_max_sql()} AS _corr_max")
+        f = f.selectExpr("*", f"{self._corr_worst_sql()} AS _corr_worst")
+        f = f.selectExpr("*", *[f"{v} AS `_pass_{n}`" for n, v in self._passed_sql().items()])
         f = f.persist(StorageLevel.MEMORY_AND_DISK)
         self.p._persisted.append(f)
         return f
 
-    # ---------------------------------------------------------------- C1
-    def null_values_by_column(self) -> DataFrame:
-        n = F.col("n")
-        rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"nul_{i}").alias("null_count"),
-                         (F.try_divide(F.col(f"nul_{i}"), n) * 100).alias("null_pct"))
-                for i, c in enumerate(self.p.cols)]
-        return _explode(self.facts, self.key, rows)
-
-    def _total_nulls(self) -> Column:
-        t = F.lit(0).cast("long")
-        for i in range(len(self.p.cols)):
-            t = t + F.col(f"nul_{i}")
-        return t
-
-    def _overall_null_pct(self) -> Column:
+    @cached_property
+    def passed(self) -> dict:
+        """check name -> SQL reading its boolean column in :attr:`facts`."""
+        return {n: f"`_pass_{n}`" for n in CHECK_ORDER}
+
+    def _explode(self, rows: list) -> DataFrame | None:
+        if not rows:
+            return None
+        return self.facts.selectExpr(self.k, f"inline(array({', '.join(rows)}))")
+
+    # ---------------------------------------------------------------- figures
+    @staticmethod
+    def _pct(i) -> str:
+        return f"try_divide(CAST(nul_{i} AS DOUBLE), n) * 100"
+
+    def _total_nulls(self) -> str:
+        return add((f"nul_{i}" for i in range(len(self.p.cols))), "CAST(0 AS LONG)")
+
+    def _overall_null_pct(self) -> str:
         k = len(self.p.cols)
         if k == 0:
-            return F.lit(None).cast("double")
-        s = F.lit(0.0)
+            return "CAST(NULL AS DOUBLE)"
+        return f"({add(f'try_divide(CAST(nul_{i} AS DOUBLE), n)' for i in range(k))} / {k} * 100)"
+
+    def _dup_ids(self) -> str:
+        if not self.p.id_on:
+            return "CAST(0 AS LONG)"
+        return "CAST(n - id_distinct - CASE WHEN id_has_null THEN 1 ELSE 0 END AS LONG)"
+
+    def _iqr_total(self) -> str:
+        return add((f"coalesce(iqo_{i}, 0)" for i in range(len(self.p.iqr_cols))), "CAST(0 AS LONG)")
+
+    def _z_total(self) -> str:
+        return add((f"coalesce(zo_{i}, 0)" for i in range(len(self.p.z_cols))), "CAST(0 AS LONG)")
+
+    @staticmethod
+    def _zmax(i) -> str:
+        return f"try_divide(greatest(zmax_{i} - zm_{i}, zm_{i} - zmin_{i}), zs_{i})"
+
+    def _age_days(self) -> str:
+        return (f"CAST(floor(timestampdiff(MICROSECOND, fmax, CAST(DATE'{self.p.as_of.isoformat()}' AS TIMESTAMP_NTZ))"
+                f" / 86400000000) AS LONG)")
+
+    @staticmethod
+    def _change_pct() -> str:
+        return "(abs(n - prev_n) / CAST(greatest(prev_n, 1) AS DOUBLE) * 100)"
+
+    def _missing_flagged(self) -> str:
+        m = self.cfg.missing_max_pct
+        return add((f"CASE WHEN bround({self._pct(i)}, 2) > {num(m)} THEN 1 ELSE 0 END"
+                    for i in range(len(self.p.cols))), "0")
+
+    def _corr_diffs(self):
+        """Row-major list of (i, j, |diff| SQL) over the full matrix."""
+        k = len(self.p.corr_cols)
+        idx = {pair: p for p, pair in enumerate(self.p.corr_pairs)}
+        out = []
         for i in range(k):
-            s = s + F.try_divide(F.col(f"nul_{i}").cast("double"), F.col("n"))
-        return s / k * 100
+            for j in range(k):
+                p = idx[(min(i, j), max(i, j))]
+                out.append((i, j, f"abs(corr_{p} - coalesce(pcorr_{p}, 0.0))"))
+        return out
 
-    def null_values(self) -> DataFrame:
-        return self.facts.select(self.key, self._total_nulls().alias("total_nulls"),
-                                 self._overall_null_pct().alias("overall_null_pct"),
-                                 self.passed["null_value_detection"].alias("passed"))
+    def _corr_max_sql(self) -> str:
+        if len(self.p.corr_cols) < 2:
+            return "CAST(NULL AS DOUBLE)"
+        return f"CASE WHEN prev_key IS NOT NULL THEN {greatest(d for _, _, d in self._corr_diffs())} END"
 
-    # ---------------------------------------------------------------- C2 / C19
-    def _dup_ids(self) -> Column:
-        if not self.p.id_on:
-            return F.lit(0).cast("long")
-        return (F.col("n") - F.col("id_distinct")
-                - F.when(F.col("id_has_null"), 1).otherwise(0)).cast("long")
+    def _corr_worst_sql(self) -> str:
+        if len(self.p.corr_cols) < 2:
+            return "CAST(NULL AS STRING)"
+        names = self.p.corr_cols
+        whens = " ".join(f"WHEN {d} = _corr_max THEN {s(f'({names[i]!r}, {names[j]!r})')}"
+                         for i, j, d in self._corr_diffs())
+        return f"CASE WHEN prev_key IS NOT NULL THEN CASE {whens} END END"
 
-    def duplicates(self) -> DataFrame:
-        return self.facts.select(self.key, F.col("duplicate_rows"),
-                                 self._dup_ids().alias("duplicate_ids"),
-                                 self.passed["duplicate_detection"].alias("passed"))
+    def _skew_flagged(self) -> str:
+        t = self.cfg.skew_threshold
+        return add((f"CASE WHEN abs(sk_{i}) > {num(t)} THEN 1 ELSE 0 END" for i in range(len(self.p.skew_cols))), "0")
 
-    def uniqueness(self) -> DataFrame:
-        if not self.p.id_on:
-            return self.facts.select(self.key, F.lit(None).cast("long").alias("total_rows"),
-                                     F.lit(None).cast("long").alias("unique_values"),
-                                     F.lit(None).cast("long").alias("duplicates"),
-                                     F.lit(True).alias("passed"))
-        return self.facts.select(self.key, F.col("n").alias("total_rows"),
-                                 F.col("id_distinct").alias("unique_values"),
-                                 (F.col("n") - F.col("id_distinct")).alias("duplicates"),
-                                 self.passed["uniqueness_constraints"].alias("passed"))
-
-    # ---------------------------------------------------------------- C3 / C4 / C9 (schema)
+    def _max_signed_skew(self) -> str:
+        if not self.p.skew_cols:
+            return "CAST(NULL AS DOUBLE)"
+        return greatest(f"bround(sk_{i}, 4)" for i in range(len(self.p.skew_cols)))
+
+    def _max_abs_skew(self) -> str:
+        if not self.p.skew_cols:
+            return "CAST(NULL AS DOUBLE)"
+        return greatest(f"abs(bround(sk_{i}, 4))" for i in range(len(self.p.skew_cols)))
+
+    def _entropy_delta(self) -> str:
+        if not self.p.ent_on:
+            return "CAST(NULL AS DOUBLE)"
+        ok = "true" if self.p.prev_has(self.cfg.entropy_column) else "false"
+        return f"CASE WHEN prev_key IS NOT NULL AND {ok} THEN abs(entropy - prev_entropy) END"
+
+    @staticmethod
+    def _max_gap() -> str:
+        return "CASE WHEN coalesce(gap_n, 0) >= 2 THEN greatest(coalesce(max_gap, 0), 0) ELSE 0 END"
+
+    @staticmethod
+    def _drift_level(psi_r: str) -> str:
+        return (f"CASE WHEN {psi_r} < 0.1 THEN 'none' WHEN {psi_r} < 0.2 THEN 'slight' "
+                f"WHEN {psi_r} IS NOT NULL THEN 'significant' END")
+
+    # ---------------------------------------------------------------- schema (metadata)
     @cached_property
     def type_mismatches(self) -> list:
         actual = self.p.dtype_names()
@@ -152,280 +220,177 @@ class Checks:
         changes = {c: (prev[c], cur[c]) for c in sorted(set(cur) & set(prev)) if cur[c] != prev[c]}
         return added, removed, changes
 
+    # ---------------------------------------------------------------- pass flags
+    def _passed_sql(self) -> dict:
+        p, cfg = self.p, self.cfg
+        out = {}
+        out["null_value_detection"] = f"{self._total_nulls()} = 0"
+        out["duplicate_detection"] = f"(duplicate_rows = 0 AND {self._dup_ids()} = 0)"
+        out["data_type_validation"] = _lit(len(self.type_mismatches) == 0)
+        out["column_existence"] = _lit(len(self.missing_columns) == 0)
+        rv = add(f"CASE WHEN rv_{i} > 0 THEN 1 ELSE 0 END" for i in range(len(p.range_cols)))
+        out["range_validation"] = f"{rv} = 0"
+        out["regex_pattern_validation"] = f"{add(f'pb_{i}' for i in range(len(p.pattern_cols)))} = 0"
+        out["outlier_detection_iqr"] = f"{self._iqr_total()} = 0"
+        out["outlier_detection_zscore"] = f"{self._z_total()} = 0"
+        added, removed, changes = self.schema_change
+        out["schema_change_detection"] = f"(prev_key IS NULL OR {_lit(not (added or removed or changes))})"
+        out["data_freshness"] = (f"coalesce({self._age_days()} <= {int(cfg.freshness_max_days)}, false)"
+                                 if p.date_on else "false")
+        out["volume_anomaly"] = f"(prev_key IS NULL OR {self._change_pct()} <= {num(cfg.volume_threshold_pct)})"
+        out["missing_value_percentage"] = f"{self._missing_flagged()} = 0"
+        out["psi_distribution_drift"] = "coalesce(bround(_psi, 4) < 0.2, true)"
+        out["correlation_drift"] = f"coalesce(_corr_max <= {num(cfg.corr_threshold)}, true)"
+        out["data_skew_detection"] = f"{self._skew_flagged()} = 0"
+        d = self._entropy_delta()
+        out["entropy_change"] = (f"CASE WHEN {d} IS NULL THEN true ELSE {d} < {num(cfg.entropy_threshold)} END"
+                                 if p.ent_on else "true")
+        out["time_gap_detection"] = "coalesce(large_gaps, 0) = 0" if p.date_on else "true"
+        out["business_rule_validation"] = f"{add(f'CASE WHEN {c} > 0 THEN 1 ELSE 0 END' for c in p.rule_cols)} = 0"
+        out["uniqueness_constraints"] = "n - id_distinct = 0" if p.id_on else "true"
+        out["referential_consistency"] = "(rf_blank = 0 AND rf_missing = 0)" if p.ref_on else "true"
+        out["sales_calculation_check"] = "ac_bad = 0" if p.amount_on else "true"
+        return out
+
+    # ---------------------------------------------------------------- flat frames
+    def null_values_by_column(self) -> DataFrame:
+        return self._explode([struct(column_name=s(c), null_count=f"nul_{i}", null_pct=self._pct(i))
+                              for i, c in enumerate(self.p.cols)])
+
+    def null_values(self) -> DataFrame:
+        return self.facts.selectExpr(self.k, f"{self._total_nulls()} AS total_nulls",
+                                     f"{self._overall_null_pct()} AS overall_null_pct",
+                                     f"{self.passed['null_value_detection']} AS passed")
+
+    def duplicates(self) -> DataFrame:
+        return self.facts.selectExpr(self.k, "duplicate_rows", f"{self._dup_ids()} AS duplicate_ids",
+                                     f"{self.passed['duplicate_detection']} AS passed")
+
+    def uniqueness(self) -> DataFrame:
+        if not self.p.id_on:
+            return self.facts.selectExpr(self.k, "CAST(NULL AS LONG) AS total_rows",
+                                         "CAST(NULL AS LONG) AS unique_values",
+                                         "CAST(NULL AS LONG) AS duplicates", "true AS passed")
+        return self.facts.selectExpr(self.k, "n AS total_rows", "id_distinct AS unique_values",
+                                     "n - id_distinct AS duplicates",
+                                     f"{self.passed['uniqueness_constraints']} AS passed")
+
     def data_types(self) -> DataFrame:
-        rows = [F.struct(F.lit(c).alias("column_name"), _lit_arr(e).alias("expected"),
-                         F.lit(a).alias("actual")) for c, e, a in self.type_mismatches]
+        rows = [struct(column_name=s(c), expected=arr(e), actual=s(a)) for c, e, a in self.type_mismatches]
         if not rows:
-            return self.facts.select(self.key).limit(0).select(
-                self.key, F.lit(None).cast("string").alias("column_name"),
-                F.lit(None).cast("array<string>").alias("expected"),
-                F.lit(None).cast("string").alias("actual"))
-        return _explode(self.facts, self.key, rows)
+            return self.facts.selectExpr(self.k, "CAST(NULL AS STRING) AS column_name",
+                                         "CAST(NULL AS ARRAY<STRING>) AS expected",
+                                         "CAST(NULL AS STRING) AS actual").limit(0)
+        return self._explode(rows)
 
     def column_existence(self) -> DataFrame:
-        return self.facts.select(self.key, _lit_arr(self.missing_columns).alias("missing_columns"),
-                                 _lit_arr(self.extra_columns).alias("extra_columns"),
-                                 self.passed["column_existence"].alias("passed"))
+        return self.facts.selectExpr(self.k, f"{arr(self.missing_columns)} AS missing_columns",
+                                     f"{arr(self.extra_columns)} AS extra_columns",
+                                     f"{self.passed['column_existence']} AS passed")
 
     def schema_changes(self) -> DataFrame:
         added, removed, changes = self.schema_change
-        has_prev = F.col("prev_key").isNotNull()
-        return self.facts.select(
-            self.key, F.when(has_prev, _lit_arr(added)).alias("columns_added"),
-            F.when(has_prev, _lit_arr(removed)).alias("columns_removed"),
-            F.when(has_prev, _lit_arr([f"{c}:{a}->{b}" for c, (a, b) in changes.items()]))
-            .alias("type_changes"),
-            self.passed["schema_change_detection"].alias("passed"))
-
-    # ---------------------------------------------------------------- C5
-    def range_violations(self) -> DataFrame:
-        rows = [F.struct(F.lit(c).alias("column_name"), F.lit(float(lo)).alias("range_lo"),
-                         F.lit(float(hi)).alias("range_hi"),
-                         F.col(f"rv_{i}").alias("violation_count"),
-                         F.col(f"rmin_{i}").alias("min_found"), F.col(f"rmax_{i}").alias("max_found"))
-                for i, (c, lo, hi) in enumerate(self.p.range_cols)]
-        if not rows:
-            return None
-        return _explode(self.facts, self.key, rows)
-
-    # ---------------------------------------------------------------- C6
-    def pattern_violations(self) -> DataFrame:
-        rows = [F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("pattern"),
-                         F.col(f"pb_{i}").alias("invalid_count"))
-                for i, (c, p) in enumerate(self.p.pattern_cols)]
-        return _explode(self.facts, self.key, rows) if rows else None
-
-    # ---------------------------------------------------------------- C7
-    def _iqr_struct(self, i, c, rounded=False):
-        q1, q3 = F.col(f"q_{i}")[0], F.col(f"q_{i}")[1]
-        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        cnt = F.coalesce(F.col(f"iqo_{i}"), F.lit(0)).cast("long")
-        pct = F.try_divide(cnt.cast("double"), F.col(f"inn_{i}")) * 100
-        if rounded:
-            return F.struct(R(lo, 2).alias("lower_bound"), R(hi, 2).alias("upper_bound"),
-                            cnt.alias("outlier_count"), R(pct, 2).alias("outlier_pct"))
-        return F.struct(F.lit(c).alias("column_name"), q1.alias("q1"), q3.alias("q3"),
-                        lo.alias("lower_bound"), hi.alias("upper_bound"),
-                        cnt.alias("outlier_count"), pct.alias("outlier_pct"))
-
-    def iqr_outliers(self) -> DataFrame:
-        rows = [self._iqr_struct(i, c) for i, c in enumerate(self.p.iqr_cols)]
-        return _explode(self.facts, self.key, rows) if rows else None
-
-    def _iqr_total(self) -> Column:
-        t = F.lit(0).cast("long")
-        for i in range(len(self.p.iqr_cols)):
-            t = t + F.coalesce(F.col(f"iqo_{i}"), F.lit(0))
-        return t
-
-    # ---------------------------------------------------------------- C8
-    def _zmax(self, i) -> Column:
-        m, s = F.col(f"zm_{i}"), F.col(f"zs_{i}")
-        return F.try_divide(F.greatest(F.col(f"zmax_{i}") - m, m - F.col(f"zmin_{i}")), s)
-
-    def zscore_outliers(self) -> DataFrame:
-        rows = [F.struct(F.lit(c).alias("column_name"),
-                         F.coalesce(F.col(f"zo_{i}"), F.lit(0)).cast("long").alias("outlier_count"),
-                         self._zmax(i).alias("max_zscore"))
-                for i, c in enumerate(self.p.z_cols)]
-        return _explode(self.facts, self.key, rows) if rows else None
-
-    def _z_total(self) -> Column:
-        t = F.lit(0).cast("long")
-        for i in range(len(self.p.z_cols)):
-            t = t + F.coalesce(F.col(f"zo_{i}"), F.lit(0))
-        return t
-
-    # ---------------------------------------------------------------- C10
-    def _age_days(self) -> Column:
-        as_of = F.lit(self.p.as_of).cast("timestamp_ntz")
-        return F.floor(F.timestamp_diff("MICROSECOND", F.col("fmax"), as_of)
-                       / F.lit(86_400_000_000)).cast("long")
+        tc = arr([f"{c}:{a}->{b}" for c, (a, b) in changes.items()])
+        return self.facts.selectExpr(
+            self.k, f"CASE WHEN prev_key IS NOT NULL THEN {arr(added)} END AS columns_added",
+            f"CASE WHEN prev_key IS NOT NULL THEN {arr(removed)} END AS columns_removed",
+            f"CASE WHEN prev_key IS NOT NULL THEN {tc} END AS type_changes",
+            f"{self.passed['schema_change_detection']} AS passed")
+
+    def range_violations(self) -> DataFrame | None:
+        return self._explode([struct(column_name=s(c), range_lo=num(lo), range_hi=num(hi),
+                                     violation_count=f"rv_{i}", min_found=f"rmin_{i}", max_found=f"rmax_{i}")
+                              for i, (c, lo, hi) in enumerate(self.p.range_cols)])
+
+    def pattern_violations(self) -> DataFrame | None:
+        return self._explode([struct(column_name=s(c), pattern=s(pt), invalid_count=f"pb_{i}")
+                              for i, (c, pt) in enumerate(self.p.pattern_cols)])
+
+    @staticmethod
+    def _iqr_fields(i):
+        q1, q3 = f"q_{i}[0]", f"q_{i}[1]"
+        lo, hi = f"({q1} - 1.5 * ({q3} - {q1}))", f"({q3} + 1.5 * ({q3} - {q1}))"
+        cnt = f"CAST(coalesce(iqo_{i}, 0) AS LONG)"
+        pct = f"try_divide(CAST({cnt} AS DOUBLE), inn_{i}) * 100"
+        return q1, q3, lo, hi, cnt, pct
+
+    def iqr_outliers(self) -> DataFrame | None:
+        rows = []
+        for i, c in enumerate(self.p.iqr_cols):
+            q1, q3, lo, hi, cnt, pct = self._iqr_fields(i)
+            rows.append(struct(column_name=s(c), q1=q1, q3=q3, lower_bound=lo, upper_bound=hi,
+                               outlier_count=cnt, outlier_pct=pct))
+        return self._explode(rows)
+
+    def zscore_outliers(self) -> DataFrame | None:
+        return self._explode([struct(column_name=s(c), outlier_count=f"CAST(coalesce(zo_{i}, 0) AS LONG)",
+                                     max_zscore=self._zmax(i)) for i, c in enumerate(self.p.z_cols)])
 
     def freshness(self) -> DataFrame:
         if not self.p.date_on:
-            return self.facts.select(self.key, F.lit(None).cast("date").alias("latest_date"),
-                                     F.lit(None).cast("long").alias("age_days"),
-                                     F.lit(False).alias("passed"))
-        return self.facts.select(self.key, F.to_date("fmax").alias("latest_date"),
-                                 self._age_days().alias("age_days"),
-                                 self.passed["data_freshness"].alias("passed"))
-
-    # ---------------------------------------------------------------- C11
-    def _change_pct(self) -> Column:
-        return (F.abs(F.col("n") - F.col("prev_n"))
-                / F.greatest(F.col("prev_n"), F.lit(1)).cast("double") * 100)
+            return self.facts.selectExpr(self.k, "CAST(NULL AS DATE) AS latest_date",
+                                         "CAST(NULL AS LONG) AS age_days", "false AS passed")
+        return self.facts.selectExpr(self.k, "to_date(fmax) AS latest_date", f"{self._age_days()} AS age_days",
+                                     f"{self.passed['data_freshness']} AS passed")
 
     def volume(self) -> DataFrame:
-        return self.facts.select(self.key, F.col("prev_n").alias("previous_rows"),
-                                 F.col("n").alias("current_rows"),
-                                 self._change_pct().alias("change_pct"),
-                                 self.passed["volume_anomaly"].alias("passed"))
+        return self.facts.selectExpr(self.k, "prev_n AS previous_rows", "n AS current_rows",
+                                     f"{self._change_pct()} AS change_pct",
+                                     f"{self.passed['volume_anomaly']} AS passed")
 
-    # ---------------------------------------------------------------- C12
     def missing_pct(self) -> DataFrame:
-        rows = []
-        for i, c in enumerate(self.p.cols):
-            pct = F.try_divide(F.col(f"nul_{i}").cast("double"), F.col("n")) * 100
-            rows.append(F.struct(F.lit(c).alias("column_name"), pct.alias("missing_pct"),
-                                 (R(pct, 2) > self.cfg.missing_max_pct).alias("exceeds_threshold")))
-        return _explode(self.facts, self.key, rows)
-
-    def _missing_flagged(self) -> Column:
-        t = F.lit(0)
-        for i in range(len(self.p.cols)):
-            pct = F.try_divide(F.col(f"nul_{i}").cast("double"), F.col("n")) * 100
-            t = t + F.when(R(pct, 2) > self.cfg.missing_max_pct, 1).otherwise(0)
-        return t
-
-    # ---------------------------------------------------------------- C13
-    def _psi(self) -> Column:
-        return F.col("_psi")
-
-    def _psi_expr(self) -> Column:
-        if not self.p.psi_on:
-            return F.lit(None).cast("double")
-        b = self.cfg.psi_bins
-        psi = F.lit(0.0)
-        for i in range(1, b + 1):
-            c, p = F.col(f"_csz{i}"), F.col(f"_psz{i}")
-            psi = psi + (c - p) * F.log(c / p)
-        has = F.col("prev_key").isNotNull() & F.col("bc_1").isNotNull() & F.col("pbn_1").isNotNull()
-        return F.when(has & ((F.col("_ct") > 0) | (F.col("_pt") > 0)), psi)
-
-    @staticmethod
-    def _drift_level(psi_r: Column) -> Column:
-        return (F.when(psi_r < 0.1, "none").when(psi_r < 0.2, "slight")
-                .when(psi_r.isNotNull(), "significant"))
+        m = self.cfg.missing_max_pct
+        return self._explode([struct(column_name=s(c), missing_pct=self._pct(i),
+                                     exceeds_threshold=f"bround({self._pct(i)}, 2) > {num(m)}")
+                              for i, c in enumerate(self.p.cols)])
 
     def psi(self) -> DataFrame:
-        psi = self._psi()
-        return self.facts.select(self.key, psi.alias("psi_score"),
-                                 self._drift_level(R(psi, 4)).alias("drift_level"),
-                                 self.passed["psi_distribution_drift"].alias("passed"))
-
-    # ---------------------------------------------------------------- C14
-    def _corr_diffs(self):
-        """Row-major list of (i, j, |diff|) over the full matrix."""
-        k = len(self.p.corr_cols)
-        idx = {pair: p for p, pair in enumerate(self.p.corr_pairs)}
-        out = []
-        for i in range(k):
-            for j in range(k):
-                p = idx[(min(i, j), max(i, j))]
-                d = F.abs(F.col(f"corr_{p}") - F.coalesce(F.col(f"pcorr_{p}"), F.lit(0.0)))
-                out.append((i, j, d))
-        return out
-
-    def _corr_max(self) -> Column:
-        return F.col("_corr_max")
-
-    def _corr_max_expr(self) -> Column:
-        if len(self.p.corr_cols) < 2:
-            return F.lit(None).cast("double")
-        d = self._corr_diffs()
-        return F.when(F.col("prev_key").isNotNull(), greatest(*[x for _, _, x in d]))
-
-    def _corr_worst(self) -> Column:
-        return F.col("_corr_worst")
-
-    def _corr_worst_expr(self) -> Column:
-        if len(self.p.corr_cols) < 2:
-            return F.lit(None).cast("string")
-        names = self.p.corr_cols
-        m = F.col("_corr_max")
-        expr = F.lit(None).cast("string")
-        for i, j, x in reversed(self._corr_diffs()):
-            expr = F.when(x == m, F.lit(f"('{names[i]}', '{names[j]}')")).otherwise(expr)
-        return F.when(F.col("prev_key").isNotNull(), expr)
+        return self.facts.selectExpr(self.k, "_psi AS psi_score",
+                                     f"{self._drift_level('bround(_psi, 4)')} AS drift_level",
+                                     f"{self.passed['psi_distribution_drift']} AS passed")
 
     def correlation(self) -> DataFrame:
-        return self.facts.select(self.key, self._corr_max().alias("max_correlation_drift"),
-                                 self._corr_worst().alias("worst_pair"),
-                                 self.passed["correlation_drift"].alias("passed"))
+        return self.facts.selectExpr(self.k, "_corr_max AS max_correlation_drift", "_corr_worst AS worst_pair",
+                                     f"{self.passed['correlation_drift']} AS passed")
 
-    def correlation_matrix(self) -> DataFrame:
+    def correlation_matrix(self) -> DataFrame | None:
         names = self.p.corr_cols
-        rows = [F.struct(F.lit(names[i]).alias("col_a"), F.lit(names[j]).alias("col_b"),
-                         F.col(f"corr_{p}").alias("corr"))
-                for p, (i, j) in enumerate(self.p.corr_pairs)]
-        return _explode(self.facts, self.key, rows) if rows else None
-
-    # ---------------------------------------------------------------- C15
-    def skew(self) -> DataFrame:
-        rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"sk_{i}").alias("skewness"),
-                         F.coalesce(F.abs(F.col(f"sk_{i}")) > self.cfg.skew_threshold, F.lit(False))
-                         .alias("highly_skewed"))
-                for i, c in enumerate(self.p.skew_cols)]
-        return _explode(self.facts, self.key, rows) if rows else None
-
-    def _skew_flagged(self) -> Column:
-        t = F.lit(0)
-        for i in range(len(self.p.skew_cols)):
-            t = t + F.when(F.abs(F.col(f"sk_{i}")) > self.cfg.skew_threshold, 1).otherwise(0)
-        return t
-
-    def _max_signed_skew(self) -> Column:
-        if not self.p.skew_cols:
-            return F.lit(None).cast("double")
-        return greatest(*[R(F.col(f"sk_{i}"), 4) for i in range(len(self.p.skew_cols))])
+        return self._explode([struct(col_a=s(names[i]), col_b=s(names[j]), corr=f"corr_{p}")
+                              for p, (i, j) in enumerate(self.p.corr_pairs)])
 
-    # ---------------------------------------------------------------- C16
-    def _entropy_delta(self) -> Column:
-        if not self.p.ent_on:
-            return F.lit(None).cast("double")
-        return F.when(F.col("prev_key").isNotNull() & F.lit(self.p.prev_has(self.cfg.entropy_column)),
-                      F.abs(F.col("entropy") - F.col("prev_entropy")))
+    def skew(self) -> DataFrame | None:
+        t = self.cfg.skew_threshold
+        return self._explode([struct(column_name=s(c), skewness=f"sk_{i}",
+                                     highly_skewed=f"coalesce(abs(sk_{i}) > {num(t)}, false)")
+                              for i, c in enumerate(self.p.skew_cols)])
 
-    def entropy(self) -> DataFrame:
+    def entropy(self) -> DataFrame | None:
         if not self.p.ent_on:
             return None
-        return self.facts.select(self.key, F.col("prev_entropy").alias("previous_entropy"),
-                                 F.col("entropy").alias("current_entropy"),
-                                 self._entropy_delta().alias("entropy_delta"),
-                                 self.passed["entropy_change"].alias("passed"))
-
-    # ---------------------------------------------------------------- C17
-    def _max_gap(self) -> Column:
-        return F.when(F.coalesce(F.col("gap_n"), F.lit(0)) >= 2,
-                      F.greatest(F.coalesce(F.col("max_gap"), F.lit(0)), F.lit(0))).otherwise(0)
+        return self.facts.selectExpr(self.k, "prev_entropy AS previous_entropy", "entropy AS current_entropy",
+                                     f"{self._entropy_delta()} AS entropy_delta",
+                                     f"{self.passed['entropy_change']} AS passed")
 
-    def time_gaps(self) -> DataFrame:
+    def time_gaps(self) -> DataFrame | None:
         if not self.p.date_on:
             return None
-        return self.facts.select(self.key, self._max_gap().cast("long").alias("max_gap_days_found"),
-                                 F.coalesce(F.col("large_gaps"), F.lit(0)).cast("long").alias("large_gap_count"),
-                                 self.passed["time_gap_detection"].alias("passed"))
-
-    # ---------------------------------------------------------------- C18
-    def _rules(self):
-        cfg, r = self.cfg, []
-        cols = set(self.facts.columns)
-        names = cfg.rule_names
-        if "br_pos" in cols:
-            r.append((names[0], F.col("br_pos")))
-        if "br_le" in cols:
-            r.append((names[1], F.col("br_le")))
-        if "br_bnd" in cols:
-            r.append((names[2], F.col("br_bnd")))
-        for i, s in enumerate(self.p.set_rules):
-            r.append((s.name, F.col(f"br_set_{i}")))
-        return r
-
-    def business_rules(self) -> DataFrame:
-        rows = [F.struct(F.lit(n).alias("rule"), c.cast("long").alias("violation_count"))
-                for n, c in self._rules()]
-        return _explode(self.facts, self.key, rows) if rows else None
-
-    def invalid_values(self) -> DataFrame:
+        return self.facts.selectExpr(self.k, f"CAST({self._max_gap()} AS LONG) AS max_gap_days_found",
+                                     "CAST(coalesce(large_gaps, 0) AS LONG) AS large_gap_count",
+                                     f"{self.passed['time_gap_detection']} AS passed")
+
+    def business_rules(self) -> DataFrame | None:
+        return self._explode([struct(rule=s(name), violation_count=f"CAST({c} AS LONG)")
+                              for c, name in self.p.rule_cols.items()])
+
+    def invalid_values(self) -> DataFrame | None:
         """Distinct invalid values per set rule and snapshot (null kept as a
         value), distributed - never collected."""
         parts = []
-        for s in self.p.set_rules:
-            c = F.col(f"`{s.column}`")
-            parts.append(self.p.series.filter(F.coalesce(~c.isin(list(s.values)), F.lit(True)))
-                         .select(self.key, F.lit(s.name).alias("rule"),
-                                 c.cast("string").alias("value")).distinct())
+        for r in self.p.set_rules:
+            vals = ", ".join(s(str(v)) for v in r.values)
+            parts.append(self.p.series.filter(f"coalesce(NOT ({q(r.column)} IN ({vals})), true)")
+                         .selectExpr(self.k, f"{s(r.name)} AS rule", f"CAST({q(r.column)} AS STRING) AS value")
+                         .distinct())
         if not parts:
             return None
         out = parts[0]
@@ -433,192 +398,112 @@ class Checks:
             out = out.unionByName(x)
         return out
 
-    # ---------------------------------------------------------------- C20
-    def referential(self) -> DataFrame:
-        if "rf_blank" not in self.facts.columns:
+    def referential(self) -> DataFrame | None:
+        if not self.p.ref_on:
             return None
-        return self.facts.select(self.key, F.col("rf_blank").alias("empty_child"),
-                                 F.col("rf_missing").alias("parent_without_child"),
-                                 self.passed["referential_consistency"].alias("passed"))
+        return self.facts.selectExpr(self.k, "rf_blank AS empty_child", "rf_missing AS parent_without_child",
+                                     f"{self.passed['referential_consistency']} AS passed")
 
-    # ---------------------------------------------------------------- C21
-    def amount_calc(self) -> DataFrame:
+    def amount_calc(self) -> DataFrame | None:
         if not self.p.amount_on:
             return None
-        return self.facts.select(self.key, F.col("ac_bad").alias("rows_with_bad_calculation"),
-                                 F.col("ac_max").alias("max_diff_pct"),
-                                 self.passed["sales_calculation_check"].alias("passed"))
-
-    # ---------------------------------------------------------------- pass / details
-    @cached_property
-    def passed(self) -> dict:
-        p, cfg = self.p, self.cfg
-        has_prev = F.col("prev_key").isNotNull()
-        out = {}
-        out["null_value_detection"] = self._total_nulls() == 0
-        out["duplicate_detection"] = (F.col("duplicate_rows") == 0) & (self._dup_ids() == 0)
-        out["data_type_validation"] = F.lit(len(self.type_mismatches) == 0)
-        out["column_existence"] = F.lit(len(self.missing_columns) == 0)
-        rv = F.lit(0)
-        for i in range(len(p.range_cols)):
-            rv = rv + F.when(F.col(f"rv_{i}") > 0, 1).otherwise(0)
-        out["range_validation"] = rv == 0
-        pb = F.lit(0)
-        for i in range(len(p.pattern_cols)):
-            pb = pb + F.col(f"pb_{i}")
-        out["regex_pattern_validation"] = pb == 0
-        out["outlier_detection_iqr"] = self._iqr_total() == 0
-        out["outlier_detection_zscore"] = self._z_total() == 0
-        added, removed, changes = self.schema_change
-        out["schema_change_detection"] = ~has_prev | F.lit(not (added or removed or changes))
-        if p.date_on:
-            out["data_freshness"] = F.coalesce(self._age_days() <= cfg.freshness_max_days, F.lit(False))
-        else:
-            out["data_freshness"] = F.lit(False)
-        out["volume_anomaly"] = ~has_prev | (self._change_pct() <= cfg.volume_threshold_pct)
-        out["missing_value_percentage"] = self._missing_flagged() == 0
-        out["psi_distribution_drift"] = F.coalesce(R(self._psi(), 4) < 0.2, F.lit(True))
-        out["correlation_drift"] = F.coalesce(self._corr_max() <= cfg.corr_threshold, F.lit(True))
-        out["data_skew_detection"] = self._skew_flagged() == 0
-        if p.ent_on:
-            d = self._entropy_delta()
-            out["entropy_change"] = F.when(d.isNull(), F.lit(True)).otherwise(d < cfg.entropy_threshold)
-        else:
-            out["entropy_change"] = F.lit(True)
-        if p.date_on:
-            out["time_gap_detection"] = F.coalesce(F.col("large_gaps"), F.lit(0)) == 0
-        else:
-            out["time_gap_detection"] = F.lit(True)
-        br = F.lit(0)
-        for _n, c in self._rules():
-            br = br + F.when(c > 0, 1).otherwise(0)
-        out["business_rule_validation"] = br == 0
-        out["uniqueness_constraints"] = (F.col("n") - F.col("id_distinct") == 0) if p.id_on else F.lit(True)
-        if "rf_blank" in self.facts.columns:
-            out["referential_consistency"] = (F.col("rf_blank") == 0) & (F.col("rf_missing") == 0)
-        else:
-            out["referential_consistency"] = F.lit(True)
-        out["sales_calculation_check"] = (F.col("ac_bad") == 0) if p.amount_on else F.lit(True)
-        return out
+        return self.facts.selectExpr(self.k, "ac_bad AS rows_with_bad_calculation", "ac_max AS max_diff_pct",
+                                     f"{self.passed['sales_calculation_check']} AS passed")
 
+    # ---------------------------------------------------------------- envelope
     def details(self) -> dict:
-        """Envelope details per check (struct columns, reference rounding)."""
+        """Envelope details per check as JSON-text SQL (reference rounding)."""
         p, cfg = self.p, self.cfg
-        n = F.col("n")
-        has_prev = F.col("prev_key").isNotNull()
+        cols = p.cols
         d = {}
-        d["null_value_detection"] = F.struct(
-            F.map_from_arrays(_lit_arr(p.cols), F.array(*[F.col(f"nul_{i}") for i in range(len(p.cols))]))
-            .alias("null_counts"),
-            F.map_from_arrays(_lit_arr(p.cols), F.array(*[R(F.try_divide(F.col(f"nul_{i}") * 100.0, n), 2)
-                                                          for i in range(len(p.cols))])).alias("null_percentages"),
-            self._total_nulls().alias("total_nulls"), R(self._overall_null_pct(), 2).alias("overall_null_pct"))
-        d["duplicate_detection"] = F.struct(F.col("duplicate_rows"), self._dup_ids().alias("duplicate_order_ids"))
-        d["data_type_validation"] = F.struct(
-            F.array(*[F.struct(F.lit(c).alias("column"), _lit_arr(e).alias("expected"), F.lit(a).alias("actual"))
-                      for c, e, a in self.type_mismatches]).alias("mismatches"),
-            _lit_arr(list(cfg.expected_dtypes)).alias("checked_columns"))
-        d["column_existence"] = F.struct(_lit_arr(self.missing_columns).alias("missing_columns"),
-                                         _lit_arr(self.extra_columns).alias("extra_columns"))
-        d["range_validation"] = F.struct(F.filter(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.array(F.lit(float(lo)), F.lit(float(hi))).alias("expected_range"),
-                     F.col(f"rv_{i}").alias("violation_count"), F.col(f"rmin_{i}").alias("min_found"),
-                     F.col(f"rmax_{i}").alias("max_found"))
-            for i, (c, lo, hi) in enumerate(p.range_cols)] or [F.lit(None)]),
-            lambda x: x.isNotNull() & (x["violation_count"] > 0)).alias("violations")) if p.range_cols \
-            else F.struct(F.array().alias("violations"))
-        d["regex_pattern_validation"] = F.struct(*[
-            F.struct(F.lit(pt).alias("pattern"), F.col(f"pb_{i}").alias("invalid_count")).alias(c)
-            for i, (c, pt) in enumerate(p.pattern_cols)]) if p.pattern_cols else F.struct(F.lit(None).alias("none"))
-        d["outlier_detection_iqr"] = F.struct(*[self._iqr_struct(i, c, True).alias(c)
-                                                for i, c in enumerate(p.iqr_cols)]) \
-            if p.iqr_cols else F.struct(F.lit(None).alias("none"))
-        d["outlier_detection_zscore"] = F.struct(*[
-            F.struct(F.lit(cfg.zscore_threshold).alias("threshold"),
-                     F.coalesce(F.col(f"zo_{i}"), F.lit(0)).alias("outlier_count"),
-                     F.when(F.col(f"znn_{i}") > 0, R(self._zmax(i), 2)).alias("max_zscore")).alias(c)
-            for i, c in enumerate(p.z_cols)]) if p.z_cols else F.struct(F.lit(None).alias("none"))
+        pcts = [f"bround({self._pct(i)}, 2)" for i in range(len(cols))]
+        nul = ", ".join(f"nul_{i}" for i in range(len(cols)))
+        d["null_value_detection"] = struct(
+            null_counts=f"map_from_arrays({arr(cols)}, array({nul}))",
+            null_percentages=f"map_from_arrays({arr(cols)}, array({', '.join(pcts)}))",
+            total_nulls=self._total_nulls(), overall_null_pct=f"bround({self._overall_null_pct()}, 2)")
+        d["duplicate_detection"] = struct(duplicate_rows="duplicate_rows", duplicate_order_ids=self._dup_ids())
+        mism = [struct(column=s(c), expected=arr(e), actual=s(a)) for c, e, a in self.type_mismatches]
+        d["data_type_validation"] = struct(mismatches=f"array({', '.join(mism)})" if mism else EMPTY_ARR,
+                                           checked_columns=arr(list(cfg.expected_dtypes)))
+        d["column_existence"] = struct(missing_columns=arr(self.missing_columns),
+                                       extra_columns=arr(self.extra_columns))
+        viol = [struct(column=s(c), expected_range=f"array({num(lo)}, {num(hi)})", violation_count=f"rv_{i}",
+                       min_found=f"rmin_{i}", max_found=f"rmax_{i}") for i, (c, lo, hi) in enumerate(p.range_cols)]
+        d["range_validation"] = struct(
+            violations=f"filter(array({', '.join(viol)}), v -> v.violation_count > 0)" if viol else EMPTY_ARR)
+        d["regex_pattern_validation"] = struct_l(
+            (c, struct(pattern=s(pt), invalid_count=f"pb_{i}")) for i, (c, pt) in enumerate(p.pattern_cols))
+        iq = []
+        for i, c in enumerate(p.iqr_cols):
+            _q1, _q3, lo, hi, cnt, pct = self._iqr_fields(i)
+            iq.append((c, struct(lower_bound=f"bround({lo}, 2)", upper_bound=f"bround({hi}, 2)",
+                                 outlier_count=cnt, outlier_pct=f"bround({pct}, 2)")))
+        d["outlier_detection_iqr"] = struct_l(iq)
+        d["outlier_detection_zscore"] = struct_l(
+            (c, struct(threshold=num(cfg.zscore_threshold), outlier_count=f"coalesce(zo_{i}, 0)",
+                       max_zscore=f"CASE WHEN znn_{i} > 0 THEN bround({self._zmax(i)}, 2) END"))
+            for i, c in enumerate(p.z_cols))
         added, removed, changes = self.schema_change
-        d["schema_change_detection"] = F.when(~has_prev, F.struct(
-            F.lit(None).cast("array<string>").alias("columns_added"),
-            F.lit(None).cast("array<string>").alias("columns_removed"),
-            F.lit(None).cast("array<struct<column:string,prev_dtype:string,curr_dtype:string>>").alias("type_changes"),
-            F.lit("No previous snapshot available.").alias("message"))).otherwise(F.struct(
-                _lit_arr(added).alias("columns_added"), _lit_arr(removed).alias("columns_removed"),
-                F.array(*[F.struct(F.lit(c).alias("column"), F.lit(a).alias("prev_dtype"), F.lit(b).alias("curr_dtype"))
-                          for c, (a, b) in changes.items()]).cast(
-                    "array<struct<column:string,prev_dtype:string,curr_dtype:string>>").alias("type_changes"),
-                F.lit(None).cast("string").alias("message")))
+        tc = [struct(column=s(c), prev_dtype=s(a), curr_dtype=s(b)) for c, (a, b) in changes.items()]
+        changed = struct(columns_added=arr(added), columns_removed=arr(removed),
+                         type_changes=f"array({', '.join(tc)})" if tc else EMPTY_ARR)
+        d["schema_change_detection"] = (
+            "CASE WHEN prev_key IS NULL THEN to_json(named_struct('message', 'No previous snapshot available.')) "
+            f"ELSE to_json({changed}) END")
         if p.date_on:
-            d["data_freshness"] = F.struct(F.date_format(F.to_date("fmax"), "yyyy-MM-dd").alias("latest_order_date"),
-                                           self._age_days().alias("age_days"),
-                                           F.lit(cfg.freshness_max_days).alias("max_allowed_days"))
+            d["data_freshness"] = struct(latest_order_date="date_format(to_date(fmax), 'yyyy-MM-dd')",
+                                         age_days=self._age_days(),
+                                         max_allowed_days=str(int(cfg.freshness_max_days)))
         else:
-            d["data_freshness"] = F.struct(F.lit(f"{cfg.date_column} column missing").alias("error"))
-        d["volume_anomaly"] = F.struct(F.col("prev_n").alias("previous_rows"), n.alias("current_rows"),
-                                       R(self._change_pct(), 2).alias("change_pct"),
-                                       F.lit(cfg.volume_threshold_pct).alias("threshold_pct"))
-        d["missing_value_percentage"] = F.struct(
-            F.map_from_arrays(_lit_arr(p.cols), F.array(*[R(F.try_divide(F.col(f"nul_{i}") * 100.0, n), 2)
-                                                          for i in range(len(p.cols))])).alias("per_column"),
-            F.filter(F.array(*[F.when(R(F.try_divide(F.col(f"nul_{i}") * 100.0, n), 2) > cfg.missing_max_pct,
-                                      F.lit(c)) for i, c in enumerate(p.cols)]), lambda x: x.isNotNull())
-            .alias("columns_exceeding_threshold"))
-        psi_r = R(self._psi(), 4)
-        d["psi_distribution_drift"] = F.struct(F.lit(cfg.psi_column).alias("column"), psi_r.alias("psi_score"),
-                                               self._drift_level(psi_r).alias("drift_level"))
-        d["correlation_drift"] = F.struct(R(self._corr_max(), 4).alias("max_correlation_drift"),
-                                          self._corr_worst().alias("worst_pair"),
-                                          F.lit(cfg.corr_threshold).alias("threshold"))
-        d["data_skew_detection"] = F.struct(
-            F.struct(*[F.struct(R(F.col(f"sk_{i}"), 4).alias("skewness"),
-                                F.coalesce(F.abs(F.col(f"sk_{i}")) > cfg.skew_threshold, F.lit(False))
-                                .alias("highly_skewed")).alias(c) for i, c in enumerate(p.skew_cols)]
-                     or [F.lit(None).alias("none")]).alias("per_column"),
-            F.filter(F.array(*([F.when(F.abs(F.col(f"sk_{i}")) > cfg.skew_threshold, F.lit(c))
-                                for i, c in enumerate(p.skew_cols)] or [F.lit(None).cast("string")])),
-                     lambda x: x.isNotNull()).alias("highly_skewed_columns"))
+            d["data_freshness"] = struct(error=s(f"{cfg.date_column} column missing"))
+        d["volume_anomaly"] = struct(previous_rows="prev_n", current_rows="n",
+                                     change_pct=f"bround({self._change_pct()}, 2)",
+                                     threshold_pct=num(cfg.volume_threshold_pct))
+        over = ", ".join(f"CASE WHEN {pc} > {num(cfg.missing_max_pct)} THEN {s(c)} END" for pc, c in zip(pcts, cols))
+        d["missing_value_percentage"] = struct(
+            per_column=f"map_from_arrays({arr(cols)}, array({', '.join(pcts)}))",
+            columns_exceeding_threshold=f"filter(array({over}), x -> x IS NOT NULL)" if cols else EMPTY_ARR)
+        d["psi_distribution_drift"] = struct(column=_lit(cfg.psi_column or ""), psi_score="bround(_psi, 4)",
+                                             drift_level=self._drift_level("bround(_psi, 4)"))
+        d["correlation_drift"] = struct(max_correlation_drift="bround(_corr_max, 4)", worst_pair="_corr_worst",
+                                        threshold=num(cfg.corr_threshold))
+        t = cfg.skew_threshold
+        hs = ", ".join(f"CASE WHEN abs(sk_{i}) > {num(t)} THEN {s(c)} END" for i, c in enumerate(p.skew_cols))
+        d["data_skew_detection"] = struct(
+            per_column=struct_l((c, struct(skewness=f"bround(sk_{i}, 4)",
+                                           highly_skewed=f"coalesce(abs(sk_{i}) > {num(t)}, false)"))
+                                for i, c in enumerate(p.skew_cols)),
+            highly_skewed_columns=f"filter(array({hs}), x -> x IS NOT NULL)" if p.skew_cols else EMPTY_ARR)
         if p.ent_on:
-            d["entropy_change"] = F.struct(F.lit(cfg.entropy_column).alias("column"),
-                                           R(F.col("prev_entropy"), 4).alias("previous_entropy"),
-                                           R(F.col("entropy"), 4).alias("current_entropy"),
-                                           R(self._entropy_delta(), 4).alias("entropy_delta"))
+            d["entropy_change"] = struct(column=s(cfg.entropy_column), previous_entropy="bround(prev_entropy, 4)",
+                                         current_entropy="bround(entropy, 4)",
+                                         entropy_delta=f"bround({self._entropy_delta()}, 4)")
         else:
-            d["entropy_change"] = F.struct(F.lit(f"Column '{cfg.entropy_column}' not found.").alias("message"))
+            d["entropy_change"] = struct(message=s(f"Column '{cfg.entropy_column}' not found."))
         if p.date_on:
-            d["time_gap_detection"] = F.struct(self._max_gap().alias("max_gap_days_found"),
-                                               F.coalesce(F.col("large_gaps"), F.lit(0)).alias("large_gap_count"),
-                                               F.lit(cfg.max_gap_days).alias("max_allowed_gap"))
-        else:
-            d["time_gap_detection"] = F.struct(F.lit(f"Column '{cfg.date_column}' not found.").alias("message"))
-        d["business_rule_validation"] = F.struct(
-            F.struct(*[c.alias(nm) for nm, c in self._rules()] or [F.lit(None).alias("none")]).alias("violations"),
-            F.lit(6).alias("rules_checked"))
-        if p.id_on:
-            d["uniqueness_constraints"] = F.struct(n.alias("total_rows"), F.col("id_distinct").alias("unique_values"),
-                                                   (n - F.col("id_distinct")).alias("duplicates"))
-        else:
-            d["uniqueness_constraints"] = F.struct(F.lit(None).alias("none"))
-        if "rf_blank" in self.facts.columns:
-            d["referential_consistency"] = F.struct(F.col("rf_blank").alias("empty_child"),
-                                                    F.col("rf_missing").alias("parent_without_child"))
-        else:
-            d["referential_consistency"] = F.struct(F.lit(None).alias("none"))
-        if p.amount_on:
-            d["sales_calculation_check"] = F.struct(
-                F.col("ac_bad").alias("rows_with_bad_calculation"),
-                F.lit(cfg.amount_tolerance_pct).alias("tolerance_pct"),
-                R(F.col("ac_max"), 2).alias("sample_max_diff_pct"))
+            d["time_gap_detection"] = struct(max_gap_days_found=self._max_gap(),
+                                             large_gap_count="coalesce(large_gaps, 0)",
+                                             max_allowed_gap=str(int(cfg.max_gap_days)))
         else:
-            d["sales_calculation_check"] = F.struct(F.lit("Required columns missing.").alias("message"))
-        return d
+            d["time_gap_detection"] = struct(message=s(f"Column '{cfg.date_column}' not found."))
+        d["business_rule_validation"] = struct(violations=struct_l((nm, c) for c, nm in p.rule_cols.items()),
+                                               rules_checked="6")
+        d["uniqueness_constraints"] = (struct(total_rows="n", unique_values="id_distinct",
+                                              duplicates="n - id_distinct") if p.id_on else struct())
+        d["referential_consistency"] = (struct(empty_child="rf_blank", parent_without_child="rf_missing")
+                                        if p.ref_on else struct())
+        d["sales_calculation_check"] = (struct(rows_with_bad_calculation="ac_bad",
+                                               tolerance_pct=num(cfg.amount_tolerance_pct),
+                                               sample_max_diff_pct="bround(ac_max, 2)") if p.amount_on
+                                        else struct(message=s("Required columns missing.")))
+        return {n: (v if v.startswith("CASE") else f"to_json({v})") for n, v in d.items()}
 
     def envelope(self) -> DataFrame:
         """M0 output: (key, check_index, check, passed, details) for all 21
         checks of every snapshot."""
         det = self.details()
-        rows = [F.struct(F.lit(i + 1).alias("check_index"), F.lit(name).alias("check"),
-                         self.passed[name].alias("passed"),
-                         F.to_json(det[name]).alias("details"))
+        rows = [f"named_struct('check_index', {i + 1}, 'check', {s(name)}, "
+                f"'passed', {self.passed[name]}, 'details', {det[name]})"
                 for i, name in enumerate(CHECK_ORDER)]
-        return _explode(self.facts, self.key, rows)
+        return self._explode(rows)

@@ -4,9 +4,11 @@ all snapshots of a series at once.
 Plan (independent of the number of snapshots):
 
 * stage A - one ``groupBy(key)`` aggregate over the series: counts, null
-  counts, range/pattern/rule counts, moments, quantiles, date max.
+  counts, range/pattern/rule counts, moments, quantiles, date max. Map-side
+  partial aggregation means the shuffle carries one row per snapshot per
+  task, whatever the data size or key skew.
 * stage B - the series joined with per-snapshot parameters from stage A
-  (IQR fences, mean/sigma, PSI bin edges; one row per snapshot, broadcast
+  (IQR fences, mean/sigma, PSI bin edges: one row per snapshot, broadcast
   behind a row-count check) and aggregated with GROUPING SETS
   ``(key) (key,id) (key,value) (key,row_hash)``: outlier counts, PSI bin
   counts, distinct ids, value frequencies and candidate duplicate rows come
@@ -15,9 +17,12 @@ Plan (independent of the number of snapshots):
   each snapshot (days, not rows, are ordered).
 * duplicate rows - exact: only row-hash groups with more than one row are
   re-checked on all columns (semi join + group by), so hash collisions can
-  never merge distinct rows.
+  never merge distinct rows; skipped when no hash repeats.
 
-Drift figures pair each snapshot with its predecessor by ordinal.
+Drift figures pair each snapshot with its predecessor by key order (``lag``
+over the per-snapshot table, which has one row per snapshot).
+
+Expressions are written as Spark SQL text (see :mod:`vigil.functions.sql`).
 """
 
 from __future__ import annotations
@@ -26,19 +31,35 @@ import datetime as _dt
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, CheckConfig
-from ..functions.exprs import (adjusted_skew, blank, canonical, col, count_if,
-                               dtype_name, psi_bin, to_ts)
+from ..functions.exprs import dtype_name
+from ..functions.sql import E, add, num, q, s, ts_sql
 
 SMALL_KEYS = 200_000  # per-snapshot tables up to this many rows are broadcast
+BLANK_RE = r"(?U)^[\s\x1c-\x1f]*$"  # empty after Python-style strip()
+
+
+def _num(schema: T.StructType, name) -> bool:
+    return name is not None and name in schema.fieldNames() and isinstance(schema[name].dataType, T.NumericType)
+
+
+def adjusted_skew_sql(x: str) -> str:
+    """Bias-corrected sample skewness G1 (n<3 -> null, constant -> 0)."""
+    n = f"CAST(count({x}) AS DOUBLE)"
+    return (f"CASE WHEN {n} < 3 THEN CAST(NULL AS DOUBLE) "
+            f"ELSE coalesce(skewness({x}) * sqrt({n} * ({n} - 1)) / ({n} - 2), 0.0) END")
 
 
-def _num(schema: T.StructType, name: str) -> bool:
-    return name in schema.fieldNames() and isinstance(schema[name].dataType, T.NumericType)
+def psi_bin_sql(v: str, lo: str, step: str, bins: int) -> str:
+    """1-based bin of ``v`` over ``bins`` equal-width bins: edge i is
+    ``i * step + lo`` (the linspace formula) and a value belongs to the last
+    edge it reaches; the last bin is closed; zero width -> last bin."""
+    terms = [f"CAST({v} >= CAST({i} AS DOUBLE) * {step} + {lo} AS INT)" for i in range(1, bins)]
+    return "(1 + " + " + ".join(terms) + ")" if terms else "1"
 
 
 class Profile:
@@ -59,6 +80,7 @@ class Profile:
         self.series = series
         self.cfg = config
         self.key = key
+        self.k = q(key)
         self.as_of = as_of or _dt.date.today()
         self.schema = T.StructType([f for f in series.schema.fields if f.name != key])
         self.cols = self.schema.fieldNames()
@@ -131,96 +153,112 @@ class Profile:
     def set_rules(self):
         return [r for r in self.cfg.set_rules if self.has(r.column)]
 
+    @cached_property
+    def ref_on(self) -> bool:
+        return self.has(self.cfg.parent_column) and self.has(self.cfg.child_column)
+
+    @cached_property
+    def rule_cols(self) -> dict:
+        """Facts column -> rule name, for the rules that apply."""
+        cfg, out = self.cfg, {}
+        if _num(self.schema, cfg.positive_column):
+            out["br_pos"] = cfg.rule_names[0]
+        if cfg.le_pair and all(_num(self.schema, c) for c in cfg.le_pair):
+            out["br_le"] = cfg.rule_names[1]
+        if cfg.bounded_column and _num(self.schema, cfg.bounded_column[0]):
+            out["br_bnd"] = cfg.rule_names[2]
+        for i, r in enumerate(self.set_rules):
+            out[f"br_set_{i}"] = r.name
+        return out
+
+    def ts(self, name: str) -> str:
+        return ts_sql(self.schema[name].dataType, name)
+
     # ------------------------------------------------------------ stage A
-    def _stage_a_aggs(self):
-        cfg, a = self.cfg, []
-        a.append(F.count(F.lit(1)).alias("n"))
+    def stage_a_sql(self) -> list:
+        cfg, a = self.cfg, ["count(1) AS n"]
         for i, c in enumerate(self.cols):
-            a.append(count_if(col(c).isNull()).alias(f"nul_{i}"))
+            a.append(f"count_if({q(c)} IS NULL) AS nul_{i}")
         for i, (c, lo, hi) in enumerate(self.range_cols):
-            x = col(c)
-            a += [count_if((x < lo) | (x > hi)).alias(f"rv_{i}"),
-                  F.min(x).cast("double").alias(f"rmin_{i}"),
-                  F.max(x).cast("double").alias(f"rmax_{i}")]
+            x = q(c)
+            a += [f"count_if({x} < {num(lo)} OR {x} > {num(hi)}) AS rv_{i}",
+                  f"CAST(min({x}) AS DOUBLE) AS rmin_{i}", f"CAST(max({x}) AS DOUBLE) AS rmax_{i}"]
         for i, (c, p) in enumerate(self.pattern_cols):
-            a.append(count_if(~col(c).cast("string").rlike("(?U)^(?:" + p + ")")).alias(f"pb_{i}"))
+            a.append(f"count_if(NOT (CAST({q(c)} AS STRING) RLIKE {s('(?U)^(?:' + p + ')')})) AS pb_{i}")
         for i, c in enumerate(self.iqr_cols):
-            x = col(c).cast("double")
+            x = f"CAST({q(c)} AS DOUBLE)"
             if cfg.quantiles == "approx":
-                q = F.percentile_approx(x, [0.25, 0.75], cfg.approx_accuracy)
+                a.append(f"percentile_approx({x}, array(0.25, 0.75), {int(cfg.approx_accuracy)}) AS q_{i}")
             else:
-                q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.75)))
-            a += [q.alias(f"q_{i}"), F.count(x).alias(f"inn_{i}")]
+                a.append(f"percentile({x}, array(0.25, 0.75)) AS q_{i}")
+            a.append(f"count({x}) AS inn_{i}")
         for i, c in enumerate(self.z_cols):
-            x = col(c).cast("double")
-            a += [F.avg(x).alias(f"zm_{i}"), F.stddev_pop(x).alias(f"zs_{i}"),
-                  F.min(x).alias(f"zmin_{i}"), F.max(x).alias(f"zmax_{i}"),
-                  F.count(x).alias(f"znn_{i}")]
+            x = f"CAST({q(c)} AS DOUBLE)"
+            a += [f"avg({x}) AS zm_{i}", f"stddev_pop({x}) AS zs_{i}", f"min({x}) AS zmin_{i}",
+                  f"max({x}) AS zmax_{i}", f"count({x}) AS znn_{i}"]
         for i, c in enumerate(self.skew_cols):
-            a.append(adjusted_skew(col(c).cast("double")).alias(f"sk_{i}"))
+            a.append(f"{adjusted_skew_sql(f'CAST({q(c)} AS DOUBLE)')} AS sk_{i}")
         for p, (i, j) in enumerate(self.corr_pairs):
-            x, y = col(self.corr_cols[i]).cast("double"), col(self.corr_cols[j]).cast("double")
-            a += [F.covar_pop(x, y).alias(f"cv_{p}"),
-                  F.stddev_pop(F.when(y.isNotNull(), x)).alias(f"sx_{p}"),
-                  F.stddev_pop(F.when(x.isNotNull(), y)).alias(f"sy_{p}")]
-        if self.psi_on or _num(self.schema, cfg.psi_column):
-            x = col(cfg.psi_column).cast("double")
-            a += [F.min(x).alias("pmin"), F.max(x).alias("pmax")]
+            x, y = f"CAST({q(self.corr_cols[i])} AS DOUBLE)", f"CAST({q(self.corr_cols[j])} AS DOUBLE)"
+            a += [f"covar_pop({x}, {y}) AS cv_{p}",
+                  f"stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END) AS sx_{p}",
+                  f"stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END) AS sy_{p}"]
+        if _num(self.schema, cfg.psi_column):
+            x = f"CAST({q(cfg.psi_column)} AS DOUBLE)"
+            a += [f"min({x}) AS pmin", f"max({x}) AS pmax"]
         if self.date_on:
-            a.append(F.max(to_ts(self.series, cfg.date_column)).alias("fmax"))
-        # business rules
-        if _num(self.schema, cfg.positive_column):
-            a.append(count_if(col(cfg.positive_column) <= 0).alias("br_pos"))
-        if cfg.le_pair and all(_num(self.schema, c) for c in cfg.le_pair):
-            a.append(count_if(col(cfg.le_pair[0]) > col(cfg.le_pair[1])).alias("br_le"))
-        if cfg.bounded_column and _num(self.schema, cfg.bounded_column[0]):
+            a.append(f"max({self.ts(cfg.date_column)}) AS fmax")
+        if "br_pos" in self.rule_cols:
+            a.append(f"count_if({q(cfg.positive_column)} <= 0) AS br_pos")
+        if "br_le" in self.rule_cols:
+            a.append(f"count_if({q(cfg.le_pair[0])} > {q(cfg.le_pair[1])}) AS br_le")
+        if "br_bnd" in self.rule_cols:
             c, lo, hi = cfg.bounded_column
-            a.append(count_if((col(c) < lo) | (col(c) > hi)).alias("br_bnd"))
+            a.append(f"count_if({q(c)} < {num(lo)} OR {q(c)} > {num(hi)}) AS br_bnd")
         for i, r in enumerate(self.set_rules):
-            a.append(count_if(F.coalesce(~col(r.column).isin(list(r.values)), F.lit(True)))
-                     .alias(f"br_set_{i}"))
-        # parent / child
-        if self.has(cfg.parent_column) and self.has(cfg.child_column):
-            p, ch = col(cfg.parent_column), col(cfg.child_column)
-            a += [count_if(p.isNotNull() & ch.isNotNull() & blank(ch)).alias("rf_blank"),
-                  count_if(p.isNotNull() & ch.isNull()).alias("rf_missing")]
-        # amount = quantity * price * (1 - discount/100)
+            vals = ", ".join(s(str(v)) for v in r.values)
+            a.append(f"count_if(coalesce(NOT ({q(r.column)} IN ({vals})), true)) AS br_set_{i}")
+        if self.ref_on:
+            p, ch = q(cfg.parent_column), q(cfg.child_column)
+            a += [f"count_if({p} IS NOT NULL AND {ch} IS NOT NULL AND CAST({ch} AS STRING) RLIKE {s(BLANK_RE)})"
+                  f" AS rf_blank", f"count_if({p} IS NOT NULL AND {ch} IS NULL) AS rf_missing"]
         if self.amount_on:
-            s, q = col(cfg.amount_column).cast("double"), col(cfg.quantity_column).cast("double")
-            pr, d = col(cfg.price_column).cast("double"), col(cfg.discount_column).cast("double")
-            e = q * pr * (1 - d / 100)
-            den = e + F.lit(1e-9)
-            num = F.abs(s - e)
-            pct = F.when(den == 0, F.when(num == 0, F.lit(None)).otherwise(F.lit(float("inf")))) \
-                .otherwise(num / den) * 100
-            pct = F.when(s.isNotNull() & q.isNotNull() & pr.isNotNull() & d.isNotNull(), pct)
-            a += [count_if(pct > cfg.amount_tolerance_pct).alias("ac_bad"),
-                  F.max(pct).alias("ac_max")]
+            sv, qv = f"CAST({q(cfg.amount_column)} AS DOUBLE)", f"CAST({q(cfg.quantity_column)} AS DOUBLE)"
+            pv, dv = f"CAST({q(cfg.price_column)} AS DOUBLE)", f"CAST({q(cfg.discount_column)} AS DOUBLE)"
+            e = f"({qv} * {pv} * (1 - {dv} / 100))"
+            den, nm = f"({e} + 1e-9)", f"abs({sv} - {e})"
+            pct = (f"CASE WHEN {sv} IS NOT NULL AND {qv} IS NOT NULL AND {pv} IS NOT NULL AND {dv} IS NOT NULL "
+                   f"THEN (CASE WHEN {den} = 0 THEN (CASE WHEN {nm} = 0 THEN NULL ELSE CAST('Infinity' AS DOUBLE) END)"
+                   f" ELSE {nm} / {den} END) * 100 END")
+            a += [f"count_if({pct} > {num(cfg.amount_tolerance_pct)}) AS ac_bad", f"max({pct}) AS ac_max"]
         return a
 
     @cached_property
     def stage_a(self) -> DataFrame:
-        a = self.series.groupBy(self.key).agg(*self._stage_a_aggs())
+        k = self.k
+        a = self.series.groupBy(self.key).agg(*[E(x) for x in self.stage_a_sql()])
         if self.keys is not None:
             spark = self.series.sparkSession
             kt = self.series.schema[self.key].dataType
-            kdf = spark.createDataFrame([(k,) for k in self.keys], T.StructType([T.StructField(self.key, kt)]))
+            kdf = spark.createDataFrame([(x,) for x in self.keys], T.StructType([T.StructField(self.key, kt)]))
             a = kdf.join(a, self.key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
         # predecessor / successor by key order over the (tiny) per-snapshot
         # table; their PSI ranges ride along so stage B needs no self-join
-        w = Window.orderBy(self.key)
-        a = (a.withColumn("prev_key", F.lag(self.key).over(w))
-             .withColumn("next_key", F.lead(self.key).over(w)))
+        w = f"OVER (ORDER BY {k})"
+        extra = [f"lag({k}) {w} AS prev_key", f"lead({k}) {w} AS next_key"]
         if "pmin" in a.columns:
-            a = (a.withColumn("pmin_prev", F.lag("pmin").over(w)).withColumn("pmax_prev", F.lag("pmax").over(w))
-                 .withColumn("pmin_next", F.lead("pmin").over(w)).withColumn("pmax_next", F.lead("pmax").over(w)))
+            extra += [f"lag(pmin) {w} AS pmin_prev", f"lag(pmax) {w} AS pmax_prev",
+                      f"lead(pmin) {w} AS pmin_next", f"lead(pmax) {w} AS pmax_next"]
+        a = a.selectExpr("*", *extra)
         a = a.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)
         self.n_keys = a.count()
         return a
 
     def small(self, df: DataFrame) -> DataFrame:
-        """Broadcast a per-snapshot table when the snapshot count is small."""
+        """Broadcast a per-snapshot table when the snapshot count is proven
+        small (counted on the persisted stage-A table); otherwise leave the
+        join to the planner (shuffle join)."""
         _ = self.stage_a
         return F.broadcast(df) if self.n_keys <= SMALL_KEYS else df
 
@@ -228,143 +266,136 @@ class Profile:
     @cached_property
     def params(self) -> DataFrame:
         """Per-snapshot stage-B parameters (one row per snapshot)."""
-        A, k = self.stage_a, self.key
-        sel = [F.col(k)]
+        sel = [self.k]
         for i, _c in enumerate(self.iqr_cols):
-            q1, q3 = F.col(f"q_{i}")[0], F.col(f"q_{i}")[1]
-            sel += [(q1 - 1.5 * (q3 - q1)).alias(f"lo_{i}"), (q3 + 1.5 * (q3 - q1)).alias(f"hi_{i}")]
+            q1, q3 = f"q_{i}[0]", f"q_{i}[1]"
+            sel += [f"{q1} - 1.5 * ({q3} - {q1}) AS lo_{i}", f"{q3} + 1.5 * ({q3} - {q1}) AS hi_{i}"]
         for i, _c in enumerate(self.z_cols):
-            sel += [F.col(f"zm_{i}"), F.col(f"zs_{i}")]
-        p = A.select(*sel, "prev_key", "next_key")
+            sel += [f"zm_{i}", f"zs_{i}"]
         if self.psi_on:
             b = self.cfg.psi_bins
-            lo_c, hi_c = F.least("pmin", "pmin_prev"), F.greatest("pmax", "pmax_prev")
-            lo_n, hi_n = F.least("pmin", "pmin_next"), F.greatest("pmax", "pmax_next")
-            p = A.select(*sel, "prev_key", "next_key",
-                         lo_c.alias("plo_c"), ((hi_c - lo_c) / b).alias("pst_c"),
-                         F.col("prev_key").isNotNull().alias("has_prev"),
-                         lo_n.alias("plo_n"), ((hi_n - lo_n) / b).alias("pst_n"),
-                         F.col("next_key").isNotNull().alias("has_next"))
-        return p
-
-    def _row_hash(self) -> F.Column:
-        parts = [canonical(col(f.name), f.dataType) for f in self.schema.fields]
-        masks = []
-        for s in range(0, len(self.schema.fields), 60):
-            m = F.lit(0).cast("long")
-            for bit, f in enumerate(self.schema.fields[s:s + 60]):
-                m = m + F.when(col(f.name).isNull(), F.lit(1 << bit)).otherwise(F.lit(0)).cast("long")
-            masks.append(m)
-        return F.xxhash64(*masks, *parts)
+            sel += ["least(pmin, pmin_prev) AS plo_c",
+                    f"(greatest(pmax, pmax_prev) - least(pmin, pmin_prev)) / {b} AS pst_c",
+                    "prev_key IS NOT NULL AS has_prev",
+                    "least(pmin, pmin_next) AS plo_n",
+                    f"(greatest(pmax, pmax_next) - least(pmin, pmin_next)) / {b} AS pst_n",
+                    "next_key IS NOT NULL AS has_next"]
+        return self.stage_a.selectExpr(*sel)
+
+    def row_hash_sql(self) -> str:
+        """xxhash64 over canonical values (-0.0 -> 0.0, one NaN) plus null
+        masks (xxhash64 skips nulls, the masks keep their positions)."""
+        parts, masks = [], []
+        fields = self.schema.fields
+        for f in fields:
+            c = q(f.name)
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+                t = "DOUBLE" if isinstance(f.dataType, T.DoubleType) else "FLOAT"
+                c = f"CASE WHEN isnan({c}) THEN CAST('NaN' AS {t}) WHEN {c} = 0 THEN CAST(0 AS {t}) ELSE {c} END"
+            parts.append(c)
+        for st in range(0, len(fields), 60):
+            bits = [f"CASE WHEN {q(f.name)} IS NULL THEN {1 << b}L ELSE 0L END"
+                    for b, f in enumerate(fields[st:st + 60])]
+            masks.append(add(bits, "0L"))
+        return f"xxhash64({', '.join(masks + parts)})"
 
     @cached_property
     def stage_b(self) -> DataFrame:
         cfg, k = self.cfg, self.key
         d = self.series.join(self.small(self.params), k)
-        cols = [F.col(k)]
+        cols = [q(k)]
         for i, c in enumerate(self.iqr_cols):
-            x = col(c).cast("double")
-            cols.append(((x < F.col(f"lo_{i}")) | (x > F.col(f"hi_{i}"))).cast("long").alias(f"iqo_{i}"))
+            x = f"CAST({q(c)} AS DOUBLE)"
+            cols.append(f"CAST({x} < lo_{i} OR {x} > hi_{i} AS LONG) AS iqo_{i}")
         for i, c in enumerate(self.z_cols):
-            x = col(c).cast("double")
-            z = F.abs(F.try_divide(x - F.col(f"zm_{i}"), F.col(f"zs_{i}")))
-            cols.append((z > cfg.zscore_threshold).cast("long").alias(f"zo_{i}"))
+            x = f"CAST({q(c)} AS DOUBLE)"
+            cols.append(f"CAST(abs(try_divide({x} - zm_{i}, zs_{i})) > {num(cfg.zscore_threshold)} AS LONG) AS zo_{i}")
         if self.psi_on:
-            v = col(cfg.psi_column).cast("double")
-            cols.append(F.when(F.col("has_prev") & v.isNotNull(),
-                               psi_bin(v, F.col("plo_c"), F.col("pst_c"), cfg.psi_bins)).alias("bc"))
-            cols.append(F.when(F.col("has_next") & v.isNotNull(),
-                               psi_bin(v, F.col("plo_n"), F.col("pst_n"), cfg.psi_bins)).alias("bn"))
-        sets = [[k]]
+            v = f"CAST({q(cfg.psi_column)} AS DOUBLE)"
+            cols.append(f"CASE WHEN has_prev AND {v} IS NOT NULL THEN "
+                        f"{psi_bin_sql(v, 'plo_c', 'pst_c', cfg.psi_bins)} END AS bc")
+            cols.append(f"CASE WHEN has_next AND {v} IS NOT NULL THEN "
+                        f"{psi_bin_sql(v, 'plo_n', 'pst_n', cfg.psi_bins)} END AS bn")
+        grp = []
         if self.id_on:
-            cols.append(col(cfg.id_column).alias("g_idv"))
-            sets.append([k, "g_idv"])
+            cols.append(f"{q(cfg.id_column)} AS g_idv")
+            grp.append("g_idv")
         if self.ent_on:
-            cols.append(col(cfg.entropy_column).alias("g_ent"))
-            sets.append([k, "g_ent"])
-        if self.cfg.row_duplicates:
-            cols.append(self._row_hash().alias("g_h"))
-            sets.append([k, "g_h"])
-        x = d.select(*cols)
-
-        aggs = [F.count(F.lit(1)).alias("cnt")]
-        aggs += [F.sum(f"iqo_{i}").alias(f"iqo_{i}") for i in range(len(self.iqr_cols))]
-        aggs += [F.sum(f"zo_{i}").alias(f"zo_{i}") for i in range(len(self.z_cols))]
+            cols.append(f"{q(cfg.entropy_column)} AS g_ent")
+            grp.append("g_ent")
+        if cfg.row_duplicates:
+            cols.append(f"{self.row_hash_sql()} AS g_h")
+            grp.append("g_h")
+        x = d.selectExpr(*cols)
+
+        aggs = ["count(1) AS cnt"]
+        aggs += [f"sum(iqo_{i}) AS iqo_{i}" for i in range(len(self.iqr_cols))]
+        aggs += [f"sum(zo_{i}) AS zo_{i}" for i in range(len(self.z_cols))]
         if self.psi_on:
             for b in range(1, cfg.psi_bins + 1):
-                aggs += [count_if(F.col("bc") == b).alias(f"bc_{b}"),
-                         count_if(F.col("bn") == b).alias(f"bn_{b}")]
-        grp = ([k] + (["g_idv"] if self.id_on else []) + (["g_ent"] if self.ent_on else [])
-               + (["g_h"] if self.cfg.row_duplicates else []))
-        aggs += [F.grouping(g).alias(f"gr_{g}") for g in grp[1:]]
-        g = x.groupingSets(sets, *grp).agg(*aggs)
+                aggs += [f"count_if(bc = {b}) AS bc_{b}", f"count_if(bn = {b}) AS bn_{b}"]
+        aggs += [f"grouping({g}) AS gr_{g}" for g in grp]
+        sets = [[k]] + [[k, g] for g in grp]
+        g = x.groupingSets(sets, k, *grp).agg(*[E(a) for a in aggs])
 
         def only(setcol):
-            cond = F.lit(True)
-            for other in grp[1:]:
-                cond = cond & (F.col(f"gr_{other}") == (0 if other == setcol else 1))
-            return cond
+            conds = [f"gr_{o} = {0 if o == setcol else 1}" for o in grp]
+            return "(" + " AND ".join(conds) + ")" if conds else "true"
 
         top = only(None)
-        fin = [F.sum(F.when(top, F.col(f"iqo_{i}"))).alias(f"iqo_{i}") for i in range(len(self.iqr_cols))]
-        fin += [F.sum(F.when(top, F.col(f"zo_{i}"))).alias(f"zo_{i}") for i in range(len(self.z_cols))]
+        fin = [f"sum(CASE WHEN {top} THEN iqo_{i} END) AS iqo_{i}" for i in range(len(self.iqr_cols))]
+        fin += [f"sum(CASE WHEN {top} THEN zo_{i} END) AS zo_{i}" for i in range(len(self.z_cols))]
         if self.psi_on:
             for b in range(1, cfg.psi_bins + 1):
-                fin += [F.sum(F.when(top, F.col(f"bc_{b}"))).alias(f"bc_{b}"),
-                        F.sum(F.when(top, F.col(f"bn_{b}"))).alias(f"bn_{b}")]
+                fin += [f"sum(CASE WHEN {top} THEN bc_{b} END) AS bc_{b}",
+                        f"sum(CASE WHEN {top} THEN bn_{b} END) AS bn_{b}"]
         if self.id_on:
-            s = only("g_idv")
-            fin += [count_if(s & F.col("g_idv").isNotNull()).alias("id_distinct"),
-                    F.max(s & F.col("g_idv").isNull()).alias("id_has_null")]
+            st = only("g_idv")
+            fin += [f"count_if({st} AND g_idv IS NOT NULL) AS id_distinct",
+                    f"max({st} AND g_idv IS NULL) AS id_has_null"]
         if self.ent_on:
-            s = only("g_ent") & F.col("g_ent").isNotNull()
-            c = F.col("cnt").cast("double")
-            fin += [F.sum(F.when(s, c)).alias("ent_n"),
-                    F.sum(F.when(s, c * F.log2(c))).alias("ent_s")]
-        if self.cfg.row_duplicates:
-            s = only("g_h") & (F.col("cnt") > 1)
-            fin += [count_if(s).alias("dup_groups"), F.sum(F.when(s, F.col("cnt") - 1)).alias("dup_upper")]
+            st = f"{only('g_ent')} AND g_ent IS NOT NULL"
+            fin += [f"sum(CASE WHEN {st} THEN CAST(cnt AS DOUBLE) END) AS ent_n",
+                    f"sum(CASE WHEN {st} THEN CAST(cnt AS DOUBLE) * log2(CAST(cnt AS DOUBLE)) END) AS ent_s"]
+        if cfg.row_duplicates:
+            st = f"{only('g_h')} AND cnt > 1"
+            fin += [f"count_if({st}) AS dup_groups", f"sum(CASE WHEN {st} THEN cnt - 1 END) AS dup_upper"]
         else:
-            fin += [F.lit(0).cast("long").alias("dup_groups"), F.lit(0).cast("long").alias("dup_upper")]
-        out = g.groupBy(k).agg(*fin).persist(StorageLevel.MEMORY_AND_DISK)
+            fin += ["CAST(0 AS LONG) AS dup_groups", "CAST(0 AS LONG) AS dup_upper"]
+        out = g.groupBy(k).agg(*[E(a) for a in fin]).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(out)
         return out
 
     # ------------------------------------------------------------ duplicates
     @cached_property
-    def duplicate_rows(self) -> DataFrame:
+    def duplicate_rows(self) -> DataFrame | None:
         """(key, duplicate_rows): exact count of rows equal to an earlier row
         of the same snapshot (null equals null); None when no snapshot has a
         repeated row hash (then every count is 0)."""
         k = self.key
         B = self.stage_b
-        if B.filter(F.col("dup_groups") > 0).limit(1).count() == 0:
-            return None  # no row hash repeats: no duplicates anywhere
-        h = self._row_hash().alias("_h")
-        hashed = self.series.select("*", h)
-        cand = (hashed.groupBy(k, "_h").count().filter(F.col("count") > 1).select(k, "_h"))
-        exact = (hashed.join(cand, [k, "_h"], "left_semi")
-                 .groupBy(k, "_h", *[col(c) for c in self.cols]).count()
-                 .groupBy(k).agg(F.sum(F.col("count") - 1).alias("duplicate_rows")))
-        return exact
+        if B.filter("dup_groups > 0").limit(1).count() == 0:
+            return None
+        hashed = self.series.selectExpr("*", f"{self.row_hash_sql()} AS _h")
+        cand = hashed.groupBy(k, "_h").count().filter("count > 1").select(k, "_h")
+        return (hashed.join(cand, [k, "_h"], "left_semi")
+                .groupBy(k, "_h", *[F.col(q(c)) for c in self.cols]).count()
+                .groupBy(k).agg(E("sum(count - 1) AS duplicate_rows")))
 
     # ------------------------------------------------------------ time gaps
     @cached_property
     def time_gaps(self) -> DataFrame:
         """(key, gap_n, max_gap, large_gaps): whole-day gaps between
         consecutive valid dates, computed from per-day min/max."""
-        k, cfg = self.key, self.cfg
-        t = to_ts(self.series, cfg.date_column)
-        days = (self.series.select(F.col(k), t.alias("t")).filter(F.col("t").isNotNull())
-                .groupBy(k, F.to_date("t").alias("day"))
-                .agg(F.min("t").alias("tmin"), F.max("t").alias("tmax"), F.count(F.lit(1)).alias("c")))
-        w = Window.partitionBy(k).orderBy("day")
-        gaps = days.withColumn(
-            "gap", F.floor(F.timestamp_diff("MICROSECOND", F.lag("tmax").over(w), F.col("tmin"))
-                           / F.lit(86_400_000_000)))
-        return gaps.groupBy(k).agg(
-            F.sum("c").alias("gap_n"), F.max("gap").alias("max_gap"),
-            count_if(F.col("gap") > cfg.max_gap_days).alias("large_gaps"))
+        k, cfg = self.k, self.cfg
+        days = (self.series.selectExpr(k, f"{self.ts(cfg.date_column)} AS t").filter("t IS NOT NULL")
+                .groupBy(self.key, E("to_date(t) AS day"))
+                .agg(E("min(t) AS tmin"), E("max(t) AS tmax"), E("count(1) AS c")))
+        gaps = days.selectExpr(
+            k, "c", f"floor(timestampdiff(MICROSECOND, lag(tmax) OVER (PARTITION BY {k} ORDER BY day), tmin)"
+                    f" / 86400000000) AS gap")
+        return gaps.groupBy(self.key).agg(E("sum(c) AS gap_n"), E("max(gap) AS max_gap"),
+                                          E(f"count_if(gap > {int(cfg.max_gap_days)}) AS large_gaps"))
 
     # ------------------------------------------------------------ facts
     @cached_property
@@ -372,8 +403,7 @@ class Profile:
         """One wide row per snapshot with every raw figure (unrounded) plus
         the predecessor's figures needed for drift."""
         k, cfg = self.key, self.cfg
-        A = self.stage_a
-        f = A.join(self.small(self.stage_b), k, "left")
+        f = self.stage_a.join(self.small(self.stage_b), k, "left")
         dups = self.duplicate_rows
         if dups is None:
             f = f.withColumn("duplicate_rows", F.lit(0).cast("long"))
@@ -382,23 +412,22 @@ class Profile:
                 "duplicate_rows", F.coalesce("duplicate_rows", F.lit(0)).cast("long"))
         if self.date_on:
             f = f.join(self.small(self.time_gaps), k, "left")
-        # entropy per snapshot
+        derived = []
         if self.ent_on:
-            f = f.withColumn("entropy", F.when(F.col("ent_n") > 0,
-                                               F.log2("ent_n") - F.col("ent_s") / F.col("ent_n")))
-        # correlation matrix (upper triangle) per snapshot
-        for p in range(len(self.corr_pairs)):
-            f = f.withColumn(f"corr_{p}", F.coalesce(
-                F.try_divide(F.col(f"cv_{p}"), F.col(f"sx_{p}") * F.col(f"sy_{p}")), F.lit(0.0)))
-        # predecessor figures: lag over the per-snapshot rows (tiny, ordered)
-        w = Window.orderBy(k)
-        lagged = [F.lag("n").over(w).alias("prev_n")]
+            derived.append("CASE WHEN ent_n > 0 THEN log2(ent_n) - ent_s / ent_n END AS entropy")
+        derived += [f"coalesce(try_divide(cv_{p}, sx_{p} * sy_{p}), 0.0) AS corr_{p}"
+                    for p in range(len(self.corr_pairs))]
+        if derived:
+            f = f.selectExpr("*", *derived)
+        # predecessor figures: lag over the per-snapshot rows (ordered)
+        w = f"OVER (ORDER BY {q(k)})"
+        lagged = [f"lag(n) {w} AS prev_n"]
         if self.ent_on:
-            lagged.append(F.lag("entropy").over(w).alias("prev_entropy"))
-        lagged += [F.lag(f"corr_{p}").over(w).alias(f"pcorr_{p}") for p in range(len(self.corr_pairs))]
+            lagged.append(f"lag(entropy) {w} AS prev_entropy")
+        lagged += [f"lag(corr_{p}) {w} AS pcorr_{p}" for p in range(len(self.corr_pairs))]
         if self.psi_on:
-            lagged += [F.lag(f"bn_{b}").over(w).alias(f"pbn_{b}") for b in range(1, cfg.psi_bins + 1)]
-        f = f.select("*", *lagged)
+            lagged += [f"lag(bn_{b}) {w} AS pbn_{b}" for b in range(1, cfg.psi_bins + 1)]
+        f = f.selectExpr("*", *lagged)
         f = f.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(f)
         return f
@@ -410,5 +439,5 @@ class Profile:
 
     # ------------------------------------------------------------ schema
     def dtype_names(self, schema: T.StructType | None = None) -> dict:
-        s = schema or self.schema
-        return {f.name: dtype_name(f.dataType) for f in s.fields}
+        sch = schema or self.schema
+        return {f.name: dtype_name(f.dataType) for f in sch.fields}

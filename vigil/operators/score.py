@@ -6,23 +6,20 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import CHECK_ORDER, CheckConfig
+from ..functions.sql import E, add, q, s
 from .checks import Checks
-from ..functions.exprs import greatest
 
-R = F.bround
 
-
-def quality_score(passed: dict, cfg: CheckConfig) -> Column:
-    """M1: weighted share of passed checks, 0-100, two decimals."""
+def quality_score_sql(passed: dict, cfg: CheckConfig) -> str:
+    """M1: weighted share of passed checks, 0-100, two decimals (half even)."""
     total = sum(cfg.weight(c) for c in passed)
     if total == 0:
-        return F.lit(0.0)
-    earned = F.lit(0)
-    for c, ok in passed.items():
-        earned = earned + F.when(ok, cfg.weight(c)).otherwise(0)
-    return R(earned / F.lit(float(total)) * 100, 2)
+        return "0.0"
+    earned = add(f"CASE WHEN {ok} THEN {cfg.weight(c)} ELSE 0 END" for c, ok in passed.items())
+    return f"bround(CAST({earned} AS DOUBLE) / {total} * 100, 2)"
 
 
 def quality_score_of(results: DataFrame, cfg: CheckConfig, key: str) -> DataFrame:
@@ -31,19 +28,18 @@ def quality_score_of(results: DataFrame, cfg: CheckConfig, key: str) -> DataFram
     spark = results.sparkSession
     names = sorted(set(CHECK_ORDER) | set(cfg.weights))
     w = spark.createDataFrame([(n, cfg.weight(n)) for n in names], "check string, weight int")
-    r = results.join(F.broadcast(w), "check", "left").withColumn(
-        "weight", F.coalesce("weight", F.lit(cfg.default_weight)))
-    return r.groupBy(key).agg(R(F.try_divide(F.sum(F.when(F.col("passed"), F.col("weight")).otherwise(0)) * 100.0,
-                                             F.sum("weight")), 2).alias("quality_score"))
+    r = results.join(F.broadcast(w), "check", "left")
+    return r.groupBy(key).agg(E(
+        f"bround(try_divide(CAST(sum(CASE WHEN passed THEN coalesce(weight, {cfg.default_weight}) ELSE 0 END) "
+        f"AS DOUBLE), sum(coalesce(weight, {cfg.default_weight}))) * 100, 2) AS quality_score"))
 
 
-def anomaly_flag(passed: dict, cfg: CheckConfig) -> Column:
+def anomaly_flag_sql(passed: dict, cfg: CheckConfig) -> str:
     """M3: 1 when any critical check failed."""
-    flag = F.lit(False)
-    for c in cfg.critical_checks:
-        if c in passed:
-            flag = flag | ~passed[c]
-    return flag.cast("int")
+    crit = [passed[c] for c in cfg.critical_checks if c in passed]
+    if not crit:
+        return "0"
+    return f"CAST(NOT ({' AND '.join(crit)}) AS INT)"
 
 
 def grade(score: Column) -> Column:
@@ -51,40 +47,39 @@ def grade(score: Column) -> Column:
     return (F.when(score >= 90, "A").when(score >= 75, "B").when(score >= 60, "C").otherwise("D"))
 
 
-def metrics(checks: Checks, dataset_name: str, timestamp: Column | None = None) -> DataFrame:
-    """M2: the 16-field metrics row of every snapshot.
+def metrics(checks: Checks, dataset_name: str, timestamp: _dt.datetime | None = None) -> DataFrame:
+    """M2: the 16-field metrics row of every snapshot (plus the key and
+    ``max_abs_skewness``).
 
     ``timestamp`` defaults to the snapshot key at 08:00:00 when the key is a
     date (the backfill convention), else the current time.
     """
     p, cfg, key = checks.p, checks.cfg, checks.key
     passed = checks.passed
-    if timestamp is None:
-        if isinstance(p.series.schema[key].dataType, __import__("pyspark.sql.types", fromlist=["DateType"]).DateType):
-            timestamp = (F.col(key).cast("timestamp_ntz") + F.expr("INTERVAL 8 HOURS"))
-        else:
-            timestamp = F.lit(_dt.datetime.now().replace(microsecond=0)).cast("timestamp_ntz")
-    n_pass = sum((F.when(passed[c], 1).otherwise(0) for c in CHECK_ORDER), F.lit(0))
-    has_prev = F.col("prev_key").isNotNull()
-    max_skew = checks._max_signed_skew()
-    return checks.facts.select(
-        F.col(key),
-        F.lit(dataset_name).alias("dataset_name"),
-        timestamp.alias("timestamp"),
-        F.col("n").cast("long").alias("row_count"),
-        F.coalesce(R(checks._overall_null_pct(), 2), F.lit(0.0)).alias("null_percentage"),
-        F.coalesce(F.col("duplicate_rows"), F.lit(0)).cast("long").alias("duplicate_count"),
-        quality_score(passed, cfg).alias("quality_score"),
-        anomaly_flag(passed, cfg).alias("anomaly_flag"),
-        F.coalesce(R(checks._psi(), 4), F.lit(0.0)).alias("drift_score"),
-        checks._iqr_total().cast("long").alias("outlier_count"),
-        F.coalesce(F.when(has_prev, R(checks._change_pct(), 2)), F.lit(0.0)).alias("volume_change_pct"),
-        F.coalesce(F.abs(max_skew), F.lit(0.0)).alias("max_skewness"),
-        F.coalesce(F.abs(greatest(*[F.abs(R(F.col(f"sk_{i}"), 4)) for i in range(len(p.skew_cols))]))
-                   if p.skew_cols else F.lit(None).cast("double"), F.lit(0.0)).alias("max_abs_skewness"),
-        F.coalesce(R(checks._entropy_delta(), 4), F.lit(0.0)).alias("entropy_delta"),
-        F.coalesce(R(checks._corr_max(), 4), F.lit(0.0)).alias("correlation_drift"),
-        n_pass.alias("checks_passed"),
-        (F.lit(len(CHECK_ORDER)) - n_pass).alias("checks_failed"),
-        F.lit(len(CHECK_ORDER)).alias("total_checks"),
+    if timestamp is None and isinstance(p.series.schema[key].dataType, T.DateType):
+        ts = f"CAST({q(key)} AS TIMESTAMP_NTZ) + INTERVAL 8 HOURS"
+    else:
+        t = timestamp or _dt.datetime.now().replace(microsecond=0)
+        ts = f"CAST({s(t.strftime('%Y-%m-%d %H:%M:%S'))} AS TIMESTAMP_NTZ)"
+    n_pass = add(f"CASE WHEN {passed[c]} THEN 1 ELSE 0 END" for c in CHECK_ORDER)
+    return checks.facts.selectExpr(
+        q(key),
+        f"{s(dataset_name)} AS dataset_name",
+        f"{ts} AS timestamp",
+        "CAST(n AS LONG) AS row_count",
+        f"coalesce(bround({checks._overall_null_pct()}, 2), 0.0) AS null_percentage",
+        "CAST(coalesce(duplicate_rows, 0) AS LONG) AS duplicate_count",
+        f"{quality_score_sql(passed, cfg)} AS quality_score",
+        f"{anomaly_flag_sql(passed, cfg)} AS anomaly_flag",
+        "coalesce(bround(_psi, 4), 0.0) AS drift_score",
+        f"CAST({checks._iqr_total()} AS LONG) AS outlier_count",
+        f"coalesce(CASE WHEN prev_key IS NOT NULL THEN bround({checks._change_pct()}, 2) END, 0.0)"
+        f" AS volume_change_pct",
+        f"coalesce(abs({checks._max_signed_skew()}), 0.0) AS max_skewness",
+        f"coalesce({checks._max_abs_skew()}, 0.0) AS max_abs_skewness",
+        f"coalesce(bround({checks._entropy_delta()}, 4), 0.0) AS entropy_delta",
+        "coalesce(bround(_corr_max, 4), 0.0) AS correlation_drift",
+        f"{n_pass} AS checks_passed",
+        f"{len(CHECK_ORDER)} - {n_pass} AS checks_failed",
+        f"{len(CHECK_ORDER)} AS total_checks",
     )

@@ -80,7 +80,7 @@ def run_pipeline(spark: SparkSession, series: DataFrame, history_path: str, mode
         ts = _dt.datetime.combine(as_of or _dt.date.today(), _dt.time(8, 0))
         run = run_all_checks(cur.drop(key), None if prev is None else prev.drop(key), config, as_of=as_of,
                              dataset_name=dataset_name)
-        metrics = current_only(run.metrics(timestamp=F.lit(ts).cast("timestamp_ntz")))
+        metrics = current_only(run.metrics(timestamp=ts))
         appended = hist.append_metrics(spark, history_path, metrics)
         history = hist.fetch_all_metrics(spark, history_path, dataset_name, ordered=False)
         if not include_current:

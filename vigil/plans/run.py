@@ -30,7 +30,7 @@ class CheckRun:
         """Envelope rows ``(key, check_index, check, passed, details)``."""
         return self.checks.envelope()
 
-    def metrics(self, timestamp=None) -> DataFrame:
+    def metrics(self, timestamp: _dt.datetime | None = None) -> DataFrame:
         return _metrics(self.checks, self.dataset_name, timestamp)
 
     def close(self) -> None:
