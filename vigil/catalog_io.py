@@ -120,3 +120,24 @@ SELECT '{DATASET}' AS dataset_name, DATE '2024-01-30' AS day,
 def s11(spark, sf):
     h = _stored_history(spark, sf)
     return tidy(hist.metrics_exist_on(h, DATASET, _dt.date(2024, 1, 30)))
+
+
+EVENTS_CSV_SCHEMA = ("event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE, "
+                     "props STRING")
+
+
+@register("p3_stream_monitor", f"SELECT {_HIST_OUT} FROM ({HISTORY_DBL_SQL})")
+def p3(spark, sf):
+    """events written as daily snapshot files, consumed by the streaming
+    monitor (all pending files in one available-now run): the history it
+    writes equals the batch backfill's."""
+    from pyspark.sql import types as T
+
+    from .catalog_monitor import AS_OF_EVENTS, EVENTS_CFG
+    from .streaming.monitor import stream_monitor
+
+    src = _events_snapshot_dir(spark, sf)
+    path = scratch(spark, "history")
+    stream_monitor(spark, src, T._parse_datatype_string(EVENTS_CSV_SCHEMA), path, scratch(spark, "stream-ckpt"),
+                   EVENTS_CFG, DATASET, key="snapshot_date", as_of=AS_OF_EVENTS)
+    return tidy(dec_to_double(hist.fetch_all_metrics(spark, path, DATASET).drop("id", "created_at")))

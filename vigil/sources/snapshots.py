@@ -37,14 +37,17 @@ def _require_file(spark: SparkSession, path: str) -> None:
         raise ValueError(f"CSV file is empty: {path}")
 
 
-def normalize_nulls(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
+def normalize_nulls(df: DataFrame, tokens=NULL_TOKENS, keep=()) -> DataFrame:
     """NaN -> NULL in float columns; the missing-value tokens -> NULL in text
-    columns. Gives one null notion to every later check."""
+    columns (``keep`` columns pass unchanged). Gives one null notion to every
+    later check."""
     toks = list(tokens)
     out = []
     for f in df.schema.fields:
         c = col(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if f.name in keep:
+            pass
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.nanvl(c, F.lit(None).cast(f.dataType))
         elif isinstance(f.dataType, T.StringType):
             c = F.when(c.isin(toks), F.lit(None).cast("string")).otherwise(c)
