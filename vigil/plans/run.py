@@ -13,7 +13,7 @@ from ..config import DEFAULT, CheckConfig
 from ..operators.checks import Checks
 from ..operators.profile import Profile
 from ..operators.score import metrics as _metrics
-from ..sources.snapshots import KEY, pair_series
+from ..sources.snapshots import KEY, nan_to_null, pair_series
 
 
 @dataclass
@@ -41,7 +41,7 @@ def run_series(series: DataFrame, config: CheckConfig = DEFAULT, key: str = KEY,
                as_of: _dt.date | None = None, dataset_name: str = "ecommerce_sales") -> CheckRun:
     """All checks for every snapshot of ``series``, each against its
     predecessor (the first snapshot has none)."""
-    prof = Profile(series, config, key=key, as_of=as_of)
+    prof = Profile(nan_to_null(series, keep=(key,)), config, key=key, as_of=as_of)
     return CheckRun(prof, Checks(prof), dataset_name)
 
 
@@ -50,6 +50,8 @@ def run_all_checks(current: DataFrame, previous: DataFrame | None = None,
                    dataset_name: str = "ecommerce_sales", key: str = "_snap") -> CheckRun:
     """Pair form: ``current`` against ``previous`` (may be None). The result
     frames hold only the current snapshot (key 1)."""
+    current = nan_to_null(current)
+    previous = None if previous is None else nan_to_null(previous)
     series, cur_key = pair_series(current, previous, key)
     prof = Profile(series, config, key=key, as_of=as_of,
                    prev_schema=None if previous is None else previous.schema,
