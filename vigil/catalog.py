@@ -314,13 +314,13 @@ def c10_events(spark, sf):
 @register("c11_volume_anomaly", f"""
 WITH c AS (SELECT snapshot, count(*) AS n FROM {ORDERS_SQL} GROUP BY snapshot),
 l AS (SELECT snapshot, n, lag(n) OVER (ORDER BY snapshot) AS pn FROM c)
-SELECT snapshot, CAST(pn AS BIGINT) AS previous_rows, CAST(n AS BIGINT) AS current_rows,
+SELECT snapshot, CAST(pn AS DOUBLE) AS previous_rows, CAST(n AS BIGINT) AS current_rows,
        round(abs(n - pn) / CAST(greatest(pn, 1) AS DOUBLE) * 100, 6) AS change_pct,
        CAST(pn IS NULL OR abs(n - pn) / CAST(greatest(pn, 1) AS DOUBLE) * 100 <= 30.0 AS INTEGER) AS passed
 FROM l""")
 def c11(spark, sf):
     run = run_series(orders_series(spark, sf), blank_config(row_duplicates=False), key=KEY)
-    return tidy(run.checks.volume())
+    return tidy(run.checks.volume().withColumn("previous_rows", F.col("previous_rows").cast("double")))
 
 
 # ================================================================= C12

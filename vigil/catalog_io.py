@@ -67,12 +67,14 @@ def s5(spark, sf):
 
 @register("s6_scan_snapshot_series", """
 WITH k AS (SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS n FROM events GROUP BY 1)
-SELECT snapshot_date, CAST(n AS BIGINT) AS n, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS previous_date FROM k""")
+SELECT snapshot_date, CAST(n AS BIGINT) AS n, CAST(lag(snapshot_date) OVER (ORDER BY snapshot_date) AS VARCHAR)
+       AS previous_date FROM k""")
 def s6(spark, sf):
     s = snap.scan_snapshot_series(spark, _events_snapshot_dir(spark, sf))
     keys = snap.snapshot_keys(s)
     counts = s.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(counts, "snapshot_date").select("snapshot_date", "n", F.col("prev_key").alias("previous_date"))
+    return keys.join(counts, "snapshot_date").select("snapshot_date", "n",
+                                                     F.col("prev_key").cast("string").alias("previous_date"))
 
 
 _HIST_OUT = ("dataset_name, timestamp, row_count, null_percentage, duplicate_count, quality_score, anomaly_flag, "

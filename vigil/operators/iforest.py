@@ -177,8 +177,11 @@ def fit(df: DataFrame, row_id: str, features=FEATURE_COLUMNS, n_trees: int = 100
         contamination: float = 0.1, seed: int = 42, max_samples: int = 256,
         min_rows: int = 5) -> ForestModel | None:
     """A3: fit on ``df`` (any size). Returns None below ``min_rows`` rows."""
+    from ..session import spread
+
     features = tuple(features)
-    feats = prepare_features(df, features, keep=(row_id,))
+    held: list = []
+    feats = spread(prepare_features(df, features, keep=(row_id,)), held)
     n = feats.count()
     if n < min_rows:
         return None
@@ -186,11 +189,21 @@ def fit(df: DataFrame, row_id: str, features=FEATURE_COLUMNS, n_trees: int = 100
     z = standardize(feats, features, means, sigmas, keep=(row_id,))
     psi = min(max_samples, n)
     q = min(1.0, 2.0 * psi / n + 64.0 / n)  # oversampled keep rate per tree
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
     rid = F.col(row_id).cast("string")
-    picked = F.filter(trees, lambda t: _uniform(rid, t, seed) < F.lit(q))
-    cand = (z.select("*", F.explode(picked).alias("tree"))
-            .withColumn("_u", _uniform(rid, F.col("tree"), seed)))
+    # Each row joins each tree's candidate pool independently with
+    # probability q. The first tree a row joins is geometric(q), drawn from
+    # one hash, so the (rare) rows that join any tree are found in one cheap
+    # pass; only they draw the per-tree coins for the later trees.
+    if q >= 1.0:
+        first = F.lit(0)
+    else:
+        u = _uniform(rid, F.lit(-1), seed)
+        first = F.floor(F.log(F.greatest(u, F.lit(1e-300))) / F.lit(math.log1p(-q))).cast("int")
+    keep = z.withColumn("_t1", first).filter(F.col("_t1") < n_trees)
+    later = F.filter(F.sequence(F.col("_t1") + 1, F.greatest(F.col("_t1") + 1, F.lit(n_trees - 1))),
+                     lambda t: (t < n_trees) & (_uniform(rid, t, seed) < F.lit(q)))
+    cand = (keep.select("*", F.explode(F.concat(F.array(F.col("_t1")), later)).alias("tree"))
+            .withColumn("_u", _uniform(rid, F.col("tree"), seed + 1)))
     w = Window.partitionBy("tree").orderBy("_u", row_id)
     sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi)
     nodes = (sample.select("tree", *features).groupBy("tree")
@@ -200,7 +213,11 @@ def fit(df: DataFrame, row_id: str, features=FEATURE_COLUMNS, n_trees: int = 100
     nodes = cut_lineage(nodes)
     # offset: contamination quantile of the training scores
     train = _score_raw(z, nodes, features, psi, n_trees, keep=(row_id,))
-    thr = train.agg(F.percentile("raw_score", contamination).alias("t")).first()["t"]
+    q_expr = (F.percentile("raw_score", contamination) if n <= 10_000_000
+              else F.percentile_approx("raw_score", contamination, 1_000_000))
+    thr = train.agg(q_expr.alias("t")).first()["t"]
+    for d in held:
+        d.unpersist()
     return ForestModel(features, means, sigmas, nodes, psi, float(thr), n_trees)
 
 
@@ -219,28 +236,38 @@ def _score_raw(z: DataFrame, nodes: DataFrame, features, psi: int, n_trees: int,
 
     def walk(it):
         arr = bc.value
-        trees = []
-        for t in np.unique(arr[:, 0]).astype(int):
-            a = arr[arr[:, 0] == t]
-            trees.append((a[:, 2].astype(int), a[:, 3], a[:, 4].astype(int), a[:, 5].astype(int), a[:, 6]))
+        # flat node arrays; child pointers made global with per-tree offsets
+        order = np.lexsort((arr[:, 1], arr[:, 0]))
+        arr = arr[order]
+        tree_ids, starts = np.unique(arr[:, 0], return_index=True)
+        offs = np.repeat(starts, np.diff(np.append(starts, len(arr))))
+        feat = arr[:, 2].astype(np.int64)
+        thr = arr[:, 3]
+        left = np.where(arr[:, 4] >= 0, arr[:, 4].astype(np.int64) + offs, -1)
+        right = np.where(arr[:, 5] >= 0, arr[:, 5].astype(np.int64) + offs, -1)
+        leaf_adj = avg_path_length(arr[:, 6])
+        roots = starts.astype(np.int64)
+        ntree = len(roots)
         for pdf in it:
             x = pdf[feats].to_numpy(dtype=float)
-            depth = np.zeros(len(x))
-            for feat, thr, left, right, size in trees:
-                node = np.zeros(len(x), dtype=int)
-                d = np.zeros(len(x))
-                active = feat[node] >= 0
-                while active.any():
-                    f = feat[node[active]]
-                    goleft = x[active, f] < thr[node[active]]
-                    node[active] = np.where(goleft, left[node[active]], right[node[active]])
-                    d[active] += 1
-                    active = feat[node] >= 0
-                depth += d + avg_path_length(size[node])
-            eh = depth / len(trees)
+            idx = np.broadcast_to(roots, (len(x), ntree)).copy()
+            depth = np.zeros((len(x), ntree))
+            while True:
+                f = feat[idx]
+                inner = f >= 0
+                if not inner.any():
+                    break
+                xv = np.take_along_axis(x, np.where(inner, f, 0), axis=1)
+                nxt = np.where(xv < thr[idx], left[idx], right[idx])
+                idx = np.where(inner, nxt, idx)
+                depth += inner
+            eh = (depth + leaf_adj[idx]).mean(axis=1)
             out = pdf[keep].copy()
             out["raw_score"] = -np.power(2.0, -eh / cpsi)
             yield out
 
     schema = T.StructType([z.schema[k] for k in keep] + [T.StructField("raw_score", T.DoubleType())])
+    sc = spark.sparkContext
+    if z.rdd.getNumPartitions() < sc.defaultParallelism:  # one-file inputs: use every core
+        z = z.repartition(sc.defaultParallelism)
     return z.mapInPandas(walk, schema)

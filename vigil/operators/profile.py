@@ -77,7 +77,10 @@ class Profile:
     def __init__(self, series: DataFrame, config: CheckConfig = DEFAULT,
                  key: str = "snapshot_date", as_of: _dt.date | None = None,
                  prev_schema: T.StructType | None = None, keys: list | None = None):
-        self.series = series
+        self._persisted: list[DataFrame] = []
+        from ..session import spread
+
+        self.series = spread(series, self._persisted)
         self.cfg = config
         self.key = key
         self.k = q(key)
@@ -86,7 +89,6 @@ class Profile:
         self.cols = self.schema.fieldNames()
         self.prev_schema = prev_schema
         self.keys = keys
-        self._persisted: list[DataFrame] = []
 
     # ------------------------------------------------------------ columns
     def has(self, name) -> bool:

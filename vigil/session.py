@@ -65,3 +65,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
 
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, persisted: list | None = None) -> DataFrame:
+    """Give an under-partitioned input (fewer partitions than the cluster's
+    default parallelism, e.g. one unsplittable file) a round-robin
+    repartition and keep it for the several passes that follow. Inputs that
+    already have enough partitions - every large table - pass unchanged, so
+    this never reshuffles big data."""
+    from pyspark import StorageLevel
+
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    out = df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    if persisted is not None:
+        persisted.append(out)
+    return out
