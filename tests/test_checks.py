@@ -293,3 +293,24 @@ def test_amount_calculation(spark):
     r = one(run_series(spark.createDataFrame(pdf), cfg, key="snapshot").checks.amount_calc())
     assert r["rows_with_bad_calculation"] == 2
     assert r["max_diff_pct"] == pytest.approx(50.0)
+
+
+def test_select_quantiles_equal_exact(spark, num_series):
+    """Rank-selection quartiles (bounded memory, for huge snapshots) give the
+    same IQR results as Spark's exact percentile."""
+    from vigil.operators.quantiles import select_quantiles
+    pdf, run = num_series
+    cfg = blank_config(iqr_columns=("x",), quantiles="select", row_duplicates=False)
+    sel = run_series(spark.createDataFrame(pdf), cfg, key="snapshot")
+    assert sel.profile.quantile_mode == "select"
+    a = {r["snapshot"]: (r["q1"], r["q3"], r["outlier_count"]) for r in run.checks.iqr_outliers().collect()}
+    b = {r["snapshot"]: (r["q1"], r["q3"], r["outlier_count"]) for r in sel.checks.iqr_outliers().collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == pytest.approx(b[k][0]) and a[k][1] == pytest.approx(b[k][1]) and a[k][2] == b[k][2]
+    # several refinement rounds (tiny bins) still land on the exact order statistics
+    small = select_quantiles(spark.createDataFrame(pdf), "snapshot", ["x", "y"], bins=4, collect_max=8)
+    for r in small.collect():
+        g = pdf[pdf.snapshot == r["snapshot"]]
+        assert r["q_0"] == pytest.approx(list(np.percentile(g["x"].dropna(), [25, 75])))
+        assert r["q_1"] == pytest.approx(list(np.percentile(g["y"].dropna(), [25, 75])))

@@ -89,6 +89,17 @@ class Profile:
         self.cols = self.schema.fieldNames()
         self.prev_schema = prev_schema
         self.keys = keys
+        self.quantile_mode = self._quantile_mode()
+
+    def _quantile_mode(self) -> str:
+        mode = self.cfg.quantiles
+        if mode != "auto":
+            return mode
+        try:  # the optimizer's size estimate of the input (no job)
+            est = int(str(self.series._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        except Exception:  # noqa: BLE001
+            est = 1 << 62
+        return "exact" if est <= self.cfg.quantile_inline_bytes else "select"
 
     # ------------------------------------------------------------ columns
     def has(self, name) -> bool:
@@ -189,9 +200,9 @@ class Profile:
             a.append(f"count_if(NOT (CAST({q(c)} AS STRING) RLIKE {s('(?U)^(?:' + p + ')')})) AS pb_{i}")
         for i, c in enumerate(self.iqr_cols):
             x = f"CAST({q(c)} AS DOUBLE)"
-            if cfg.quantiles == "approx":
+            if self.quantile_mode == "approx":
                 a.append(f"percentile_approx({x}, array(0.25, 0.75), {int(cfg.approx_accuracy)}) AS q_{i}")
-            else:
+            elif self.quantile_mode == "exact":
                 a.append(f"percentile({x}, array(0.25, 0.75)) AS q_{i}")
             a.append(f"count({x}) AS inn_{i}")
         for i, c in enumerate(self.z_cols):
@@ -255,6 +266,15 @@ class Profile:
         a = a.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)
         self.n_keys = a.count()
+        if self.quantile_mode == "select" and self.iqr_cols:
+            from .quantiles import select_quantiles
+
+            qs = select_quantiles(self.series, self.key, self.iqr_cols)
+            self._persisted.append(qs)
+            side = F.broadcast(qs) if self.n_keys <= SMALL_KEYS else qs
+            a = a.join(side, self.key, "left").persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted.append(a)
+            a.count()
         return a
 
     def small(self, df: DataFrame) -> DataFrame:

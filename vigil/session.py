@@ -40,14 +40,19 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use ``spark.checkpoint.dir`` when the cluster sets it; only when it is
-    unset (local tests) fall back to a fresh scratch folder."""
-    d = checkpoint_dir(spark)
-    if d is None:
-        d = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """The context's checkpoint folder. When the context has none yet, use
+    ``spark.checkpoint.dir`` as the cluster names it; only when that is
+    unset too (local tests) take a fresh scratch folder. Set once: every
+    ``setCheckpointDir`` call makes a new sub-folder."""
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
