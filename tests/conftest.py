@@ -16,6 +16,7 @@ def spark():
 
     s = (SparkSession.builder.master("local[*]").appName("vigil-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "6g")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.adaptive.enabled", "true")

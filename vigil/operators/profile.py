@@ -40,6 +40,16 @@ from ..functions.exprs import dtype_name
 from ..functions.sql import E, add, num, q, s, ts_sql
 
 SMALL_KEYS = 200_000  # per-snapshot tables up to this many rows are broadcast
+MAX_LIVE = 4  # profiles whose cached tables are kept; older ones are released
+_LIVE: list = []
+
+
+def _register(profile) -> None:
+    """Keep at most MAX_LIVE profiles' caches. Releasing a cache never
+    changes a result: a later action recomputes it from its lineage."""
+    _LIVE.append(profile)
+    while len(_LIVE) > MAX_LIVE:
+        _LIVE.pop(0).unpersist()
 BLANK_RE = r"(?U)^[\s\x1c-\x1f]*$"  # empty after Python-style strip()
 
 
@@ -90,6 +100,7 @@ class Profile:
         self.prev_schema = prev_schema
         self.keys = keys
         self.quantile_mode = self._quantile_mode()
+        _register(self)
 
     def _quantile_mode(self) -> str:
         mode = self.cfg.quantiles

@@ -84,7 +84,7 @@ def spread(df: DataFrame, persisted: list | None = None) -> DataFrame:
     target = sc.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    out = df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.repartition(target).persist(StorageLevel.DISK_ONLY)  # a data copy: keep it off the heap
     if persisted is not None:
         persisted.append(out)
     return out
