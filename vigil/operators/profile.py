@@ -88,7 +88,9 @@ class Profile:
                  key: str = "snapshot_date", as_of: _dt.date | None = None,
                  prev_schema: T.StructType | None = None, keys: list | None = None):
         self._persisted: list[DataFrame] = []
-        from ..session import spread
+        from ..session import allow_cached_coalescing, spread
+
+        allow_cached_coalescing(series.sparkSession)
 
         self.series = spread(series, self._persisted)
         self.cfg = config

@@ -19,6 +19,7 @@ def get_session(master: str | None = None, app: str = "vigil",
     if master:
         b = b.master(master)
     b = (b.config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
@@ -88,3 +89,19 @@ def spread(df: DataFrame, persisted: list | None = None) -> DataFrame:
     if persisted is not None:
         persisted.append(out)
     return out
+
+
+CACHED_AQE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
+
+def allow_cached_coalescing(spark: SparkSession) -> None:
+    """Let AQE coalesce the partitions of cached plans (the engine caches
+    its small per-snapshot tables; without this each keeps
+    ``spark.sql.shuffle.partitions`` tiny tasks). Performance only; an
+    explicit setting by the user is left alone."""
+    try:
+        explicit = spark.sparkContext.getConf().contains(CACHED_AQE) or CACHED_AQE in spark.conf.getAll
+    except Exception:  # noqa: BLE001 - connect sessions have no getAll
+        explicit = False
+    if not explicit and spark.conf.get(CACHED_AQE, "false") == "false":
+        spark.conf.set(CACHED_AQE, "true")
