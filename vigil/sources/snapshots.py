@@ -145,9 +145,9 @@ def scan_snapshot_series(spark: SparkSession, directory: str, key: str = KEY,
 def series_from_table(df: DataFrame, key_expr: Column | str, key: str = KEY) -> DataFrame:
     """A series cut from one table by a key expression, e.g. the day of a
     timestamp. The key expression is evaluated per row; nothing is
-    collected."""
+    collected. (run_series / run_all_checks turn NaN into null.)"""
     k = F.expr(key_expr) if isinstance(key_expr, str) else key_expr
-    return nan_to_null(df).withColumn(key, k)
+    return df.withColumn(key, k)  # the runners map NaN to null
 
 
 def snapshot_keys(series: DataFrame, key: str = KEY) -> DataFrame:
