@@ -108,3 +108,13 @@ def metrics_exist_on(history: DataFrame, dataset_name: str, day: _dt.date | None
            .agg(F.count(F.lit(1)).alias("n")))
     return hit.select(F.lit(dataset_name).alias("dataset_name"), F.lit(d).alias("day"),
                       (F.col("n") > 0).alias("exists"))
+
+
+def append_metrics_jdbc(metrics: DataFrame, url: str, table: str = "metrics_history",
+                        properties: dict | None = None) -> DataFrame:
+    """S8 to a relational database: the same history rows written with
+    ``DataFrame.write.jdbc`` (append). Needs a reachable database and its
+    JDBC driver on the classpath; not exercised in tests (no server)."""
+    rows = history_rows(metrics)
+    rows.write.jdbc(url, table, mode="append", properties=properties or {})
+    return rows
