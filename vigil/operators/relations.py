@@ -21,12 +21,15 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
 
 def orphan_counts(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Parent/child consistency between two tables: child rows whose key has
-    no parent, and parent rows with no child. Two anti joins on the key
-    (only the key column is read), one output row."""
-    c = child.select(key)
-    p = parent.select(key)
-    a = c.join(p.distinct(), key, "left_anti").agg(F.count(F.lit(1)).alias("children_without_parent"))
-    b = p.join(c.distinct(), key, "left_anti").agg(F.count(F.lit(1)).alias("parents_without_child"))
+    no parent, and parent rows with no child. Both sides are first reduced
+    to (key, rows) with map-side combine, so a hot key is one row before any
+    shuffle; the anti joins then run on the key tables. One output row."""
+    c = child.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    p = parent.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    a = (c.join(p.select(key), key, "left_anti")
+         .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("children_without_parent")))
+    b = (p.join(c.select(key), key, "left_anti")
+         .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("parents_without_child")))
     return _one_row(a, b)
 
 
