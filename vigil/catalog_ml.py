@@ -167,10 +167,18 @@ def a9(spark, sf):
 
 @register("p1_run_pipeline")
 def p1(spark, sf):
-    """One run over the newest events day against the day before; history
-    and model live in fresh folders under the checkpoint folder."""
+    """One run over the newest events day against the day before. Cold
+    start from a real backfill: the history is first filled by the series
+    run (P2) for the earlier days, so the forest and forecast have data."""
+    from .catalog_monitor import events_metrics
+    from .sources import history as hist
+
     s = series_from_table(table(spark, sf, "events"), F.to_date("ts"), KEY)
-    rec = run_pipeline(spark, s, scratch(spark, "history"), scratch(spark, "model"), EVENTS_CFG,
-                       dataset_name=DATASET, key=KEY, as_of=AS_OF_EVENTS)
+    path = scratch(spark, "history")
+    m = events_metrics(spark, sf)
+    last = m.agg(F.max(KEY)).first()[0]
+    hist.append_metrics(spark, path, m.filter(F.col(KEY) < F.lit(last)))
+    rec = run_pipeline(spark, s, path, scratch(spark, "model"), EVENTS_CFG,
+                       dataset_name=DATASET, key=KEY, as_of=last)
     return rec.select("status", "dataset_name", "quality_score", "rule_flag", "ml_flag", "ml_label",
-                      "combined_flag", "error")
+                      "combined_flag", "forecast_row_count", "error")
