@@ -408,6 +408,8 @@ class Profile:
         of the same snapshot (null equals null); None when no snapshot has a
         repeated row hash (then every count is 0)."""
         k = self.key
+        if not self.cfg.row_duplicates:
+            return None
         B = self.stage_b
         if B.filter("dup_groups > 0").limit(1).count() == 0:
             return None
