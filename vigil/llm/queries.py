@@ -33,3 +33,11 @@ def op9_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lexicon import encode_decode
 
     return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"), byte_bpe())
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack, pieces
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return pack(pieces(docs, byte_bpe(), 1024, 2), 1024)
