@@ -41,3 +41,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return pack(pieces(docs, byte_bpe(), 1024, 2), 1024)
+
+
+@query
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import digest, find_secrets
+
+    return digest(find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")))
