@@ -226,10 +226,10 @@ def pack(items: DataFrame, capacity: int, length: str = "length", shard: int = S
         dealt = pool.withColumn("_shard", F.pmod(F.xxhash64("_bin", F.lit(turn)), F.lit(shards)))
         # a name for each row that the next turn can deal by
         placed = checkpoint(dealt.groupBy("_shard").applyInPandas(place, schema))
-        number = (F.col("_shard") * (2 * shard) + F.col("_bin")) * 128 + F.lit(2 * min(turn, 63))
+        number = (F.col("_shard") * (2 * shard) + F.col("_bin")) * 128 + F.lit(2 * turn)
         cols = [*names, number.alias("sequence_id"), "offset"]
         left = placed.where("_open").count()
-        if shards == 1 or left > 0.9 * count:
+        if shards == 1 or left > 0.9 * count or turn == 63:
             done.append(placed.select(*cols))
             break
         done.append(placed.where("not _open").select(*cols))

@@ -48,3 +48,10 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import digest, find_secrets
 
     return digest(find_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import compare_next
+
+    return compare_next(spark.read.parquet(f"{sf_dir}/documents.parquet"))
