@@ -55,3 +55,19 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprints import compare_next
 
     return compare_next(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import held_out, identify, learn_from
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = identify(docs, learn_from(docs), carry=(held_out().alias("held_out"),))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
