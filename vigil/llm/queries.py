@@ -71,3 +71,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import classify
 
     return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import join_components
+
+    return join_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
