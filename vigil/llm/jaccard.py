@@ -2,19 +2,22 @@
 
 1. Every text becomes its set of hashed word shingles; equal sets are one
    (``sid``, a digest of the set).
-2. Prefix order: a token of class A (the lowest 40 % of hash values) comes
-   before one of class B; within A the rarer token first, within B by hash.
-   Token frequencies of class A come from one exchange of packed arrays. A
-   linked set shares one of its first n - ceil(t n) + 1 tokens with its
-   partner, so a set whose first so many tokens occur nowhere else has no
-   links and leaves; that is nearly all of a corpus.
+2. In any order of tokens, a linked set shares one of its first
+   n - ceil(t n) + 1 with its partner. So a set with as many tokens that no
+   other set holds has no links and leaves; that is nearly all of a corpus.
+   The first look counts only the lowest 40 % of the hash values (class A),
+   in one exchange of packed arrays; the second, among the sets left, counts
+   all tokens, and orders prefixes by rarity.
 3. The others are partitioned into groups: sets with one min-hash meet, the
    first is the group's head, and those that verifiably link with it join
    (several rounds, only heads go on). A group is connected.
-4. The matrix holds each group's token union. A set opens a group that shares
-   a prefix token with it only if the group's union holds enough of its
-   tokens; first the head is verified, then, where groups are still apart,
-   the members. Links between groups give the components.
+4. Sets that share prefix tokens form clusters (connected components, in
+   Spark); nothing links across clusters, and one that holds a single group
+   is done. The others' sets are dealt to chunks of bounded size; every two
+   chunks of a cluster meet in a task. There the matrix holds the token union
+   of each group; a set opens a group of the other chunk only if the union
+   holds enough of its tokens, and only members of opened groups are
+   compared. A task returns a forest over groups, never pairs.
 
 No step caps a list: a pair is left out only if a bound excludes it, or if
 both sides are known to be connected already."""
@@ -29,7 +32,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from .shared import checkpoint
 
@@ -41,6 +43,8 @@ SHARE_A = 0.4
 ROUNDS = 3
 #: sets under one min-hash that one task streams; more are salted
 HOT = 1000
+#: sets, and tokens, of a chunk: two chunks are compared in one task
+BLOCK_SETS, BLOCK_TOKENS = 512, 400_000
 
 _U = np.uint64
 
@@ -152,31 +156,33 @@ def links(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 # -------------------------------------------------------------------- Spark
 
-def _frequencies(texts: DataFrame, k: int, buckets: int) -> DataFrame:
-    """(sid, codes, counts): for every set with class A tokens that other
-    sets hold too, those tokens and how many sets hold them. Arrays come in
-    several rows a set, one a bucket."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, h, d, _, sid in sets_of([t or b"" for t in batch.column(0).to_pylist()], k):
-                a = np.flatnonzero(h < _LIMIT_A)
-                if not len(a):
-                    continue
-                bucket, low = _code(h[a], buckets)
-                order = np.lexsort((d[a], bucket))
-                bucket, low, who = bucket[order].astype(np.int64), low[order], d[a][order]
-                cut = np.flatnonzero(np.diff(bucket)) + 1
-                rows: tuple[list, ...] = ([], [], [], [])
-                for lo, hi in zip(np.append(0, cut), np.append(cut, len(bucket)), strict=True):
-                    first = np.flatnonzero(np.append(True, np.diff(who[lo:hi]) != 0))
-                    rows[0].append(int(bucket[lo]))
-                    rows[1].append(sid[who[lo:hi][first]].tobytes())
-                    rows[2].append(np.diff(np.append(first, hi - lo)).astype(np.uint32).tobytes())
-                    rows[3].append(low[lo:hi].tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
-                    ["bucket", "sids", "sizes", "tokens"])
+def _deal(sid: np.ndarray, who: np.ndarray, h: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Tokens ``h`` of sets ``sid[who]``, packed in one row a bucket."""
+    bucket, low = _code(h, buckets)
+    order = np.lexsort((who, bucket))
+    bucket, low, who = bucket[order].astype(np.int64), low[order], who[order]
+    cut = np.flatnonzero(np.diff(bucket)) + 1
+    rows: tuple[list, ...] = ([], [], [], [])
+    for lo, hi in zip(np.append(0, cut), np.append(cut, len(bucket)), strict=True):
+        if lo == hi:
+            continue
+        first = np.flatnonzero(np.append(True, np.diff(who[lo:hi]) != 0))
+        rows[0].append(int(bucket[lo]))
+        rows[1].append(sid[who[lo:hi][first]].tobytes())
+        rows[2].append(np.diff(np.append(first, hi - lo)).astype(np.uint32).tobytes())
+        rows[3].append(low[lo:hi].tobytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
+        ["bucket", "sids", "sizes", "tokens"])
+
+
+_DEALT = "bucket bigint, sids binary, sizes binary, tokens binary"
+
+
+def _shared(dealt: DataFrame) -> DataFrame:
+    """(sid, held, codes, counts) from dealt tokens: how many tokens of a set
+    other sets hold too, these tokens, and how many sets hold each. A set has
+    one row a bucket."""
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         read = lambda c, t: np.frombuffer(b"".join(frame[c]), t)
@@ -194,17 +200,39 @@ def _frequencies(texts: DataFrame, k: int, buckets: int) -> DataFrame:
         sid, low, each = sid[many], low[many], each[many]
         order = np.argsort(sid, kind="stable")
         sid, low, each = sid[order], low[order], each[order]
-        if not len(sid):
-            return pd.DataFrame({"sid": [], "codes": [], "counts": []})
         code = np.int64(frame["bucket"].iloc[0]) << 32 | low.astype(np.int64)
-        first = np.flatnonzero(np.append(True, np.diff(sid) != 0))
-        last = np.append(first[1:], len(sid))
+        first = np.flatnonzero(np.append(True, np.diff(sid) != 0)[:len(sid)])
+        last = np.append(first[1:], len(sid))[:len(first)]
         pick = lambda x, t: [x[a:b].astype(t).tobytes() for a, b in zip(first, last, strict=True)]
-        return pd.DataFrame({"sid": sid[first], "codes": pick(code, np.int64), "counts": pick(each, np.uint32)})
+        return pd.DataFrame({"sid": sid[first], "held": last - first, "codes": pick(code, np.int64),
+                             "counts": pick(each, np.uint32)})
+
+    return dealt.groupBy("bucket").applyInPandas(count, "sid bigint, held bigint, codes binary, counts binary")
+
+
+def _deal_texts(texts: DataFrame, k: int, buckets: int) -> DataFrame:
+    """The class A tokens of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, h, d, _, sid in sets_of([t or b"" for t in batch.column(0).to_pylist()], k):
+                a = np.flatnonzero(h < _LIMIT_A)
+                yield _deal(sid, d[a], h[a], buckets)
+
+    return texts.select(F.col("_text").cast("binary")).mapInArrow(run, _DEALT)
 
-    dealt = texts.select(F.col("_text").cast("binary")).mapInArrow(
-        deal, "bucket bigint, sids binary, sizes binary, tokens binary")
-    return dealt.groupBy("bucket").applyInPandas(count, "sid bigint, codes binary, counts binary")
+
+def _deal_sets(sets: DataFrame, buckets: int) -> DataFrame:
+    """All tokens of sets (sid, tokens)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [np.frombuffer(t, np.uint64) for t in batch.column(1).to_pylist()]
+            if tokens:
+                who = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+                yield _deal(batch.column(0).to_numpy(), who, np.concatenate(tokens), buckets)
+
+    return sets.select("sid", "tokens").mapInArrow(run, _DEALT)
 
 
 def _prefix_size(num: int, den: int) -> Column:
@@ -212,57 +240,65 @@ def _prefix_size(num: int, den: int) -> Column:
     return F.expr(f"n - (n * {num} + {den - 1}) div {den} + 1")
 
 
-def _open_sets(texts: DataFrame, chosen: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFrame:
-    """(sid, n, tokens binary, prefix array<bigint>, m0.. min-hashes) of the
-    ``chosen`` sets (sid, doc, codes, counts), read again from their texts.
-    Prefix tokens that no other set holds are left out."""
-    fields = "sid bigint, n int, tokens binary, prefix array<bigint>" + "".join(
+def _read_sets(texts: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
+    """(sid, tokens) of the ``chosen`` sets (sid, doc), read again from their
+    texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            want = batch["sid"].to_numpy()
+            for start, h, _, n, sid in sets_of([bytes(t) if t is not None else b"" for t in batch["_text"]], k):
+                ends = np.cumsum(n)
+                good = np.flatnonzero(sid == want[start:start + len(n)])  # a repeated key brings other texts too
+                yield pd.DataFrame({"sid": sid[good], "tokens": [h[ends[i] - n[i]:ends[i]].tobytes() for i in good]})
+
+    joined = texts.join(chosen, texts["_key"].eqNullSafe(chosen["doc"])).select(
+        F.col("_text").cast("binary").alias("_text"), "sid")
+    return joined.mapInPandas(run, "sid bigint, tokens binary").dropDuplicates(["sid"])
+
+
+def _prefixes(sets: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
+    """(sid, n, u, tokens, prefix, m0..) of the ``sets`` that may have links
+    among each other: ``u`` tokens are in no other set, ``prefix`` holds the
+    shared ones among the rarest n - ceil(t n) + 1, m0.. are min-hashes."""
+    shared = _shared(_deal_sets(sets, buckets)).groupBy("sid").agg(
+        F.collect_list("codes").alias("codes"), F.collect_list("counts").alias("counts"))
+    fields = "sid bigint, n int, u int, tokens binary, prefix array<bigint>" + "".join(
         f", m{r} bigint" for r in range(ROUNDS))
     seeds = _mix(np.arange(7001, 7001 + ROUNDS, dtype=np.uint64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            text = [bytes(t) if t is not None else b"" for t in batch["_text"]]
             rows = []
-            for start, h, d, n, sid in sets_of(text, k):
-                ends = np.cumsum(n)
-                for i in np.flatnonzero(sid == batch["sid"].to_numpy()[start:start + len(n)]).tolist():
-                    mine = h[ends[i] - n[i]:ends[i]]
-                    row = batch.iloc[start + i]
-                    known = np.frombuffer(b"".join(row["codes"]), np.int64)
-                    count = np.frombuffer(b"".join(row["counts"]), np.uint32)
-                    a = mine[mine < _LIMIT_A]
-                    bucket, low = _code(a, buckets)
-                    code = bucket.astype(np.int64) << 32 | low.astype(np.int64)
-                    freq = np.ones(len(a), np.int64)
-                    if len(known):
-                        by = np.argsort(known)
-                        at = np.minimum(np.searchsorted(known[by], code), len(known) - 1)
-                        hit = known[by][at] == code
-                        freq[hit] = count[by][at][hit]
-                    size = int(n[i]) - -(-int(n[i]) * num // den) + 1
-                    order = np.lexsort((a, freq))[:size]
-                    order = order[freq[order] > 1]
-                    alone = min(size, int((freq == 1).sum()))
-                    rest = mine[len(a):][:max(0, size - alone - len(order))]
+            for sid, tokens, codes, counts in zip(batch["sid"], batch["tokens"], batch["codes"], batch["counts"],
+                                                  strict=True):
+                mine = np.frombuffer(tokens, np.uint64)
+                n = len(mine)
+                known = np.frombuffer(b"".join(codes), np.int64)
+                by = np.argsort(known)
+                bucket, low = _code(mine, buckets)
+                code = bucket.astype(np.int64) << 32 | low.astype(np.int64)
+                at = np.minimum(np.searchsorted(known[by], code), len(known) - 1)
+                freq = np.where(known[by][at] == code, np.frombuffer(b"".join(counts), np.uint32)[by][at], 1)
+                size, u = n - -(-n * num // den) + 1, int((freq == 1).sum())
+                if u < size:
                     least = [int(_mix(mine ^ s).min().view(np.int64)) for s in seeds]
-                    rows.append((int(sid[i]), int(n[i]), mine.tobytes(),
-                                 np.concatenate([a[order], rest]).view(np.int64).tolist(), *least))
-            yield pd.DataFrame(rows, columns=["sid", "n", "tokens", "prefix", *(f"m{r}" for r in range(ROUNDS))])
+                    rows.append((sid, n, u, tokens, mine[np.lexsort((mine, freq))[u:size]].view(np.int64).tolist(),
+                                 *least))
+            yield pd.DataFrame(rows, columns=["sid", "n", "u", "tokens", "prefix", *(f"m{r}" for r in range(ROUNDS))])
 
-    joined = texts.join(chosen, texts["_key"].eqNullSafe(chosen["doc"])).select(
-        F.col("_text").cast("binary").alias("_text"), "sid", "codes", "counts")
-    # a repeated key may bring other texts (left out by digest) or the same one again
-    return joined.mapInPandas(run, fields).dropDuplicates(["sid"])
+    return sets.join(shared, "sid").mapInPandas(run, fields)  # a set that shares nothing has no links
 
 
 def _gather(sets: DataFrame, key: str, num: int, den: int) -> DataFrame:
     """(member, head) links: sets with the same ``key`` are streamed in order
-    of sid, the first is the head. Keys of more than ``HOT`` sets are salted."""
+    of (u, sid), the first is the head: it has the fewest tokens of its own,
+    so it lies nearest to the others. Keys of more than ``HOT`` sets are
+    salted."""
     hot = sets.groupBy(key).count().where(F.col("count") > HOT).select(
         F.col(key).alias("_hot"), F.ceil(F.col("count") / HOT).alias("_salts"))
     salted = sets.join(hot, F.col(key) == F.col("_hot"), "left").select(
-        "sid", "tokens", F.col(key).alias("key"),
+        "sid", "u", "tokens", F.col(key).alias("key"),
         F.coalesce(F.pmod(F.xxhash64("sid"), F.col("_salts")), F.lit(0)).alias("salt"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -277,24 +313,88 @@ def _gather(sets: DataFrame, key: str, num: int, den: int) -> DataFrame:
                     out.append((sid, head))
             yield pd.DataFrame(out, columns=["member", "head"], dtype=np.int64)
 
-    return salted.repartition("key", "salt").sortWithinPartitions("key", "salt", "sid").mapInPandas(
-        run, "member bigint, head bigint")
-
-
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of ``pairs`` (a, b, more) whose sets link."""
-    side = lambda x: sets.select(F.col("sid").alias(x), F.col("tokens").alias(f"t{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    names = pairs.columns
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            good = [links(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)
-                    for x, y in zip(b["ta"], b["tb"], strict=True)]
-            yield b[names][good]
-
-    return both.select(*names, "ta", "tb").mapInPandas(run, fields)
+    return salted.repartition("key", "salt").sortWithinPartitions("key", "salt", "u", "sid").select(
+        "sid", "tokens", "key", "salt").mapInPandas(run, "member bigint, head bigint")
+
+
+def _overlap(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of token arrays ``a`` with ``b``."""
+    flat = lambda x: (np.repeat(np.arange(len(x)), [len(t) for t in x]), np.concatenate(x))
+    (ra, ta), (rb, tb) = flat(a), flat(b)
+    both = np.intersect1d(ta, tb)
+    out = np.zeros((len(a), len(b)), np.float32)
+    ca, cb = np.searchsorted(both, ta), np.searchsorted(both, tb)
+    for c, t in ((ca, ta), (cb, tb)):
+        if len(both):
+            c[c == len(both)] = 0
+            c[both[c] != t] = -1
+        else:
+            c[:] = -1
+    width = 4096
+    by_a, by_b = np.argsort(ca, kind="stable"), np.argsort(cb, kind="stable")
+    for lo in range(0, len(both), width):
+        dense = []
+        for c, r, by, n in ((ca, ra, by_a, len(a)), (cb, rb, by_b, len(b))):
+            at = by[np.searchsorted(c[by], lo):np.searchsorted(c[by], lo + width)]
+            m = np.zeros((n, width), np.float32)
+            m[r[at], c[at] - lo] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _open_groups(a: pd.DataFrame, b: pd.DataFrame, num: int, den: int) -> list[tuple[int, int]]:
+    """Links between different groups of two chunks of sets (a chunk may be
+    given twice), as a forest over groups: query sets against group unions
+    first, then against the members of the groups that a bound leaves open."""
+    ta, tb = ([np.frombuffer(t, np.uint64) for t in x["tokens"]] for x in (a, b))
+    na, nb = (np.array([len(t) for t in x]) for x in (ta, tb))
+    ga, gb = a["grp"].to_numpy(), b["grp"].to_numpy()
+    names, inside = np.unique(gb, return_inverse=True)
+    members = [np.flatnonzero(inside == g) for g in range(len(names))]
+    unions = [tb[m[0]] if len(m) == 1 else np.unique(np.concatenate([tb[i] for i in m])) for m in members]
+    bound = _overlap(ta, unions) * den >= na[:, None] * num  # the union of two sets is at least either
+    bound &= ga[:, None] != names[None, :]
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    edges = []
+    open_groups = np.flatnonzero(bound.any(0))
+    if not len(open_groups):
+        return edges
+    queries = np.flatnonzero(bound.any(1))
+    cols = np.concatenate([members[g] for g in open_groups])
+    common = _overlap([ta[i] for i in queries], [tb[j] for j in cols])
+    linked = common * den >= num * (na[queries][:, None] + nb[cols][None, :] - common)
+    linked &= bound[queries][:, inside[cols]]
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        x, y = int(ga[queries[i]]), int(gb[cols[j]])
+        if find(x) != find(y):
+            root[find(x)] = find(y)
+            edges.append((x, y))
+    return edges
+
+
+def _compare(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): linked groups, from ``sets`` (sid, grp, tokens, cluster,
+    chunks). A cluster's sets are dealt to chunks of bounded size, and every
+    two chunks meet in a task of their own, which returns a forest."""
+    dealt = sets.withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("chunks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    dealt = dealt.select("cluster", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                         "chunk", "grp", "tokens")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        a, b = (frame[frame["chunk"] == frame[c].iloc[0]] for c in ("lo", "hi"))
+        edges = _open_groups(a, b, num, den) if len(a) and len(b) else []
+        return pd.DataFrame(edges, columns=["a", "b"], dtype=np.int64)
+
+    return dealt.groupBy("cluster", "lo", "hi").applyInPandas(run, "a bigint, b bigint")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -349,13 +449,11 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     buckets = min(max(8, total // 4096), 1 << 16)
     sets = rows.where("n > 0").groupBy("sid").agg(F.min("_key").alias("doc"), F.first("n").alias("n"),
                                                   F.first("n_a").alias("n_a"))
-    shared = _frequencies(texts, k, buckets).groupBy("sid").agg(
-        F.collect_list("codes").alias("codes"), F.collect_list("counts").alias("counts"))
-    held = F.coalesce(F.aggregate("codes", F.lit(0), lambda acc, c: acc + F.length(c)), F.lit(0)) / 8
-    empty = F.array().cast("array<binary>")
-    chosen = sets.join(shared, "sid", "left").where(F.col("n_a") - held < _prefix_size(num, den)).select(
-        "sid", "doc", F.coalesce("codes", empty).alias("codes"), F.coalesce("counts", empty).alias("counts"))
-    opened = checkpoint(_open_sets(texts, chosen, k, num, den, buckets))
+    shared = _shared(_deal_texts(texts, k, buckets)).groupBy("sid").agg(F.sum("held").alias("held"))
+    chosen = sets.join(shared, "sid", "left").where(
+        F.col("n_a") - F.coalesce("held", F.lit(0)) < _prefix_size(num, den)).select("sid", "doc")
+    read = checkpoint(_read_sets(texts, chosen, k))
+    opened = checkpoint(_prefixes(read, num, den, max(8, min(buckets, read.count() // 512))))
 
     # groups: only heads go on to the next round
     heads, found = opened, []
@@ -373,34 +471,21 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
                                   member.select(F.col("member").alias("a"), F.col("head").alias("b"))))
     group = group.select(F.col("node").alias("sid"), F.col("root").alias("grp"))
 
-    # the matrix: which groups hold which tokens; a set's prefix names candidates
+    # sets reach each other over shared prefix tokens only: a cluster of one group is done
     grouped = opened.join(group, "sid")
-    prefix = checkpoint(grouped.select("sid", "grp", "n", F.explode("prefix").alias("token")))
-    holders = prefix.select("token", F.col("grp").alias("other")).distinct()
-    cand = prefix.join(holders, "token").where("grp <> other").select("sid", "grp", "n", "other").distinct()
-    cand = checkpoint(cand)
-    edges = member.sparkSession.createDataFrame([], "a bigint, b bigint")
-    if not cand.isEmpty():
-        asked = opened.join(cand.select("sid").distinct(), "sid", "left_semi").select(
-            "sid", F.explode(_unpack("tokens")).alias("token"))
-        union = grouped.join(cand.select(F.col("other").alias("grp")).distinct(), "grp", "left_semi").select(
-            F.col("grp").alias("other"), F.explode(_unpack("tokens")).alias("token")).distinct()
-        bound = cand.join(asked, "sid").join(union, ["other", "token"]).groupBy("sid", "grp", "n", "other").count()
-        bound = checkpoint(bound.where(F.col("count") * den >= F.col("n") * num).drop("count"))
-        # heads first (a group's root is one of its members), then members of groups still apart
-        first = checkpoint(_verify(bound.select(F.col("sid").alias("a"), F.col("other").alias("b"), "grp"),
-                                   opened, num, den))
-        edges = first.select(F.col("grp").alias("a"), "b")
-        near = components(group.select(F.col("grp").alias("node")).distinct(), edges)
-        apart = bound.join(near.select(F.col("node").alias("grp"), F.col("root").alias("r1")), "grp").join(
-            near.select(F.col("node").alias("other"), F.col("root").alias("r2")), "other").where("r1 <> r2")
-        inside = prefix.select(F.col("sid").alias("b"), F.col("grp").alias("other"), "token", F.col("n").alias("nb"))
-        pairs = apart.select("sid", "grp", "other").join(prefix.select("sid", "token", "n"), "sid").join(
-            inside, ["other", "token"]).where(
-            (F.col("sid") < F.col("b")) & (F.col("n") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("n") * num))
-        pairs = pairs.select(F.col("sid").alias("a"), "b", "grp", "other").distinct()
-        more = checkpoint(_verify(pairs, opened, num, den))
-        edges = edges.unionByName(more.select(F.col("grp").alias("a"), F.col("other").alias("b")))
+    prefix = checkpoint(grouped.select("sid", "grp", F.explode("prefix").alias("token")))
+    holder = prefix.groupBy("token").agg(F.min("sid").alias("b"))
+    near = checkpoint(prefix.select("sid", "token").join(holder, "token").where("sid <> b").select(
+        F.col("sid").alias("a"), "b").distinct())
+    cluster = components(opened.select(F.col("sid").alias("node")),
+                         near.unionByName(group.where("sid <> grp").select(F.col("sid").alias("a"), F.col("grp").alias("b"))))
+    size = F.sum(F.length("tokens") / 8)
+    grouped = grouped.join(cluster, F.col("sid") == F.col("node")).withColumnRenamed("root", "cluster")
+    several = grouped.groupBy("cluster").agg(
+        F.max("grp").alias("g1"), F.min("grp").alias("g2"),
+        F.ceil(F.greatest(F.count("*") / BLOCK_SETS, size / BLOCK_TOKENS)).alias("chunks")).where("g1 <> g2")
+    edges = _compare(grouped.join(several.select("cluster", "chunks"), "cluster"), num, den)
+    edges = checkpoint(edges)
     root = components(group.select(F.col("grp").alias("node")).distinct(), edges)
     comp = group.join(root, F.col("grp") == F.col("node")).select("sid", F.col("root").alias("comp"))
 
@@ -411,8 +496,3 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     out = rows.join(named, "sid", "left")
     return out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_key")).alias("component_id"))
-
-
-@F.pandas_udf(ArrayType(LongType()))
-def _unpack(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda b: np.frombuffer(b, np.int64))
