@@ -78,3 +78,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import join_components
 
     return join_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .ann import search
+
+    return search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
