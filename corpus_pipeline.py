@@ -1,19 +1,79 @@
-"""A corpus pipeline of the training-data operators."""
+"""A corpus pipeline of the training-data operators: quality classifier,
+language identification, n-gram Jaccard join, secret scans, best-fit packing.
+
+Each stage works on all that its predecessor kept. The first three drop
+documents, the fourth replaces secrets in the texts, the last returns token
+pieces and their places in sequences."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigil.llm import jaccard, langid, packing, quality, secrets
+from vigil.llm.shared import checkpoint
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps (probability >= 0.5)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classify(docs, labels, carry=tuple(c for c in docs.columns if c != "doc_id")).where(
+        "keep").select(*docs.columns)
+
+
+def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: those without letters, and those of which
+    no language labels half the letters, go. A null ``lang`` is filled with
+    the label."""
+    others = [c for c in docs.columns if c != "doc_id"]
+    found = langid.identify(docs, langid.learn_from(docs), carry=tuple(F.col(c).alias(f"_{c}") for c in others))
+    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
+    filled = {"lang": F.coalesce("_lang", "lang_pred")}
+    return found.select(*(F.col(c) if c == "doc_id" else filled.get(c, F.col(f"_{c}")).alias(c) for c in docs.columns))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones stays: the smallest doc_id
+    (five-word shingles, similarity 0.8). Equal rows are one; rows that repeat
+    a doc_id with another text go or stay with the doc_id."""
+    found = jaccard.join_components(docs, k=5, num=80, den=100)
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("_kept")).distinct()
+    docs = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.dropDuplicates(["doc_id", "text"])
+
+
+def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark."""
+    return secrets.redact_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences of at most 1024."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(packing.pieces(docs, path, 1024, 2), 1024)
+
 
-#: (name, function); each function takes (spark, docs, sf_dir)
-STAGES: list = []
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("language id", keep_language),
+    ("n-gram jaccard join", drop_near_copies),
+    ("secret scans", remove_secrets),
+    ("best-fit packing", pack_sequences),
+]
 
-#: language labels and packings are not expressible in SQL; tests/llm compares with brute force
+#: language labels, the classifier and packings are not expressible in SQL;
+#: tests/llm compares every stage with brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``."""
+    """The stages over ``documents``; each is cut off from the next through
+    the checkpoint folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for n, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if n < len(STAGES):
+            docs = checkpoint(docs)
     return docs

@@ -87,3 +87,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import search
 
     return search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .extract import extract
+
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))

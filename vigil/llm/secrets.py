@@ -32,6 +32,9 @@ WEAK_KEY = r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39
 ENDPOINT = r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"
 KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
 
+#: rows with secrets whose spans are broadcast (some hundred bytes each)
+BROADCAST_ROWS = 20_000
+
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -74,10 +77,19 @@ def find_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", scope:
     parts are joined by (key, digest of the text); null keys join null-safe
     through that digest; an empty table gives an empty one; other columns are
     ignored. ``scope``: largest distance between linked parts."""
+    return _find(df, key, text, scope).select(key, "base", "linked")
+
+
+def _row(key: str, text: str) -> Column:
+    """What equal rows share: the key and a digest of the text."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    return F.sha2(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(":"), t), 256)
+
+
+def _find(df: DataFrame, key: str, text: str, scope: int) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
-    row = F.sha2(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(":"), t), 256)
     found = checkpoint(df.select(
-        F.col(key), row.alias("_row"),
+        F.col(key), _row(key, text).alias("_row"),
         F.concat(_spans(t, "assign", ASSIGN, F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2)), 12),
                  _spans(t, "access", ACCESS, least=18), _spans(t, "hex", HEX)).alias("base"),
         F.concat(_spans(t, "id", WEAK_ID), _spans(t, "key", WEAK_KEY),
@@ -102,7 +114,7 @@ def find_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", scope:
     linked = paired.unionByName(beside(ends, paired)).where(F.col("s.kind") >= 3)
     linked = linked.groupBy("_row").agg(F.array_sort(F.collect_set("s")).alias("linked"))
     return found.join(linked, "_row", "left").select(
-        key, F.array_sort("base").alias("base"), F.coalesce("linked", F.array().cast(SPAN)).alias("linked"))
+        key, "_row", F.array_sort("base").alias("base"), F.coalesce("linked", F.array().cast(SPAN)).alias("linked"))
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -128,3 +140,21 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
             .otherwise(F.concat(acc["out"], cut(acc["at"], s["start"]), F.lit(mark))).alias("out")),
         lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(text).cast("bigint"))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def redact_documents(df: DataFrame, key: str = "doc_id", text: str = "text", scope: int = 200,
+                     length: str | None = "n_chars") -> DataFrame:
+    """``df`` with every secret in ``text`` replaced by a mark, and the code
+    points in ``length`` counted anew; rows without secrets stay as they are.
+    Spans of few rows are joined by broadcast, of many by a shuffle."""
+    spans = _find(df, key, text, scope).select("_row", F.concat("base", "linked").alias("_spans")).where(
+        "size(_spans) > 0").dropDuplicates(["_row"])
+    spans = checkpoint(spans.withColumnRenamed("_row", "_of"))
+    right = F.broadcast(spans) if spans.count() <= BROADCAST_ROWS else spans
+    out = df.withColumn("_row", _row(key, text)).join(right, F.col("_row") == F.col("_of"), "left")
+    clean = redact(F.col(text), F.coalesce("_spans", F.array().cast(SPAN)))
+    out = out.withColumn(text, clean)
+    if length and length in df.columns:
+        out = out.withColumn(length, F.when(F.col("_spans").isNotNull(), F.length(text).cast(
+            df.schema[length].dataType)).otherwise(F.col(length)))
+    return out.select(*df.columns)
