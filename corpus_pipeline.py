@@ -27,21 +27,24 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     no language labels half the letters, go. A null ``lang`` is filled with
     the label."""
     others = [c for c in docs.columns if c != "doc_id"]
-    found = langid.identify(docs, langid.learn_from(docs), carry=tuple(F.col(c).alias(f"_{c}") for c in others))
+    names = {c: f"_c{i}" for i, c in enumerate(others)}
+    found = langid.identify(docs, langid.learn_from(docs), carry=tuple(F.col(c).alias(n) for c, n in names.items()))
     found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
-    filled = {"lang": F.coalesce("_lang", "lang_pred")}
-    return found.select(*(F.col(c) if c == "doc_id" else filled.get(c, F.col(f"_{c}")).alias(c) for c in docs.columns))
+    filled = F.coalesce(F.col(names["lang"]), F.col("lang_pred"))
+    return found.select("doc_id", *((filled if c == "lang" else F.col(n)).alias(c) for c, n in names.items())).select(
+        *docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones stays: the smallest doc_id
     (five-word shingles, similarity 0.8). Equal rows are one; rows that repeat
     a doc_id with another text go or stay with the doc_id."""
-    found = jaccard.join_components(docs, k=5, num=80, den=100)
+    found = checkpoint(jaccard.join_components(docs, k=5, num=80, den=100))
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_kept")).distinct()
     docs = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return docs.dropDuplicates(["doc_id", "text"])
+    repeated = not found.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return docs.dropDuplicates(["doc_id", "text"]) if repeated else docs
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
