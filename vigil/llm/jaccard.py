@@ -179,10 +179,17 @@ def _deal(sid: np.ndarray, who: np.ndarray, h: np.ndarray, buckets: int) -> pa.R
 _DEALT = "bucket bigint, sids binary, sizes binary, tokens binary"
 
 
-def _shared(dealt: DataFrame) -> DataFrame:
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin and end."""
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+    return first, np.append(first[1:], len(x))[:len(first)]
+
+
+def _shared(dealt: DataFrame, buckets: int, detail: bool) -> DataFrame:
     """(sid, held, codes, counts) from dealt tokens: how many tokens of a set
-    other sets hold too, these tokens, and how many sets hold each. A set has
-    one row a bucket."""
+    other sets hold too and, with ``detail``, these tokens and how many sets
+    hold each. Both exchanges move packed arrays: tokens to buckets, what is
+    found there to ranges of sets."""
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         read = lambda c, t: np.frombuffer(b"".join(frame[c]), t)
@@ -193,21 +200,39 @@ def _shared(dealt: DataFrame) -> DataFrame:
         keep = np.ones(len(low), bool)
         keep[1:] = (low[1:] != low[:-1]) | (sid[1:] != sid[:-1])  # copies of a set count once
         sid, low = sid[keep], low[keep]
-        run = np.flatnonzero(np.append(True, low[1:] != low[:-1])[:len(low)])
-        size = np.diff(np.append(run, len(low)))
-        each = np.repeat(size, size)
+        first, last = _runs(low)
+        each = np.repeat(last - first, last - first)
         many = each > 1
-        sid, low, each = sid[many], low[many], each[many]
-        order = np.argsort(sid, kind="stable")
-        sid, low, each = sid[order], low[order], each[order]
+        sid, low, each = sid[many], low[many], each[many].astype(np.uint32)
+        span = (sid.view(np.uint64) % _U(buckets)).astype(np.int64)
+        order = np.lexsort((sid, span))
+        sid, low, each, span = sid[order], low[order], each[order], span[order]
         code = np.int64(frame["bucket"].iloc[0]) << 32 | low.astype(np.int64)
-        first = np.flatnonzero(np.append(True, np.diff(sid) != 0)[:len(sid)])
-        last = np.append(first[1:], len(sid))[:len(first)]
-        pick = lambda x, t: [x[a:b].astype(t).tobytes() for a, b in zip(first, last, strict=True)]
-        return pd.DataFrame({"sid": sid[first], "held": last - first, "codes": pick(code, np.int64),
-                             "counts": pick(each, np.uint32)})
-
-    return dealt.groupBy("bucket").applyInPandas(count, "sid bigint, held bigint, codes binary, counts binary")
+        rows = []
+        for lo, hi in zip(*_runs(span), strict=True):
+            a, z = _runs(sid[lo:hi])
+            rows.append((int(span[lo]), sid[lo:hi][a].tobytes(), (z - a).astype(np.uint32).tobytes(),
+                         code[lo:hi].tobytes() if detail else b"", each[lo:hi].tobytes() if detail else b""))
+        return pd.DataFrame(rows, columns=["span", "sids", "sizes", "codes", "counts"])
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        read = lambda c, t: np.frombuffer(b"".join(frame[c]), t)
+        sid, size = read("sids", np.int64), read("sizes", np.uint32).astype(np.int64)
+        order = np.argsort(sid, kind="stable")
+        names, start = np.unique(sid[order], return_index=True)
+        out = pd.DataFrame({"sid": names, "held": np.add.reduceat(size[order], start)})
+        if not detail:
+            return out.assign(codes=b"", counts=b"")
+        by = np.argsort(np.repeat(sid, size), kind="stable")
+        ends = np.cumsum(out["held"].to_numpy())
+        for c, t in (("codes", np.int64), ("counts", np.uint32)):
+            x = read(c, t)[by]
+            out[c] = [x[e - n:e].tobytes() for e, n in zip(ends, out["held"], strict=True)]
+        return out
+
+    found = dealt.groupBy("bucket").applyInPandas(
+        count, "span bigint, sids binary, sizes binary, codes binary, counts binary")
+    return found.groupBy("span").applyInPandas(merge, "sid bigint, held bigint, codes binary, counts binary")
 
 
 def _deal_texts(texts: DataFrame, k: int, buckets: int) -> DataFrame:
@@ -261,8 +286,7 @@ def _prefixes(sets: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
     """(sid, n, u, tokens, prefix, m0..) of the ``sets`` that may have links
     among each other: ``u`` tokens are in no other set, ``prefix`` holds the
     shared ones among the rarest n - ceil(t n) + 1, m0.. are min-hashes."""
-    shared = _shared(_deal_sets(sets, buckets)).groupBy("sid").agg(
-        F.collect_list("codes").alias("codes"), F.collect_list("counts").alias("counts"))
+    shared = _shared(_deal_sets(sets, buckets), buckets, detail=True)
     fields = "sid bigint, n int, u int, tokens binary, prefix array<bigint>" + "".join(
         f", m{r} bigint" for r in range(ROUNDS))
     seeds = _mix(np.arange(7001, 7001 + ROUNDS, dtype=np.uint64))
@@ -274,12 +298,12 @@ def _prefixes(sets: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
                                                   strict=True):
                 mine = np.frombuffer(tokens, np.uint64)
                 n = len(mine)
-                known = np.frombuffer(b"".join(codes), np.int64)
+                known = np.frombuffer(codes, np.int64)
                 by = np.argsort(known)
                 bucket, low = _code(mine, buckets)
                 code = bucket.astype(np.int64) << 32 | low.astype(np.int64)
                 at = np.minimum(np.searchsorted(known[by], code), len(known) - 1)
-                freq = np.where(known[by][at] == code, np.frombuffer(b"".join(counts), np.uint32)[by][at], 1)
+                freq = np.where(known[by][at] == code, np.frombuffer(counts, np.uint32)[by][at], 1)
                 size, u = n - -(-n * num // den) + 1, int((freq == 1).sum())
                 if u < size:
                     least = [int(_mix(mine ^ s).min().view(np.int64)) for s in seeds]
@@ -449,7 +473,7 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     buckets = min(max(8, total // 4096), 1 << 16)
     sets = rows.where("n > 0").groupBy("sid").agg(F.min("_key").alias("doc"), F.first("n").alias("n"),
                                                   F.first("n_a").alias("n_a"))
-    shared = _shared(_deal_texts(texts, k, buckets)).groupBy("sid").agg(F.sum("held").alias("held"))
+    shared = _shared(_deal_texts(texts, k, buckets), buckets, detail=False).select("sid", "held")
     chosen = sets.join(shared, "sid", "left").where(
         F.col("n_a") - F.coalesce("held", F.lit(0)) < _prefix_size(num, den)).select("sid", "doc")
     read = checkpoint(_read_sets(texts, chosen, k))
