@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import checkpoint
+from .shared import checkpoint, sample_by_hash
 
 #: vectors in a stored block, queries in a block
 BLOCK, QUERY_BLOCK = 2048, 512
@@ -134,10 +134,9 @@ def fit(vectors: DataFrame, sample: int, list_size: int) -> np.ndarray:
     """Centroids from at most ``sample`` distinct vectors of the most common
     length (chosen by a hash), for lists of ``list_size`` of ``vectors``."""
     total = vectors.count()
-    rows = vectors.select("v").orderBy(F.xxhash64("v"), "v").limit(sample).collect()
     by_size: dict[int, list] = {}
-    for r in rows:
-        by_size.setdefault(len(r.v), []).append(r.v)
+    for v in sample_by_hash(vectors, "v", sample):
+        by_size.setdefault(len(v), []).append(v)
     if not by_size:
         return np.zeros((0, 0))
     x = np.array(max(by_size.values(), key=len))

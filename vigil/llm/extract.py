@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import sample_by_hash
+
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
@@ -396,8 +398,7 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
     hash of their html, that the driver trains on (a bound; those of more
     than a million characters are left out of training only)."""
     spark = df.sparkSession
-    some = df.where(F.length(page).between(1, 1_000_000)).select(page).orderBy(F.xxhash64(page), page).limit(sample)
-    model = train([r[0] for r in some.collect()])
+    model = train(sample_by_hash(df, page, sample, F.length(page).between(1, 1_000_000)))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
