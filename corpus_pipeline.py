@@ -28,7 +28,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     the label."""
     others = [c for c in docs.columns if c != "doc_id"]
     names = {c: f"_c{i}" for i, c in enumerate(others)}
-    found = langid.identify(docs, langid.learn_from(docs), carry=tuple(F.col(c).alias(n) for c, n in names.items()))
+    found = langid.identify(docs, langid.learn_from(docs), keep_text=names["text"],
+                            carry=tuple(F.col(c).alias(n) for c, n in names.items() if c != "text"))
     found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
     filled = F.coalesce(F.col(names["lang"]), F.col("lang_pred"))
     return found.select("doc_id", *((filled if c == "lang" else F.col(n)).alias(c) for c, n in names.items())).select(

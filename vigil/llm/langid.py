@@ -14,12 +14,15 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: code points that are scored together
 BLOCK = 1_000_000
 BUCKETS = 1 << 15
+#: texts whose Viterbi paths are walked together
+SLICE = 2000
 #: nats that a change of language costs
 SWITCH = 12.0
 #: a language is a candidate for a script that holds this share of its letters
@@ -194,7 +197,7 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 
 def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH,
-             carry: tuple[Column, ...] = ()) -> DataFrame:
+             carry: tuple[Column, ...] = (), keep_text: str | None = None) -> DataFrame:
     """Per row: ``key``, ``lang_pred`` (the language with most letters on the
     Viterbi path; ``und`` for a null text, one without letters, or a model
     without languages), ``score`` (its share of the letters, 0 to 1) and
@@ -203,45 +206,53 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
     Ties go to the first language by name. Rows are independent: repeated
     rows and null keys stay; an empty table gives an empty one. ``carry``:
-    columns to pass along, by their aliases."""
+    columns to pass along, by their aliases; ``keep_text``: name under which
+    the text passes along."""
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    source = df.select(F.col(key).alias("_key"), *carry, F.col(text).alias("_text"))
+    source = df.select(F.col(key).alias("_key"), *carry, F.col(text).alias(keep_text or "_text"))
     kept = [f for f in source.schema.fields if f.name != "_text"]
+    span_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())]))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+    def label(m: Model, texts: list[str]) -> tuple[list, list, list]:
+        """(languages, scores, spans) of some texts."""
         n_langs = len(m.langs)
+        parts = []
+        for start, some in blocks(texts):
+            w = Words(some)
+            parts.append((m.scores(w), w.doc + start, w.length, w.first, w.last))
+        scores, doc, length, first, last = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        path = viterbi(scores, doc, len(texts), switch)
+        letters = np.bincount(doc * n_langs + path, length, len(texts) * n_langs).reshape(-1, n_langs)
+        best, total = letters.argmax(1), letters.sum(1)
+        spans: list[list] = [[] for _ in texts]
+        if len(doc):
+            new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (path[1:] != path[:-1])]))
+            end = np.append(new[1:], len(doc)) - 1
+            for d, a, b, k in zip(doc[new].tolist(), first[new].tolist(), last[end].tolist(), path[new].tolist(),
+                                  strict=True):
+                spans[d].append({"start": a, "stop": b, "lang": m.langs[k]})
+        share = letters[np.arange(len(texts)), best] / np.maximum(total, 1)
+        return np.where(total > 0, np.array(m.langs, object)[best], "und").tolist(), share.tolist(), spans
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
         for batch in batches:
-            texts = batch["_text"].fillna("").tolist()
-            parts = []
-            for start, some in blocks(texts):
-                w = Words(some)
-                parts.append((m.scores(w), w.doc + start, w.length, w.first, w.last))
-            out = batch[[f.name for f in kept]].copy()
-            if not parts or not n_langs:
-                out["lang_pred"], out["score"], out["spans"] = "und", 0.0, [[] for _ in texts]
-                yield out
-                continue
-            scores, doc, length, first, last = (np.concatenate([p[i] for p in parts]) for i in range(5))
-            path = viterbi(scores, doc, len(texts), switch)
-            letters = np.bincount(doc * n_langs + path, length, len(texts) * n_langs).reshape(-1, n_langs)
-            best, total = letters.argmax(1), letters.sum(1)
-            out["lang_pred"] = np.where(total > 0, np.array(m.langs, object)[best], "und")
-            out["score"] = letters[np.arange(len(texts)), best] / np.maximum(total, 1)
-            spans: list[list] = [[] for _ in texts]
-            if len(doc):
-                new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (path[1:] != path[:-1])]))
-                end = np.append(new[1:], len(doc)) - 1
-                for d, a, b, k in zip(doc[new].tolist(), first[new].tolist(), last[end].tolist(), path[new].tolist(),
-                                      strict=True):
-                    spans[d].append({"start": a, "stop": b, "lang": m.langs[k]})
-            out["spans"] = spans
-            yield out
+            texts = batch.column(batch.num_columns - 1)
+            out: tuple[list, ...] = ([], [], [])
+            for lo in range(0, batch.num_rows, SLICE):
+                some = [t or "" for t in texts.slice(lo, SLICE).to_pylist()]
+                got = label(m, some) if m.langs else (["und"] * len(some), [0.0] * len(some), [[] for _ in some])
+                for column, values in zip(out, got, strict=True):
+                    column += values
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(len(kept))), pa.array(out[0], pa.string()),
+                 pa.array(out[1], pa.float64()), pa.array(out[2], span_type)],
+                [*(f.name for f in kept), "lang_pred", "score", "spans"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    out = source.mapInPandas(run, f"{fields}, lang_pred string, score double, "
-                                  "spans array<struct<start:bigint,stop:bigint,lang:string>>")
+    out = source.mapInArrow(run, f"{fields}, lang_pred string, score double, "
+                                 "spans array<struct<start:bigint,stop:bigint,lang:string>>")
     return out.withColumnRenamed("_key", key)
 
 

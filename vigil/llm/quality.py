@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,24 +93,29 @@ def _logit(p: Column) -> Column:
     return F.log(q / (1 - q))
 
 
-def evidence(docs: DataFrame, model: dict[str, np.ndarray] | None, columns: list[Column],
-             text: str = "text") -> DataFrame:
-    """``columns`` (aliased) and ``evidence``: the document's own
-    probability; 0 for texts without words, 0.5 from a silent classifier."""
-    source = docs.select(*columns, F.col(text).alias("_text"))
+def evidence(docs: DataFrame, model: dict[str, np.ndarray] | None, columns: list[Column], text: str = "text",
+             keep_text: str | None = None) -> DataFrame:
+    """``columns`` (aliased), the text under ``keep_text`` if named, and
+    ``evidence``: the document's own probability; 0 for texts without words,
+    0.5 from a silent classifier. Columns pass as Arrow arrays; only a slice
+    of the texts becomes Python strings at a time."""
+    source = docs.select(*columns, F.col(text).alias(keep_text or "_text"))
     kept = [f for f in source.schema.fields if f.name != "_text"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            x = features(b["_text"].fillna("").tolist())
-            out = b[[f.name for f in kept]].copy()
-            p = np.full(len(x), 0.5) if model is None else 1 / (1 + np.exp(-np.clip(
-                (x - model["mean"]) / model["spread"] @ model["w"], -30, 30)))
-            out["evidence"] = np.where(x[:, 0] > 0, p, 0.0)
-            yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, out = batch.column(batch.num_columns - 1), []
+            for lo in range(0, batch.num_rows, 500):
+                x = features([t or "" for t in texts.slice(lo, 500).to_pylist()])
+                p = np.full(len(x), 0.5) if model is None else 1 / (1 + np.exp(-np.clip(
+                    (x - model["mean"]) / model["spread"] @ model["w"], -30, 30)))
+                out.append(np.where(x[:, 0] > 0, p, 0.0))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(len(kept))), pa.array(np.concatenate([np.zeros(0), *out]))],
+                [*(f.name for f in kept), "evidence"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return source.mapInPandas(run, f"{fields}, evidence double")
+    return source.mapInArrow(run, f"{fields}, evidence double")
 
 
 def strength(groups: DataFrame, p: str, n: str) -> float:
@@ -159,7 +165,9 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
                F.col(path).cast("string").alias("_path")]
     if carry:  # whole documents: scored twice rather than written once more
         sites = posteriors(evidence(docs, model, columns[1:], text))
-        scored = evidence(docs, model, columns + [F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)], text)
+        passed = [F.col(c).alias(f"_c{i}") for i, c in enumerate(carry) if c != text]
+        scored = evidence(docs, model, columns + passed, text,
+                          f"_c{carry.index(text)}" if text in carry else None)
     else:
         scored = checkpoint(evidence(docs, model, columns, text))
         sites = posteriors(scored)
