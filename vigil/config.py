@@ -195,12 +195,11 @@ class CheckConfig:
     critical_checks: tuple = CRITICAL_CHECKS
     # exact full-row duplicate count (off: duplicate_rows is not computed)
     row_duplicates: bool = True
-    # quartiles for the IQR check: "exact" (Spark percentile, one pass; keeps
-    # a value map per snapshot), "select" (exact by rank selection, bounded
-    # memory, a few narrow passes), "approx" (percentile_approx sketch) or
-    # "auto" (exact below quantile_inline_bytes of input, else select)
-    quantiles: str = "auto"
-    quantile_inline_bytes: int = 1 << 30
+    # quartiles for the IQR check, the same way at every size: "select" (exact
+    # by rank selection, bounded memory, a few narrow passes); the caller may
+    # ask for "exact" (Spark percentile, one pass; keeps a value map per
+    # snapshot) or "approx" (percentile_approx sketch)
+    quantiles: str = "select"
     approx_accuracy: int = 100000
 
     def weight(self, check: str) -> int:

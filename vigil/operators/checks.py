@@ -353,11 +353,6 @@ class Checks:
         return self.facts.selectExpr(self.k, "_corr_max AS max_correlation_drift", "_corr_worst AS worst_pair",
                                      f"{self.passed['correlation_drift']} AS passed")
 
-    def correlation_matrix(self) -> DataFrame | None:
-        names = self.p.corr_cols
-        return self._explode([struct(col_a=s(names[i]), col_b=s(names[j]), corr=f"corr_{p}")
-                              for p, (i, j) in enumerate(self.p.corr_pairs)])
-
     def skew(self) -> DataFrame | None:
         t = self.cfg.skew_threshold
         return self._explode([struct(column_name=s(c), skewness=f"sk_{i}",

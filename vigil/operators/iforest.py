@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FEATURE_COLUMNS
+from .quantiles import select_quantiles
 
 # ship this module's task-side code by value, so executors need no install
 try:
@@ -212,10 +213,8 @@ def fit(df: DataFrame, row_id: str, features=FEATURE_COLUMNS, n_trees: int = 100
 
     nodes = cut_lineage(nodes)
     # offset: contamination quantile of the training scores
-    train = _score_raw(z, nodes, features, psi, n_trees, keep=(row_id,))
-    q_expr = (F.percentile("raw_score", contamination) if n <= 10_000_000
-              else F.percentile_approx("raw_score", contamination, 1_000_000))
-    thr = train.agg(q_expr.alias("t")).first()["t"]
+    train = cut_lineage(_score_raw(z, nodes, features, psi, n_trees, keep=(row_id,)).selectExpr("0 AS k", "raw_score"))
+    thr = select_quantiles(train, "k", ["raw_score"], probs=(contamination,)).first()["q_0"][0]
     for d in held:
         d.unpersist()
     return ForestModel(features, means, sigmas, nodes, psi, float(thr), n_trees)
@@ -267,7 +266,4 @@ def _score_raw(z: DataFrame, nodes: DataFrame, features, psi: int, n_trees: int,
             yield out
 
     schema = T.StructType([z.schema[k] for k in keep] + [T.StructField("raw_score", T.DoubleType())])
-    sc = spark.sparkContext
-    if z.rdd.getNumPartitions() < sc.defaultParallelism:  # one-file inputs: use every core
-        z = z.repartition(sc.defaultParallelism)
     return z.mapInPandas(walk, schema)

@@ -101,19 +101,9 @@ class Profile:
         self.cols = self.schema.fieldNames()
         self.prev_schema = prev_schema
         self.keys = keys
-        self.quantile_mode = self._quantile_mode()
+        self.quantile_mode = self.cfg.quantiles
         _register(self)
 
-    def _quantile_mode(self) -> str:
-        mode = self.cfg.quantiles
-        if mode != "auto":
-            return mode
-        try:  # the optimizer's size estimate of the input (no job)
-            est = int(str(self.series._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        except Exception:  # noqa: BLE001
-            est = 1 << 62
-        return "exact" if est <= self.cfg.quantile_inline_bytes else "select"
-
     # ------------------------------------------------------------ columns
     def has(self, name) -> bool:
         return name is not None and name in self.cols
@@ -394,9 +384,9 @@ class Profile:
                     f"sum(CASE WHEN {st} THEN CAST(cnt AS DOUBLE) * log2(CAST(cnt AS DOUBLE)) END) AS ent_s"]
         if cfg.row_duplicates:
             st = f"{only('g_h')} AND cnt > 1"
-            fin += [f"count_if({st}) AS dup_groups", f"sum(CASE WHEN {st} THEN cnt - 1 END) AS dup_upper"]
+            fin += [f"count_if({st}) AS dup_groups"]
         else:
-            fin += ["CAST(0 AS LONG) AS dup_groups", "CAST(0 AS LONG) AS dup_upper"]
+            fin += ["CAST(0 AS LONG) AS dup_groups"]
         out = g.groupBy(k).agg(*[E(a) for a in fin]).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(out)
         return out

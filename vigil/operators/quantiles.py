@@ -9,8 +9,8 @@ refinement.
 
 * Each target (snapshot, column, rank) starts with the interval
   [min, max], ``below = 0`` values under it and ``n_in`` values inside.
-* A round joins the values to the active targets (a per-target table,
-  broadcast after a size check), buckets the values inside each target's
+* A round joins the values to the active targets (a per-target table, which
+  the planner broadcasts if it is small), buckets the values inside each target's
   interval into ``bins`` equal-width buckets and counts them (``groupBy``
   with map-side combine: at most ``bins`` rows per target leave a task).
   The bucket holding the rank becomes the new interval.
@@ -18,8 +18,9 @@ refinement.
   when it holds at most ``collect_max`` values: those are gathered for that
   target alone, sorted, and the rank is picked.
 
-Rounds are few (each divides the interval by ``bins``); the loop over
-rounds runs on the driver, the data never does.
+A round that leaves as many values inside as the one before raises: no target
+is ever left without a value. The loop over rounds runs on the driver, the
+data never does.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ TKEY = ["ci", "pi", "side"]
 
 
 def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75), bins: int = 16384,
-                     collect_max: int = 100_000, max_rounds: int = 12) -> DataFrame:
+                     collect_max: int = 100_000) -> DataFrame:
     """``(key, q_<i> array<double>)`` for every column ``cols[i]``: the exact
     quantiles at ``probs`` (linear interpolation between neighbours, as
     Spark's ``percentile``) of the non-null values per snapshot."""
@@ -44,6 +45,11 @@ def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75)
     data = (series.selectExpr(k, f"stack({len(cols)}, {stack}) AS (ci, x)")
             .filter("x IS NOT NULL AND NOT isnan(x)"))
     stats = data.groupBy(key, "ci").agg(E("count(1) AS n"), E("min(x) AS lo"), E("max(x) AS hi"))
+    # infinities have buckets of their own; halves keep the range of finite values finite
+    big, inf = "1.7976931348623157E308D", "CAST('Infinity' AS DOUBLE)"
+    lo, hi = f"greatest(lo, -{big}) / 2", f"least(hi, {big}) / 2"
+    bucket = (f"CASE WHEN x = -{inf} THEN -1 WHEN x = {inf} THEN {bins} WHEN {hi} > {lo} THEN "
+              f"least(CAST(floor((x / 2 - {lo}) / ({hi} - {lo}) * {bins}) AS INT), {bins - 1}) ELSE 0 END AS b")
     rows = []
     for pi, p in enumerate(probs):
         pos = f"(CAST(n - 1 AS DOUBLE) * {float(p)!r})"
@@ -53,20 +59,22 @@ def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75)
                .selectExpr(*tk, "rank", "lo", "hi", "CAST(0 AS LONG) AS below", "n AS n_in", "n",
                            "lo = hi AS done", "CASE WHEN lo = hi THEN lo END AS value"))
     targets = _keep(targets)
-    for _ in range(max_rounds):
+    left = None
+    while True:
         active = targets.filter("NOT done")
-        n_active = active.count()
+        n_active, inside = active.agg(E("count(1)"), E("sum(n_in)")).first()
         if n_active == 0:
             break
-        side = F.broadcast(active) if n_active <= 2_000_000 else active
-        j = data.join(side, [key, "ci"]).filter("x >= lo AND x <= hi")
+        if left is not None and inside >= left:
+            raise RuntimeError(f"{n_active} quantile targets made no progress")
+        left = inside
+        j = data.join(active, [key, "ci"]).filter("x >= lo AND x <= hi")
         # small intervals: gather that target's values and pick the rank
         picked = (j.filter(f"n_in <= {collect_max}").groupBy(*tk)
                   .agg(E("element_at(array_sort(collect_list(x)), CAST(max(rank) - max(below) + 1 AS INT)) AS pv")))
         # large intervals: one histogram round
         hist = (j.filter(f"n_in > {collect_max}")
-                .selectExpr(*tk, "x", f"CASE WHEN hi > lo THEN least(CAST(floor((x - lo) / (hi - lo) * {bins}) AS INT),"
-                                      f" {bins - 1}) ELSE 0 END AS b")
+                .selectExpr(*tk, "x", bucket)
                 .groupBy(*tk, "b").agg(E("count(1) AS c"), E("min(x) AS bmin"), E("max(x) AS bmax")))
         hist = hist.withColumn("before", F.sum("c").over(Window.partitionBy(*tk).orderBy("b")) - F.col("c"))
         hit = (hist.join(active.select(*tk, "rank", "below"), tk)

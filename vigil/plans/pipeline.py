@@ -77,11 +77,11 @@ def run_pipeline(spark: SparkSession, series: DataFrame, history_path: str, mode
     try:
         cur = load_latest_snapshot(series, key)
         prev = load_previous_snapshot(series, key)
-        ts = _dt.datetime.combine(as_of or _dt.date.today(), _dt.time(8, 0))
+        ts = _dt.datetime.combine(as_of or started.date(), started.time())  # a rerun of the day is a row of its own
         run = run_all_checks(cur.drop(key), None if prev is None else prev.drop(key), config, as_of=as_of,
                              dataset_name=dataset_name)
         metrics = current_only(run.metrics(timestamp=ts))
-        appended = hist.append_metrics(spark, history_path, metrics)
+        appended = hist.append_metrics(spark, history_path, metrics, skip_existing=False)
         history = hist.fetch_all_metrics(spark, history_path, dataset_name, ordered=False)
         if not include_current:
             history = history.join(appended.select("id"), "id", "left_anti")

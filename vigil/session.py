@@ -32,14 +32,6 @@ def get_session(master: str | None = None, app: str = "vigil",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The context's checkpoint folder. When the context has none yet, use
     ``spark.checkpoint.dir`` as the cluster names it; only when that is
@@ -51,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
@@ -63,29 +57,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven small; otherwise
-    return it unchanged so the planner uses a shuffle join. ``df`` should be
-    an aggregate already persisted by the caller (the count is cheap)."""
-    from pyspark.sql import functions as F
-
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def spread(df: DataFrame, persisted: list | None = None) -> DataFrame:
-    """Give an under-partitioned input (fewer partitions than the cluster's
-    default parallelism, e.g. one unsplittable file) a round-robin
-    repartition and keep it for the several passes that follow. Inputs that
-    already have enough partitions - every large table - pass unchanged, so
-    this never reshuffles big data."""
+    """``df`` dealt to ``vigil.spread.partitions`` partitions and kept for the
+    passes that follow, if the caller sets that option (one unsplittable file
+    on many cores); else ``df`` as it is."""
     from pyspark import StorageLevel
 
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    n = df.sparkSession.conf.get("vigil.spread.partitions", None)
+    if not n:
         return df
-    out = df.repartition(target).persist(StorageLevel.DISK_ONLY)  # a data copy: keep it off the heap
+    out = df.repartition(int(n)).persist(StorageLevel.DISK_ONLY)  # a data copy: keep it off the heap
     if persisted is not None:
         persisted.append(out)
     return out

@@ -18,6 +18,7 @@ from ..functions.exprs import col
 
 KEY = "snapshot_date"
 FILE_GLOB = "snapshot_*.csv"
+NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?(inf|infinity|nan)\s*$"
 FILE_DATE = r"snapshot_(\d{4}-\d{2}-\d{2})[^/]*\.csv$"
 
 
@@ -32,9 +33,9 @@ def _fs_path(spark: SparkSession, path: str):
 def _require_file(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
-        raise FileNotFoundError(f"CSV file missing: {path}")
+        raise FileNotFoundError(f"no such snapshot file: {path}")
     if fs.getContentSummary(p).getLength() == 0:
-        raise ValueError(f"CSV file is empty: {path}")
+        raise ValueError(f"snapshot file has no content: {path}")
 
 
 def normalize_nulls(df: DataFrame, tokens=NULL_TOKENS, keep=()) -> DataFrame:
@@ -76,8 +77,11 @@ def infer_types(df: DataFrame, keep=()) -> DataFrame:
     aggs = []
     for i, n in enumerate(cols):
         c = col(n)
-        aggs.append(F.count_if(c.isNotNull() & c.try_cast("bigint").isNull()).alias(f"l{i}"))
-        aggs.append(F.count_if(c.isNotNull() & c.try_cast("double").isNull()).alias(f"d{i}"))
+        whole = F.coalesce(c.rlike(r"^\s*[+-]?[0-9]+\s*$") & c.try_cast("bigint").isNotNull(), F.lit(False))
+        aggs.append(F.count_if(c.isNotNull() & ~whole).alias(f"l{i}"))
+        # the JVM's parser also takes type suffixes: ``12D`` and ``7F`` are codes, not numbers
+        number = F.coalesce(c.rlike(NUMBER) & c.try_cast("double").isNotNull(), F.lit(False))
+        aggs.append(F.count_if(c.isNotNull() & ~number).alias(f"d{i}"))
         aggs.append(F.count(c).alias(f"n{i}"))
     r = df.agg(*aggs).first()
     target = {}
@@ -95,6 +99,7 @@ def infer_types(df: DataFrame, keep=()) -> DataFrame:
 def _read_csv_text(spark: SparkSession, path: str, **opts) -> DataFrame:
     r = (spark.read.option("header", True).option("mode", "FAILFAST")
          .option("inferSchema", False).option("nullValue", None)
+         .option("quote", '"').option("escape", '"')  # a quote in a quoted cell is doubled
          .option("emptyValue", ""))
     for k, v in opts.items():
         r = r.option(k, v)
@@ -102,26 +107,21 @@ def _read_csv_text(spark: SparkSession, path: str, **opts) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S1
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with header -> table. Missing or zero-byte file raises; a
-    malformed file raises ``ValueError('Corrupted CSV ...')`` when read."""
+def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """CSV with header -> table. ``multi_line``: quoted cells may hold
+    line breaks (such a file is not split over tasks). Missing or zero-byte file raises; a
+    malformed file raises ``ValueError`` when read."""
     _require_file(spark, path)
     try:
-        raw = normalize_nulls(_read_csv_text(spark, path))
+        raw = normalize_nulls(_read_csv_text(spark, path, multiLine=multi_line))
         if schema is not None:
             return raw.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         return infer_types(raw)
     except Exception as e:  # noqa: BLE001 - surface parser failures uniformly
         if "FileNotFound" in type(e).__name__:
             raise
-        raise ValueError(f"Corrupted CSV file: {path}") from e
-
-
-def load_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet or CSV by extension; NaN normalised to null."""
-    if path.endswith(".csv"):
-        return load_csv(spark, path)
-    return nan_to_null(spark.read.parquet(path))
+        raise ValueError(f"snapshot file cannot be parsed: {path}") from e
 
 
 # ---------------------------------------------------------------- S6
@@ -130,7 +130,9 @@ def scan_snapshot_series(spark: SparkSession, directory: str, key: str = KEY,
     """Every ``snapshot_YYYY-MM-DD.csv`` in ``directory`` as one series,
     ``key`` = the date in the file name. One scan; no driver loop."""
     raw = _read_csv_text(spark, directory, pathGlobFilter=FILE_GLOB)
-    raw = raw.withColumn(key, F.to_date(F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1)))
+    # a file whose name holds no date is no snapshot and is left out
+    day = F.try_to_timestamp(F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1), F.lit("yyyy-MM-dd"))
+    raw = raw.withColumn(key, day.cast("date")).where(F.col(key).isNotNull())
     # normalise text tokens on the data columns, keep the key as a date
     fields = [f for f in raw.schema.fields if f.name != key]
     toks = list(NULL_TOKENS)
@@ -199,9 +201,7 @@ def write_snapshots(series: DataFrame, directory: str, key: str = KEY,
                     fmt: str = "parquet") -> None:
     """Write a series partitioned by its key; dynamic partition overwrite
     replaces only the snapshots present in ``series`` (idempotent rerun)."""
-    spark = series.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = series.write.mode("overwrite").partitionBy(key)
+    w = series.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key)
     if fmt == "csv":
         w.option("header", True).csv(directory)
     else:
@@ -225,6 +225,9 @@ def write_snapshot_files(series: DataFrame, directory: str, key: str = KEY) -> l
         if not d.isDirectory() or not name.startswith(key + "="):
             continue
         day = name.split("=", 1)[1]
+        old = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/snapshot_{day}*.csv"))
+        for f in old or []:  # a rerun replaces the day
+            fs.delete(f.getPath(), False)
         for f in fs.listStatus(d.getPath()):
             fn = f.getPath().getName()
             if fn.endswith(".csv"):
