@@ -30,6 +30,7 @@ def session() -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{CPUS}]").appName("vigil-bench")
              .config("spark.driver.memory", os.environ.get("BENCH_MEM", "7g"))
              .config("spark.sql.shuffle.partitions", str(int(CPUS) * 2))
+             .config("vigil.spread.partitions", str(CPUS))  # the tables are one file each
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
