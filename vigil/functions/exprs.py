@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,3 +31,16 @@ def dtype_name(dt: T.DataType) -> str:
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return "datetime64[ns]"
     return "object"
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: list, how: str = "inner",
+                   hint=lambda df: df) -> DataFrame:
+    """Join on equal ``on`` columns where null equals null; the right side's
+    copies of them are dropped. ``hint`` may wrap the right side (broadcast)."""
+    names = {c: f"_right_{i}" for i, c in enumerate(on)}
+    right = hint(right.withColumnsRenamed(names))
+    same = F.lit(True)
+    for c, r in names.items():
+        same = same & col(c).eqNullSafe(F.col(r))
+    out = left.join(right, same, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*names.values())

@@ -47,6 +47,10 @@ def struct_l(pairs) -> str:
 
 
 EMPTY_ARR = "CAST(array() AS ARRAY<STRING>)"
+# the passes over the data, besides stage A, that a check needs
+NEEDS = {"duplicate_detection": ("ids", "dups"), "outlier_detection_iqr": ("iqr",),
+         "outlier_detection_zscore": ("zscore",), "psi_distribution_drift": ("psi",),
+         "entropy_change": ("values",), "time_gap_detection": ("gaps",), "uniqueness_constraints": ("ids",)}
 
 
 class Checks:
@@ -57,44 +61,58 @@ class Checks:
         self.cfg = profile.cfg
         self.key = profile.key
         self.k = q(profile.key)
+        self._views: dict = {}
 
     # ---------------------------------------------------------------- facts
-    @cached_property
-    def facts(self) -> DataFrame:
-        """Profile facts plus the derived figures and pass flags, computed
-        once (staged projections stay small enough for codegen)."""
-        f = self.p.facts
-        if self.p.psi_on:
-            b = self.cfg.psi_bins
-            f = f.selectExpr("*", f"CAST({add(f'bc_{i}' for i in range(1, b + 1))} AS DOUBLE) AS _ct",
-                             f"CAST({add(f'pbn_{i}' for i in range(1, b + 1))} AS DOUBLE) AS _pt")
-            sh = []
-            for i in range(1, b + 1):
-                sh += [f"bc_{i} / (_ct + 1e-9) AS _cs{i}", f"pbn_{i} / (_pt + 1e-9) AS _ps{i}"]
-            f = f.selectExpr("*", *sh)
-            f = f.selectExpr("*", *[f"CASE WHEN _{r}{i} = 0 THEN 0.0001 ELSE _{r}{i} END AS _{r}z{i}"
-                                    for i in range(1, b + 1) for r in ("cs", "ps")])
-            psi = add(f"(_csz{i} - _psz{i}) * ln(_csz{i} / _psz{i})" for i in range(1, b + 1))
-            f = f.selectExpr("*", f"CASE WHEN prev_key IS NOT NULL AND bc_1 IS NOT NULL AND pbn_1 IS NOT NULL "
-                                  f"AND (_ct > 0 OR _pt > 0) THEN {psi} END AS _psi")
-        else:
-            f = f.selectExpr("*", "CAST(NULL AS DOUBLE) AS _psi")
-        f = f.selectExpr("*", f"{self._corr_max_sql()} AS _corr_max")
-        f = f.selectExpr("*", f"{self._corr_worst_sql()} AS _corr_worst")
-        f = f.selectExpr("*", *[f"{v} AS `_pass_{n}`" for n, v in self._passed_sql().items()])
+    def view(self, *checks: str) -> DataFrame:
+        """Profile facts with the derived figures and pass flags of ``checks``
+        (all checks by default), computed once. Only the passes over the data
+        that these checks need are run; a wider view that exists is used."""
+        names = frozenset(checks or CHECK_ORDER)
+        for have, f in self._views.items():
+            if names <= have:
+                return f
+        f = self.p.facts_with({part for n in names for part in NEEDS.get(n, ())})
+        if "psi_distribution_drift" in names:
+            f = self._with_psi(f)
+        if "correlation_drift" in names:
+            f = f.selectExpr("*", f"{self._corr_max_sql()} AS _corr_max")
+            f = f.selectExpr("*", f"{self._corr_worst_sql()} AS _corr_worst")
+        f = f.selectExpr("*", *[f"{v} AS `_pass_{n}`" for n, v in self._passed_sql().items() if n in names])
         f = f.persist(StorageLevel.MEMORY_AND_DISK)
         self.p._persisted.append(f)
+        self._views[names] = f
         return f
 
+    @property
+    def facts(self) -> DataFrame:
+        return self.view()
+
+    def _with_psi(self, f: DataFrame) -> DataFrame:
+        if not self.p.psi_on:
+            return f.selectExpr("*", "CAST(NULL AS DOUBLE) AS _psi")
+        b = self.cfg.psi_bins
+        f = f.selectExpr("*", f"CAST({add(f'bc_{i}' for i in range(1, b + 1))} AS DOUBLE) AS _ct",
+                         f"CAST({add(f'pbn_{i}' for i in range(1, b + 1))} AS DOUBLE) AS _pt")
+        sh = []
+        for i in range(1, b + 1):
+            sh += [f"bc_{i} / (_ct + 1e-9) AS _cs{i}", f"pbn_{i} / (_pt + 1e-9) AS _ps{i}"]
+        f = f.selectExpr("*", *sh)
+        f = f.selectExpr("*", *[f"CASE WHEN _{r}{i} = 0 THEN 0.0001 ELSE _{r}{i} END AS _{r}z{i}"
+                                for i in range(1, b + 1) for r in ("cs", "ps")])
+        psi = add(f"(_csz{i} - _psz{i}) * ln(_csz{i} / _psz{i})" for i in range(1, b + 1))
+        return f.selectExpr("*", f"CASE WHEN has_prev AND bc_1 IS NOT NULL AND pbn_1 IS NOT NULL "
+                                 f"AND (_ct > 0 OR _pt > 0) THEN {psi} END AS _psi")
+
     @cached_property
     def passed(self) -> dict:
-        """check name -> SQL reading its boolean column in :attr:`facts`."""
+        """check name -> SQL reading its boolean column in a view."""
         return {n: f"`_pass_{n}`" for n in CHECK_ORDER}
 
-    def _explode(self, rows: list) -> DataFrame | None:
+    def _explode(self, rows: list, *checks: str) -> DataFrame | None:
         if not rows:
             return None
-        return self.facts.selectExpr(self.k, f"inline(array({', '.join(rows)}))")
+        return self.view(*checks).selectExpr(self.k, f"inline(array({', '.join(rows)}))")
 
     # ---------------------------------------------------------------- figures
     @staticmethod
@@ -152,7 +170,7 @@ class Checks:
     def _corr_max_sql(self) -> str:
         if len(self.p.corr_cols) < 2:
             return "CAST(NULL AS DOUBLE)"
-        return f"CASE WHEN prev_key IS NOT NULL THEN {greatest(d for _, _, d in self._corr_diffs())} END"
+        return f"CASE WHEN has_prev THEN {greatest(d for _, _, d in self._corr_diffs())} END"
 
     def _corr_worst_sql(self) -> str:
         if len(self.p.corr_cols) < 2:
@@ -160,7 +178,7 @@ class Checks:
         names = self.p.corr_cols
         whens = " ".join(f"WHEN {d} = _corr_max THEN {s(f'({names[i]!r}, {names[j]!r})')}"
                          for i, j, d in self._corr_diffs())
-        return f"CASE WHEN prev_key IS NOT NULL THEN CASE {whens} END END"
+        return f"CASE WHEN has_prev THEN CASE {whens} END END"
 
     def _skew_flagged(self) -> str:
         t = self.cfg.skew_threshold
@@ -180,7 +198,7 @@ class Checks:
         if not self.p.ent_on:
             return "CAST(NULL AS DOUBLE)"
         ok = "true" if self.p.prev_has(self.cfg.entropy_column) else "false"
-        return f"CASE WHEN prev_key IS NOT NULL AND {ok} THEN abs(entropy - prev_entropy) END"
+        return f"CASE WHEN has_prev AND {ok} THEN abs(entropy - prev_entropy) END"
 
     @staticmethod
     def _max_gap() -> str:
@@ -234,10 +252,10 @@ class Checks:
         out["outlier_detection_iqr"] = f"{self._iqr_total()} = 0"
         out["outlier_detection_zscore"] = f"{self._z_total()} = 0"
         added, removed, changes = self.schema_change
-        out["schema_change_detection"] = f"(prev_key IS NULL OR {_lit(not (added or removed or changes))})"
+        out["schema_change_detection"] = f"(NOT has_prev OR {_lit(not (added or removed or changes))})"
         out["data_freshness"] = (f"coalesce({self._age_days()} <= {int(cfg.freshness_max_days)}, false)"
                                  if p.date_on else "false")
-        out["volume_anomaly"] = f"(prev_key IS NULL OR {self._change_pct()} <= {num(cfg.volume_threshold_pct)})"
+        out["volume_anomaly"] = f"(NOT has_prev OR {self._change_pct()} <= {num(cfg.volume_threshold_pct)})"
         out["missing_value_percentage"] = f"{self._missing_flagged()} = 0"
         out["psi_distribution_drift"] = "coalesce(bround(_psi, 4) < 0.2, true)"
         out["correlation_drift"] = f"coalesce(_corr_max <= {num(cfg.corr_threshold)}, true)"
@@ -255,56 +273,56 @@ class Checks:
     # ---------------------------------------------------------------- flat frames
     def null_values_by_column(self) -> DataFrame:
         return self._explode([struct(column_name=s(c), null_count=f"nul_{i}", null_pct=self._pct(i))
-                              for i, c in enumerate(self.p.cols)])
+                              for i, c in enumerate(self.p.cols)], "null_value_detection")
 
     def null_values(self) -> DataFrame:
-        return self.facts.selectExpr(self.k, f"{self._total_nulls()} AS total_nulls",
+        return self.view("null_value_detection").selectExpr(self.k, f"{self._total_nulls()} AS total_nulls",
                                      f"{self._overall_null_pct()} AS overall_null_pct",
                                      f"{self.passed['null_value_detection']} AS passed")
 
     def duplicates(self) -> DataFrame:
-        return self.facts.selectExpr(self.k, "duplicate_rows", f"{self._dup_ids()} AS duplicate_ids",
+        return self.view("duplicate_detection").selectExpr(self.k, "duplicate_rows", f"{self._dup_ids()} AS duplicate_ids",
                                      f"{self.passed['duplicate_detection']} AS passed")
 
     def uniqueness(self) -> DataFrame:
         if not self.p.id_on:
-            return self.facts.selectExpr(self.k, "CAST(NULL AS LONG) AS total_rows",
+            return self.view("uniqueness_constraints").selectExpr(self.k, "CAST(NULL AS LONG) AS total_rows",
                                          "CAST(NULL AS LONG) AS unique_values",
                                          "CAST(NULL AS LONG) AS duplicates", "true AS passed")
-        return self.facts.selectExpr(self.k, "n AS total_rows", "id_distinct AS unique_values",
+        return self.view("uniqueness_constraints").selectExpr(self.k, "n AS total_rows", "id_distinct AS unique_values",
                                      "n - id_distinct AS duplicates",
                                      f"{self.passed['uniqueness_constraints']} AS passed")
 
     def data_types(self) -> DataFrame:
         rows = [struct(column_name=s(c), expected=arr(e), actual=s(a)) for c, e, a in self.type_mismatches]
         if not rows:
-            return self.facts.selectExpr(self.k, "CAST(NULL AS STRING) AS column_name",
+            return self.view("data_type_validation").selectExpr(self.k, "CAST(NULL AS STRING) AS column_name",
                                          "CAST(NULL AS ARRAY<STRING>) AS expected",
                                          "CAST(NULL AS STRING) AS actual").limit(0)
-        return self._explode(rows)
+        return self._explode(rows, "data_type_validation")
 
     def column_existence(self) -> DataFrame:
-        return self.facts.selectExpr(self.k, f"{arr(self.missing_columns)} AS missing_columns",
+        return self.view("column_existence").selectExpr(self.k, f"{arr(self.missing_columns)} AS missing_columns",
                                      f"{arr(self.extra_columns)} AS extra_columns",
                                      f"{self.passed['column_existence']} AS passed")
 
     def schema_changes(self) -> DataFrame:
         added, removed, changes = self.schema_change
         tc = arr([f"{c}:{a}->{b}" for c, (a, b) in changes.items()])
-        return self.facts.selectExpr(
-            self.k, f"CASE WHEN prev_key IS NOT NULL THEN {arr(added)} END AS columns_added",
-            f"CASE WHEN prev_key IS NOT NULL THEN {arr(removed)} END AS columns_removed",
-            f"CASE WHEN prev_key IS NOT NULL THEN {tc} END AS type_changes",
+        return self.view("schema_change_detection").selectExpr(
+            self.k, f"CASE WHEN has_prev THEN {arr(added)} END AS columns_added",
+            f"CASE WHEN has_prev THEN {arr(removed)} END AS columns_removed",
+            f"CASE WHEN has_prev THEN {tc} END AS type_changes",
             f"{self.passed['schema_change_detection']} AS passed")
 
     def range_violations(self) -> DataFrame | None:
         return self._explode([struct(column_name=s(c), range_lo=num(lo), range_hi=num(hi),
                                      violation_count=f"rv_{i}", min_found=f"rmin_{i}", max_found=f"rmax_{i}")
-                              for i, (c, lo, hi) in enumerate(self.p.range_cols)])
+                              for i, (c, lo, hi) in enumerate(self.p.range_cols)], "range_validation")
 
     def pattern_violations(self) -> DataFrame | None:
         return self._explode([struct(column_name=s(c), pattern=s(pt), invalid_count=f"pb_{i}")
-                              for i, (c, pt) in enumerate(self.p.pattern_cols)])
+                              for i, (c, pt) in enumerate(self.p.pattern_cols)], "regex_pattern_validation")
 
     @staticmethod
     def _iqr_fields(i):
@@ -320,21 +338,22 @@ class Checks:
             q1, q3, lo, hi, cnt, pct = self._iqr_fields(i)
             rows.append(struct(column_name=s(c), q1=q1, q3=q3, lower_bound=lo, upper_bound=hi,
                                outlier_count=cnt, outlier_pct=pct))
-        return self._explode(rows)
+        return self._explode(rows, "outlier_detection_iqr")
 
     def zscore_outliers(self) -> DataFrame | None:
         return self._explode([struct(column_name=s(c), outlier_count=f"CAST(coalesce(zo_{i}, 0) AS LONG)",
-                                     max_zscore=self._zmax(i)) for i, c in enumerate(self.p.z_cols)])
+                                     max_zscore=self._zmax(i)) for i, c in enumerate(self.p.z_cols)],
+                             "outlier_detection_zscore")
 
     def freshness(self) -> DataFrame:
         if not self.p.date_on:
-            return self.facts.selectExpr(self.k, "CAST(NULL AS DATE) AS latest_date",
+            return self.view("data_freshness").selectExpr(self.k, "CAST(NULL AS DATE) AS latest_date",
                                          "CAST(NULL AS LONG) AS age_days", "false AS passed")
-        return self.facts.selectExpr(self.k, "to_date(fmax) AS latest_date", f"{self._age_days()} AS age_days",
+        return self.view("data_freshness").selectExpr(self.k, "to_date(fmax) AS latest_date", f"{self._age_days()} AS age_days",
                                      f"{self.passed['data_freshness']} AS passed")
 
     def volume(self) -> DataFrame:
-        return self.facts.selectExpr(self.k, "prev_n AS previous_rows", "n AS current_rows",
+        return self.view("volume_anomaly").selectExpr(self.k, "prev_n AS previous_rows", "n AS current_rows",
                                      f"{self._change_pct()} AS change_pct",
                                      f"{self.passed['volume_anomaly']} AS passed")
 
@@ -342,67 +361,67 @@ class Checks:
         m = self.cfg.missing_max_pct
         return self._explode([struct(column_name=s(c), missing_pct=self._pct(i),
                                      exceeds_threshold=f"bround({self._pct(i)}, 2) > {num(m)}")
-                              for i, c in enumerate(self.p.cols)])
+                              for i, c in enumerate(self.p.cols)], "missing_value_percentage")
 
     def psi(self) -> DataFrame:
-        return self.facts.selectExpr(self.k, "_psi AS psi_score",
+        return self.view("psi_distribution_drift").selectExpr(self.k, "_psi AS psi_score",
                                      f"{self._drift_level('bround(_psi, 4)')} AS drift_level",
                                      f"{self.passed['psi_distribution_drift']} AS passed")
 
     def correlation(self) -> DataFrame:
-        return self.facts.selectExpr(self.k, "_corr_max AS max_correlation_drift", "_corr_worst AS worst_pair",
+        return self.view("correlation_drift").selectExpr(self.k, "_corr_max AS max_correlation_drift", "_corr_worst AS worst_pair",
                                      f"{self.passed['correlation_drift']} AS passed")
 
     def skew(self) -> DataFrame | None:
         t = self.cfg.skew_threshold
         return self._explode([struct(column_name=s(c), skewness=f"sk_{i}",
                                      highly_skewed=f"coalesce(abs(sk_{i}) > {num(t)}, false)")
-                              for i, c in enumerate(self.p.skew_cols)])
+                              for i, c in enumerate(self.p.skew_cols)], "data_skew_detection")
 
     def entropy(self) -> DataFrame | None:
         if not self.p.ent_on:
             return None
-        return self.facts.selectExpr(self.k, "prev_entropy AS previous_entropy", "entropy AS current_entropy",
+        return self.view("entropy_change").selectExpr(self.k, "prev_entropy AS previous_entropy", "entropy AS current_entropy",
                                      f"{self._entropy_delta()} AS entropy_delta",
                                      f"{self.passed['entropy_change']} AS passed")
 
     def time_gaps(self) -> DataFrame | None:
         if not self.p.date_on:
             return None
-        return self.facts.selectExpr(self.k, f"CAST({self._max_gap()} AS LONG) AS max_gap_days_found",
-                                     "CAST(coalesce(large_gaps, 0) AS LONG) AS large_gap_count",
-                                     f"{self.passed['time_gap_detection']} AS passed")
+        if self.p.keys is None and not self._views:  # needs neither stage A nor a predecessor
+            f, passed = self.p.time_gaps, self._passed_sql()["time_gap_detection"]
+        else:
+            f, passed = self.view("time_gap_detection"), self.passed["time_gap_detection"]
+        return f.selectExpr(self.k, f"CAST({self._max_gap()} AS LONG) AS max_gap_days_found",
+                            "CAST(coalesce(large_gaps, 0) AS LONG) AS large_gap_count", f"{passed} AS passed")
 
     def business_rules(self) -> DataFrame | None:
         return self._explode([struct(rule=s(name), violation_count=f"CAST({c} AS LONG)")
-                              for c, name in self.p.rule_cols.items()])
+                              for c, name in self.p.rule_cols.items()], "business_rule_validation")
 
     def invalid_values(self) -> DataFrame | None:
         """Distinct invalid values per set rule and snapshot (null kept as a
         value), distributed - never collected."""
-        parts = []
+        if not self.p.set_rules:
+            return None
+        rows = []
         for r in self.p.set_rules:
             vals = ", ".join(s(str(v)) for v in r.values)
-            parts.append(self.p.series.filter(f"coalesce(NOT ({q(r.column)} IN ({vals})), true)")
-                         .selectExpr(self.k, f"{s(r.name)} AS rule", f"CAST({q(r.column)} AS STRING) AS value")
-                         .distinct())
-        if not parts:
-            return None
-        out = parts[0]
-        for x in parts[1:]:
-            out = out.unionByName(x)
-        return out
+            rows.append(f"CASE WHEN coalesce(NOT ({q(r.column)} IN ({vals})), true) THEN "
+                        f"named_struct('rule', {s(r.name)}, 'value', CAST({q(r.column)} AS STRING)) END")
+        return (self.p.series.selectExpr(self.k, f"inline(filter(array({', '.join(rows)}), x -> x IS NOT NULL))")
+                .distinct())
 
     def referential(self) -> DataFrame | None:
         if not self.p.ref_on:
             return None
-        return self.facts.selectExpr(self.k, "rf_blank AS empty_child", "rf_missing AS parent_without_child",
+        return self.view("referential_consistency").selectExpr(self.k, "rf_blank AS empty_child", "rf_missing AS parent_without_child",
                                      f"{self.passed['referential_consistency']} AS passed")
 
     def amount_calc(self) -> DataFrame | None:
         if not self.p.amount_on:
             return None
-        return self.facts.selectExpr(self.k, "ac_bad AS rows_with_bad_calculation", "ac_max AS max_diff_pct",
+        return self.view("sales_calculation_check").selectExpr(self.k, "ac_bad AS rows_with_bad_calculation", "ac_max AS max_diff_pct",
                                      f"{self.passed['sales_calculation_check']} AS passed")
 
     # ---------------------------------------------------------------- envelope
@@ -444,7 +463,7 @@ class Checks:
         changed = struct(columns_added=arr(added), columns_removed=arr(removed),
                          type_changes=f"array({', '.join(tc)})" if tc else EMPTY_ARR)
         d["schema_change_detection"] = (
-            "CASE WHEN prev_key IS NULL THEN to_json(named_struct('message', 'No previous snapshot available.')) "
+            "CASE WHEN NOT has_prev THEN to_json(named_struct('message', 'No previous snapshot available.')) "
             f"ELSE to_json({changed}) END")
         if p.date_on:
             d["data_freshness"] = struct(latest_order_date="date_format(to_date(fmax), 'yyyy-MM-dd')",

@@ -7,17 +7,18 @@ Plan (independent of the number of snapshots):
   counts, range/pattern/rule counts, moments, quantiles, date max. Map-side
   partial aggregation means the shuffle carries one row per snapshot per
   task, whatever the data size or key skew.
-* stage B - the series joined with per-snapshot parameters from stage A
-  (IQR fences, mean/sigma, PSI bin edges: one row per snapshot, broadcast
-  behind a row-count check) and aggregated with GROUPING SETS
-  ``(key) (key,id) (key,value) (key,row_hash)``: outlier counts, PSI bin
-  counts, distinct ids, value frequencies and candidate duplicate rows come
-  out of one scan and one shuffle whose map side pre-aggregates.
+* stage B - separate narrow aggregates, each built only when a check needs it
+  (``PARTS``): outlier and bin counts per snapshot (one more scan, one row per
+  snapshot and task leaves the map side), distinct ids ``(key, id)``, value
+  counts ``(key, value, count)`` and row hashes ``(key, hash, count)``.
 * time gaps - ``(key, day)`` min/max aggregate, then ``lag`` over the days of
   each snapshot (days, not rows, are ordered).
-* duplicate rows - exact: only row-hash groups with more than one row are
-  re-checked on all columns (semi join + group by), so hash collisions can
-  never merge distinct rows; skipped when no hash repeats.
+* duplicate rows - exact: where a row hash repeats, whole rows are counted
+  with map-side combine (so a row repeated a billion times leaves a task once),
+  and only the groups of more than one row count. Few repeated hashes are
+  first joined to the rows by broadcast, so that only candidates are shuffled.
+
+A null key is a snapshot like any other: joins on the key are null-safe.
 
 Drift figures pair each snapshot with its predecessor by key order (``lag``
 over the per-snapshot table, which has one row per snapshot).
@@ -36,20 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, CheckConfig
-from ..functions.exprs import dtype_name
+from ..functions.exprs import dtype_name, join_null_safe
 from ..functions.sql import E, add, num, q, s, ts_sql
 
-SMALL_KEYS = 200_000  # per-snapshot tables up to this many rows are broadcast
-MAX_LIVE = 4  # profiles whose cached tables are kept; older ones are released
-_LIVE: list = []
-
-
-def _register(profile) -> None:
-    """Keep at most MAX_LIVE profiles' caches. Releasing a cache never
-    changes a result: a later action recomputes it from its lineage."""
-    _LIVE.append(profile)
-    while len(_LIVE) > MAX_LIVE:
-        _LIVE.pop(0).unpersist()
+SMALL_BYTES = 64 << 20  # per-snapshot tables proven to be below this (16 bytes a cell) are broadcast
+SMALL_CANDIDATES = 1 << 18  # repeated row hashes (key, hash) up to this many are broadcast
+PARTS = ("iqr", "zscore", "psi", "ids", "values", "dups", "gaps")
 BLANK_RE = r"(?U)^[\s\x1c-\x1f]*$"  # empty after Python-style strip()
 
 
@@ -102,7 +95,7 @@ class Profile:
         self.prev_schema = prev_schema
         self.keys = keys
         self.quantile_mode = self.cfg.quantiles
-        _register(self)
+        self._views: dict = {}
 
     # ------------------------------------------------------------ columns
     def has(self, name) -> bool:
@@ -261,7 +254,8 @@ class Profile:
         # predecessor / successor by key order over the (tiny) per-snapshot
         # table; their PSI ranges ride along so stage B needs no self-join
         w = f"OVER (ORDER BY {k})"
-        extra = [f"lag({k}) {w} AS prev_key", f"lead({k}) {w} AS next_key"]
+        extra = [f"coalesce(lag(true) {w}, false) AS has_prev",
+                 f"coalesce(lead(true) {w}, false) AS has_next"]
         if "pmin" in a.columns:
             extra += [f"lag(pmin) {w} AS pmin_prev", f"lag(pmax) {w} AS pmax_prev",
                       f"lead(pmin) {w} AS pmin_next", f"lead(pmax) {w} AS pmax_next"]
@@ -269,43 +263,49 @@ class Profile:
         a = a.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)
         self.n_keys = a.count()
-        if self.quantile_mode == "select" and self.iqr_cols:
-            from .quantiles import select_quantiles
-
-            qs = select_quantiles(self.series, self.key, self.iqr_cols)
-            self._persisted.append(qs)
-            side = F.broadcast(qs) if self.n_keys <= SMALL_KEYS else qs
-            a = a.join(side, self.key, "left").persist(StorageLevel.MEMORY_AND_DISK)
-            self._persisted.append(a)
-            a.count()
         return a
 
     def small(self, df: DataFrame) -> DataFrame:
-        """Broadcast a per-snapshot table when the snapshot count is proven
-        small (counted on the persisted stage-A table); otherwise leave the
-        join to the planner (shuffle join)."""
+        """Broadcast a per-snapshot table when its size is proven small (rows
+        counted on the persisted stage-A table, times its columns); otherwise
+        leave the join to the planner (shuffle join)."""
         _ = self.stage_a
-        return F.broadcast(df) if self.n_keys <= SMALL_KEYS else df
+        return F.broadcast(df) if self.n_keys * len(df.columns) * 16 <= SMALL_BYTES else df
+
+    def attach(self, left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+        return join_null_safe(left, right, [self.key], how, self.small)
 
-    # ------------------------------------------------------------ stage B
     @cached_property
-    def params(self) -> DataFrame:
-        """Per-snapshot stage-B parameters (one row per snapshot)."""
-        sel = [self.k]
-        for i, _c in enumerate(self.iqr_cols):
+    def quantiles(self) -> DataFrame:
+        """(key, q_<i>): the quartiles of the IQR columns."""
+        if self.quantile_mode != "select":
+            return self.stage_a.selectExpr(self.k, *[f"q_{i}" for i in range(len(self.iqr_cols))])
+        from .quantiles import select_quantiles
+
+        qs = select_quantiles(self.series, self.key, self.iqr_cols)
+        self._persisted.append(qs)
+        return qs
+
+    # ------------------------------------------------------------ stage B
+    def params(self, parts) -> DataFrame:
+        """Parameters (one row per snapshot) of the counts of ``parts``."""
+        sel, base = [self.k], self.stage_a
+        if "iqr" in parts and self.quantile_mode == "select":
+            base = self.attach(base, self.quantiles)
+        for i in range(len(self.iqr_cols)) if "iqr" in parts else ():
             q1, q3 = f"q_{i}[0]", f"q_{i}[1]"
             sel += [f"{q1} - 1.5 * ({q3} - {q1}) AS lo_{i}", f"{q3} + 1.5 * ({q3} - {q1}) AS hi_{i}"]
-        for i, _c in enumerate(self.z_cols):
+        for i in range(len(self.z_cols)) if "zscore" in parts else ():
             sel += [f"zm_{i}", f"zs_{i}"]
-        if self.psi_on:
+        if "psi" in parts:
             b = self.cfg.psi_bins
             sel += ["least(pmin, pmin_prev) AS plo_c",
                     f"(greatest(pmax, pmax_prev) - least(pmin, pmin_prev)) / {b} AS pst_c",
-                    "prev_key IS NOT NULL AS has_prev",
+                    "has_prev",
                     "least(pmin, pmin_next) AS plo_n",
                     f"(greatest(pmax, pmax_next) - least(pmin, pmin_next)) / {b} AS pst_n",
-                    "next_key IS NOT NULL AS has_next"]
-        return self.stage_a.selectExpr(*sel)
+                    "has_next"]
+        return base.selectExpr(*sel)
 
     def row_hash_sql(self) -> str:
         """xxhash64 over canonical values (-0.0 -> 0.0, one NaN) plus null
@@ -324,72 +324,40 @@ class Profile:
             masks.append(add(bits, "0L"))
         return f"xxhash64({', '.join(masks + parts)})"
 
-    @cached_property
-    def stage_b(self) -> DataFrame:
-        cfg, k = self.cfg, self.key
-        d = self.series.join(self.small(self.params), k)
-        cols = [q(k)]
-        for i, c in enumerate(self.iqr_cols):
+    def counts(self, parts) -> DataFrame:
+        """(key, outlier and bin counts of ``parts``): one scan, one plain
+        aggregate per snapshot."""
+        cfg = self.cfg
+        aggs = []
+        for i, c in enumerate(self.iqr_cols) if "iqr" in parts else ():
             x = f"CAST({q(c)} AS DOUBLE)"
-            cols.append(f"CAST({x} < lo_{i} OR {x} > hi_{i} AS LONG) AS iqo_{i}")
-        for i, c in enumerate(self.z_cols):
+            aggs.append(f"count_if({x} < lo_{i} OR {x} > hi_{i}) AS iqo_{i}")
+        for i, c in enumerate(self.z_cols) if "zscore" in parts else ():
             x = f"CAST({q(c)} AS DOUBLE)"
-            cols.append(f"CAST(abs(try_divide({x} - zm_{i}, zs_{i})) > {num(cfg.zscore_threshold)} AS LONG) AS zo_{i}")
-        if self.psi_on:
+            aggs.append(f"count_if(abs(try_divide({x} - zm_{i}, zs_{i})) > {num(cfg.zscore_threshold)}) AS zo_{i}")
+        d = self.attach(self.series, self.params(parts), "inner")
+        if "psi" in parts:
             v = f"CAST({q(cfg.psi_column)} AS DOUBLE)"
-            cols.append(f"CASE WHEN has_prev AND {v} IS NOT NULL THEN "
-                        f"{psi_bin_sql(v, 'plo_c', 'pst_c', cfg.psi_bins)} END AS bc")
-            cols.append(f"CASE WHEN has_next AND {v} IS NOT NULL THEN "
-                        f"{psi_bin_sql(v, 'plo_n', 'pst_n', cfg.psi_bins)} END AS bn")
-        grp = []
-        if self.id_on:
-            cols.append(f"{q(cfg.id_column)} AS g_idv")
-            grp.append("g_idv")
-        if self.ent_on:
-            cols.append(f"{q(cfg.entropy_column)} AS g_ent")
-            grp.append("g_ent")
-        if cfg.row_duplicates:
-            cols.append(f"{self.row_hash_sql()} AS g_h")
-            grp.append("g_h")
-        x = d.selectExpr(*cols)
-
-        aggs = ["count(1) AS cnt"]
-        aggs += [f"sum(iqo_{i}) AS iqo_{i}" for i in range(len(self.iqr_cols))]
-        aggs += [f"sum(zo_{i}) AS zo_{i}" for i in range(len(self.z_cols))]
-        if self.psi_on:
+            d = d.selectExpr("*", f"CASE WHEN has_prev AND {v} IS NOT NULL THEN "
+                                  f"{psi_bin_sql(v, 'plo_c', 'pst_c', cfg.psi_bins)} END AS bc",
+                             f"CASE WHEN has_next AND {v} IS NOT NULL THEN "
+                             f"{psi_bin_sql(v, 'plo_n', 'pst_n', cfg.psi_bins)} END AS bn")
             for b in range(1, cfg.psi_bins + 1):
                 aggs += [f"count_if(bc = {b}) AS bc_{b}", f"count_if(bn = {b}) AS bn_{b}"]
-        aggs += [f"grouping({g}) AS gr_{g}" for g in grp]
-        sets = [[k]] + [[k, g] for g in grp]
-        g = x.groupingSets(sets, k, *grp).agg(*[E(a) for a in aggs])
-
-        def only(setcol):
-            conds = [f"gr_{o} = {0 if o == setcol else 1}" for o in grp]
-            return "(" + " AND ".join(conds) + ")" if conds else "true"
-
-        top = only(None)
-        fin = [f"sum(CASE WHEN {top} THEN iqo_{i} END) AS iqo_{i}" for i in range(len(self.iqr_cols))]
-        fin += [f"sum(CASE WHEN {top} THEN zo_{i} END) AS zo_{i}" for i in range(len(self.z_cols))]
-        if self.psi_on:
-            for b in range(1, cfg.psi_bins + 1):
-                fin += [f"sum(CASE WHEN {top} THEN bc_{b} END) AS bc_{b}",
-                        f"sum(CASE WHEN {top} THEN bn_{b} END) AS bn_{b}"]
-        if self.id_on:
-            st = only("g_idv")
-            fin += [f"count_if({st} AND g_idv IS NOT NULL) AS id_distinct",
-                    f"max({st} AND g_idv IS NULL) AS id_has_null"]
-        if self.ent_on:
-            st = f"{only('g_ent')} AND g_ent IS NOT NULL"
-            fin += [f"sum(CASE WHEN {st} THEN CAST(cnt AS DOUBLE) END) AS ent_n",
-                    f"sum(CASE WHEN {st} THEN CAST(cnt AS DOUBLE) * log2(CAST(cnt AS DOUBLE)) END) AS ent_s"]
-        if cfg.row_duplicates:
-            st = f"{only('g_h')} AND cnt > 1"
-            fin += [f"count_if({st}) AS dup_groups"]
-        else:
-            fin += ["CAST(0 AS LONG) AS dup_groups"]
-        out = g.groupBy(k).agg(*[E(a) for a in fin]).persist(StorageLevel.MEMORY_AND_DISK)
-        self._persisted.append(out)
-        return out
+        return d.groupBy(self.key).agg(*[E(a) for a in aggs])
+
+    @cached_property
+    def ids(self) -> DataFrame:
+        """(key, id_distinct, id_has_null) over the distinct (key, id)."""
+        x = self.series.selectExpr(self.k, f"{q(self.cfg.id_column)} AS g").distinct()
+        return x.groupBy(self.key).agg(E("count(g) AS id_distinct"), E("max(g IS NULL) AS id_has_null"))
+
+    @cached_property
+    def values(self) -> DataFrame:
+        """(key, ent_n, ent_s) from the value counts of the entropy column."""
+        x = (self.series.selectExpr(self.k, f"{q(self.cfg.entropy_column)} AS g").filter("g IS NOT NULL")
+             .groupBy(self.key, "g").agg(E("CAST(count(1) AS DOUBLE) AS c")))
+        return x.groupBy(self.key).agg(E("sum(c) AS ent_n"), E("sum(c * log2(c)) AS ent_s"))
 
     # ------------------------------------------------------------ duplicates
     @cached_property
@@ -397,27 +365,32 @@ class Profile:
         """(key, duplicate_rows): exact count of rows equal to an earlier row
         of the same snapshot (null equals null); None when no snapshot has a
         repeated row hash (then every count is 0)."""
-        k = self.key
         if not self.cfg.row_duplicates:
             return None
-        B = self.stage_b
-        if B.filter("dup_groups > 0").limit(1).count() == 0:
+        hashed = self.series.selectExpr(self.k, f"{self.row_hash_sql()} AS _h")
+        cand = (hashed.groupBy(self.key, "_h").agg(E("count(1) AS c")).filter("c > 1").select(self.key, "_h")
+                .persist(StorageLevel.MEMORY_AND_DISK))
+        n = cand.count()
+        self._persisted.append(cand)
+        if n == 0:
             return None
-        hashed = self.series.selectExpr("*", f"{self.row_hash_sql()} AS _h")
-        cand = hashed.groupBy(k, "_h").count().filter("count > 1").select(k, "_h")
-        return (hashed.join(cand, [k, "_h"], "left_semi")
-                .groupBy(k, "_h", *[F.col(q(c)) for c in self.cols]).count()
-                .groupBy(k).agg(E("sum(count - 1) AS duplicate_rows")))
+        rows = self.series
+        if n <= SMALL_CANDIDATES:
+            rows = join_null_safe(rows.selectExpr("*", f"{self.row_hash_sql()} AS _h"), cand, [self.key, "_h"],
+                                  "left_semi", F.broadcast)
+        return (rows.groupBy(*[F.col(q(c)) for c in (self.key, *self.cols)]).agg(E("count(1) AS _c"))
+                .filter("_c > 1").groupBy(self.key).agg(E("sum(_c - 1) AS duplicate_rows")))
 
     # ------------------------------------------------------------ time gaps
     @cached_property
     def time_gaps(self) -> DataFrame:
         """(key, gap_n, max_gap, large_gaps): whole-day gaps between
-        consecutive valid dates, computed from per-day min/max."""
+        consecutive valid dates, computed from per-day min/max. Every key of
+        the series has a row; rows without a valid date count nothing."""
         k, cfg = self.k, self.cfg
-        days = (self.series.selectExpr(k, f"{self.ts(cfg.date_column)} AS t").filter("t IS NOT NULL")
+        days = (self.series.selectExpr(k, f"{self.ts(cfg.date_column)} AS t")
                 .groupBy(self.key, E("to_date(t) AS day"))
-                .agg(E("min(t) AS tmin"), E("max(t) AS tmax"), E("count(1) AS c")))
+                .agg(E("min(t) AS tmin"), E("max(t) AS tmax"), E("count(t) AS c")))
         gaps = days.selectExpr(
             k, "c", f"floor(timestampdiff(MICROSECOND, lag(tmax) OVER (PARTITION BY {k} ORDER BY day), tmin)"
                     f" / 86400000000) AS gap")
@@ -426,43 +399,65 @@ class Profile:
 
     # ------------------------------------------------------------ facts
     @cached_property
-    def facts(self) -> DataFrame:
-        """One wide row per snapshot with every raw figure (unrounded) plus
-        the predecessor's figures needed for drift."""
-        k, cfg = self.key, self.cfg
-        f = self.stage_a.join(self.small(self.stage_b), k, "left")
-        dups = self.duplicate_rows
-        if dups is None:
-            f = f.withColumn("duplicate_rows", F.lit(0).cast("long"))
-        else:
-            f = f.join(self.small(dups), k, "left").withColumn(
-                "duplicate_rows", F.coalesce("duplicate_rows", F.lit(0)).cast("long"))
-        if self.date_on:
-            f = f.join(self.small(self.time_gaps), k, "left")
-        derived = []
-        if self.ent_on:
+    def active(self) -> frozenset:
+        """The parts this configuration has work for."""
+        on = {"iqr": self.iqr_cols, "zscore": self.z_cols, "psi": self.psi_on, "ids": self.id_on,
+              "values": self.ent_on, "dups": self.cfg.row_duplicates, "gaps": self.date_on}
+        return frozenset(p for p in PARTS if on[p])
+
+    def facts_with(self, parts=PARTS) -> DataFrame:
+        """One wide row per snapshot with the raw figures (unrounded) of stage A
+        and of ``parts``, plus the predecessor's figures needed for drift. What
+        has been built already is used again."""
+        parts = frozenset(parts) & self.active
+        for have in self._views:
+            if parts <= have:
+                return self._views[have]
+        f, cfg = self.stage_a, self.cfg
+        if "iqr" in parts and self.quantile_mode == "select":
+            f = self.attach(f, self.quantiles)
+        scan = parts & {"iqr", "zscore", "psi"}
+        if scan:
+            f = self.attach(f, self.counts(scan))
+        if "ids" in parts:
+            f = self.attach(f, self.ids)
+        if "values" in parts:
+            f = self.attach(f, self.values)
+        if "dups" in parts and self.duplicate_rows is not None:
+            f = self.attach(f, self.duplicate_rows)
+        if "gaps" in parts:
+            f = self.attach(f, self.time_gaps)
+        if "dups" in parts or not cfg.row_duplicates:
+            found = "coalesce(duplicate_rows, 0)" if "duplicate_rows" in f.columns else "0"
+            f = f.withColumn("duplicate_rows", E(f"CAST({found} AS LONG)"))
+        derived = [f"coalesce(try_divide(cv_{p}, sx_{p} * sy_{p}), 0.0) AS corr_{p}"
+                   for p in range(len(self.corr_pairs))]
+        if "values" in parts:
             derived.append("CASE WHEN ent_n > 0 THEN log2(ent_n) - ent_s / ent_n END AS entropy")
-        derived += [f"coalesce(try_divide(cv_{p}, sx_{p} * sy_{p}), 0.0) AS corr_{p}"
-                    for p in range(len(self.corr_pairs))]
         if derived:
             f = f.selectExpr("*", *derived)
         # predecessor figures: lag over the per-snapshot rows (ordered)
-        w = f"OVER (ORDER BY {q(k)})"
+        w = f"OVER (ORDER BY {self.k})"
         lagged = [f"lag(n) {w} AS prev_n"]
-        if self.ent_on:
+        if "values" in parts:
             lagged.append(f"lag(entropy) {w} AS prev_entropy")
         lagged += [f"lag(corr_{p}) {w} AS pcorr_{p}" for p in range(len(self.corr_pairs))]
-        if self.psi_on:
+        if "psi" in parts:
             lagged += [f"lag(bn_{b}) {w} AS pbn_{b}" for b in range(1, cfg.psi_bins + 1)]
-        f = f.selectExpr("*", *lagged)
-        f = f.persist(StorageLevel.MEMORY_AND_DISK)
+        f = f.selectExpr("*", *lagged).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(f)
+        self._views[parts] = f
         return f
 
+    @property
+    def facts(self) -> DataFrame:
+        return self.facts_with(PARTS)
+
     def unpersist(self) -> None:
         for d in self._persisted:
             d.unpersist()
         self._persisted.clear()
+        self._views.clear()
 
     # ------------------------------------------------------------ schema
     def dtype_names(self, schema: T.StructType | None = None) -> dict:

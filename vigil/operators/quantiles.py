@@ -29,6 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import join_null_safe
 from ..functions.sql import E, q
 
 TKEY = ["ci", "pi", "side"]
@@ -68,7 +69,7 @@ def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75)
         if left is not None and inside >= left:
             raise RuntimeError(f"{n_active} quantile targets made no progress")
         left = inside
-        j = data.join(active, [key, "ci"]).filter("x >= lo AND x <= hi")
+        j = join_null_safe(data, active, [key, "ci"]).filter("x >= lo AND x <= hi")
         # small intervals: gather that target's values and pick the rank
         picked = (j.filter(f"n_in <= {collect_max}").groupBy(*tk)
                   .agg(E("element_at(array_sort(collect_list(x)), CAST(max(rank) - max(below) + 1 AS INT)) AS pv")))
@@ -77,10 +78,10 @@ def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75)
                 .selectExpr(*tk, "x", bucket)
                 .groupBy(*tk, "b").agg(E("count(1) AS c"), E("min(x) AS bmin"), E("max(x) AS bmax")))
         hist = hist.withColumn("before", F.sum("c").over(Window.partitionBy(*tk).orderBy("b")) - F.col("c"))
-        hit = (hist.join(active.select(*tk, "rank", "below"), tk)
+        hit = (join_null_safe(hist, active.select(*tk, "rank", "below"), tk)
                .filter("rank - below >= before AND rank - below < before + c")
                .selectExpr(*tk, "bmin AS lo2", "bmax AS hi2", "below + before AS below2", "c AS n2"))
-        nxt = (active.join(hit, tk, "left").join(picked, tk, "left")
+        nxt = (join_null_safe(join_null_safe(active, hit, tk, "left"), picked, tk, "left")
                .selectExpr(*tk, "rank", "coalesce(lo2, lo) AS lo", "coalesce(hi2, hi) AS hi",
                            "coalesce(below2, below) AS below", "coalesce(n2, n_in) AS n_in", "n",
                            "pv IS NOT NULL OR coalesce(lo2 = hi2, false) AS done",

@@ -73,7 +73,7 @@ def metrics(checks: Checks, dataset_name: str, timestamp: _dt.datetime | None =
         f"{anomaly_flag_sql(passed, cfg)} AS anomaly_flag",
         "coalesce(bround(_psi, 4), 0.0) AS drift_score",
         f"CAST({checks._iqr_total()} AS LONG) AS outlier_count",
-        f"coalesce(CASE WHEN prev_key IS NOT NULL THEN bround({checks._change_pct()}, 2) END, 0.0)"
+        f"coalesce(CASE WHEN has_prev THEN bround({checks._change_pct()}, 2) END, 0.0)"
         f" AS volume_change_pct",
         f"coalesce(abs({checks._max_signed_skew()}), 0.0) AS max_skewness",
         f"coalesce({checks._max_abs_skew()}, 0.0) AS max_abs_skewness",
