@@ -88,6 +88,9 @@ class Checks:
     def facts(self) -> DataFrame:
         return self.view()
 
+    def forget(self) -> None:
+        self._views.clear()
+
     def _with_psi(self, f: DataFrame) -> DataFrame:
         if not self.p.psi_on:
             return f.selectExpr("*", "CAST(NULL AS DOUBLE) AS _psi")
@@ -238,21 +241,46 @@ class Checks:
         changes = {c: (prev[c], cur[c]) for c in sorted(set(cur) & set(prev)) if cur[c] != prev[c]}
         return added, removed, changes
 
+    @cached_property
+    def schema_sql(self) -> dict:
+        """SQL of the schema figures: per snapshot where the series has
+        ``schemas``, else constants of the one schema."""
+        cfg = self.cfg
+        if self.p.schemas is None:
+            mism = [struct(column=s(c), expected=arr(e), actual=s(x)) for c, e, x in self.type_mismatches]
+            added, removed, changes = self.schema_change
+            tc = [struct(column=s(c), prev_dtype=s(x), curr_dtype=s(y)) for c, (x, y) in changes.items()]
+            return dict(mismatches=f"array({', '.join(mism)})" if mism else EMPTY_ARR, missing=arr(self.missing_columns),
+                        extra=arr(self.extra_columns), added=arr(added), removed=arr(removed),
+                        changes=f"array({', '.join(tc)})" if tc else EMPTY_ARR)
+        cur, prev = "map_keys(dtypes)", "map_keys(prev_dtypes)"
+        mism = [struct(column=s(c), expected=arr(list(e)), actual=f"dtypes[{s(c)}]")
+                for c, e in cfg.expected_dtypes.items()]
+        known = arr([*cfg.expected_columns, *cfg.ignored_extra_columns])
+        return dict(
+            mismatches=(f"filter(array({', '.join(mism)}), x -> coalesce(NOT array_contains(x.expected, x.actual), "
+                        f"false))" if mism else EMPTY_ARR),
+            missing=f"array_except({arr(list(cfg.expected_columns))}, {cur})",
+            extra=f"array_sort(array_except({cur}, {known}))",
+            added=f"array_sort(array_except({cur}, {prev}))", removed=f"array_sort(array_except({prev}, {cur}))",
+            changes=(f"transform(array_sort(filter({cur}, c -> coalesce(dtypes[c] <> prev_dtypes[c], false))), c -> "
+                     f"named_struct('column', c, 'prev_dtype', prev_dtypes[c], 'curr_dtype', dtypes[c]))"))
+
     # ---------------------------------------------------------------- pass flags
     def _passed_sql(self) -> dict:
         p, cfg = self.p, self.cfg
         out = {}
         out["null_value_detection"] = f"{self._total_nulls()} = 0"
         out["duplicate_detection"] = f"(duplicate_rows = 0 AND {self._dup_ids()} = 0)"
-        out["data_type_validation"] = _lit(len(self.type_mismatches) == 0)
-        out["column_existence"] = _lit(len(self.missing_columns) == 0)
+        out["data_type_validation"] = f"size({self.schema_sql['mismatches']}) = 0"
+        out["column_existence"] = f"size({self.schema_sql['missing']}) = 0"
         rv = add(f"CASE WHEN rv_{i} > 0 THEN 1 ELSE 0 END" for i in range(len(p.range_cols)))
         out["range_validation"] = f"{rv} = 0"
         out["regex_pattern_validation"] = f"{add(f'pb_{i}' for i in range(len(p.pattern_cols)))} = 0"
         out["outlier_detection_iqr"] = f"{self._iqr_total()} = 0"
         out["outlier_detection_zscore"] = f"{self._z_total()} = 0"
-        added, removed, changes = self.schema_change
-        out["schema_change_detection"] = f"(NOT has_prev OR {_lit(not (added or removed or changes))})"
+        same = " AND ".join(f"size({self.schema_sql[n]}) = 0" for n in ("added", "removed", "changes"))
+        out["schema_change_detection"] = f"(NOT has_prev OR ({same}))"
         out["data_freshness"] = (f"coalesce({self._age_days()} <= {int(cfg.freshness_max_days)}, false)"
                                  if p.date_on else "false")
         out["volume_anomaly"] = f"(NOT has_prev OR {self._change_pct()} <= {num(cfg.volume_threshold_pct)})"
@@ -294,24 +322,24 @@ class Checks:
                                      f"{self.passed['uniqueness_constraints']} AS passed")
 
     def data_types(self) -> DataFrame:
-        rows = [struct(column_name=s(c), expected=arr(e), actual=s(a)) for c, e, a in self.type_mismatches]
-        if not rows:
-            return self.view("data_type_validation").selectExpr(self.k, "CAST(NULL AS STRING) AS column_name",
-                                         "CAST(NULL AS ARRAY<STRING>) AS expected",
-                                         "CAST(NULL AS STRING) AS actual").limit(0)
-        return self._explode(rows, "data_type_validation")
+        f, m = self.view("data_type_validation"), self.schema_sql["mismatches"]
+        if m == EMPTY_ARR:
+            m = "CAST(array() AS ARRAY<STRUCT<column: STRING, expected: ARRAY<STRING>, actual: STRING>>)"
+        return f.selectExpr(self.k, f"inline({m}) AS (column_name, expected, actual)")
 
     def column_existence(self) -> DataFrame:
-        return self.view("column_existence").selectExpr(self.k, f"{arr(self.missing_columns)} AS missing_columns",
-                                     f"{arr(self.extra_columns)} AS extra_columns",
-                                     f"{self.passed['column_existence']} AS passed")
+        x = self.schema_sql
+        return self.view("column_existence").selectExpr(self.k, f"{x['missing']} AS missing_columns",
+                                                        f"{x['extra']} AS extra_columns",
+                                                        f"{self.passed['column_existence']} AS passed")
 
     def schema_changes(self) -> DataFrame:
-        added, removed, changes = self.schema_change
-        tc = arr([f"{c}:{a}->{b}" for c, (a, b) in changes.items()])
+        x = self.schema_sql
+        tc = (x["changes"] if x["changes"] == EMPTY_ARR else
+              f"transform({x['changes']}, t -> concat(t.column, ':', t.prev_dtype, '->', t.curr_dtype))")
         return self.view("schema_change_detection").selectExpr(
-            self.k, f"CASE WHEN has_prev THEN {arr(added)} END AS columns_added",
-            f"CASE WHEN has_prev THEN {arr(removed)} END AS columns_removed",
+            self.k, f"CASE WHEN has_prev THEN {x['added']} END AS columns_added",
+            f"CASE WHEN has_prev THEN {x['removed']} END AS columns_removed",
             f"CASE WHEN has_prev THEN {tc} END AS type_changes",
             f"{self.passed['schema_change_detection']} AS passed")
 
@@ -437,11 +465,9 @@ class Checks:
             null_percentages=f"map_from_arrays({arr(cols)}, array({', '.join(pcts)}))",
             total_nulls=self._total_nulls(), overall_null_pct=f"bround({self._overall_null_pct()}, 2)")
         d["duplicate_detection"] = struct(duplicate_rows="duplicate_rows", duplicate_order_ids=self._dup_ids())
-        mism = [struct(column=s(c), expected=arr(e), actual=s(a)) for c, e, a in self.type_mismatches]
-        d["data_type_validation"] = struct(mismatches=f"array({', '.join(mism)})" if mism else EMPTY_ARR,
-                                           checked_columns=arr(list(cfg.expected_dtypes)))
-        d["column_existence"] = struct(missing_columns=arr(self.missing_columns),
-                                       extra_columns=arr(self.extra_columns))
+        x = self.schema_sql
+        d["data_type_validation"] = struct(mismatches=x["mismatches"], checked_columns=arr(list(cfg.expected_dtypes)))
+        d["column_existence"] = struct(missing_columns=x["missing"], extra_columns=x["extra"])
         viol = [struct(column=s(c), expected_range=f"array({num(lo)}, {num(hi)})", violation_count=f"rv_{i}",
                        min_found=f"rmin_{i}", max_found=f"rmax_{i}") for i, (c, lo, hi) in enumerate(p.range_cols)]
         d["range_validation"] = struct(
@@ -458,10 +484,7 @@ class Checks:
             (c, struct(threshold=num(cfg.zscore_threshold), outlier_count=f"coalesce(zo_{i}, 0)",
                        max_zscore=f"CASE WHEN znn_{i} > 0 THEN bround({self._zmax(i)}, 2) END"))
             for i, c in enumerate(p.z_cols))
-        added, removed, changes = self.schema_change
-        tc = [struct(column=s(c), prev_dtype=s(a), curr_dtype=s(b)) for c, (a, b) in changes.items()]
-        changed = struct(columns_added=arr(added), columns_removed=arr(removed),
-                         type_changes=f"array({', '.join(tc)})" if tc else EMPTY_ARR)
+        changed = struct(columns_added=x["added"], columns_removed=x["removed"], type_changes=x["changes"])
         d["schema_change_detection"] = (
             "CASE WHEN NOT has_prev THEN to_json(named_struct('message', 'No previous snapshot available.')) "
             f"ELSE to_json({changed}) END")

@@ -73,13 +73,17 @@ class Profile:
     ``as_of``           reference date for freshness (default: today).
     ``prev_schema``     pair mode: schema of the previous side (schema checks
                         and column availability); series mode: None.
+    ``schemas``         series mode: (key, dtypes map<column, dtype name>), the
+                        columns and types of every snapshot on its own
+                        (:func:`~vigil.sources.snapshots.snapshot_schemas`).
     ``keys``            optional list of keys that must appear even when a
                         snapshot has no rows (pair mode).
     """
 
     def __init__(self, series: DataFrame, config: CheckConfig = DEFAULT,
                  key: str = "snapshot_date", as_of: _dt.date | None = None,
-                 prev_schema: T.StructType | None = None, keys: list | None = None):
+                 prev_schema: T.StructType | None = None, keys: list | None = None,
+                 schemas: DataFrame | None = None):
         self._persisted: list[DataFrame] = []
         from ..session import allow_cached_coalescing, spread
 
@@ -94,6 +98,7 @@ class Profile:
         self.cols = self.schema.fieldNames()
         self.prev_schema = prev_schema
         self.keys = keys
+        self.schemas = schemas
         self.quantile_mode = self.cfg.quantiles
         self._views: dict = {}
 
@@ -259,6 +264,9 @@ class Profile:
         if "pmin" in a.columns:
             extra += [f"lag(pmin) {w} AS pmin_prev", f"lag(pmax) {w} AS pmax_prev",
                       f"lead(pmin) {w} AS pmin_next", f"lead(pmax) {w} AS pmax_next"]
+        if self.schemas is not None:
+            a = join_null_safe(a, self.schemas.select(self.key, "dtypes"), [self.key], "left")
+            extra.append(f"lag(dtypes) {w} AS prev_dtypes")
         a = a.selectExpr("*", *extra)
         a = a.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)

@@ -18,7 +18,7 @@ from ..config import DEFAULT, FEATURE_COLUMNS, CheckConfig
 from ..operators import forecast as fc
 from ..operators import iforest
 from ..sources import history as hist
-from ..sources.snapshots import KEY, load_latest_snapshot, load_previous_snapshot
+from ..sources.snapshots import KEY, load_latest_snapshot, load_previous_snapshot, load_snapshot
 from .run import current_only, run_all_checks
 
 RUN_SCHEMA = ("status string, started_at timestamp_ntz, finished_at timestamp_ntz, dataset_name string, "
@@ -64,19 +64,24 @@ def combined_anomaly(rule_flag, ml_flag):
     return F.greatest(rule_flag, ml_flag)
 
 
-def run_pipeline(spark: SparkSession, series: DataFrame, history_path: str, model_path: str | None = None,
+def run_pipeline(spark: SparkSession, series: DataFrame | str, history_path: str, model_path: str | None = None,
                  config: CheckConfig = DEFAULT, dataset_name: str = "ecommerce_sales", key: str = KEY,
                  as_of: _dt.date | None = None, include_current: bool = True) -> DataFrame:
-    """One run over the newest snapshot of ``series``. Returns the run
-    record (one row)."""
+    """One run over the newest snapshot of ``series`` (a series, or a folder
+    of snapshot files, of which only the newest two days are read, each with
+    its own header and types). Returns the run record (one row)."""
     started = _dt.datetime.now().replace(microsecond=0)
     rec = dict(status="success", started_at=started, finished_at=None, dataset_name=dataset_name,
                row_id=None, quality_score=None, rule_flag=None, ml_flag=None, ml_score=None, ml_label=None,
                combined_flag=None, forecast_row_count=None, forecast_lower=None, forecast_upper=None,
                forecast_anomaly=None, error=None)
     try:
-        cur = load_latest_snapshot(series, key)
-        prev = load_previous_snapshot(series, key)
+        if isinstance(series, str):
+            cur, prev = load_snapshot(spark, series, 0, key), load_snapshot(spark, series, 1, key)
+            if cur is None:
+                raise FileNotFoundError(f"no snapshot files in {series}")
+        else:
+            cur, prev = load_latest_snapshot(series, key), load_previous_snapshot(series, key)
         ts = _dt.datetime.combine(as_of or started.date(), started.time())  # a rerun of the day is a row of its own
         run = run_all_checks(cur.drop(key), None if prev is None else prev.drop(key), config, as_of=as_of,
                              dataset_name=dataset_name)

@@ -34,14 +34,25 @@ class CheckRun:
         return _metrics(self.checks, self.dataset_name, timestamp)
 
     def close(self) -> None:
+        """Release the cached tables; frames made before still work."""
         self.profile.unpersist()
+        self.checks.forget()
+
+    def __enter__(self) -> CheckRun:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        self.close()
 
 
 def run_series(series: DataFrame, config: CheckConfig = DEFAULT, key: str = KEY,
-               as_of: _dt.date | None = None, dataset_name: str = "ecommerce_sales") -> CheckRun:
+               as_of: _dt.date | None = None, dataset_name: str = "ecommerce_sales",
+               schemas: DataFrame | None = None) -> CheckRun:
     """All checks for every snapshot of ``series``, each against its
-    predecessor (the first snapshot has none)."""
-    prof = Profile(nan_to_null(series, keep=(key,)), config, key=key, as_of=as_of)
+    predecessor (the first snapshot has none). With ``schemas`` the type,
+    column and schema-change checks judge every snapshot by its own columns;
+    without it all snapshots have the schema of the series."""
+    prof = Profile(nan_to_null(series, keep=(key,)), config, key=key, as_of=as_of, schemas=schemas)
     return CheckRun(prof, Checks(prof), dataset_name)
 
 

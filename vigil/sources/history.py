@@ -3,8 +3,9 @@
 The history is a Parquet table partitioned by ``dataset_name`` with a fixed
 schema. Rows are appended by a write job (no per-row inserts); the row id is
 a deterministic hash of (dataset, timestamp) so a retried append is
-recognisable, and :func:`append_metrics` skips snapshots already present
-when ``skip_existing`` is set (idempotent reruns).
+recognisable: :func:`replace_metrics` puts a rerun's row in the place of the
+earlier one, and :func:`append_metrics` can leave out rows already present
+(``skip_existing``, off by default).
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def create_metrics_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_metrics(spark: SparkSession, path: str, metrics: DataFrame,
-                   skip_existing: bool = True) -> DataFrame:
+                   skip_existing: bool = False) -> DataFrame:
     """Append metrics rows; returns the appended rows (with ids). With
     ``skip_existing`` rows whose (dataset, timestamp) already exist are
     left out, so a retried job never duplicates history."""
@@ -84,6 +85,22 @@ def append_metrics(spark: SparkSession, path: str, metrics: DataFrame,
     return rows
 
 
+def replace_metrics(spark: SparkSession, path: str, metrics: DataFrame) -> DataFrame:
+    """Write metrics rows in the place of rows of the same (dataset,
+    timestamp); returns them. Only the datasets in ``metrics`` are rewritten
+    (one row per snapshot), from a copy in the shared checkpoint folder."""
+    from ..session import cut_lineage
+
+    create_metrics_history(spark, path)
+    rows = cut_lineage(history_rows(metrics).select(*[f.name for f in HISTORY_SCHEMA.fields]))
+    old = fetch_all_metrics(spark, path, ordered=False).join(rows.select("dataset_name").distinct(),
+                                                             "dataset_name", "left_semi")
+    kept = old.join(rows.select("dataset_name", "timestamp"), ["dataset_name", "timestamp"], "left_anti")
+    (cut_lineage(kept.unionByName(rows)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dataset_name").parquet(path))
+    return rows
+
+
 def fetch_all_metrics(spark: SparkSession, path: str, dataset_name: str | None = None,
                       ordered: bool = True) -> DataFrame:
     """All rows (optionally one dataset) in timestamp order."""

@@ -7,18 +7,25 @@ grouped by that key; a (current, previous) pair is a series of two keys.
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import NULL_TOKENS
-from ..functions.exprs import col
+from ..functions.exprs import col, dtype_name
 
 KEY = "snapshot_date"
 FILE_GLOB = "snapshot_*.csv"
 NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?(inf|infinity|nan)\s*$"
+# what :func:`load_csv` reads back unchanged: doubled quotes, outer spaces, microseconds
+CSV_WRITE = dict(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                 timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 FILE_DATE = r"snapshot_(\d{4}-\d{2}-\d{2})[^/]*\.csv$"
 
 
@@ -74,6 +81,13 @@ def infer_types(df: DataFrame, keep=()) -> DataFrame:
             if isinstance(f.dataType, T.StringType) and f.name not in keep]
     if not cols:
         return df
+    r = df.agg(*_parse_counts(cols)).first()
+    target = {n: _parsed_type(r, i) for i, n in enumerate(cols)}
+    return df.select(*[col(f.name).cast(target.get(f.name, f.dataType)).alias(f.name) for f in df.schema.fields])
+
+
+def _parse_counts(cols) -> list:
+    """Per column i: values (n), values that are no integer (l), no number (d)."""
     aggs = []
     for i, n in enumerate(cols):
         c = col(n)
@@ -83,17 +97,13 @@ def infer_types(df: DataFrame, keep=()) -> DataFrame:
         number = F.coalesce(c.rlike(NUMBER) & c.try_cast("double").isNotNull(), F.lit(False))
         aggs.append(F.count_if(c.isNotNull() & ~number).alias(f"d{i}"))
         aggs.append(F.count(c).alias(f"n{i}"))
-    r = df.agg(*aggs).first()
-    target = {}
-    for i, n in enumerate(cols):
-        if r[f"n{i}"] == 0:
-            continue
-        if r[f"l{i}"] == 0:
-            target[n] = "bigint"
-        elif r[f"d{i}"] == 0:
-            target[n] = "double"
-    return df.select(*[col(f.name).cast(target[f.name]).alias(f.name)
-                       if f.name in target else col(f.name) for f in df.schema.fields])
+    return aggs
+
+
+def _parsed_type(r, i: int) -> T.DataType:
+    if r[f"n{i}"] and not r[f"l{i}"]:
+        return T.LongType()
+    return T.DoubleType() if r[f"n{i}"] and not r[f"d{i}"] else T.StringType()
 
 
 def _read_csv_text(spark: SparkSession, path: str, **opts) -> DataFrame:
@@ -125,25 +135,103 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 # ---------------------------------------------------------------- S6
+def snapshot_files(spark: SparkSession, directory: str) -> dict:
+    """day -> paths of its ``snapshot_YYYY-MM-DD*.csv`` files, oldest day first;
+    a file whose name holds no date is no snapshot. A listing: nothing is read."""
+    fs, root = _fs_path(spark, directory)
+    if not fs.exists(root):
+        return {}
+    out: dict = {}
+    for st in fs.listStatus(root):
+        day = _file_day(st.getPath().getName())
+        if st.isFile() and st.getLen() and day:
+            out.setdefault(day, []).append(st.getPath().toString())
+    return dict(sorted(out.items()))
+
+
+def _file_day(name: str):
+    m = re.search(FILE_DATE, name)
+    try:
+        return m and _dt.date.fromisoformat(m.group(1))
+    except ValueError:
+        return None
+
+
+def _header(spark: SparkSession, path: str) -> tuple:
+    """Column names of one CSV file: its first line, nothing else is read."""
+    fs, p = _fs_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(next(csv.reader([(line or "").lstrip("\ufeff")])))
+
+
+def _read_days(spark: SparkSession, files: dict, key: str, multi_line: bool = False) -> tuple[DataFrame, list]:
+    """The files of ``files`` as text columns bound by header name, with their
+    day; and the distinct (header, days). Files of one header are one scan, so
+    the plan grows with the number of layouts, not of files."""
+    paths = [(d, p) for d, ps in files.items() for p in ps]
+    with ThreadPoolExecutor(16) as pool:
+        heads = list(pool.map(lambda x: _header(spark, x[1]), paths))
+    groups: dict = {}
+    for (d, p), h in zip(paths, heads, strict=True):
+        groups.setdefault(h, ([], set()))
+        groups[h][0].append(p)
+        groups[h][1].add(d)
+    day = F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1).cast("date")
+    scans = [_read_csv_text(spark, ps, multiLine=multi_line).withColumn(key, day) for ps, _ in groups.values()]
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    return normalize_nulls(raw, keep=(key,)), [(h, sorted(ds)) for h, (_, ds) in groups.items()]
+
+
 def scan_snapshot_series(spark: SparkSession, directory: str, key: str = KEY,
-                         schema: T.StructType | None = None) -> DataFrame:
-    """Every ``snapshot_YYYY-MM-DD.csv`` in ``directory`` as one series,
-    ``key`` = the date in the file name. One scan; no driver loop."""
-    raw = _read_csv_text(spark, directory, pathGlobFilter=FILE_GLOB)
-    # a file whose name holds no date is no snapshot and is left out
-    day = F.try_to_timestamp(F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1), F.lit("yyyy-MM-dd"))
-    raw = raw.withColumn(key, day.cast("date")).where(F.col(key).isNotNull())
-    # normalise text tokens on the data columns, keep the key as a date
-    fields = [f for f in raw.schema.fields if f.name != key]
-    toks = list(NULL_TOKENS)
-    data = raw.select(*[F.when(col(f.name).isin(toks), F.lit(None).cast("string"))
-                        .otherwise(col(f.name)).alias(f.name) for f in fields], F.col(key))
+                         schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """Every ``snapshot_YYYY-MM-DD*.csv`` in ``directory`` as one series,
+    ``key`` = the date in the file name. Columns are bound by each file's own
+    header (one that a file lacks is null there). The series has one type per
+    column: numeric only if it is so in every snapshot; the types of single
+    snapshots are in :func:`snapshot_schemas`. An empty folder raises."""
+    files = snapshot_files(spark, directory)
+    if not files:
+        raise FileNotFoundError(f"no snapshot files in {directory}")
+    data, _ = _read_days(spark, files, key, multi_line)
     if schema is not None:
         return data.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
                            F.col(key))
     return infer_types(data, keep=(key,))
 
 
+def snapshot_schemas(spark: SparkSession, directory: str, key: str = KEY, multi_line: bool = False) -> DataFrame:
+    """(key, dtypes map<column, dtype name>): the columns and types of every
+    snapshot on its own, as the single-file loader would find them. One
+    aggregate per snapshot over all files; a day's columns are those of any
+    of its files."""
+    files = snapshot_files(spark, directory)
+    if not files:
+        raise FileNotFoundError(f"no snapshot files in {directory}")
+    data, heads = _read_days(spark, files, key, multi_line)
+    cols = [c for c in data.columns if c != key]
+    counts = data.groupBy(key).agg(*_parse_counts(cols))
+    names = {n: dtype_name(t) for n, t in (("l", T.LongType()), ("d", T.DoubleType()), ("s", T.StringType()))}
+    kinds = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in cols]),
+        F.array(*[F.when((F.col(f"n{i}") > 0) & (F.col(f"l{i}") == 0), names["l"])
+                  .when((F.col(f"n{i}") > 0) & (F.col(f"d{i}") == 0), names["d"]).otherwise(names["s"])
+                  for i in range(len(cols))]))
+    layouts: dict = {}
+    for h, days in heads:
+        for d in days:
+            layouts.setdefault(d, set()).update(h)
+    has = spark.createDataFrame([(d, sorted(h)) for d, h in layouts.items()], f"{key} date, _has array<string>")
+    return (has.join(counts.select(key, kinds.alias("_kinds")), key, "left")
+            .select(key, F.when(F.col("_kinds").isNull(),  # a header without rows
+                                F.map_from_arrays("_has", F.transform("_has", lambda _: F.lit(names["s"]))))
+                    .otherwise(F.map_filter("_kinds", lambda c, _: F.array_contains("_has", c))).alias("dtypes")))
+
+
 def series_from_table(df: DataFrame, key_expr: Column | str, key: str = KEY) -> DataFrame:
     """A series cut from one table by a key expression, e.g. the day of a
     timestamp. The key expression is evaluated per row; nothing is
@@ -190,6 +278,19 @@ def load_previous_snapshot(series: DataFrame, key: str = KEY, steps_back: int =
     return series.filter(F.col(key) == F.lit(k))
 
 
+def load_snapshot(spark: SparkSession, directory: str, steps_back: int = 0, key: str = KEY,
+                  multi_line: bool = False) -> DataFrame | None:
+    """S2 / S3 on a folder: the snapshot ``steps_back`` before the newest (None
+    if there are too few) with its own header and types. The day is found in
+    the listing; only its files are read."""
+    files = snapshot_files(spark, directory)
+    if len(files) <= steps_back:
+        return None
+    day = list(files)[-1 - steps_back]
+    data, _ = _read_days(spark, {day: files[day]}, key, multi_line)
+    return infer_types(data, keep=(key,))
+
+
 # ---------------------------------------------------------------- S4 / S5
 def add_ingestion_timestamp(df: DataFrame, timestamp: _dt.datetime | None = None) -> DataFrame:
     """Constant ``ingestion_timestamp`` text column (default: now)."""
@@ -203,7 +304,7 @@ def write_snapshots(series: DataFrame, directory: str, key: str = KEY,
     replaces only the snapshots present in ``series`` (idempotent rerun)."""
     w = series.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key)
     if fmt == "csv":
-        w.option("header", True).csv(directory)
+        w.options(**CSV_WRITE).csv(directory)
     else:
         w.parquet(directory)
 
@@ -216,7 +317,7 @@ def write_snapshot_files(series: DataFrame, directory: str, key: str = KEY) -> l
     spark = series.sparkSession
     staging = directory.rstrip("/") + "/_staging"
     data = series.withColumn(key, F.date_format(F.col(key), "yyyy-MM-dd"))
-    data.write.mode("overwrite").option("header", True).partitionBy(key).csv(staging)
+    data.write.mode("overwrite").options(**CSV_WRITE).partitionBy(key).csv(staging)
     jvm = spark.sparkContext._jvm
     fs, root = _fs_path(spark, staging)
     out = []

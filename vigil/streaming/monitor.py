@@ -1,14 +1,13 @@
 """Continuous monitoring (P3) with Structured Streaming.
 
 New snapshot files (``snapshot_YYYY-MM-DD*.csv``) arriving in a folder are
-read by a file-source stream with an explicit schema. Each micro-batch may
-hold several new snapshots, so the batch function runs the *series* form of
-the checks over the batch plus the newest already-committed snapshot before
-it (read back from the same folder as a bounded batch scan), and appends the
-metric rows of the new snapshots to the history table. Appends skip
-(dataset, timestamp) pairs already present, so a batch replayed after a
-failure never duplicates history; the stream checkpoint records which files
-were consumed.
+read by a file-source stream, which tells the days that changed. The batch
+function then checks those days *whole* (a bounded scan of all their files,
+which may have come in several micro-batches), each against the newest day
+before it that has been checked; the day after a changed one is checked again,
+since its drift figures read it. The metric rows replace earlier rows of the
+same (dataset, timestamp), so that late files, replayed batches and reruns
+end in one row per day made from all its files.
 """
 
 from __future__ import annotations
@@ -20,44 +19,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, CheckConfig
+from ..functions.sql import q
 from ..plans.run import run_series
 from ..sources import history as hist
-from ..sources.snapshots import FILE_DATE, FILE_GLOB, KEY, normalize_nulls
+from ..sources.snapshots import FILE_DATE, FILE_GLOB, KEY, _read_days, snapshot_files
 
 
-def _with_key(df: DataFrame, key: str) -> DataFrame:
-    return df.withColumn(key, F.to_date(F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1)))
-
-
-def process_batch(spark: SparkSession, batch: DataFrame, source_dir: str, schema: T.StructType,
-                  history_path: str, config: CheckConfig, dataset_name: str, key: str = KEY,
-                  as_of: _dt.date | None = None) -> int:
-    """Check the snapshots of one micro-batch; returns the rows appended."""
-    from pyspark import StorageLevel
-
-    # the batch feeds several aggregates: keep it for the batch's lifetime
-    batch = normalize_nulls(batch, keep=(key,)).persist(StorageLevel.MEMORY_AND_DISK)
-    keys = [r[0] for r in batch.select(key).distinct().collect()]  # new snapshot dates (a few)
-    if not keys:
-        batch.unpersist()
-        return 0
-    first = min(keys)
+def process_days(spark: SparkSession, days: list, source_dir: str, schema: T.StructType,
+                 history_path: str, config: CheckConfig, dataset_name: str, key: str = KEY,
+                 as_of: _dt.date | None = None) -> int:
+    """Check the snapshots of ``days`` and those that follow them; returns the
+    number of history rows written."""
     hist.create_metrics_history(spark, history_path)
-    done = (hist.fetch_all_metrics(spark, history_path, dataset_name, ordered=False)
-            .filter(F.to_date("timestamp") < F.lit(first))
-            .agg(F.max(F.to_date("timestamp")).alias("d")).first()["d"])
-    series = batch
-    if done is not None:
-        prev = _with_key(spark.read.schema(schema).option("header", True)
-                         .option("pathGlobFilter", f"snapshot_{done.isoformat()}*.csv").csv(source_dir), key)
-        prev = normalize_nulls(prev, keep=(key,))
-        series = batch.unionByName(prev)
-    run = run_series(series, config, key=key, as_of=as_of, dataset_name=dataset_name)
-    new = run.metrics().filter(F.col(key).isin(keys))
-    appended = hist.append_metrics(spark, history_path, new, skip_existing=True).count()
+    day = F.to_date("timestamp")
+    done = {r[0] for r in hist.fetch_all_metrics(spark, history_path, dataset_name, ordered=False)
+            .select(day).distinct().collect()}  # one date per snapshot
+    known = sorted(done | set(days))
+    at = [known.index(d) for d in days]
+    check = {known[i] for a in at for i in (a, a + 1) if i < len(known)}
+    read = check | {known[i - 1] for i in map(known.index, check) if i}
+    files = snapshot_files(spark, source_dir)
+    gone = sorted(str(d) for d in read if d not in files)
+    if gone:
+        raise FileNotFoundError(f"files of checked snapshots are missing: {', '.join(gone)}")
+    files = {d: files[d] for d in sorted(read)}
+    series, _ = _read_days(spark, files, key)
+    for f in schema.fields:  # a value that is not of its type raises, as in the batch loader
+        c = F.col(q(f.name)).cast(f.dataType) if f.name in series.columns else F.lit(None).cast(f.dataType)
+        series = series.withColumn(f.name, c)
+    run = run_series(series.select(*[q(f.name) for f in schema.fields], key), config, key=key, as_of=as_of,
+                     dataset_name=dataset_name)
+    written = hist.replace_metrics(spark, history_path, run.metrics().filter(F.col(key).isin(list(check)))).count()
     run.close()
-    batch.unpersist()
-    return appended
+    return written
 
 
 def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType, history_path: str,
@@ -71,14 +65,17 @@ def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType, h
               .option("pathGlobFilter", FILE_GLOB))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = _with_key(reader.csv(source_dir), key)
+    name = F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1)
+    stream = reader.csv(source_dir).select(F.try_to_timestamp(name, F.lit("yyyy-MM-dd")).cast("date").alias(key))
 
     def fn(batch_df, _epoch_id):
-        process_batch(spark, batch_df, source_dir, schema, history_path, config, dataset_name, key, as_of)
+        days = sorted(r[0] for r in batch_df.distinct().collect() if r[0])  # one date per new snapshot
+        if days:
+            process_days(spark, days, source_dir, schema, history_path, config, dataset_name, key, as_of)
 
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    q = w.start()
+    query = w.start()
     if available_now:
-        q.awaitTermination()
-    return q
+        query.awaitTermination()
+    return query
