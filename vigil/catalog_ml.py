@@ -72,6 +72,26 @@ def a3(spark, sf):
         F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("sampled_rows"))
 
 
+@register("a3_tree_shape", """
+SELECT CAST(t AS INTEGER) AS tree, (SELECT least(256, count(*)) FROM lineitem) AS sampled_rows, 1 AS binary
+FROM range(100) r(t)""")
+def a3_shape(spark, sf):
+    """Every tree holds the whole sample in its leaves and is strictly binary."""
+    return tidy(a3(spark, sf).select("tree", "sampled_rows", (F.col("nodes") == 2 * F.col("leaves") - 1)
+                                     .alias("binary")))
+
+
+@register("a5_flag_share", "SELECT count(*) AS rows, 1 AS labels_agree, 1 AS share_is_contamination FROM lineitem")
+def a5_share(spark, sf):
+    """No more than a tenth of the training rows lie below the threshold, and without ties just a tenth."""
+    li, model = _line_forest(spark, sf)
+    x = model.score(li, keep=("l_orderkey", "l_linenumber"))
+    flagged = F.sum("anomaly_flag") / F.count(F.lit(1))
+    return tidy(x.agg(F.count(F.lit(1)).alias("rows"),
+                      F.every((F.col("anomaly_flag") == 1) == (F.col("prediction_label") == "ANOMALY"))
+                      .alias("labels_agree"), flagged.between(0.09, 0.1 + 1e-3).alias("share_is_contamination")))
+
+
 @register("a4_model_roundtrip")
 def a4(spark, sf):
     """Fit on the events history, save, load, score: same scores as the
@@ -86,6 +106,12 @@ def a4(spark, sf):
     return tidy(a.join(b, "_rid").drop("_rid"))
 
 
+@register("a4_model_equal", f"SELECT count(*) AS rows, count(*) AS equal FROM ({HISTORY_DBL_SQL})")
+def a4_equal(spark, sf):
+    return a4(spark, sf).agg(F.count(F.lit(1)).alias("rows"),
+                             F.count_if(F.col("raw_in_memory") == F.col("raw_loaded")).alias("equal"))
+
+
 @register("a5_isolation_forest_score")
 def a5(spark, sf):
     li, model = _line_forest(spark, sf)
@@ -165,6 +191,21 @@ def a9(spark, sf):
                          combined_anomaly(F.col("rule_flag"), F.col("ml_flag")).alias("combined_flag")))
 
 
+@register("a9_flags_agree", f"""
+SELECT CAST(timestamp AS DATE) AS snapshot, anomaly_flag AS rule_flag, 1 AS combined_is_or FROM ({HISTORY_DBL_SQL})""")
+def a9_agree(spark, sf):
+    return tidy(a9(spark, sf).select(KEY, "rule_flag", (F.col("combined_flag") == F.expr(
+        "CAST(rule_flag = 1 OR ml_flag = 1 AS INT)")).alias("combined_is_or")))
+
+
+@register("a8_flags_agree", f"""
+SELECT row_count, quality_score, anomaly_flag, 1 AS combined_is_or FROM ({HISTORY_DBL_SQL})
+WHERE CAST(timestamp AS DATE) = DATE '2024-01-30'""")
+def a8_agree(spark, sf):
+    return tidy(a8(spark, sf).select("row_count", "quality_score", "anomaly_flag", (F.col("combined_flag") == F.expr(
+        "CAST(anomaly_flag = 1 OR ml_flag = 1 AS INT)")).alias("combined_is_or")))
+
+
 @register("p1_run_pipeline")
 def p1(spark, sf):
     """One run over the newest events day against the day before. Cold
@@ -182,3 +223,12 @@ def p1(spark, sf):
                        dataset_name=DATASET, key=KEY, as_of=last)
     return rec.select("status", "dataset_name", "quality_score", "rule_flag", "ml_flag", "ml_label",
                       "combined_flag", "forecast_row_count", "error")
+
+
+@register("p1_run_record", f"""
+SELECT 'success' AS status, dataset_name, quality_score, anomaly_flag AS rule_flag, 1 AS stored, 1 AS combined_is_or
+FROM ({HISTORY_DBL_SQL}) ORDER BY timestamp DESC LIMIT 1""")
+def p1_record(spark, sf):
+    return tidy(p1(spark, sf).select(
+        "status", "dataset_name", "quality_score", "rule_flag", F.col("error").isNull().alias("stored"),
+        (F.col("combined_flag") == F.expr("CAST(rule_flag = 1 OR ml_flag = 1 AS INT)")).alias("combined_is_or")))

@@ -162,6 +162,17 @@ def m0_matrix(spark, sf):
                                    F.count_if(~F.col("passed")).cast("int").alias("checks_failed")))
 
 
+_FLAGS = ", ".join(f"({i}, p{i})" for i in range(1, 22))
+
+
+@register("m0_check_flags", METRICS_SQL[:METRICS_SQL.rindex(f"SELECT snapshot, '{DATASET}'")] + f"""
+SELECT f.snapshot, CAST(x.i AS INTEGER) AS check_index, CAST(x.p AS INTEGER) AS passed
+FROM f, LATERAL (VALUES {_FLAGS}) x(i, p)""")
+def m0_flags(spark, sf):
+    """The verdict of every check on every day."""
+    return tidy(events_run(spark, sf).results().select(KEY, "check_index", "passed"))
+
+
 @register("m1_quality_score", f"WITH m AS ({METRICS_SQL}) SELECT snapshot, quality_score FROM m")
 def m1(spark, sf):
     """Score recomputed from the envelope rows joined to the weight table."""
@@ -282,6 +293,27 @@ def r10(spark, sf):
     return tidy(reports.check_detail(events_run(spark, sf).results(), 13))
 
 
+@register("r10_detail_figures", f"""
+WITH m AS ({METRICS_SQL})
+SELECT snapshot, row_count AS current_rows, lag(row_count) OVER (ORDER BY snapshot) AS previous_rows,
+       CASE WHEN lag(row_count) OVER (ORDER BY snapshot) IS NOT NULL THEN drift_score END AS psi_score,
+       CASE WHEN lag(row_count) OVER (ORDER BY snapshot) IS NOT NULL THEN correlation_drift END AS correlation,
+       CASE WHEN lag(row_count) OVER (ORDER BY snapshot) IS NOT NULL THEN entropy_delta END AS entropy_delta,
+       duplicate_count AS duplicate_rows, outlier_count FROM m""")
+def r10_figures(spark, sf):
+    """Figures read back from the JSON details of several checks."""
+    r = events_run(spark, sf).results()
+    at = lambda i, path: F.max(F.when(F.col("check_index") == i, F.get_json_object("details", path)))
+    return tidy(r.groupBy(KEY).agg(
+        at(11, "$.current_rows").cast("long").alias("current_rows"),
+        at(11, "$.previous_rows").cast("long").alias("previous_rows"),
+        at(13, "$.psi_score").cast("double").alias("psi_score"),
+        at(14, "$.max_correlation_drift").cast("double").alias("correlation"),
+        at(16, "$.entropy_delta").cast("double").alias("entropy_delta"),
+        at(2, "$.duplicate_rows").cast("long").alias("duplicate_rows"),
+        at(7, "$.value.outlier_count").cast("long").alias("outlier_count")))
+
+
 @register("r11_metrics_transposed", f"""
 WITH m AS ({METRICS_SQL})
 SELECT snapshot, metric, round(value, 6) AS value FROM (

@@ -47,6 +47,10 @@ def struct_l(pairs) -> str:
 
 
 EMPTY_ARR = "CAST(array() AS ARRAY<STRING>)"
+# fixed values: message texts of the result details
+NO_PREVIOUS = "No previous snapshot."
+NO_PSI = "Insufficient data for PSI."
+NO_CORRELATION = "Insufficient data."
 # the passes over the data, besides stage A, that a check needs
 NEEDS = {"duplicate_detection": ("ids", "dups"), "outlier_detection_iqr": ("iqr",),
          "outlier_detection_zscore": ("zscore",), "psi_distribution_drift": ("psi",),
@@ -494,17 +498,23 @@ class Checks:
                                          max_allowed_days=str(int(cfg.freshness_max_days)))
         else:
             d["data_freshness"] = struct(error=s(f"{cfg.date_column} column missing"))
-        d["volume_anomaly"] = struct(previous_rows="prev_n", current_rows="n",
-                                     change_pct=f"bround({self._change_pct()}, 2)",
-                                     threshold_pct=num(cfg.volume_threshold_pct))
+        d["volume_anomaly"] = self._either(
+            "has_prev", struct(previous_rows="prev_n", current_rows="n", change_pct=f"bround({self._change_pct()}, 2)",
+                               threshold_pct=num(cfg.volume_threshold_pct)),
+            struct(current_rows="n", message=s(NO_PREVIOUS)))
         over = ", ".join(f"CASE WHEN {pc} > {num(cfg.missing_max_pct)} THEN {s(c)} END" for pc, c in zip(pcts, cols))
         d["missing_value_percentage"] = struct(
-            per_column=f"map_from_arrays({arr(cols)}, array({', '.join(pcts)}))",
+            per_column=struct_l((c, struct(missing_pct=pc, exceeds_threshold=f"coalesce({pc} > "
+                                           f"{num(cfg.missing_max_pct)}, false)")) for c, pc in zip(cols, pcts)),
             columns_exceeding_threshold=f"filter(array({over}), x -> x IS NOT NULL)" if cols else EMPTY_ARR)
-        d["psi_distribution_drift"] = struct(column=_lit(cfg.psi_column or ""), psi_score="bround(_psi, 4)",
-                                             drift_level=self._drift_level("bround(_psi, 4)"))
-        d["correlation_drift"] = struct(max_correlation_drift="bround(_corr_max, 4)", worst_pair="_corr_worst",
-                                        threshold=num(cfg.corr_threshold))
+        d["psi_distribution_drift"] = self._either(
+            "_psi IS NOT NULL", struct(column=_lit(cfg.psi_column or ""), psi_score="bround(_psi, 4)",
+                                       drift_level=self._drift_level("bround(_psi, 4)")),
+            struct(message=s(NO_PSI)))
+        d["correlation_drift"] = self._either(
+            "_corr_max IS NOT NULL", struct(max_correlation_drift="bround(_corr_max, 4)", worst_pair="_corr_worst",
+                                            threshold=num(cfg.corr_threshold)),
+            struct(message=s(NO_CORRELATION)))
         t = cfg.skew_threshold
         hs = ", ".join(f"CASE WHEN abs(sk_{i}) > {num(t)} THEN {s(c)} END" for i, c in enumerate(p.skew_cols))
         d["data_skew_detection"] = struct(
@@ -513,9 +523,11 @@ class Checks:
                                 for i, c in enumerate(p.skew_cols)),
             highly_skewed_columns=f"filter(array({hs}), x -> x IS NOT NULL)" if p.skew_cols else EMPTY_ARR)
         if p.ent_on:
-            d["entropy_change"] = struct(column=s(cfg.entropy_column), previous_entropy="bround(prev_entropy, 4)",
-                                         current_entropy="bround(entropy, 4)",
-                                         entropy_delta=f"bround({self._entropy_delta()}, 4)")
+            d["entropy_change"] = self._either(
+                f"{self._entropy_delta()} IS NOT NULL",
+                struct(column=s(cfg.entropy_column), previous_entropy="bround(prev_entropy, 4)",
+                       current_entropy="bround(entropy, 4)", entropy_delta=f"bround({self._entropy_delta()}, 4)"),
+                struct(current_entropy="bround(entropy, 4)", message=s(NO_PREVIOUS)))
         else:
             d["entropy_change"] = struct(message=s(f"Column '{cfg.entropy_column}' not found."))
         if p.date_on:
@@ -524,18 +536,28 @@ class Checks:
                                              max_allowed_gap=str(int(cfg.max_gap_days)))
         else:
             d["time_gap_detection"] = struct(message=s(f"Column '{cfg.date_column}' not found."))
-        d["business_rule_validation"] = struct(violations=struct_l((nm, c) for c, nm in p.rule_cols.items()),
-                                               rules_checked="6")
-        d["uniqueness_constraints"] = (struct(total_rows="n", unique_values="id_distinct",
-                                              duplicates="n - id_distinct") if p.id_on else struct())
-        d["referential_consistency"] = (struct(empty_child="rf_blank", parent_without_child="rf_missing")
-                                        if p.ref_on else struct())
+        # violated rules and their rows; the distinct bad values are rows of invalid_values(), however many
+        rules = ", ".join(f"{s(nm)}, CAST({c} AS LONG)" for c, nm in p.rule_cols.items())
+        d["business_rule_validation"] = struct(
+            violations=f"map_filter(map({rules}), (r, c) -> c > 0)" if rules else "map()", rules_checked="6")
+        d["uniqueness_constraints"] = (struct_l([(cfg.id_column, struct(
+            total_rows="n", unique_values="id_distinct", duplicates="n - id_distinct",
+            passed="n - id_distinct = 0"))]) if p.id_on else struct())
+        issues = [f"CASE WHEN rf_blank > 0 THEN concat(rf_blank, {s(f' rows with empty {cfg.child_column}')}) END",
+                  f"CASE WHEN rf_missing > 0 THEN concat(rf_missing, "
+                  f"{s(f' rows have {cfg.parent_column} but missing {cfg.child_column}')}) END"]
+        d["referential_consistency"] = struct(
+            issues=f"filter(array({', '.join(issues)}), x -> x IS NOT NULL)" if p.ref_on else EMPTY_ARR)
         d["sales_calculation_check"] = (struct(rows_with_bad_calculation="ac_bad",
                                                tolerance_pct=num(cfg.amount_tolerance_pct),
                                                sample_max_diff_pct="bround(ac_max, 2)") if p.amount_on
                                         else struct(message=s("Required columns missing.")))
         return {n: (v if v.startswith("CASE") else f"to_json({v})") for n, v in d.items()}
 
+    @staticmethod
+    def _either(cond: str, yes: str, no: str) -> str:
+        return f"CASE WHEN {cond} THEN to_json({yes}) ELSE to_json({no}) END"
+
     def envelope(self) -> DataFrame:
         """M0 output: (key, check_index, check, passed, details) for all 21
         checks of every snapshot."""

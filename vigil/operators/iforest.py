@@ -71,13 +71,17 @@ def prepare_features(df: DataFrame, features=FEATURE_COLUMNS, keep=()) -> DataFr
 
 def fit_scaler(feats: DataFrame, features) -> tuple:
     """A2: (means, sigmas) from one aggregate; sigma 0 -> 1."""
-    aggs = []
+    return _count_and_scaler(feats, features)[1:]
+
+
+def _count_and_scaler(feats: DataFrame, features) -> tuple:
+    aggs = [F.count(F.lit(1))]
     for c in features:
         aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
     r = feats.agg(*aggs).first()
     means = [float(r[f"m_{c}"] or 0.0) for c in features]
     sig = [float(r[f"s_{c}"] or 0.0) for c in features]
-    return means, [s if s > 0 else 1.0 for s in sig]
+    return r[0], means, [s if s > 0 else 1.0 for s in sig]
 
 
 def standardize(feats: DataFrame, features, means, sigmas, keep=()) -> DataFrame:
@@ -183,10 +187,9 @@ def fit(df: DataFrame, row_id: str, features=FEATURE_COLUMNS, n_trees: int = 100
     features = tuple(features)
     held: list = []
     feats = spread(prepare_features(df, features, keep=(row_id,)), held)
-    n = feats.count()
+    n, means, sigmas = _count_and_scaler(feats, features)
     if n < min_rows:
         return None
-    means, sigmas = fit_scaler(feats, features)
     z = standardize(feats, features, means, sigmas, keep=(row_id,))
     psi = min(max_samples, n)
     q = min(1.0, 2.0 * psi / n + 64.0 / n)  # oversampled keep rate per tree
