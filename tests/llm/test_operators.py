@@ -400,6 +400,22 @@ def test_nearest_neighbours(spark):
     assert ann.search(odd.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbours_with_many_lists(spark):
+    """Vectors without structure in some 400 lists: the lists visited follow the index."""
+    x = np.random.default_rng(4).standard_normal((6000, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = collections.defaultdict(set)
+    for r in ann.search(df, F.col("vec_id") % 40 == 0, list_size=16).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = 0
+    for i in range(0, 6000, 40):
+        s = u @ u[i]
+        s[i] = -9
+        hit += len(got[i] & set(np.argsort(-s)[:5].tolist()))
+    assert hit >= 0.9 * 750, hit / 750
+
+
 def test_sample_by_hash(spark):
     df = spark.range(100).selectExpr("CAST(id % 40 AS STRING) AS x")
     assert len(shared.sample_by_hash(df, "x", 10)) == 10 and len(shared.sample_by_hash(df, "x", 99)) == 40

@@ -5,7 +5,9 @@ grows beyond its share is split, hierarchically). Every distinct vector goes
 to the list of its nearest centroid, boundary vectors also to the lists of
 others almost as near. A query walks an in-memory graph over the centroids
 and visits the lists whose centroids are within a distance ratio of the
-nearest. Lists are stored in blocks of bounded size, so a long list is many
+nearest. How many lists and which ratio follow the index: both are calibrated
+on sampled vectors, half of them held back from the fit, whose exact
+neighbours one scan finds. Lists are stored in blocks of bounded size, so a long list is many
 rows; queries meet blocks by an equi-join on the list.
 
 Copies of a vector are one entry that keeps the smallest ids (one more than
@@ -130,23 +132,85 @@ def distinct_vectors(df: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     return first.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-def fit(vectors: DataFrame, sample: int, list_size: int) -> np.ndarray:
+def unit(column: pd.Series) -> np.ndarray:
+    x = np.stack(column.to_numpy()).astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def fit(vectors: DataFrame, sample: int, list_size: int, probes: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Centroids from at most ``sample`` distinct vectors of the most common
-    length (chosen by a hash), for lists of ``list_size`` of ``vectors``."""
+    length (chosen by a hash), for lists of ``list_size`` of ``vectors``, and
+    up to ``probes`` unit vectors (an eighth of the sample at most): the first
+    half of them is in the fit, so nearer to its centroid, the other held back."""
     total = vectors.count()
     by_size: dict[int, list] = {}
     for v in sample_by_hash(vectors, "v", sample):
         by_size.setdefault(len(v), []).append(v)
     if not by_size:
-        return np.zeros((0, 0))
+        return np.zeros((0, 0)), np.zeros((0, 0))
     x = np.array(max(by_size.values(), key=len))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    return balanced_centroids(x, max(8, round(list_size * len(x) / max(total, 1))))
+    held = min(probes // 2, len(x) // 16)
+    x, tried = x[:len(x) - held], x[len(x) - 2 * held:]
+    return balanced_centroids(x, max(8, round(list_size * len(x) / max(total, 1)))), tried
+
+
+def lists_of(u: np.ndarray, c: np.ndarray, replicas: int, closure: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row of ``u``, list) of every list that a vector lies in."""
+    near = distance(u @ c.T)
+    top = np.argsort(near, axis=1, kind="stable")[:, :replicas]
+    d = np.take_along_axis(near, top, 1)
+    row, col = np.nonzero(d <= closure * d[:, :1] + 1e-12)
+    return row, top[row, col]
+
+
+def exact(vectors: DataFrame, probes: np.ndarray, k: int) -> list:
+    """Rows (probe, v) of the ``k`` nearest of ``vectors`` to every probe but
+    the nearest, which is the probe itself; a task sends k + 1 a probe."""
+    n, dim = probes.shape
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score, best = np.full((n, k + 1), -np.inf), np.zeros((n, k + 1, dim))
+        for b in batches:
+            for lo in range(0, len(b), 4096):
+                raw = np.stack(b["v"].iloc[lo:lo + 4096].to_numpy())
+                sims = np.concatenate([score, probes @ unit(b["v"].iloc[lo:lo + 4096]).T], 1)
+                at = np.argpartition(-sims, k, axis=1)[:, :k + 1]
+                old = np.take_along_axis(best, np.minimum(at, k)[:, :, None], 1)
+                best = np.where((at <= k)[:, :, None], old, raw[np.maximum(at - k - 1, 0)])
+                score = np.take_along_axis(sims, at, 1)
+        row, col = np.nonzero(score > -np.inf)
+        yield pd.DataFrame({"probe": row, "score": score[row, col], "v": list(best[row, col])})
+
+    found = vectors.select("v").mapInPandas(nearest, "probe int, score double, v array<double>")
+    order = F.row_number().over(Window.partitionBy("probe").orderBy(F.col("score").desc(), "v"))
+    return found.withColumn("nth", order).where(F.col("nth").between(2, k + 1)).select("probe", "v").collect()
+
+
+def calibrate(vectors: DataFrame, c: np.ndarray, probes: np.ndarray, k: int, recall: float, replicas: int,
+              closure: float) -> tuple[int, float]:
+    """The fewest lists and the smallest distance ratio at which both halves
+    of ``probes`` meet at least ``recall`` of their exact neighbours (each
+    rule may lose half of the rest)."""
+    pairs = exact(vectors, probes, k) if len(probes) else []
+    if not pairs:
+        return 0, 0.0
+    probe = np.array([p.probe for p in pairs])
+    row, at = lists_of(unit(pd.Series([p.v for p in pairs])), c, replicas, closure)
+    d = distance(probes @ c.T)
+    needs = np.full(len(pairs), np.inf)  # distance of the nearest list that holds the neighbour
+    np.minimum.at(needs, row, d[probe[row], at])
+    lists = (d[probe] <= needs[:, None]).sum(1)
+    ratios = needs / np.maximum(d.min(1)[probe], 1e-9)
+    share = 1 - (1 - recall) / 2
+    halves = [h for h in (probe < len(probes) // 2, probe >= len(probes) // 2) if h.any()]
+    width, ratio = (max(np.quantile(need[h], share, method="higher") for h in halves) for need in (lists, ratios))
+    return int(width), float(ratio)
 
 
 def search(df: DataFrame, queries, key: str = "vec_id", vector: str = "embedding", k: int = 5,
            sample: int = 20_000, list_size: int = 256, width: int = 48, ratio: float = 1.35,
-           replicas: int = 4, closure: float = 1.10) -> DataFrame:
+           replicas: int = 4, closure: float = 1.10, recall: float = 0.95, probes: int = 256) -> DataFrame:
     """The ``k`` nearest rows by cosine of each query row: ``query_id``,
     ``rank`` (from 1), ``vec_id``, ``score`` (double precision, on the
     original vectors), nearest first, ties to the smaller id.
@@ -158,29 +222,25 @@ def search(df: DataFrame, queries, key: str = "vec_id", vector: str = "embedding
     other columns are ignored.
 
     The index is fitted on at most ``sample`` distinct vectors and holds
-    every one. ``width`` lists are looked at, those farther than ``ratio``
-    times the nearest are skipped; a vector lies in up to ``replicas`` lists
-    within ``closure`` times its nearest centroid's distance."""
+    every one. At least ``width`` lists are looked at, those farther than
+    ``ratio`` times the nearest are skipped; both grow until up to ``probes``
+    sampled vectors meet ``recall`` of their exact neighbours. On vectors
+    without structure that is a fixed share of the lists, whatever their
+    number. A vector lies in up to ``replicas`` lists within ``closure``
+    times its nearest centroid's distance."""
     spark = df.sparkSession
     vectors = checkpoint(distinct_vectors(df, key, vector, k).withColumn("vid", F.xxhash64("v")))
-    centroids = fit(vectors, sample, list_size)
+    centroids, tried = fit(vectors, sample, list_size, probes)
     shared = spark.sparkContext.broadcast((centroids, Graph(centroids)))
     dim = centroids.shape[1] if len(centroids) else 0
 
-    def unit(column: pd.Series) -> np.ndarray:
-        x = np.stack(column.to_numpy()).astype(np.float64)
-        return x / np.linalg.norm(x, axis=1, keepdims=True)
-
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c, _ = shared.value
         for b in batches:
             for lo in range(0, len(b), 4096):
                 part = b.iloc[lo:lo + 4096]
-                near = distance(unit(part["v"]) @ c.T)
-                top = np.argsort(near, axis=1, kind="stable")[:, :replicas]
-                d = np.take_along_axis(near, top, 1)
-                row, col = np.nonzero(d <= closure * d[:, :1] + 1e-12)
-                yield pd.DataFrame({"list": top[row, col], "v": part["v"].to_numpy()[row],
+                row, at = lists_of(unit(part["v"]), c, replicas, closure)
+                yield pd.DataFrame({"list": at, "v": part["v"].to_numpy()[row],
                                     "ids": part["ids"].to_numpy()[row]})
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,6 +259,8 @@ def search(df: DataFrame, queries, key: str = "vec_id", vector: str = "embedding
     if not dim:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     same = vectors.where(F.size("v") == dim)
+    least = calibrate(same, centroids, tried, k, recall, replicas, closure)
+    width, ratio = max(width, least[0]), max(ratio, least[1])
     lists = same.select("v", "ids").mapInPandas(assign, "list bigint, v array<double>, ids array<bigint>")
     asked = df.where(queries & _valid(vector) & F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("id"), F.transform(vector, lambda x: x.cast("double") + 0.0).alias("v"))
