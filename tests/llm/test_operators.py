@@ -343,6 +343,22 @@ def test_leaf_blocks_and_layouts():
     assert right >= 0.95 * total
 
 
+@pytest.mark.parametrize("page, blocks", [
+    ('<article><p>one <svg class="i"/>two</p><p>three</p></article><p>four</p>', ["one two", "three", "four"]),
+    ("<article><p>a</p><object data=x><p>b</p></article><article>c</article>", ["a", "b", "c"]),
+    ("<p>x</p><select><option>o<p>y</p><noscript><p>z</p><math/><p>m", ["x", "y", "z", "m"]),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><p>e <object>f <b>g</b></object> h</p>",
+     ["so x=2 holds", "e f g h"]),
+    ('<svg><path d="m"><style/><title>no</title><p>p1</p><svg><title/></svg><p>p2', ["p1", "p2"]),
+    ("<template><p>no</p></template><p>n</p><svg><foreignObject><div>in</div></foreignObject></svg>end",
+     ["n", "in", "end"]),
+    ("<p>s <script>no <p> no</script>t</p><title>no</title><p>pick <select><option>a</select> now",
+     ["s t", "pick now"]),
+])
+def test_blocks_after_foreign_and_open_elements(page, blocks):
+    assert [b.text for b in extract.leaf_blocks(page)] == blocks
+
+
 # -------------------------------------------------------------------- quality
 
 def test_quality(spark, odd):

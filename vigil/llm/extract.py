@@ -29,7 +29,13 @@ from .shared import sample_by_hash
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
+#: raw text: no markup up to the end tag, and no visible text
+RAW = frozenset("script style textarea title iframe".split())
+#: elements of other languages: there a slash closes a tag, and RAW names are ordinary
+FOREIGN = frozenset(("svg", "math"))
+#: elements whose text a page does not show as text, anywhere and in FOREIGN only
+UNSEEN = frozenset(("template", "select"))
+UNSEEN_FOREIGN = frozenset("script style title desc metadata annotation annotation-xml".split())
 BLOCKS = frozenset(("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
                     "nav ol p pre section summary table tbody td tfoot th thead tr ul").split())
@@ -73,11 +79,14 @@ class Block:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """The page's blocks of visible text, white space folded."""
+    """The page's blocks of visible text, white space folded. Raw text,
+    templates, choices of a form and what svg and math do not draw are left
+    out; text of math, svg, object and noscript is text like any other."""
     stack: list[tuple[str, tuple[str, ...]]] = []
+    hides: list[bool] = []  # elements of the stack whose text is not shown
     out: list[Block] = []
     parts: list[str] = []
-    links, in_link = 0, 0
+    links, in_link, hidden, foreign = 0, 0, 0, 0
     at, end = 0, len(page)
 
     def flush():
@@ -89,9 +98,20 @@ def leaf_blocks(page: str) -> list[Block]:
         parts, links = [], 0
 
     def pop(depth: int):
-        nonlocal in_link
+        nonlocal in_link, hidden, foreign
         in_link -= sum(t == "a" for t, _ in stack[depth:])
-        del stack[depth:]
+        foreign -= sum(t in FOREIGN for t, _ in stack[depth:])
+        hidden -= sum(hides[depth:])
+        del stack[depth:], hides[depth:]
+
+    def drawn() -> int:
+        """Place of the svg or math element that the next tag belongs to, or -1."""
+        for depth in range(len(stack) - 1, -1, -1) if foreign else ():
+            if stack[depth][0] == "foreignobject":
+                break
+            if stack[depth][0] in FOREIGN:
+                return depth
+        return -1
 
     while at < end:
         m = _TOKEN.match(page, at)
@@ -99,14 +119,18 @@ def leaf_blocks(page: str) -> list[Block]:
         tag = m["tag"] or m["tag2"]
         if tag is None:
             s = m[0]
-            if s[0] != "<" or s == "<":
+            if hidden <= 0 and (s[0] != "<" or s == "<"):
                 parts.append(s)
                 if in_link > 0:
                     links += len(s)
             continue
         tag = tag.lower()
         closing = bool(m["end"] or m["end2"])
-        if tag in RAW and not closing:
+        inside = drawn()
+        if tag in BLOCKS and inside >= 0:  # a block ends an open svg or math
+            pop(inside)
+            inside = drawn()
+        if tag in RAW and not closing and inside < 0:
             stop = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             at = stop.end() if stop else end
             continue
@@ -114,7 +138,9 @@ def leaf_blocks(page: str) -> list[Block]:
             flush()
         if tag == "br":
             parts.append(" ")
-        if tag in VOID or tag in RAW:
+        if tag in VOID or (tag in RAW and inside < 0):
+            continue
+        if not closing and m[0].endswith("/>") and (inside >= 0 or tag in FOREIGN):
             continue
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
@@ -124,10 +150,10 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCKS:  # a paragraph ends where a block begins; inline elements in it end too
             for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
+                if stack[depth][0] in ("p", "select"):
                     pop(depth)
                     break
-                if stack[depth][0] in BLOCKS:
+                if stack[depth][0] in BLOCKS or stack[depth][0] in ("object", "template"):
                     break
         for depth in range(len(stack) - 1, -1, -1):
             if stack[depth][0] in IMPLIED.get(tag, ()):
@@ -136,6 +162,9 @@ def leaf_blocks(page: str) -> list[Block]:
             if stack[depth][0] in ("ul", "ol", "table", "dl", "div", "article", "section"):
                 break
         stack.append((tag, _names(m["attr"] or m["attr2"] or "")))
+        hides.append(tag in UNSEEN or (inside >= 0 and tag in UNSEEN_FOREIGN))
+        hidden += hides[-1]
+        foreign += tag in FOREIGN
         in_link += tag == "a"
     flush()
     return out
