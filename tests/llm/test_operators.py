@@ -359,6 +359,25 @@ def test_blocks_after_foreign_and_open_elements(page, blocks):
     assert [b.text for b in extract.leaf_blocks(page)] == blocks
 
 
+@pytest.mark.parametrize("box", ['div class="content"', 'div role="main"', "div"])
+def test_training_without_article_elements(box):
+    rng = random.Random(8)
+    words = lambda n: " ".join(rng.choices("lorem ipsum dolor sit amet elit sed".split(), k=n))
+    made = [f"<nav><a href=x>{words(2)}</a></nav><{box}><h1>{words(4)}</h1><p>{words(30)}.</p><p>{words(20)}.</p>"
+            f"</div><footer>{words(5)}</footer>" for _ in range(150)]
+    model = extract.train(made[:100])
+    for page in made[100:]:
+        found = model.label([extract.page_features(extract.leaf_blocks(page))])[0] >= 0.5
+        assert found.tolist() == [False, True, True, True, False]
+
+
+def test_training_without_any_text():
+    page = "<nav><a href=x>menu</a></nav><article><h1>title one</h1><p>some words of the text, and more.</p></article>"
+    for pages in ([], ["<nav>menu</nav><footer>end</footer>"]):
+        found = extract.train(pages).label([extract.page_features(extract.leaf_blocks(page))])[0] >= 0.5
+        assert found.tolist() == [False, True, True]
+
+
 # -------------------------------------------------------------------- quality
 
 def test_quality(spark, odd):

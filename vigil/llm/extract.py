@@ -327,13 +327,17 @@ def pad(xs, ys=None):
 
 # ----------------------------------------------------------------- training
 
-def known_label(path: tuple) -> int | None:
+def known_label(path: tuple, named: bool = False) -> int | None:
     """1: main text, 0: not, by the elements that a block lies in; None on
-    pages that do not say."""
+    pages that do not say. ``named``: elements with a class, id or role of
+    main text, and none of another part, count as well."""
     inside = False
     for tag, names in path:
         if tag in MAIN_TAGS:
             inside = True
+        if named and tag not in ("html", "body") and any(n in MAIN_NAMES for n in names) and not any(
+                n in words for n in names for words in SIDE_NAMES.values()):
+            inside = True
         side = any(n in words for n in names for words in SIDE_NAMES.values()) and not any(
             n in MAIN_NAMES for n in names)
         if side or (tag in SIDE_TAGS and not (inside and tag == "header")):
@@ -341,15 +345,29 @@ def known_label(path: tuple) -> int | None:
     return 1 if inside else None
 
 
+def known_labels(pages: list[list[Block]]) -> list[list[int | None]]:
+    """Labels of the pages' blocks: by article and main elements, on a page
+    without such text by names. Where no page says what its main text is, all
+    text that is not known to be something else takes its part."""
+    known = []
+    for page in pages:
+        y = [known_label(b.path) for b in page]
+        known.append(y if 1 in y else [known_label(b.path, named=True) for b in page])
+    if not any(1 in y for y in known):
+        known = [[1 if v is None else v for v in y] for y in known]
+    return known
+
+
 def layouts(pages: list[list[Block]], seed: int = 5) -> Iterator[tuple[str, list[int]]]:
     """Pages made of the sampled blocks in other layouts, with labels."""
     rng = np.random.default_rng(seed)
     pick = lambda x: x[int(rng.integers(len(x)))]
-    side_text = [b.text for p in pages for b in p if known_label(b.path) != 1] or ["more"]
-    main_text = [b.text for p in pages for b in p if known_label(b.path) == 1] or ["text"]
+    known = known_labels(pages)
+    side_text = [b.text for p, y in zip(pages, known, strict=True) for b, v in zip(p, y, strict=True) if v != 1] or ["more"]
+    main_text = [b.text for p, y in zip(pages, known, strict=True) for b, v in zip(p, y, strict=True) if v == 1] or ["text"]
     esc = lambda s: html.escape(s, quote=False)
-    for page in pages:
-        main = [b for b in page if known_label(b.path) == 1]
+    for page, y in zip(pages, known, strict=True):
+        main = [b for b, v in zip(page, y, strict=True) if v == 1]
         if not main:
             continue
         items: list[tuple[str, list[int]]] = []
@@ -395,13 +413,29 @@ def layouts(pages: list[list[Block]], seed: int = 5) -> Iterator[tuple[str, list
         yield ("<html><body>" + "".join(i[0] for i in items) + "</body></html>", [y for i in items for y in i[1]])
 
 
+def made_pages(n: int = 100, seed: int = 9) -> list[list[Block]]:
+    """Pages of an article, a menu and a footer in invented words."""
+    rng = np.random.default_rng(seed)
+
+    def text(words: int) -> str:
+        return " ".join("".join(rng.choice(list("aeioulnrst"), rng.integers(2, 9))) for _ in range(words))
+
+    return [leaf_blocks(f"<nav><a>{text(2)}</a></nav><article><h1>{text(5)}</h1>" + "".join(
+        f"<p>{text(int(rng.integers(15, 60)))}.</p>" for _ in range(int(rng.integers(2, 7))))
+        + f"</article><footer>{text(6)}</footer>") for _ in range(n)]
+
+
 def train(pages: list[str], epochs: int = 8) -> Labeller:
-    """Labeller of the sampled pages and of layouts made of their blocks."""
+    """Labeller of the sampled pages and of layouts made of their blocks; of
+    made pages alone where no sampled page has text that may be main text."""
     parsed = [leaf_blocks(p) for p in pages]
+    known = known_labels(parsed)
+    if not any(1 in y for y in known):
+        parsed = made_pages()
+        known = known_labels(parsed)
     data = []
-    for blocks in parsed:
-        y = [known_label(b.path) for b in blocks]
-        if any(v == 1 for v in y):
+    for blocks, y in zip(parsed, known, strict=True):
+        if 1 in y:
             data.append((page_features(blocks), np.array([v or 0 for v in y], np.float32)))
     for turn in range(2):
         for text, labels in layouts(parsed, seed=5 + turn):
@@ -421,6 +455,10 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
     """Per row: ``key``, ``url``, ``text`` (blocks of main text, joined by an
     empty line) and ``n_chars``.
 
+    Where sampled pages have no article or main element, names of classes,
+    ids and roles say what they hold; where none says, all of their text
+    outside known other parts (or, without any, made pages) trains the labeller.
+
     Null and empty html and pages without main text give an empty text; the
     whole page is read; repeated rows and null keys stay; an empty table gives
     an empty one; other columns are ignored. ``sample``: pages, chosen by a
