@@ -451,6 +451,15 @@ def test_neighbours_with_many_lists(spark):
     assert hit >= 0.9 * 750, hit / 750
 
 
+def test_neighbours_of_every_length(spark):
+    rows = [(i, [1.0, float(i)]) for i in range(40)] + [(100 + i, [1.0, 0.0, float(i)]) for i in range(7)] + [(200, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == {0: [1, 2, 3, 4, 5], 100: [101, 102, 103, 104, 105]}
+
+
 def test_sample_by_hash(spark):
     df = spark.range(100).selectExpr("CAST(id % 40 AS STRING) AS x")
     assert len(shared.sample_by_hash(df, "x", 10)) == 10 and len(shared.sample_by_hash(df, "x", 99)) == 40

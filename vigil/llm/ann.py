@@ -217,8 +217,9 @@ def search(df: DataFrame, queries, key: str = "vec_id", vector: str = "embedding
 
     ``queries``: condition on ``key`` that makes a row a query; candidates
     are all rows but those with the query's own id. Null, zero or non-finite
-    vectors and null ids take no part; vectors are compared within one
-    length; equal rows count once; an empty table gives an empty result;
+    vectors and null ids take no part; vectors are compared with those of
+    their own length: the sample's most common one is indexed, every other is
+    one list that is searched whole; equal rows count once; an empty table gives an empty result;
     other columns are ignored.
 
     The index is fitted on at most ``sample`` distinct vectors and holds
@@ -262,12 +263,17 @@ def search(df: DataFrame, queries, key: str = "vec_id", vector: str = "embedding
     least = calibrate(same, centroids, tried, k, recall, replicas, closure)
     width, ratio = max(width, least[0]), max(ratio, least[1])
     lists = same.select("v", "ids").mapInPandas(assign, "list bigint, v array<double>, ids array<bigint>")
+    # vectors of another length are one list of that length, which its queries visit
+    by_length = lambda rows: rows.where(F.size("v") != dim).select(
+        (-F.size("v")).cast("bigint").alias("list"), "v", "ids")
+    lists = lists.unionByName(by_length(vectors))
     asked = df.where(queries & _valid(vector) & F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("id"), F.transform(vector, lambda x: x.cast("double") + 0.0).alias("v"))
     # queries with one vector ask once; their number does not matter to the search
-    asked = asked.where(F.size("v") == dim).distinct()
-    routed = asked.select("v").distinct().withColumn("ids", F.array().cast("array<bigint>")).mapInPandas(
-        route, "list bigint, v array<double>, ids array<bigint>")
+    asked = asked.distinct()
+    once = asked.select("v").distinct().withColumn("ids", F.array().cast("array<bigint>"))
+    routed = once.where(F.size("v") == dim).mapInPandas(route, "list bigint, v array<double>, ids array<bigint>")
+    routed = routed.unionByName(by_length(once))
 
     # lists and the queries that visit them, in blocks of bounded size
     def block(rows: DataFrame, most: int) -> DataFrame:
