@@ -94,3 +94,25 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .extract import extract
 
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import manifest
+
+    return manifest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import variants
+
+    return variants(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bytebpe import encode_decode
+
+    return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
