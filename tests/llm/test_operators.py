@@ -223,6 +223,8 @@ def test_jaccard_components(spark, docs, monkeypatch):
     for k, num in ((4, 85), (5, 80)):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_components(df, k=k, num=num).collect()}
         assert got == brute_components(rows, k, num, 100)
+    monkeypatch.setattr(jaccard, "BLOCK_EDGES", 10)
+    monkeypatch.setattr(jaccard, "HOT_KEYS", 1)
     pairs = [(r.doc_id, r.text) for r in docs.collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join_components(docs).collect()}
     assert got == brute_components(pairs, 4, 85, 100)
@@ -232,6 +234,37 @@ def test_jaccard_components(spark, docs, monkeypatch):
     assert sorted(r.component_id for r in twice.collect()) == [0, 0, 0]
 
 
+def test_components(spark, monkeypatch):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(60)] + [(159, 300), (7, 7), (300, 301)]
+    edges += [(500 + rng.randrange(300), 500 + rng.randrange(300)) for _ in range(260)]
+    rng.shuffle(edges)
+    root = {n: n for n in range(900)}
+    for _ in range(100):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    nodes = spark.range(900).withColumnRenamed("id", "node")
+    frame = spark.createDataFrame(edges, "a bigint, b bigint").repartition(6)
+    for block in (1000, 50):
+        monkeypatch.setattr(jaccard, "BLOCK_EDGES", block)
+        monkeypatch.setattr(jaccard, "HOT", 20)
+        assert {r.node: r.root for r in jaccard.components(nodes, frame).collect()} == root
+    assert jaccard.components(nodes.limit(3), frame.limit(0)).where("node = root").count() == 3
+
+
+def test_one_row_of_each_group(spark):
+    rng = random.Random(10)
+    words = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+    one, two, three = words(60), words(60), words(60)
+    rows = [(5, one), (9, one + " x"), (None, one + " y"), (5, two), (None, two + " z"), (None, three), (None, three + " q"),
+            (7, three + " r"), (8, ""), (8, ""), (None, None), (None, words(50)), (9, words(40)), (5, one)]
+    df = spark.createDataFrame([(k, t, "lang") for k, t in rows], "doc_id bigint, text string, _key string")
+    got = collections.Counter((r.doc_id, r.text) for r in jaccard.drop_copies(df).collect())
+    assert got == collections.Counter([rows[0], rows[3], rows[7], rows[8], rows[10], rows[11], rows[12]])
+    repeated = df.where("doc_id = 9").unionAll(df.where("doc_id = 9"))
+    assert jaccard.drop_copies(repeated).count() == 2 and jaccard.drop_copies(df.limit(0)).count() == 0
+
+
 # -------------------------------------------------------------------- secrets
 
 def base_spans(t):

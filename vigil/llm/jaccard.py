@@ -8,10 +8,10 @@
    The first look counts only the lowest 40 % of the hash values (class A),
    in one exchange of packed arrays; the second, among the sets left, counts
    all tokens, and orders prefixes by rarity.
-3. The others are partitioned into groups: sets with one min-hash meet, the
-   first is the group's head, and those that verifiably link with it join
-   (several rounds, only heads go on). A group is connected.
-4. Sets that share prefix tokens form clusters (connected components, in
+3. The others are partitioned into groups: sets with one min-hash meet, and
+   those that verifiably link with the first one are tied to it. A group is
+   what such ties connect.
+4. Groups that share prefix tokens form clusters (connected components, in
    Spark); nothing links across clusters, and one that holds a single group
    is done. The others' sets are dealt to chunks of bounded size; every two
    chunks of a cluster meet in a task. There the matrix holds the token union
@@ -39,10 +39,13 @@ from .shared import checkpoint
 BLOCK = 2_000_000
 #: share of the hash values that make class A
 SHARE_A = 0.4
-#: min-hash rounds that form groups
-ROUNDS = 3
-#: sets under one min-hash that one task streams; more are salted
-HOT = 1000
+#: min-hashes that form groups
+HASHES = 3
+#: sets under one min-hash that one task streams, and rows that ask for one
+#: key in a shuffle; more are salted, or their keys (HOT_KEYS at most) broadcast
+HOT, HOT_KEYS = 1000, 4096
+#: edges that one task contracts
+BLOCK_EDGES = 1_000_000
 #: sets, and tokens, of a chunk: two chunks are compared in one task
 BLOCK_SETS, BLOCK_TOKENS = 512, 400_000
 
@@ -267,29 +270,28 @@ def _prefix_size(num: int, den: int) -> Column:
 
 def _read_sets(texts: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
     """(sid, tokens) of the ``chosen`` sets (sid, doc), read again from their
-    texts."""
+    texts. A text is found by its key and its hash, so that a repeated key
+    brings no other texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             want = batch["sid"].to_numpy()
             for start, h, _, n, sid in sets_of([bytes(t) if t is not None else b"" for t in batch["_text"]], k):
                 ends = np.cumsum(n)
-                good = np.flatnonzero(sid == want[start:start + len(n)])  # a repeated key brings other texts too
+                good = np.flatnonzero(sid == want[start:start + len(n)])
                 yield pd.DataFrame({"sid": sid[good], "tokens": [h[ends[i] - n[i]:ends[i]].tobytes() for i in good]})
 
-    joined = texts.join(chosen, texts["_key"].eqNullSafe(chosen["doc"])).select(
+    joined = texts.join(chosen, texts["_key"].eqNullSafe(chosen["doc._key"]) & (texts["_h"] == chosen["doc._h"])).select(
         F.col("_text").cast("binary").alias("_text"), "sid")
     return joined.mapInPandas(run, "sid bigint, tokens binary").dropDuplicates(["sid"])
 
 
 def _prefixes(sets: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
-    """(sid, n, u, tokens, prefix, m0..) of the ``sets`` that may have links
+    """(sid, u, tokens, prefix, least) of the ``sets`` that may have links
     among each other: ``u`` tokens are in no other set, ``prefix`` holds the
-    shared ones among the rarest n - ceil(t n) + 1, m0.. are min-hashes."""
+    shared ones among the rarest n - ceil(t n) + 1, ``least`` min-hashes."""
     shared = _shared(_deal_sets(sets, buckets), buckets, detail=True)
-    fields = "sid bigint, n int, u int, tokens binary, prefix array<bigint>" + "".join(
-        f", m{r} bigint" for r in range(ROUNDS))
-    seeds = _mix(np.arange(7001, 7001 + ROUNDS, dtype=np.uint64))
+    seeds = _mix(np.arange(7001, 7001 + HASHES, dtype=np.uint64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -306,24 +308,43 @@ def _prefixes(sets: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
                 freq = np.where(known[by][at] == code, np.frombuffer(counts, np.uint32)[by][at], 1)
                 size, u = n - -(-n * num // den) + 1, int((freq == 1).sum())
                 if u < size:
-                    least = [int(_mix(mine ^ s).min().view(np.int64)) for s in seeds]
-                    rows.append((sid, n, u, tokens, mine[np.lexsort((mine, freq))[u:size]].view(np.int64).tolist(),
-                                 *least))
-            yield pd.DataFrame(rows, columns=["sid", "n", "u", "tokens", "prefix", *(f"m{r}" for r in range(ROUNDS))])
-
-    return sets.join(shared, "sid").mapInPandas(run, fields)  # a set that shares nothing has no links
-
-
-def _gather(sets: DataFrame, key: str, num: int, den: int) -> DataFrame:
-    """(member, head) links: sets with the same ``key`` are streamed in order
+                    rows.append((sid, u, tokens, mine[np.lexsort((mine, freq))[u:size]].view(np.int64).tolist(),
+                                 [int(_mix(mine ^ s).min().view(np.int64)) for s in seeds]))
+            yield pd.DataFrame(rows, columns=["sid", "u", "tokens", "prefix", "least"])
+
+    return sets.join(shared, "sid").mapInPandas(  # a set that shares nothing has no links
+        run, "sid bigint, u int, tokens binary, prefix array<bigint>, least array<bigint>")
+
+
+def _look_up(rows: DataFrame, key: str, table: DataFrame, total: int) -> DataFrame:
+    """``rows`` with the columns that ``table`` (``key``, n: how many rows
+    ask for it, ...; keys unique) has under ``key``, null where it has none.
+    What many rows ask for is broadcast, at most ``HOT_KEYS`` keys as each
+    has its share of ``total`` rows; the others meet by a shuffle, to which
+    rows that are served already are spread."""
+    limit = max(HOT, total // HOT_KEYS)
+    names = [c for c in table.columns if c not in (key, "n")]
+    hot = F.broadcast(table.where(F.col("n") > limit).select(F.col(key).alias("_hot"), F.struct(*names).alias("_a")))
+    cold = table.where(F.col("n") <= limit).select(F.col(key).alias("_cold"), F.struct(*names).alias("_b"))
+    out = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
+        "_at", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.xxhash64(F.monotonically_increasing_id())))
+    out = out.join(cold, F.col("_at") == F.col("_cold"), "left")
+    return out.select(*rows.columns, *(F.when(F.col("_hot").isNotNull(), F.col(f"_a.{c}")).otherwise(
+        F.col(f"_b.{c}")).alias(c) for c in names))
+
+
+def _gather(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(member, head) links: sets that share a min-hash are streamed in order
     of (u, sid), the first is the head: it has the fewest tokens of its own,
-    so it lies nearest to the others. Keys of more than ``HOT`` sets are
-    salted."""
-    hot = sets.groupBy(key).count().where(F.col("count") > HOT).select(
-        F.col(key).alias("_hot"), F.ceil(F.col("count") / HOT).alias("_salts"))
-    salted = sets.join(hot, F.col(key) == F.col("_hot"), "left").select(
-        "sid", "u", "tokens", F.col(key).alias("key"),
-        F.coalesce(F.pmod(F.xxhash64("sid"), F.col("_salts")), F.lit(0)).alias("salt"))
+    so it lies nearest to the others. A min-hash of more than ``HOT`` sets is
+    salted anew for each of the hashes, so salted parts overlap."""
+    keys = sets.select("sid", F.posexplode("least").alias("turn", "key"))
+    counts = checkpoint(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    asked = _look_up(keys, "key", counts.withColumn("many", F.col("n")), HASHES * sets.count()).where("many > 1")
+    asked = asked.groupBy("sid").agg(F.collect_list(F.struct("turn", "key", "many")).alias("keys"))
+    dealt = sets.select("sid", "u", "tokens").join(asked, "sid").select("sid", "u", "tokens", F.explode("keys").alias("k"))
+    dealt = dealt.select("sid", "u", "tokens", "k.key", F.pmod(
+        F.xxhash64("sid", "k.turn"), F.ceil(F.col("k.many") / HOT)).alias("salt"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, head, held = None, 0, None
@@ -335,10 +356,10 @@ def _gather(sets: DataFrame, key: str, num: int, den: int) -> DataFrame:
                     now, head, held = (k, s), sid, mine
                 elif links(mine, held, num, den):
                     out.append((sid, head))
-            yield pd.DataFrame(out, columns=["member", "head"], dtype=np.int64)
+            yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
-    return salted.repartition("key", "salt").sortWithinPartitions("key", "salt", "u", "sid").select(
-        "sid", "tokens", "key", "salt").mapInPandas(run, "member bigint, head bigint")
+    return dealt.repartition("key", "salt").sortWithinPartitions("key", "salt", "u", "sid").select(
+        "sid", "tokens", "key", "salt").mapInPandas(run, "a bigint, b bigint")
 
 
 def _overlap(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -421,102 +442,165 @@ def _compare(sets: DataFrame, num: int, den: int) -> DataFrame:
     return dealt.groupBy("cluster", "lo", "hi").applyInPandas(run, "a bigint, b bigint")
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, root) for ``nodes`` (node): the smallest node reachable over
-    ``edges`` (a, b). Labels spread to neighbours and jump to their label's
-    label until nothing changes; every turn is cut through the checkpoint
-    folder. No edge list or component is gathered in one place."""
-    both = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    label = checkpoint(nodes.select("node", F.col("node").alias("root")))
-    if both.isEmpty():
-        return label
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root): every node that is not its component's smallest."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    root = np.arange(len(names))
     while True:
-        near = both.join(label, F.col("a") == F.col("node")).groupBy("b").agg(F.min("root").alias("near"))
-        step = label.join(near, F.col("node") == F.col("b"), "left").select(
-            "node", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old"))
-        up = step.select(F.col("node").alias("n2"), F.col("root").alias("up"))
-        step = step.join(up, F.col("root") == F.col("n2"), "left").select(
-            "node", F.least("root", F.coalesce("up", "root")).alias("root"), "old")
-        step = checkpoint(step)
-        label = step.drop("old")
-        if step.where("root <> old").isEmpty():
-            return label
+        least = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], least)
+        np.minimum.at(new, root[y], least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    moved = root != np.arange(len(root))
+    return names[moved], names[root[moved]]
+
+
+def _contract(edges: DataFrame, tasks: int) -> DataFrame:
+    """Edges (a, b) as stars of the components that a task sees: at most
+    ``BLOCK_EDGES`` edges in each of ``tasks``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if got:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in _forest(*(np.concatenate(c) for c in zip(*got, strict=True)))], ["a", "b"])
 
-def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, num: int = 85,
-                    den: int = 100) -> DataFrame:
-    """Per row: ``key``, ``n_shingles`` (size of its set) and
-    ``component_id`` (smallest key reachable by links, its own included).
+    return edges.select("a", "b").coalesce(tasks).mapInArrow(run, "a bigint, b bigint")
 
-    Rows link when den x intersection >= num x union of their sets of word
-    ``k``-shingles. Null and empty texts, and texts without words, have empty
-    sets and link with nothing; equal rows link with each other; null keys
-    are never the smallest; an empty table gives an empty one; other columns
-    are ignored."""
-    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+
+def _star(edges: DataFrame, total: int, large: bool) -> DataFrame:
+    """One turn of star building: per node, its larger (its smaller)
+    neighbours are tied to its smallest neighbour."""
+    out = edges.union(edges.select("b", "a")) if large else edges
+    least = checkpoint(out.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(
+        "a", F.least("a", "m").alias("m"), "n"))
+    met = _look_up(out, "a", least, 2 * total)
+    if large:
+        return met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return met.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m")).distinct()
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) for ``nodes`` (node): the smallest node reachable over
+    ``edges`` (a, b). Tasks contract the edges that they hold to stars; at
+    most ``BLOCK_EDGES`` edges are one task, which is then done. More are
+    tied to smaller neighbours in turns (large star, small star), each cut
+    through the checkpoint folder, until nothing changes or one task holds
+    what is left."""
+    edges = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    seen = None
+    while True:
+        total, mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        tasks = -(-total // BLOCK_EDGES)
+        if tasks <= 1 or (total, mark) == seen:
+            stars = _contract(edges, 1) if tasks == 1 else edges
+            break
+        seen = total, mark
+        edges = checkpoint(_star(_contract(edges, tasks), total, large=True))
+        edges = checkpoint(_star(edges, total, large=False))
+    return nodes.join(stars.withColumnRenamed("b", "_root"), F.col("node") == F.col("a"), "left").select(
+        "node", F.coalesce("_root", "node").alias("root"))
+
+
+def linked(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, num: int = 85,
+           den: int = 100) -> DataFrame:
+    """Per row of ``df``: ``_key``, ``_h`` (hash of its text), ``n`` (size of
+    its set) and ``first`` (struct _void, _key, _h: the smallest row reachable
+    by links, null keys last; null for rows without a set)."""
+    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("_h"))
     kind = df.schema[key].dataType.simpleString()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, n_a, ids = [], [], []
-            for _, h, d, size, sid in sets_of([t or b"" for t in batch.column(1).to_pylist()], k):
+            for _, h, d, size, sid in sets_of([t or b"" for t in batch.column(2).to_pylist()], k):
                 n.append(size)
                 n_a.append(np.bincount(d[h < _LIMIT_A], minlength=len(size)))
                 ids.append(sid)
             cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(cat(x), pa.int64()) for x in (n, n_a, ids))], ["_key", "n", "n_a", "sid"])
+                [batch.column(0), batch.column(1), *(pa.array(cat(x), pa.int64()) for x in (n, n_a, ids))],
+                ["_key", "_h", "n", "n_a", "sid"])
 
-    rows = checkpoint(texts.select("_key", F.col("_text").cast("binary").alias("_text")).mapInArrow(
-        describe, f"_key {kind}, n bigint, n_a bigint, sid bigint"))
+    rows = checkpoint(texts.select("_key", "_h", F.col("_text").cast("binary").alias("_text")).mapInArrow(
+        describe, f"_key {kind}, _h bigint, n bigint, n_a bigint, sid bigint"))
     total = rows.count()
-    buckets = min(max(8, total // 4096), 1 << 16)
-    sets = rows.where("n > 0").groupBy("sid").agg(F.min("_key").alias("doc"), F.first("n").alias("n"),
-                                                  F.first("n_a").alias("n_a"))
+    buckets = max(8, total // 4096)
+    sets = checkpoint(rows.where("n > 0").groupBy("sid").agg(
+        F.min(F.struct(F.col("_key").isNull().alias("_void"), "_key", "_h")).alias("doc"), F.first("n").alias("n"),
+        F.first("n_a").alias("n_a"), F.count("*").alias("copies")))
     shared = _shared(_deal_texts(texts, k, buckets), buckets, detail=False).select("sid", "held")
     chosen = sets.join(shared, "sid", "left").where(
         F.col("n_a") - F.coalesce("held", F.lit(0)) < _prefix_size(num, den)).select("sid", "doc")
     read = checkpoint(_read_sets(texts, chosen, k))
     opened = checkpoint(_prefixes(read, num, den, max(8, min(buckets, read.count() // 512))))
+    some = opened.count()
+
+    group = components(opened.select(F.col("sid").alias("node")), _gather(opened, num, den))
+    group = checkpoint(group.select(F.col("node").alias("sid"), F.col("root").alias("grp")))
+
+    # groups reach each other over shared prefix tokens only: a cluster of one group is done
+    prefix = checkpoint(opened.select("sid", "prefix").join(group, "sid").select(
+        "grp", F.explode("prefix").alias("token")).distinct())
+    holder = prefix.groupBy("token").agg(F.min("grp").alias("b"), F.max("grp").alias("z"), F.count("*").alias("n")).where(
+        "b <> z")
+    near = _look_up(prefix, "token", holder, prefix.count()).where("grp <> b").select(F.col("grp").alias("a"), "b")
+    sizes = group.groupBy(F.col("grp").alias("node")).agg(F.count("*").alias("n"))
+    cluster = components(sizes.select("node"), near).join(sizes, "node").select(
+        F.col("node").alias("grp"), F.col("root").alias("cluster"), "n")
+    placed = checkpoint(_look_up(group, "grp", cluster, some))
+    amount = opened.select("sid", (F.length("tokens") / 8).alias("size")).join(placed, "sid").groupBy("cluster").agg(
+        F.max("grp").alias("g1"), F.min("grp").alias("g2"), F.count("*").alias("n"), F.sum("size").alias("size"))
+    several = amount.where("g1 <> g2").select("cluster", "n", F.ceil(
+        F.greatest(F.col("n") / BLOCK_SETS, F.col("size") / BLOCK_TOKENS)).alias("chunks"))
+    asked = _look_up(placed, "cluster", several, some).where("chunks is not null")
+    edges = _compare(opened.select("sid", "tokens").join(asked, "sid"), num, den)
+    root = components(sizes.select("node"), edges).join(sizes, "node").select(
+        F.col("node").alias("grp"), F.col("root").alias("comp"), "n")
+    comp = _look_up(group, "grp", root, some).select("sid", "comp")
+
+    # back to the rows: set -> component -> smallest row
+    named = checkpoint(sets.select("sid", "doc").join(comp, "sid"))
+    least = named.groupBy("comp").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
+    named = _look_up(named.select("sid", "comp"), "comp", least, some).select("sid", "first")
+    final = checkpoint(sets.join(named, "sid", "left").select(
+        "sid", F.coalesce("first", "doc").alias("first"), F.col("copies").alias("n")))
+    out = _look_up(rows.select("_key", "_h", "sid", F.col("n").alias("size")), "sid", final, total)
+    return out.select("_key", "_h", F.col("size").alias("n"), "first")
+
+
+def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, num: int = 85,
+                    den: int = 100) -> DataFrame:
+    """Per row: ``key``, ``n_shingles`` (size of its set) and
+    ``component_id`` (smallest key reachable by links, its own included).
 
-    # groups: only heads go on to the next round
-    heads, found = opened, []
-    for r in range(ROUNDS):
-        for again in (False, True):
-            joined = checkpoint(_gather(heads, f"m{r}", num, den))
-            found.append(joined)
-            heads = heads.join(joined, heads["sid"] == joined["member"], "left_anti")
-            if again or heads.groupBy(f"m{r}").count().where(F.col("count") > HOT).isEmpty():
-                break
-    member = found[0]
-    for f in found[1:]:
-        member = member.unionByName(f)
-    group = checkpoint(components(opened.select(F.col("sid").alias("node")),
-                                  member.select(F.col("member").alias("a"), F.col("head").alias("b"))))
-    group = group.select(F.col("node").alias("sid"), F.col("root").alias("grp"))
-
-    # sets reach each other over shared prefix tokens only: a cluster of one group is done
-    grouped = opened.join(group, "sid")
-    prefix = checkpoint(grouped.select("sid", "grp", F.explode("prefix").alias("token")))
-    holder = prefix.groupBy("token").agg(F.min("sid").alias("b"))
-    near = checkpoint(prefix.select("sid", "token").join(holder, "token").where("sid <> b").select(
-        F.col("sid").alias("a"), "b").distinct())
-    cluster = components(opened.select(F.col("sid").alias("node")),
-                         near.unionByName(group.where("sid <> grp").select(F.col("sid").alias("a"), F.col("grp").alias("b"))))
-    size = F.sum(F.length("tokens") / 8)
-    grouped = grouped.join(cluster, F.col("sid") == F.col("node")).withColumnRenamed("root", "cluster")
-    several = grouped.groupBy("cluster").agg(
-        F.max("grp").alias("g1"), F.min("grp").alias("g2"),
-        F.ceil(F.greatest(F.count("*") / BLOCK_SETS, size / BLOCK_TOKENS)).alias("chunks")).where("g1 <> g2")
-    edges = _compare(grouped.join(several.select("cluster", "chunks"), "cluster"), num, den)
-    edges = checkpoint(edges)
-    root = components(group.select(F.col("grp").alias("node")).distinct(), edges)
-    comp = group.join(root, F.col("grp") == F.col("node")).select("sid", F.col("root").alias("comp"))
-
-    # back to the rows: set -> component -> smallest key
-    named = sets.join(comp, "sid", "left").select("sid", "doc", F.coalesce("comp", "sid").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    named = named.join(least, "comp").select("sid", "component_id")
-    out = rows.join(named, "sid", "left")
-    return out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_key")).alias("component_id"))
+    Rows link when den x intersection >= num x union of their sets of word
+    ``k``-shingles. Null and empty texts, and texts without words, have empty
+    sets and link with nothing; equal rows link with each other; null keys
+    are never the smallest; an empty table gives an empty one; other columns
+    are ignored."""
+    return linked(df, key, text, k, num, den).select(
+        F.col("_key").alias(key), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("first._key")).otherwise(F.col("_key")).alias("component_id"))
+
+
+def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, num: int = 80,
+                den: int = 100) -> DataFrame:
+    """One row of each component of ``linked`` rows: that with the smallest
+    key (null keys last, ties by a hash of the text); of equal rows one. Rows
+    are told apart by key and text, so a repeated key keeps what has no copy,
+    and a row without a key goes if it has one. Rows with nothing to compare
+    all stay, but equal ones once."""
+    found = checkpoint(linked(df, key, text, k, num, den))
+    mine = F.struct(F.col("_key").isNull().alias("_void"), "_key", "_h")
+    kept = found.where((F.col("n") == 0) | F.col("first").eqNullSafe(mine)).groupBy(
+        F.col("_key").alias("_kept"), F.col("_h").alias("_kept_h")).agg(F.count("*").alias("_n"))
+    kept = checkpoint(kept)
+    out = df.join(kept.drop("_n"), F.col(key).eqNullSafe(F.col("_kept")) & (F.xxhash64(text) == F.col("_kept_h")), "left_semi")
+    return out if kept.where("_n > 1").isEmpty() else out.dropDuplicates([key, text])
