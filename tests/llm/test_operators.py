@@ -6,6 +6,8 @@ import hashlib
 import html as htmllib
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -298,6 +300,42 @@ def test_secrets(spark, odd, docs):
     assert secrets.find_secrets(df.limit(0)).count() == 0
 
 
+def test_secret_links_by_gap(spark):
+    """Weak parts against a brute-force join of intervals."""
+    rng = random.Random(12)
+    up, low = "ABCDEFGHJKLMNPQRSTUVWXYZ23456789", "abcdefghijkmnpqrstuvwxyz"
+    make = {"id": lambda: "".join(rng.choices(up, k=15)) + "7Q", "far": lambda: "é- " * rng.randint(1, 110),
+            "key": lambda: "".join(rng.choices(up + low, k=rng.choice([36, 64, 88]))) + "x4G",
+            "endpoint": lambda: "https://h.example.com/" + "p" * rng.randint(0, 300),
+            "assign": lambda: "token=" + "".join(rng.choices(low, k=rng.choice([14, 300])))}
+    texts = [" ".join(make[rng.choice(list(make))]() for _ in range(rng.randint(2, 9))) for _ in range(60)]
+    texts += [f"token={'a' * 300} {make['id']()}", f"token={'a' * 30} {'.' * 200} {make['id']()}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
+    some = 0
+    for n, t in enumerate(texts):
+        weak = [(m.start(), k, m.end()) for k, p in ((3, secrets.WEAK_ID), (4, secrets.WEAK_KEY), (5, secrets.ENDPOINT))
+                for m in re.finditer(p, t)]
+        parts = weak + base_spans(t)
+        near = lambda a, b: max(a[0] - b[2], b[0] - a[2]) <= 200
+        ids, keys = ([p for p in parts if p[1] in kinds] for kinds in ((1, 3), (0, 2, 4)))
+        pair = [a for a in ids if any(near(a, b) for b in keys)] + [b for b in keys if any(near(a, b) for a in ids)]
+        want = {p for p in pair if p[1] >= 3} | {p for p in weak if p[1] == 5 and any(near(p, q) for q in pair)}
+        assert {(s.start, s.kind, s.end) for s in found[n].linked} == want, t
+        some += len(want)
+    assert some > 60 and len(found[60].linked) == 1 and not found[61].linked
+
+
+def test_secrets_in_long_texts(spark):
+    text = "password = aaaaaaaaaaaaa, é 0123456789abcdef; " * 24_000
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    begin = time.time()
+    found = secrets.find_secrets(df).first()
+    assert len(found.base) == 48_000 and [s[0] for s in base_spans(text)] == [s.start for s in found.base]
+    clean = secrets.redact_documents(df).first().text
+    assert clean == "[SECRET], é [SECRET]; " * 24_000 and time.time() - begin < 60
+
+
 # ---------------------------------------------------------------- language id
 
 def test_language_id(spark, docs, odd):
@@ -411,6 +449,48 @@ def test_training_without_any_text():
         assert found.tolist() == [False, True, True]
 
 
+def test_long_pages_in_bounded_memory():
+    rng = random.Random(13)
+    words = lambda n: " ".join(rng.choices("lorem ipsum dolor sit amet elit sed".split(), k=n))
+    page = lambda n: f"<nav><a href=x>{words(2)}</a></nav><article>" + "".join(
+        f"<p>{words(12)}.</p>" for _ in range(n)) + f"</article><footer>{words(4)}</footer>"
+    model = extract.train([page(rng.randint(2, 6)) for _ in range(60)], epochs=2)
+    some = [extract.page_features(extract.leaf_blocks(page(n))) for n in [3, 1, 8, 5] * 16]
+    x, mask, _ = extract.pad(some)
+    whole = extract._sigmoid(model.scores(x, mask)[0])  # the pass with a tape, as in training
+    for n, got in enumerate(model.label(some)):
+        np.testing.assert_allclose(got, whole[:len(got), n], atol=1e-5)
+    long = extract.page_features(extract.leaf_blocks(page(20_000)))
+    tracemalloc.start()
+    got = model.label([long, *some[:63]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and [len(g) for g in got[:2]] == [20_002, 5]
+    np.testing.assert_allclose(got[1], model.label(some[:1])[0], atol=1e-5)
+
+
+@pytest.mark.parametrize("box", ["<main>", '<section class="entry-content">', '<div id="story">', '<div class="post-body">'])
+def test_containers_never_seen_in_training(box):
+    """Trained on article elements alone, layouts of made containers left out."""
+    rng = random.Random(14)
+    words = lambda n: " ".join(rng.choices("lorem ipsum dolor sit amet elit sed".split(), k=n))
+
+    def page(start):
+        end = f"</{re.match('<([a-z]+)', start)[1]}>"
+        return (f"<nav><a href=x>{words(2)}</a> <a href=y>{words(1)}</a></nav>{start}<h1>{words(4)}</h1>" + "".join(
+            f"<p>{words(rng.randint(15, 40))}.</p>" for _ in range(rng.randint(2, 6))) + f"{end}<footer>{words(5)}</footer>")
+
+    made = [extract.leaf_blocks(page("<article>")) for _ in range(120)]
+    model = extract.Labeller()
+    model.train([(extract.page_features(b), np.array([0, *[1] * (len(b) - 2), 0], np.float32)) for b in made])
+    right = total = 0
+    for _ in range(40):
+        blocks = extract.leaf_blocks(page(box))
+        found = model.label([extract.page_features(blocks)])[0] >= 0.5
+        right, total = right + int((found == np.array([False, *[True] * (len(blocks) - 2), False])).sum()), total + len(blocks)
+    assert right >= 0.9 * total
+
+
 # -------------------------------------------------------------------- quality
 
 def test_quality(spark, odd):

@@ -174,6 +174,10 @@ def leaf_blocks(page: str) -> list[Block]:
 
 PATH, WORDS, FIGURES = 96, 32, 7
 WIDTH = PATH + WORDS + FIGURES
+#: padded blocks of the pages that are labelled together, and steps of them whose inputs are multiplied at once
+CELLS, STRETCH = 16_384, 512
+#: characters of html that are parsed before their blocks are labelled
+PAGE_CHARS = 4_000_000
 
 
 @lru_cache(maxsize=200_000)
@@ -299,15 +303,42 @@ class Labeller:
                     v[name] = 0.999 * v[name] + 0.001 * g * g
                     self.p[name] -= rate * (m[name] / (1 - 0.9 ** step)) / (np.sqrt(v[name] / (1 - 0.999 ** step)) + 1e-8)
 
+    def _outputs(self, x: np.ndarray, sizes: np.ndarray, d: str) -> np.ndarray:
+        """What direction ``d`` adds to the scores of pages (time first,
+        padded; the longest first), without a tape: of each step one number a
+        page stays. A page leaves the matrices where it ends."""
+        w, steps = self.p["W" + d], len(x)
+        weight = self.p["V"][:self.h] if d == "f" else self.p["V"][self.h:]
+        out = np.zeros(x.shape[:2], np.float32)
+        h = np.zeros((x.shape[1], self.h), np.float32)
+        c = np.zeros_like(h)
+        starts = range(0, steps, STRETCH)
+        for lo in starts if d == "f" else reversed(starts):
+            seen = x[lo:lo + STRETCH] @ w[:WIDTH] + self.p["b" + d]
+            order = range(len(seen))
+            for t in order if d == "f" else reversed(order):
+                n = int(np.searchsorted(-sizes, -(lo + t)))  # pages of more than lo + t blocks
+                g = seen[t, :n] + h[:n] @ w[WIDTH:]
+                gates = _sigmoid(g[:, :3 * self.h])
+                i, f, o = (gates[:, k * self.h:(k + 1) * self.h] for k in range(3))
+                c[:n] = f * c[:n] + i * np.tanh(g[:, 3 * self.h:])
+                h[:n] = o * np.tanh(c[:n])
+                out[lo + t, :n] = h[:n] @ weight
+        return out
+
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """Probability of main text per block and page; long pages run
-        together with pages of like length only."""
+        """Probability of main text per block and page. Pages of like length
+        run together, as many as ``CELLS`` padded blocks hold; a longer page
+        runs alone."""
         out: list[np.ndarray] = [np.zeros(0)] * len(pages)
-        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        for lo in range(0, len(order), 64):
-            some = order[lo:lo + 64]
-            x, mask, _ = pad([pages[i] for i in some])
-            s, _ = self.scores(x, mask)
+        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: -len(pages[i]))
+        lo = 0
+        while lo < len(order):
+            some = order[lo:lo + max(1, CELLS // len(pages[order[lo]]))]
+            lo += len(some)
+            sizes = np.array([len(pages[i]) for i in some])
+            x, _, _ = pad([pages[i] for i in some])
+            s = self._outputs(x, sizes, "f") + self._outputs(x, sizes, "b") + self.p["c"]
             for n, i in enumerate(some):
                 out[i] = _sigmoid(s[:len(pages[i]), n])
         return out
@@ -471,9 +502,10 @@ def extract(df: DataFrame, key: str = "page_id", url: str = "url", page: str = "
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for batch in batches:
-            for lo in range(0, len(batch), 512):
-                part = batch.iloc[lo:lo + 512]
-                pages = [leaf_blocks(h) if h else [] for h in part["_html"].fillna("")]
+            whole = batch["_html"].fillna("")
+            ends = np.cumsum([len(h) for h in whole]) // PAGE_CHARS  # pages of a few MB at a time
+            for _, part in batch.assign(_html=whole).groupby(ends, sort=False) if len(batch) else ():
+                pages = [leaf_blocks(h) if h else [] for h in part["_html"]]
                 labels = m.label([page_features(p) for p in pages])
                 texts = ["\n\n".join(b.text for b, p in zip(blocks, label, strict=True) if p >= threshold)
                          for blocks, label in zip(pages, labels, strict=True)]
