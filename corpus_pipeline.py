@@ -22,30 +22,38 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         "keep").select(*docs.columns)
 
 
+#: code points of a stretch of one language, on average, in a text that mixes languages
+STRETCH = 40
+
+
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without letters, and those of which
-    no language labels half the letters, go. A null ``lang`` is filled with
-    the label."""
+    """Documents with a language: those without letters go, and those of
+    which no language labels half the letters, unless their languages come in
+    stretches of ``STRETCH`` code points on average (a text of several
+    languages, not noise). A null ``lang`` is filled with the label. Where no
+    row says its language, nothing is learned and all texts with letters
+    stay."""
+    model = langid.learn_from(docs)
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     others = [c for c in docs.columns if c != "doc_id"]
     names = {c: f"_c{i}" for i, c in enumerate(others)}
-    found = langid.identify(docs, langid.learn_from(docs), keep_text=names["text"],
+    found = langid.identify(docs, model, keep_text=names["text"],
                             carry=tuple(F.col(c).alias(n) for c, n in names.items() if c != "text"))
-    found = found.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
+    covered = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    found = found.where((F.col("lang_pred") != "und") & (
+        (F.col("score") >= 0.5) | (covered >= STRETCH * F.size("spans"))))
     filled = F.coalesce(F.col(names["lang"]), F.col("lang_pred"))
     return found.select("doc_id", *((filled if c == "lang" else F.col(n)).alias(c) for c, n in names.items())).select(
         *docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones stays: the smallest doc_id
-    (five-word shingles, similarity 0.8). Equal rows are one; rows that repeat
-    a doc_id with another text go or stay with the doc_id."""
-    found = checkpoint(jaccard.join_components(docs, k=5, num=80, den=100))
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")).distinct()
-    docs = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = not found.groupBy("doc_id").count().where("count > 1").isEmpty()
-    return docs.dropDuplicates(["doc_id", "text"]) if repeated else docs
+    """One document of each group of linked ones stays: the row with the
+    smallest doc_id (five-word shingles, similarity 0.8). Rows are told apart
+    by doc_id and text, so repeated and null keys are decided row by row;
+    equal rows are one."""
+    return jaccard.drop_copies(docs, k=5, num=80, den=100)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
