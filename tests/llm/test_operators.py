@@ -606,3 +606,59 @@ def test_pipeline(spark, tmp_path):
     assert all(held[3][d] == t for d, t in held[2].items() if not base_spans(t) and "[SECRET]" not in held[3][d])
     rows = p.STAGES[4][1](spark, docs, sf).toPandas()
     assert set(rows.doc_id) == set(held[3]) and (rows.groupby("sequence_id").length.sum() <= 1024).all()
+
+
+def test_language_stage_keeps_clean_texts(spark, docs):
+    import corpus_pipeline as p
+
+    texts = [r.text for r in docs.where("length(text) > 300").limit(20).collect()]
+    bare = spark.createDataFrame([(n, t, None, "s", len(t)) for n, t in enumerate([*texts, "123 456", ""])], docs.schema)
+    assert {r.doc_id for r in p.keep_language(spark, bare, SF).collect()} == set(range(20))
+    by = {}
+    for r in docs.where("length(text) > 900").collect():
+        by.setdefault(r.lang, r.text[:300])
+    assert len(by) >= 3
+    mixed = docs.unionAll(spark.createDataFrame([(-5, " ".join(by.values()), None, "s", 0)], docs.schema))
+    assert p.keep_language(spark, mixed, SF).where("doc_id = -5").count() == 1
+
+
+def test_quality_by_hand(spark):
+    """Posteriors, quality and keep of every row against plain sums."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality.classify(docs, labels).collect()
+    site = {r.doc_id: (r.source, r.lang) for r in docs.select("doc_id", "source", "lang").collect()}
+    hosts, paths = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        hosts[site[r.doc_id][0]].append(r.evidence)
+        paths[site[r.doc_id]].append(r.evidence)
+    every = [r.evidence for r in rows]
+    mean = sum(every) / len(every)
+
+    def prior(groups):
+        n = sum(map(len, groups))
+        p = [sum(g) / len(g) for g in groups]
+        m = sum(map(sum, groups)) / n
+        between = sum(len(g) * x * x for g, x in zip(groups, p, strict=True)) / n - m * m - m * (1 - m) * len(groups) / n
+        return min(max(m * (1 - m) / max(between, 1e-6) - 1, 1.0), 1e4)
+
+    a, b = prior(list(hosts.values())), prior(list(paths.values()))
+    logit = lambda p: np.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    for r in rows:
+        h, q = hosts[site[r.doc_id][0]], paths[site[r.doc_id]]
+        host = (sum(h) + a * mean) / (len(h) + a)
+        path = (sum(q) + b * host) / (len(q) + b)
+        quality_ = 1 / (1 + np.exp(-(logit(r.evidence) + 0.5 * (logit(path) - logit(mean))))) if r.evidence > 0 else 0.0
+        assert (r.host_posterior, r.path_posterior, r.quality) == pytest.approx((host, path, quality_), abs=1e-9)
+        assert r.keep == (quality_ >= 0.5)
+
+
+def test_quality_of_labels_left_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    keep = {r.doc_id: r.keep for r in quality.classify(docs, labels.where(~fold)).select("doc_id", "keep").collect()}
+    held = [(r.quality, keep[r.doc_id]) for r in labels.where(fold).collect()]
+    good, bad = ([k for q, k in held if q == x] for x in (1, 0))
+    print("held out: kept", sum(good), "of", len(good), "good; dropped", len(bad) - sum(bad), "of", len(bad), "bad")
+    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
