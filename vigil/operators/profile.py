@@ -20,8 +20,9 @@ Plan (independent of the number of snapshots):
 
 A null key is a snapshot like any other: joins on the key are null-safe.
 
-Drift figures pair each snapshot with its predecessor by key order (``lag``
-over the per-snapshot table, which has one row per snapshot).
+Drift figures pair each snapshot with its predecessor by key order over the
+per-snapshot table (:mod:`vigil.operators.ordering`: one window for few
+snapshots, a window per key range for many).
 
 Expressions are written as Spark SQL text (see :mod:`vigil.functions.sql`).
 """
@@ -39,6 +40,7 @@ from pyspark.sql import types as T
 from ..config import DEFAULT, CheckConfig
 from ..functions.exprs import dtype_name, join_null_safe
 from ..functions.sql import E, add, num, q, s, ts_sql
+from .ordering import with_neighbours
 
 SMALL_BYTES = 64 << 20  # per-snapshot tables proven to be below this (16 bytes a cell) are broadcast
 SMALL_CANDIDATES = 1 << 18  # repeated row hashes (key, hash) up to this many are broadcast
@@ -78,12 +80,16 @@ class Profile:
                         (:func:`~vigil.sources.snapshots.snapshot_schemas`).
     ``keys``            optional list of keys that must appear even when a
                         snapshot has no rows (pair mode).
+    ``stored``          optional :class:`~vigil.streaming.state.StoredProfile`:
+                        figures of snapshots that are not in ``series`` but
+                        precede some that are. They serve the drift checks and
+                        have no rows in the results.
     """
 
     def __init__(self, series: DataFrame, config: CheckConfig = DEFAULT,
                  key: str = "snapshot_date", as_of: _dt.date | None = None,
                  prev_schema: T.StructType | None = None, keys: list | None = None,
-                 schemas: DataFrame | None = None):
+                 schemas: DataFrame | None = None, stored=None):
         self._persisted: list[DataFrame] = []
         from ..session import allow_cached_coalescing, spread
 
@@ -99,6 +105,7 @@ class Profile:
         self.prev_schema = prev_schema
         self.keys = keys
         self.schemas = schemas
+        self.stored = stored
         self.quantile_mode = self.cfg.quantiles
         self._views: dict = {}
 
@@ -256,21 +263,26 @@ class Profile:
             kt = self.series.schema[self.key].dataType
             kdf = spark.createDataFrame([(x,) for x in self.keys], T.StructType([T.StructField(self.key, kt)]))
             a = kdf.join(a, self.key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        # predecessor / successor by key order over the (tiny) per-snapshot
-        # table; their PSI ranges ride along so stage B needs no self-join
-        w = f"OVER (ORDER BY {k})"
-        extra = [f"coalesce(lag(true) {w}, false) AS has_prev",
-                 f"coalesce(lead(true) {w}, false) AS has_next"]
+        if self.stored is not None:
+            old = self.stored.figures.withColumn("_old", F.lit(True))
+            a = a.withColumn("_old", F.lit(False)).unionByName(
+                old.select(*[c for c in old.columns if c == "_old" or c in a.columns]), allowMissingColumns=True)
+        # predecessor / successor by key order over the per-snapshot table;
+        # their PSI ranges ride along so stage B needs no self-join
+        lags, leads = {"has_prev": "_one"}, {"has_next": "_one"}
         if "pmin" in a.columns:
-            extra += [f"lag(pmin) {w} AS pmin_prev", f"lag(pmax) {w} AS pmax_prev",
-                      f"lead(pmin) {w} AS pmin_next", f"lead(pmax) {w} AS pmax_next"]
+            lags |= {"pmin_prev": "pmin", "pmax_prev": "pmax"}
+            leads |= {"pmin_next": "pmin", "pmax_next": "pmax"}
         if self.schemas is not None:
             a = join_null_safe(a, self.schemas.select(self.key, "dtypes"), [self.key], "left")
-            extra.append(f"lag(dtypes) {w} AS prev_dtypes")
-        a = a.selectExpr("*", *extra)
-        a = a.persist(StorageLevel.MEMORY_AND_DISK)
+            lags["prev_dtypes"] = "dtypes"
+        a = a.withColumn("_one", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)
         self.n_keys = a.count()
+        a = with_neighbours(a, self.key, self.n_keys, lags, leads).drop("_one")
+        a = a.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("has_prev", "has_next")})
+        a = a.persist(StorageLevel.MEMORY_AND_DISK)
+        self._persisted.append(a)
         return a
 
     def small(self, df: DataFrame) -> DataFrame:
@@ -352,7 +364,20 @@ class Profile:
                              f"{psi_bin_sql(v, 'plo_n', 'pst_n', cfg.psi_bins)} END AS bn")
             for b in range(1, cfg.psi_bins + 1):
                 aggs += [f"count_if(bc = {b}) AS bc_{b}", f"count_if(bn = {b}) AS bn_{b}"]
-        return d.groupBy(self.key).agg(*[E(a) for a in aggs])
+        out = d.groupBy(self.key).agg(*[E(a) for a in aggs])
+        if "psi" in parts and self.stored is not None:
+            out = out.unionByName(self.stored_bins(), allowMissingColumns=True)
+        return out
+
+    def stored_bins(self) -> DataFrame:
+        """(key, bn_<b>): the stored values of preceding snapshots over the
+        range that each shares with its successor; no data is read."""
+        old = self.attach(self.stored.figures.select(self.key), self.params(["psi"]), "inner")
+        d = join_null_safe(old, self.stored.values, [self.key], "left").selectExpr(
+            self.k, "c", f"CASE WHEN has_next AND value IS NOT NULL THEN "
+                         f"{psi_bin_sql('value', 'plo_n', 'pst_n', self.cfg.psi_bins)} END AS bn")
+        return d.groupBy(self.key).agg(*[E(f"CAST(coalesce(sum(c) FILTER (WHERE bn = {b}), 0) AS LONG) AS bn_{b}")
+                                         for b in range(1, self.cfg.psi_bins + 1)])
 
     @cached_property
     def ids(self) -> DataFrame:
@@ -430,7 +455,11 @@ class Profile:
         if "ids" in parts:
             f = self.attach(f, self.ids)
         if "values" in parts:
-            f = self.attach(f, self.values)
+            seen = self.values
+            if self.stored is not None:
+                seen = seen.unionByName(self.stored.figures.select(self.key, "ent_n", "ent_s"))
+                f = f.drop("ent_n", "ent_s")
+            f = self.attach(f, seen)
         if "dups" in parts and self.duplicate_rows is not None:
             f = self.attach(f, self.duplicate_rows)
         if "gaps" in parts:
@@ -444,15 +473,17 @@ class Profile:
             derived.append("CASE WHEN ent_n > 0 THEN log2(ent_n) - ent_s / ent_n END AS entropy")
         if derived:
             f = f.selectExpr("*", *derived)
-        # predecessor figures: lag over the per-snapshot rows (ordered)
-        w = f"OVER (ORDER BY {self.k})"
-        lagged = [f"lag(n) {w} AS prev_n"]
+        # predecessor figures over the per-snapshot rows, in key order
+        lags = {"prev_n": "n"}
         if "values" in parts:
-            lagged.append(f"lag(entropy) {w} AS prev_entropy")
-        lagged += [f"lag(corr_{p}) {w} AS pcorr_{p}" for p in range(len(self.corr_pairs))]
+            lags["prev_entropy"] = "entropy"
+        lags |= {f"pcorr_{p}": f"corr_{p}" for p in range(len(self.corr_pairs))}
         if "psi" in parts:
-            lagged += [f"lag(bn_{b}) {w} AS pbn_{b}" for b in range(1, cfg.psi_bins + 1)]
-        f = f.selectExpr("*", *lagged).persist(StorageLevel.MEMORY_AND_DISK)
+            lags |= {f"pbn_{b}": f"bn_{b}" for b in range(1, cfg.psi_bins + 1)}
+        f = with_neighbours(f, self.key, self.n_keys, lags)
+        if self.stored is not None:
+            f = f.where("NOT _old")
+        f = f.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(f)
         self._views[parts] = f
         return f
