@@ -1,5 +1,6 @@
 """Stored profiles, neighbours by ranges."""
 
+import dataclasses
 import datetime as dt
 import os
 
@@ -22,30 +23,28 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_neighbours_by_ranges(spark, monkeypatch):
+def test_neighbours_by_ranges(spark):
     rows = [(None, 7), *((i * 3, i) for i in range(200))]
     df = spark.createDataFrame(rows, "k int, x int").repartition(5)
     whole = ordering.with_neighbours(df, "k", 201, {"a": "x"}, {"z": "x"})
-    monkeypatch.setattr(ordering, "SMALL_ROWS", 10)
-    parts = ordering.with_neighbours(df, "k", 201, {"a": "x"}, {"z": "x"})
+    parts = ordering.with_neighbours(df, "k", 201, {"a": "x"}, {"z": "x"}, most=10)
     assert "SinglePartition" in plan(whole) and "SinglePartition" not in plan(parts)
     key = lambda r: (r.k is not None, r.k or 0)
     assert sorted(parts.collect(), key=key) == sorted(whole.collect(), key=key)
-    one = ordering.with_neighbours(df.where("k = 3"), "k", 201, {"a": "x"}, {"z": "x"}).first()
+    one = ordering.with_neighbours(df.where("k = 3"), "k", 201, {"a": "x"}, {"z": "x"}, most=10).first()
     assert (one.a, one.z) == (None, None)
-    assert ordering.with_neighbours(df.limit(0), "k", 201, {"a": "x"}).count() == 0
+    assert ordering.with_neighbours(df.limit(0), "k", 201, {"a": "x"}, most=10).count() == 0
 
 
-def test_many_snapshots_without_one_task(spark, monkeypatch):
+def test_many_snapshots_without_one_task(spark):
     ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn("snapshot", F.col("user_id"))
 
-    def metrics():
-        run = run_series(ev, EVENTS_CFG, key="snapshot", as_of=AS_OF_EVENTS, dataset_name="users")
+    def metrics(config):
+        run = run_series(ev, config, key="snapshot", as_of=AS_OF_EVENTS, dataset_name="users")
         return {r.snapshot: r for r in run.metrics(dt.datetime(2024, 1, 1)).collect()}
 
-    want = metrics()
-    monkeypatch.setattr(ordering, "SMALL_ROWS", 5)
-    got = metrics()
+    want = metrics(EVENTS_CFG)
+    got = metrics(dataclasses.replace(EVENTS_CFG, window_rows=5))
     assert len(want) > 10 and got.keys() == want.keys()
     for k, r in got.items():
         for c, v in r.asDict().items():
@@ -84,7 +83,6 @@ def test_monitor_without_old_files(spark, tmpdir_path):
     assert got.count() == 8
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
     # a configuration that needs what was not kept cannot go on without the files
-    import dataclasses
     other = dataclasses.replace(EVENTS_CFG, psi_column="user_id")
     with pytest.raises(FileNotFoundError, match="2024-01-07"):
         process_days(spark, [days[7]], src, schema, path, other, "events", as_of=AS_OF_EVENTS)

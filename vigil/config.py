@@ -113,6 +113,11 @@ NULL_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
     "n/a", "nan", "null",
 )
+# Date formats tried on text, in order of preference.
+DATE_FORMATS = (
+    "dd/MM/yyyy", "MM/dd/yyyy", "dd-MM-yyyy", "MM-dd-yyyy", "yyyy/MM/dd", "dd.MM.yyyy", "dd MMM yyyy",
+    "MMM dd, yyyy", "yyyyMMdd", "dd/MM/yyyy HH:mm", "MM/dd/yyyy HH:mm", "dd/MM/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss",
+)
 # Metric-history features for the isolation forest, in order.
 FEATURE_COLUMNS = (
     "row_count",
@@ -201,6 +206,15 @@ class CheckConfig:
     # snapshot) or "approx" (percentile_approx sketch)
     quantiles: str = "select"
     approx_accuracy: int = 100000
+    # per-snapshot rows up to which predecessors are found in one window task
+    window_rows: int = 20_000
+    # text columns whose values are to parse as types: column -> ("int64", "float64", "date", ...)
+    value_types: dict = field(default_factory=dict)
+    # further keys, each a tuple of columns, that are to be unique in a snapshot
+    unique_keys: tuple = ()
+    # formats that dates in text are tried with, besides ISO; each column's
+    # most frequent one is used for all of its values
+    date_formats: tuple = DATE_FORMATS
 
     def weight(self, check: str) -> int:
         return self.weights.get(check, self.default_weight)

@@ -46,11 +46,14 @@ def arr(values) -> str:
     return f"array({', '.join(s(v) for v in vals)})" if vals else "CAST(array() AS ARRAY<STRING>)"
 
 
-def ts_sql(dt: T.DataType, name: str) -> str:
-    """Date-like column parsed with coercion (bad text -> null)."""
+def ts_sql(dt: T.DataType, name: str, fmt: str | None = None) -> str:
+    """Date-like column parsed with coercion (bad text -> null); text by
+    ``fmt``, or as ISO."""
     c = q(name)
     if isinstance(dt, T.TimestampNTZType):
         return c
     if isinstance(dt, (T.TimestampType, T.DateType)):
         return f"CAST({c} AS TIMESTAMP_NTZ)"
+    if fmt is not None:
+        return f"CAST(try_to_timestamp(trim(CAST({c} AS STRING)), {s(fmt)}) AS TIMESTAMP_NTZ)"
     return f"try_cast(CAST({c} AS STRING) AS TIMESTAMP_NTZ)"

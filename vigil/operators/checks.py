@@ -325,6 +325,35 @@ class Checks:
                                      "n - id_distinct AS duplicates",
                                      f"{self.passed['uniqueness_constraints']} AS passed")
 
+    def unique_keys(self) -> DataFrame | None:
+        """(key, columns, total_rows, unique_values, duplicates, passed) per
+        key of ``unique_keys``; rows without all of a key's columns do not
+        count for it."""
+        keys = self.cfg.unique_keys
+        if not keys:
+            return None
+        names = arr(", ".join(cols) for cols in keys)
+        return self.p.unique_counts().selectExpr(
+            self.k, f"element_at({names}, key_no + 1) AS columns", "total AS total_rows", "`unique` AS unique_values",
+            "total - `unique` AS duplicates", "total = `unique` AS passed")
+
+    def value_types(self) -> DataFrame | None:
+        """(key, column_name, data_type, value_count, failing): values of text
+        columns that do not parse as a type that the column may have."""
+        at = {c: i for i, c in enumerate(self.p.cols)}
+        return self._explode([struct(column_name=s(c), data_type=s(kind), value_count=f"n - nul_{at[c]}", failing=f"vt_{i}")
+                              for i, (c, kind, _) in enumerate(self.p.value_type_cols)], "data_type_validation")
+
+    def date_parsing(self) -> DataFrame | None:
+        """(key, column_name, date_format, value_count, unparsed): what the
+        date checks could not read."""
+        if not self.p.date_on:
+            return None
+        c = self.cfg.date_column
+        return self.view("data_freshness").selectExpr(
+            self.k, f"{s(c)} AS column_name", f"{s(self.p.date_format or 'ISO')} AS date_format",
+            f"n - nul_{self.p.cols.index(c)} AS value_count", "fbad AS unparsed")
+
     def data_types(self) -> DataFrame:
         f, m = self.view("data_type_validation"), self.schema_sql["mismatches"]
         if m == EMPTY_ARR:

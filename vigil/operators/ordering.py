@@ -13,16 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import col
 
-#: per-snapshot rows that one window task takes at most
-SMALL_ROWS = 20_000
-
-
-def with_neighbours(df: DataFrame, key: str, n: int, lags: dict, leads: dict | None = None) -> DataFrame:
+def with_neighbours(df: DataFrame, key: str, n: int, lags: dict, leads: dict | None = None,
+                    most: int = 20_000) -> DataFrame:
     """``df`` (unique ``key``, ``n`` rows) with ``lags`` and ``leads``: new
     column -> column of the row before and after in key order. A null key is
-    first."""
+    first. ``most``: rows that one window task may take."""
     leads = leads or {}
-    if n <= SMALL_ROWS:
+    if n <= most:
         w = Window.orderBy(col(key))
         return df.select("*", *_neighbours(w, lags, leads))
     return _by_ranges(df, key, lags, leads)

@@ -193,19 +193,93 @@ class Profile:
         return out
 
     def ts(self, name: str) -> str:
-        return ts_sql(self.schema[name].dataType, name)
+        return ts_sql(self.schema[name].dataType, name, self.date_format)
+
+    @cached_property
+    def date_format(self) -> str | None:
+        """The format that most values of a date column in text parse with:
+        one aggregate counts all candidates. None: ISO, or not text."""
+        cfg = self.cfg
+        if not (self.date_on and isinstance(self.schema[cfg.date_column].dataType, T.StringType) and cfg.date_formats):
+            return None
+        x = self.schema[cfg.date_column].dataType
+        tried = [None, *cfg.date_formats]
+        r = self.series.agg(*[E(f"count({ts_sql(x, cfg.date_column, fmt)}) AS f{i}") for i, fmt in enumerate(tried)]).first()
+        return tried[max(range(len(tried)), key=lambda i: (r[i], -i))]
+
+    @cached_property
+    def row_rules(self) -> list:
+        """(figure, rule, SQL condition) of every rule that judges a row by
+        itself; the figure counts the rows that break it."""
+        cfg, out = self.cfg, []
+        for i, (c, lo, hi) in enumerate(self.range_cols):
+            out.append((f"rv_{i}", f"range: {c}", f"{q(c)} < {num(lo)} OR {q(c)} > {num(hi)}"))
+        for i, (c, p) in enumerate(self.pattern_cols):
+            out.append((f"pb_{i}", f"pattern: {c}", f"NOT (CAST({q(c)} AS STRING) RLIKE {s('(?U)^(?:' + p + ')')})"))
+        names = self.rule_cols
+        if "br_pos" in names:
+            out.append(("br_pos", names["br_pos"], f"{q(cfg.positive_column)} <= 0"))
+        if "br_le" in names:
+            out.append(("br_le", names["br_le"], f"{q(cfg.le_pair[0])} > {q(cfg.le_pair[1])}"))
+        if "br_bnd" in names:
+            c, lo, hi = cfg.bounded_column
+            out.append(("br_bnd", names["br_bnd"], f"{q(c)} < {num(lo)} OR {q(c)} > {num(hi)}"))
+        for i, r in enumerate(self.set_rules):
+            vals = ", ".join(s(str(v)) for v in r.values)
+            out.append((f"br_set_{i}", r.name, f"coalesce(NOT ({q(r.column)} IN ({vals})), true)"))
+        if self.ref_on:
+            p, ch = q(cfg.parent_column), q(cfg.child_column)
+            out += [("rf_blank", f"empty: {cfg.child_column}",
+                     f"{p} IS NOT NULL AND {ch} IS NOT NULL AND CAST({ch} AS STRING) RLIKE {s(BLANK_RE)}"),
+                    ("rf_missing", f"missing: {cfg.child_column}", f"{p} IS NOT NULL AND {ch} IS NULL")]
+        if self.amount_on:
+            out.append(("ac_bad", f"amount: {cfg.amount_column}", f"{self.amount_pct_sql()} > {num(cfg.amount_tolerance_pct)}"))
+        return out
+
+    def amount_pct_sql(self) -> str:
+        """Percent by which the amount departs from quantity x price x (1 - discount)."""
+        cfg = self.cfg
+        sv, qv = f"CAST({q(cfg.amount_column)} AS DOUBLE)", f"CAST({q(cfg.quantity_column)} AS DOUBLE)"
+        pv, dv = f"CAST({q(cfg.price_column)} AS DOUBLE)", f"CAST({q(cfg.discount_column)} AS DOUBLE)"
+        e = f"({qv} * {pv} * (1 - {dv} / 100))"
+        den, nm = f"({e} + 1e-9)", f"abs({sv} - {e})"
+        return (f"CASE WHEN {sv} IS NOT NULL AND {qv} IS NOT NULL AND {pv} IS NOT NULL AND {dv} IS NOT NULL "
+                f"THEN (CASE WHEN {den} = 0 THEN (CASE WHEN {nm} = 0 THEN NULL ELSE CAST('Infinity' AS DOUBLE) END)"
+                f" ELSE {nm} / {den} END) * 100 END")
+
+    @cached_property
+    def value_type_cols(self) -> list:
+        """(column, type, SQL that is true for values of that type) per text
+        column of ``value_types`` and type it may have."""
+        out = []
+        for c, kinds in self.cfg.value_types.items():
+            if not (self.has(c) and isinstance(self.schema[c].dataType, T.StringType)):
+                continue
+            x = q(c)
+            for kind in kinds:
+                if kind.startswith("int"):
+                    test = f"{x} RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' AND try_cast({x} AS BIGINT) IS NOT NULL"
+                elif kind.startswith("float"):
+                    test = f"NOT ({x} RLIKE '[dDfF]\\\\s*$') AND try_cast({x} AS DOUBLE) IS NOT NULL"
+                elif kind.startswith("date"):
+                    test = f"{ts_sql(T.StringType(), c)} IS NOT NULL"
+                elif kind == "bool":
+                    test = f"try_cast({x} AS BOOLEAN) IS NOT NULL"
+                else:
+                    test = "true"
+                out.append((c, kind, test))
+        return out
 
     # ------------------------------------------------------------ stage A
     def stage_a_sql(self) -> list:
         cfg, a = self.cfg, ["count(1) AS n"]
         for i, c in enumerate(self.cols):
             a.append(f"count_if({q(c)} IS NULL) AS nul_{i}")
-        for i, (c, lo, hi) in enumerate(self.range_cols):
-            x = q(c)
-            a += [f"count_if({x} < {num(lo)} OR {x} > {num(hi)}) AS rv_{i}",
-                  f"CAST(min({x}) AS DOUBLE) AS rmin_{i}", f"CAST(max({x}) AS DOUBLE) AS rmax_{i}"]
-        for i, (c, p) in enumerate(self.pattern_cols):
-            a.append(f"count_if(NOT (CAST({q(c)} AS STRING) RLIKE {s('(?U)^(?:' + p + ')')})) AS pb_{i}")
+        a += [f"count_if({cond}) AS {name}" for name, _, cond in self.row_rules]
+        for i, (c, _, _) in enumerate(self.range_cols):
+            a += [f"CAST(min({q(c)}) AS DOUBLE) AS rmin_{i}", f"CAST(max({q(c)}) AS DOUBLE) AS rmax_{i}"]
+        for i, (c, _, test) in enumerate(self.value_type_cols):
+            a.append(f"count_if({q(c)} IS NOT NULL AND NOT coalesce({test}, false)) AS vt_{i}")
         for i, c in enumerate(self.iqr_cols):
             x = f"CAST({q(c)} AS DOUBLE)"
             if self.quantile_mode == "approx":
@@ -228,30 +302,10 @@ class Profile:
             x = f"CAST({q(cfg.psi_column)} AS DOUBLE)"
             a += [f"min({x}) AS pmin", f"max({x}) AS pmax"]
         if self.date_on:
-            a.append(f"max({self.ts(cfg.date_column)}) AS fmax")
-        if "br_pos" in self.rule_cols:
-            a.append(f"count_if({q(cfg.positive_column)} <= 0) AS br_pos")
-        if "br_le" in self.rule_cols:
-            a.append(f"count_if({q(cfg.le_pair[0])} > {q(cfg.le_pair[1])}) AS br_le")
-        if "br_bnd" in self.rule_cols:
-            c, lo, hi = cfg.bounded_column
-            a.append(f"count_if({q(c)} < {num(lo)} OR {q(c)} > {num(hi)}) AS br_bnd")
-        for i, r in enumerate(self.set_rules):
-            vals = ", ".join(s(str(v)) for v in r.values)
-            a.append(f"count_if(coalesce(NOT ({q(r.column)} IN ({vals})), true)) AS br_set_{i}")
-        if self.ref_on:
-            p, ch = q(cfg.parent_column), q(cfg.child_column)
-            a += [f"count_if({p} IS NOT NULL AND {ch} IS NOT NULL AND CAST({ch} AS STRING) RLIKE {s(BLANK_RE)})"
-                  f" AS rf_blank", f"count_if({p} IS NOT NULL AND {ch} IS NULL) AS rf_missing"]
+            a += [f"max({self.ts(cfg.date_column)}) AS fmax",
+                  f"count_if({q(cfg.date_column)} IS NOT NULL AND {self.ts(cfg.date_column)} IS NULL) AS fbad"]
         if self.amount_on:
-            sv, qv = f"CAST({q(cfg.amount_column)} AS DOUBLE)", f"CAST({q(cfg.quantity_column)} AS DOUBLE)"
-            pv, dv = f"CAST({q(cfg.price_column)} AS DOUBLE)", f"CAST({q(cfg.discount_column)} AS DOUBLE)"
-            e = f"({qv} * {pv} * (1 - {dv} / 100))"
-            den, nm = f"({e} + 1e-9)", f"abs({sv} - {e})"
-            pct = (f"CASE WHEN {sv} IS NOT NULL AND {qv} IS NOT NULL AND {pv} IS NOT NULL AND {dv} IS NOT NULL "
-                   f"THEN (CASE WHEN {den} = 0 THEN (CASE WHEN {nm} = 0 THEN NULL ELSE CAST('Infinity' AS DOUBLE) END)"
-                   f" ELSE {nm} / {den} END) * 100 END")
-            a += [f"count_if({pct} > {num(cfg.amount_tolerance_pct)}) AS ac_bad", f"max({pct}) AS ac_max"]
+            a.append(f"max({self.amount_pct_sql()}) AS ac_max")
         return a
 
     @cached_property
@@ -279,7 +333,7 @@ class Profile:
         a = a.withColumn("_one", F.lit(True)).persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)
         self.n_keys = a.count()
-        a = with_neighbours(a, self.key, self.n_keys, lags, leads).drop("_one")
+        a = with_neighbours(a, self.key, self.n_keys, lags, leads, self.cfg.window_rows).drop("_one")
         a = a.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("has_prev", "has_next")})
         a = a.persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(a)
@@ -385,6 +439,21 @@ class Profile:
         x = self.series.selectExpr(self.k, f"{q(self.cfg.id_column)} AS g").distinct()
         return x.groupBy(self.key).agg(E("count(g) AS id_distinct"), E("max(g IS NULL) AS id_has_null"))
 
+    def unique_counts(self) -> DataFrame:
+        """(key, key_no, total, unique): per key of ``unique_keys`` the rows
+        that have all of its columns and their distinct tuples. Rows are
+        tagged with the key's number and a 128-bit digest of the tuple, so all
+        keys share one scan and one exchange."""
+        tags = []
+        for i, cols in enumerate(self.cfg.unique_keys):
+            names = ", ".join(q(c) for c in cols)
+            whole = " AND ".join(f"{q(c)} IS NOT NULL" for c in cols)
+            tags.append(f"CASE WHEN {whole} THEN named_struct('key_no', {i}, 'a', xxhash64({names}), "
+                        f"'b', xxhash64({i + 1}, {names}, 1)) END")
+        x = self.series.selectExpr(self.k, f"inline(filter(array({', '.join(tags)}), x -> x IS NOT NULL))")
+        x = x.groupBy(self.key, "key_no", "a", "b").agg(E("count(1) AS c"))
+        return x.groupBy(self.key, "key_no").agg(E("sum(c) AS total"), E("count(1) AS `unique`"))
+
     @cached_property
     def values(self) -> DataFrame:
         """(key, ent_n, ent_s) from the value counts of the entropy column."""
@@ -480,7 +549,7 @@ class Profile:
         lags |= {f"pcorr_{p}": f"corr_{p}" for p in range(len(self.corr_pairs))}
         if "psi" in parts:
             lags |= {f"pbn_{b}": f"bn_{b}" for b in range(1, cfg.psi_bins + 1)}
-        f = with_neighbours(f, self.key, self.n_keys, lags)
+        f = with_neighbours(f, self.key, self.n_keys, lags, most=self.cfg.window_rows)
         if self.stored is not None:
             f = f.where("NOT _old")
         f = f.persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, catalog_io, catalog_ml, catalog_monitor  # noqa: F401
+from . import catalog, catalog_io, catalog_ml, catalog_monitor, catalog_rows  # noqa: F401
 
 QUERIES = catalog.QUERIES
 ORACLE = catalog.ORACLE
