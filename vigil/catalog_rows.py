@@ -147,3 +147,33 @@ def previous_gone(spark, sf):
         snap.write_snapshot_files(ev.where(part), src, "snapshot_date")
         stream_monitor(spark, src, schema, path, ck, EVENTS_CFG, DATASET, as_of=AS_OF_EVENTS)
     return tidy(dec_to_double(hist.fetch_all_metrics(spark, path, DATASET).drop("id", "created_at")))
+
+
+@register("s6_partitioned_layout", """
+SELECT CAST(ts AS DATE) AS snapshot_date, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT event_id) AS BIGINT) AS ids,
+       round(sum(value), 6) AS total, CAST(sum(length(props)) AS BIGINT) AS chars FROM events GROUP BY 1""")
+def partitioned_layout(spark, sf):
+    """What S5 writes into partition folders (odd days CSV, even days Parquet)
+    read back as one series."""
+    ev = table(spark, sf, "events").withColumn("snapshot_date", F.to_date("ts"))
+    path = scratch(spark, "partitioned")
+    odd = F.dayofmonth("snapshot_date") % 2 == 1
+    snap.write_snapshots(ev.where(odd), path, fmt="csv")
+    snap.write_snapshots(ev.where(~odd), path, fmt="parquet")
+    data = snap.scan_snapshot_series(spark, path)
+    return tidy(data.groupBy("snapshot_date").agg(
+        F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"), F.sum("value").alias("total"),
+        F.sum(F.length("props")).alias("chars")))
+
+
+@register("s8_row_versions", f"SELECT {_HIST_OUT} FROM ({HISTORY_DBL_SQL})")
+def row_versions(spark, sf):
+    """History rows written twice, the first time wrong: the later versions
+    count, before and after compaction."""
+    from .catalog_monitor import events_metrics
+
+    path, m = scratch(spark, "history"), events_metrics(spark, sf)
+    hist.replace_metrics(spark, path, m.withColumn("row_count", F.lit(0).cast("long")))
+    hist.replace_metrics(spark, path, m)
+    hist.compact_metrics(spark, path)
+    return tidy(dec_to_double(hist.fetch_all_metrics(spark, path, DATASET).drop("id", "created_at")))

@@ -117,7 +117,7 @@ class ForestModel:
             p = spark.read.parquet(f"{path}/params").orderBy("ord").collect()
             nodes = spark.read.parquet(f"{path}/nodes")
         except Exception as e:  # noqa: BLE001
-            raise FileNotFoundError(f"No model found at: {path}") from e
+            raise FileNotFoundError(f"{path} holds no saved forest") from e
         return ForestModel(tuple(r.feature for r in p), [r.mean for r in p], [r.sigma for r in p],
                            nodes, int(p[0].psi), float(p[0].threshold), int(p[0].n_trees))
 

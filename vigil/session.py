@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local[") and sc.master != "local":  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        base = tempfile.mkdtemp(prefix="vigil-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
 

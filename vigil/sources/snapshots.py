@@ -21,12 +21,12 @@ from ..config import NULL_TOKENS
 from ..functions.exprs import col, dtype_name
 
 KEY = "snapshot_date"
-FILE_GLOB = "snapshot_*.csv"
 NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?(inf|infinity|nan)\s*$"
 # what :func:`load_csv` reads back unchanged: doubled quotes, outer spaces, microseconds
 CSV_WRITE = dict(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
                  timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-FILE_DATE = r"snapshot_(\d{4}-\d{2}-\d{2})[^/]*\.csv$"
+# the day of a data file: in its name, or in the name of its partition folder
+FILE_DATE = r"(?:/snapshot_|/[^/=]+=)(\d{4}-\d{2}-\d{2})[^/]*(?:/[^/]+)?\.(?:csv|parquet)$"
 
 
 # ---------------------------------------------------------------- helpers
@@ -87,9 +87,12 @@ def infer_types(df: DataFrame, keep=()) -> DataFrame:
 
 
 def _parse_counts(cols) -> list:
-    """Per column i: values (n), values that are no integer (l), no number (d)."""
+    """Per column i: values (n), values that are no integer (l), no number
+    (d); nothing for a None."""
     aggs = []
     for i, n in enumerate(cols):
+        if n is None:
+            continue
         c = col(n)
         whole = F.coalesce(c.rlike(r"^\s*[+-]?[0-9]+\s*$") & c.try_cast("bigint").isNotNull(), F.lit(False))
         aggs.append(F.count_if(c.isNotNull() & ~whole).alias(f"l{i}"))
@@ -117,6 +120,20 @@ def _read_csv_text(spark: SparkSession, path: str, **opts) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S1
+def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               multi_line: bool = False) -> DataFrame:
+    """A CSV or a Parquet file (or a folder of such) by its name; a folder
+    is Parquet if it holds any."""
+    fs, p = _fs_path(spark, path)
+    _require_file(spark, path)
+    names = [path] if not fs.getFileStatus(p).isDirectory() else [f.getPath().getName() for f in fs.listStatus(p)]
+    if not any(n.endswith(".parquet") for n in names):
+        return load_csv(spark, path, schema, multi_line)
+    data = nan_to_null(spark.read.parquet(path))
+    return data if schema is None else data.select(
+        *[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              multi_line: bool = False) -> DataFrame:
     """CSV with header -> table. ``multi_line``: quoted cells may hold
@@ -136,21 +153,33 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 # ---------------------------------------------------------------- S6
 def snapshot_files(spark: SparkSession, directory: str) -> dict:
-    """day -> paths of its ``snapshot_YYYY-MM-DD*.csv`` files, oldest day first;
-    a file whose name holds no date is no snapshot. A listing: nothing is read."""
+    """day -> paths of its files, oldest day first: ``snapshot_YYYY-MM-DD*``
+    files in ``directory`` itself and files in ``<key>=YYYY-MM-DD`` folders,
+    CSV or Parquet. A file whose name holds no date is no snapshot. A listing:
+    nothing is read."""
     fs, root = _fs_path(spark, directory)
     if not fs.exists(root):
         return {}
     out: dict = {}
-    for st in fs.listStatus(root):
-        day = _file_day(st.getPath().getName())
-        if st.isFile() and st.getLen() and day:
-            out.setdefault(day, []).append(st.getPath().toString())
+
+    def add(files) -> None:
+        for st in files:
+            path = st.getPath().toString()
+            day = _file_day(path)
+            if st.isFile() and st.getLen() and day and not st.getPath().getName().startswith(("_", ".")):
+                out.setdefault(day, []).append(path)
+
+    found = list(fs.listStatus(root))
+    add(found)
+    folders = [st.getPath() for st in found if st.isDirectory() and _file_day(st.getPath().toString() + "/x.csv")]
+    with ThreadPoolExecutor(16) as pool:
+        for files in pool.map(lambda p: list(fs.listStatus(p)), folders):
+            add(files)
     return dict(sorted(out.items()))
 
 
-def _file_day(name: str):
-    m = re.search(FILE_DATE, name)
+def _file_day(path: str):
+    m = re.search(FILE_DATE, path)
     try:
         return m and _dt.date.fromisoformat(m.group(1))
     except ValueError:
@@ -158,39 +187,70 @@ def _file_day(name: str):
 
 
 def _header(spark: SparkSession, path: str) -> tuple:
-    """Column names of one CSV file: its first line, nothing else is read."""
+    """Column names of one CSV file: its first record, nothing else is read.
+    A quoted name may hold line breaks."""
     fs, p = _fs_path(spark, path)
     jvm = spark.sparkContext._jvm
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     try:
-        line = reader.readLine()
+        record = (reader.readLine() or "").lstrip("\ufeff")
+        while record.count('"') % 2 and (line := reader.readLine()) is not None:
+            record += "\n" + line
     finally:
         reader.close()
-    return tuple(next(csv.reader([(line or "").lstrip("\ufeff")])))
+    return tuple(next(csv.reader([record]), ()))
 
 
 def _read_days(spark: SparkSession, files: dict, key: str, multi_line: bool = False) -> tuple[DataFrame, list]:
-    """The files of ``files`` as text columns bound by header name, with their
-    day; and the distinct (header, days). Files of one header are one scan, so
-    the plan grows with the number of layouts, not of files."""
+    """The files of ``files`` bound by column name, with their day; and the
+    distinct (columns, days). CSV files of one header are one scan of text
+    columns, Parquet files one scan of their merged columns (footers are read
+    by tasks), so the plan grows with the number of layouts, not of files.
+    Where both kinds meet, Parquet columns become text too."""
+    day = F.regexp_extract(F.col("_metadata.file_path"), FILE_DATE, 1).cast("date")
     paths = [(d, p) for d, ps in files.items() for p in ps]
+    text = [(d, p) for d, p in paths if not p.endswith(".parquet")]
     with ThreadPoolExecutor(16) as pool:
-        heads = list(pool.map(lambda x: _header(spark, x[1]), paths))
+        heads = list(pool.map(lambda x: _header(spark, x[1]), text))
     groups: dict = {}
-    for (d, p), h in zip(paths, heads, strict=True):
+    for (d, p), h in zip(text, heads, strict=True):
         groups.setdefault(h, ([], set()))
         groups[h][0].append(p)
         groups[h][1].add(d)
-    day = F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1).cast("date")
     scans = [_read_csv_text(spark, ps, multiLine=multi_line).withColumn(key, day) for ps, _ in groups.values()]
+    layouts = [(h, sorted(ds)) for h, (_, ds) in groups.items()]
+    typed = [(d, p) for d, p in paths if p.endswith(".parquet")]
+    if typed:
+        data = spark.read.option("mergeSchema", True).parquet(*[p for _, p in typed]).withColumn(key, day)
+        if scans:
+            data = data.select(*[col(c) if c == key else col(c).cast("string").alias(c) for c in data.columns])
+        scans.append(data)
+        layouts += _parquet_layouts(spark, typed)
     raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    return normalize_nulls(raw, keep=(key,)), [(h, sorted(ds)) for h, (_, ds) in groups.items()]
+    return (normalize_nulls(raw, keep=(key,)) if text else nan_to_null(raw, keep=(key,))), layouts
+
+
+def _typed(data: DataFrame, files: dict, key: str) -> DataFrame:
+    """Types of text from CSV files found out; Parquet files say theirs."""
+    text = any(not p.endswith(".parquet") for ps in files.values() for p in ps)
+    return infer_types(data, keep=(key,)) if text else data
+
+
+def _parquet_layouts(spark: SparkSession, files: list) -> list:
+    """(columns, days) of Parquet files, a day's columns those of any file."""
+    by: dict = {}
+    for d, p in files:
+        by.setdefault(d, []).append(p)
+    with ThreadPoolExecutor(16) as pool:
+        names = pool.map(lambda ps: tuple(spark.read.option("mergeSchema", True).parquet(*ps).columns), by.values())
+        return [(h, [d]) for d, h in zip(by, names, strict=True)]
 
 
 def scan_snapshot_series(spark: SparkSession, directory: str, key: str = KEY,
                          schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
-    """Every ``snapshot_YYYY-MM-DD*.csv`` in ``directory`` as one series,
-    ``key`` = the date in the file name. Columns are bound by each file's own
+    """Every snapshot file in ``directory`` (:func:`snapshot_files`: flat
+    files or partition folders, CSV or Parquet) as one series, ``key`` = the
+    date in the file's or folder's name. Columns are bound by each file's own
     header (one that a file lacks is null there). The series has one type per
     column: numeric only if it is so in every snapshot; the types of single
     snapshots are in :func:`snapshot_schemas`. An empty folder raises."""
@@ -201,7 +261,7 @@ def scan_snapshot_series(spark: SparkSession, directory: str, key: str = KEY,
     if schema is not None:
         return data.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
                            F.col(key))
-    return infer_types(data, keep=(key,))
+    return _typed(data, files, key)
 
 
 def snapshot_schemas(spark: SparkSession, directory: str, key: str = KEY, multi_line: bool = False) -> DataFrame:
@@ -214,13 +274,16 @@ def snapshot_schemas(spark: SparkSession, directory: str, key: str = KEY, multi_
         raise FileNotFoundError(f"no snapshot files in {directory}")
     data, heads = _read_days(spark, files, key, multi_line)
     cols = [c for c in data.columns if c != key]
-    counts = data.groupBy(key).agg(*_parse_counts(cols))
+    known = {c: dtype_name(data.schema[c].dataType) for c in cols if not isinstance(data.schema[c].dataType, T.StringType)}
+    if all(p.endswith(".parquet") for ps in files.values() for p in ps):
+        known = {c: dtype_name(data.schema[c].dataType) for c in cols}
+    counts = data.groupBy(key).agg(F.count("*").alias("_rows"), *_parse_counts([c if c not in known else None for c in cols]))
     names = {n: dtype_name(t) for n, t in (("l", T.LongType()), ("d", T.DoubleType()), ("s", T.StringType()))}
     kinds = F.map_from_arrays(
         F.array(*[F.lit(c) for c in cols]),
-        F.array(*[F.when((F.col(f"n{i}") > 0) & (F.col(f"l{i}") == 0), names["l"])
+        F.array(*[F.lit(known[c]) if c in known else F.when((F.col(f"n{i}") > 0) & (F.col(f"l{i}") == 0), names["l"])
                   .when((F.col(f"n{i}") > 0) & (F.col(f"d{i}") == 0), names["d"]).otherwise(names["s"])
-                  for i in range(len(cols))]))
+                  for i, c in enumerate(cols)]))
     layouts: dict = {}
     for h, days in heads:
         for d in days:
@@ -266,7 +329,7 @@ def load_latest_snapshot(series: DataFrame, key: str = KEY) -> DataFrame:
     """The newest snapshot of a series; error when the series is empty."""
     k = latest_key(series, key)
     if k is None:
-        raise FileNotFoundError("No snapshots found")
+        raise FileNotFoundError("the series is empty: there is no newest snapshot")
     return series.filter(F.col(key) == F.lit(k))
 
 
@@ -288,7 +351,7 @@ def load_snapshot(spark: SparkSession, directory: str, steps_back: int = 0, key:
         return None
     day = list(files)[-1 - steps_back]
     data, _ = _read_days(spark, {day: files[day]}, key, multi_line)
-    return infer_types(data, keep=(key,))
+    return _typed(data, {day: files[day]}, key)
 
 
 # ---------------------------------------------------------------- S4 / S5
@@ -320,23 +383,22 @@ def write_snapshot_files(series: DataFrame, directory: str, key: str = KEY) -> l
     data.write.mode("overwrite").options(**CSV_WRITE).partitionBy(key).csv(staging)
     jvm = spark.sparkContext._jvm
     fs, root = _fs_path(spark, staging)
-    out = []
+    path = jvm.org.apache.hadoop.fs.Path
+    moves, old = [], []
     for d in fs.listStatus(root):
         name = d.getPath().getName()
         if not d.isDirectory() or not name.startswith(key + "="):
             continue
         day = name.split("=", 1)[1]
-        old = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/snapshot_{day}*.csv"))
-        for f in old or []:  # a rerun replaces the day
-            fs.delete(f.getPath(), False)
-        for f in fs.listStatus(d.getPath()):
-            fn = f.getPath().getName()
-            if fn.endswith(".csv"):
-                target = f"snapshot_{day}-{fn}"
-                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(directory.rstrip("/") + "/" + target))
-                out.append(target)
+        old += [f.getPath() for f in fs.globStatus(path(f"{directory.rstrip('/')}/snapshot_{day}*.csv")) or []]
+        moves += [(f.getPath(), f"snapshot_{day}-{f.getPath().getName()}") for f in fs.listStatus(d.getPath())
+                  if f.getPath().getName().endswith(".csv")]
+    # new files first, then the old ones go: a crash leaves a day twice, never without its rows
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda m: fs.rename(m[0], path(f"{directory.rstrip('/')}/{m[1]}")), moves))
+        list(pool.map(lambda f: fs.delete(f, False), old))
     fs.delete(root, True)
-    return sorted(out)
+    return sorted(target for _, target in moves)
 
 
 # ---------------------------------------------------------------- pair

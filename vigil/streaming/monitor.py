@@ -1,7 +1,7 @@
 """Continuous monitoring (P3) with Structured Streaming.
 
-New snapshot files (``snapshot_YYYY-MM-DD*.csv``) arriving in a folder are
-read by a file-source stream, which tells the days that changed. The batch
+New snapshot files (flat or in partition folders, CSV or Parquet) arriving in
+a folder are listed by a file-source stream, which tells the days that changed. The batch
 function then checks those days *whole* (a bounded scan of all their files,
 which may have come in several micro-batches), each against the newest day
 before it that has been checked; the day after a changed one is checked again,
@@ -27,7 +27,7 @@ from ..functions.sql import q
 from ..operators.profile import Profile
 from ..plans.run import run_series
 from ..sources import history as hist
-from ..sources.snapshots import FILE_DATE, FILE_GLOB, KEY, _read_days, snapshot_files
+from ..sources.snapshots import FILE_DATE, KEY, _read_days, snapshot_files
 from . import state
 
 
@@ -79,12 +79,13 @@ def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType, h
     """Start the monitor. With ``available_now`` the query consumes every
     pending file and stops (a scheduled run); otherwise it keeps running
     and the caller owns the returned ``StreamingQuery``."""
-    reader = (spark.readStream.schema(schema).option("header", True)
-              .option("pathGlobFilter", FILE_GLOB))
+    # the stream lists files and reads none of them: the content column is not selected
+    reader = (spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+              .schema("path string, modificationTime timestamp, length bigint, content binary"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    name = F.regexp_extract(F.col("_metadata.file_name"), FILE_DATE, 1)
-    stream = reader.csv(source_dir).select(F.try_to_timestamp(name, F.lit("yyyy-MM-dd")).cast("date").alias(key))
+    name = F.regexp_extract(F.col("path"), FILE_DATE, 1)
+    stream = reader.load(source_dir).select(F.try_to_timestamp(name, F.lit("yyyy-MM-dd")).cast("date").alias(key))
 
     def fn(batch_df, _epoch_id):
         days = sorted(r[0] for r in batch_df.distinct().collect() if r[0])  # one date per new snapshot
