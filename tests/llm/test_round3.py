@@ -223,3 +223,21 @@ def test_matrix_and_heap_merge_alike():
             parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         want = [coder.ranks[x] for x in parts]
         assert got.tolist() == want == bytebpe.merge_long(coder.letters[list(p)].tolist(), coder.pairs)
+
+
+# -------------------------------------------------------------------- oracles
+
+@pytest.mark.parametrize("name", ["op11_merkle_manifest", "op12_spelling_variants", "secret_links_planted"])
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    from vigil.llm import queries
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    plain = lambda rows: collections.Counter(tuple(None if v != v else v for v in r) for r in rows)
+    got = queries.QUERIES[name](spark, SF)
+    want = con.execute(queries.ORACLE[name])
+    order = [d[0] for d in want.description]
+    assert sorted(got.columns) == sorted(order)
+    assert plain(tuple(r) for r in got.select(*order).collect()) == plain(want.fetchall())

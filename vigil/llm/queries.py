@@ -8,6 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .oracles import MERKLE, PLANTED_LINKS, SPELLING
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -17,6 +19,13 @@ def query(f):
     return f
 
 
+def oracle(sql: str):
+    def deco(f):
+        ORACLE[f.__name__] = sql
+        return f
+    return deco
+
+
 def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
@@ -96,6 +105,7 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@oracle(MERKLE)
 @query
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import manifest
@@ -103,6 +113,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+@oracle(SPELLING)
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spelling import variants
@@ -116,3 +127,25 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return encode_decode(spark.read.parquet(f"{sf_dir}/documents.parquet"),
                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@oracle(PLANTED_LINKS)
+@query
+def secret_links_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak parts planted behind every document, an identifier and a secret
+    1 to 400 code points apart: linked up to 200, on either side."""
+    from pyspark.sql import functions as F
+
+    from .secrets import find_secrets
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id IS NOT NULL")
+    gap = F.expr("CAST(1 + doc_id * 37 % 400 AS INT)")
+    name = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    parts = (F.concat(F.lit("XK"), name), F.concat(F.lit("fQ/"), name, F.lit("+wJalrXUtnFEMIbPxRfiCYKEY"), name))
+    first = F.col("doc_id") % 2 == 0
+    text = F.concat(F.coalesce("text", F.lit("")), F.repeat(F.lit(". "), F.lit(150)), F.when(first, parts[0]).otherwise(parts[1]),
+                    F.repeat(F.lit("~"), gap), F.when(first, parts[1]).otherwise(parts[0]))
+    planted = docs.select("doc_id", text.alias("text"), (F.length(F.coalesce("text", F.lit(""))) + 300).cast("long").alias("behind"))
+    found = find_secrets(planted)
+    return found.join(planted.select("doc_id", "behind"), "doc_id").select(
+        "doc_id", F.size(F.filter("linked", lambda s: s["start"] >= F.col("behind"))).cast("long").alias("n_linked"))

@@ -38,7 +38,7 @@ TRIE_CHARS = 32
 #: edges of a level that are broadcast at most
 BROADCAST_EDGES = 50_000
 #: words whose states one task holds
-TASK_WORDS = 2000
+TASK_WORDS = 20_000
 #: states at one node beyond which they are salted; at most states / HOT nodes are
 HOT = 20_000
 
@@ -105,25 +105,27 @@ def _meet(states: DataFrame, nodes: DataFrame, n_edges: int) -> DataFrame:
 
 def _step(states: DataFrame, nodes: DataFrame, n_edges: int) -> DataFrame:
     """States one level deeper, all with one edit, that still can end."""
-    met = _meet(states, nodes, n_edges).withColumn("size", F.length("word")).withColumn(
-        "next", _letter("word", F.col("pos"))).withColumn("c", F.explode("children")).select(
+    pos, size = F.col("pos"), F.length("word")
+    asked = states.select("*", size.alias("size"), _letter("word", pos).alias("next"),
+                          _bit(_letter("word", pos)).alias("bit"), _bit(_letter("word", pos + 1)).alias("bit1"))
+    met = _meet(asked, nodes, n_edges).withColumn("c", F.explode("children")).select(
         "*", "c.letter", "c.rest", "c.ahead", F.col("c.n").alias("there"))
 
-    def fits(pos: Column) -> Column:
+    def fits(left: Column, bit: str) -> Column:
         """A word may end as far on as this one, and go on with its letter."""
-        left, bit = F.col("size") - pos, _bit(_letter("word", pos))
         return (F.call_function("shiftright", F.col("rest"), left).bitwiseAND(1) == 1) & (
-            F.col("ahead").bitwiseAND(bit) == bit)
-
-    same, first = F.col("letter") == F.col("next"), ~F.col("edited")
-    moves = F.filter(F.array(
-        # match, or replace by a later letter: one letter of both
-        F.when((F.col("pos") < F.col("size")) & F.when(first, F.col("letter") > F.col("next")).otherwise(same)
-               & fits(F.col("pos") + 1), F.col("pos") + 1),
-        # insert; before an equal letter it is the same word as after it
-        F.when(first & ~same & fits(F.col("pos")), F.col("pos"))), lambda x: x.isNotNull())
-    return met.select("word", "n", F.explode(moves).alias("pos"), F.concat("node", "letter").alias("node"),
-                      F.lit(True).alias("edited"), "size", "there")
+            F.col("ahead").bitwiseAND(F.col(bit)) == F.col(bit))
+
+    left, same, first = F.col("size") - pos, F.col("letter") == F.col("next"), ~F.col("edited")
+    # match, or replace by a later letter: one letter of both
+    step = (left > 0) & F.when(first, F.col("letter") > F.col("next")).otherwise(same) & fits(left - 1, "bit1")
+    # insert; before an equal letter it is the same word as after it
+    insert = first & ~same & fits(left, "bit")
+    made = met.select("word", "n", "size", "there", F.concat("node", "letter").alias("node"), step.alias("step"),
+                      insert.alias("insert"), pos).where("step OR insert")
+    moves = F.when(F.col("step") & F.col("insert"), F.array(pos + 1, pos)).when(F.col("step"), F.array(pos + 1)).otherwise(
+        F.array(pos))
+    return made.select("word", "n", F.explode(moves).alias("pos"), "node", F.lit(True).alias("edited"), "size", "there")
 
 
 def _pairs_long(vocabulary: DataFrame) -> DataFrame:
