@@ -151,3 +151,24 @@ def test_parquet_table(spark, tmpdir_path):
     spark.createDataFrame([(1, float("nan")), (2, 2.0)], "a int, b double").write.parquet(path)
     assert [r.b for r in snap.load_table(spark, path).orderBy("a").collect()] == [None, 2.0]
     assert snap.load_table(spark, path, T._parse_datatype_string("a string")).schema["a"].dataType == T.StringType()
+
+
+def test_run_from_the_command_line(spark, tmpdir_path, capsys):
+    import json
+
+    from vigil.__main__ import main
+
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    for day, n in ((1, 30), (2, 40)):
+        with open(os.path.join(src, f"snapshot_2024-01-0{day}.csv"), "w") as f:
+            f.write("Order ID,Sales,Empty\n" + "".join(f"{i},{i % 7}.5,\n" for i in range(n)))
+    assert snap.load_csv(spark, os.path.join(src, "snapshot_2024-01-01.csv")).schema["Empty"].dataType == T.DoubleType()
+    path = os.path.join(tmpdir_path, "h")
+    assert main([src, path, "--as-of", "2024-01-02", "--dataset", "shop"]) == 0
+    record = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    metrics, ml = json.loads(record["metrics"]), json.loads(record["ml_result"])
+    assert metrics["row_count"] == 40 and metrics["dataset_name"] == "shop"
+    assert ml["prediction_label"] == "insufficient_data" and ml["combined_flag"] == record["combined_flag"]
+    assert hist.fetch_all_metrics(spark, path, "shop").count() == 1
+    assert main([os.path.join(tmpdir_path, "none"), path]) == 1

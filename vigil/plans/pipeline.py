@@ -3,7 +3,9 @@
 P1: newest snapshot vs its predecessor -> 21 checks -> metrics row ->
 append to the history table -> isolation forest over the history (loaded
 model or refit) -> row-count forecast -> combined flag. The run record is a
-one-row DataFrame; any failure yields status ``failed`` and the error text.
+one-row DataFrame, which also holds the metrics row and the ML result as JSON;
+any failure yields status ``failed`` and the error text (metrics that were
+stored before it stay in the record).
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from .run import current_only, run_all_checks
 RUN_SCHEMA = ("status string, started_at timestamp_ntz, finished_at timestamp_ntz, dataset_name string, "
               "row_id bigint, quality_score double, rule_flag int, ml_flag int, ml_score double, "
               "ml_label string, combined_flag int, forecast_row_count double, forecast_lower double, "
-              "forecast_upper double, forecast_anomaly boolean, error string")
+              "forecast_upper double, forecast_anomaly boolean, metrics string, ml_result string, error string")
 
 
 def run_ml(spark: SparkSession, current: DataFrame, history: DataFrame, model_path: str | None = None,
@@ -74,7 +76,7 @@ def run_pipeline(spark: SparkSession, series: DataFrame | str, history_path: str
     rec = dict(status="success", started_at=started, finished_at=None, dataset_name=dataset_name,
                row_id=None, quality_score=None, rule_flag=None, ml_flag=None, ml_score=None, ml_label=None,
                combined_flag=None, forecast_row_count=None, forecast_lower=None, forecast_upper=None,
-               forecast_anomaly=None, error=None)
+               forecast_anomaly=None, metrics=None, ml_result=None, error=None)
     try:
         if isinstance(series, str):
             cur, prev = load_snapshot(spark, series, 0, key), load_snapshot(spark, series, 1, key)
@@ -87,11 +89,15 @@ def run_pipeline(spark: SparkSession, series: DataFrame | str, history_path: str
                              dataset_name=dataset_name)
         metrics = current_only(run.metrics(timestamp=ts))
         appended = hist.append_metrics(spark, history_path, metrics, skip_existing=False)
+        as_json = lambda df: df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).first()[0]
+        rec["metrics"] = as_json(appended.drop("created_at"))
         history = hist.fetch_all_metrics(spark, history_path, dataset_name, ordered=False)
         if not include_current:
             history = history.join(appended.select("id"), "id", "left_anti")
-        ml = run_ml(spark, hist.history_rows(metrics).drop("id", "created_at"), history, model_path,
-                    as_of=as_of).first()
+        ml = run_ml(spark, appended.drop("id", "created_at"), history, model_path, as_of=as_of)
+        ml = spark.createDataFrame([ml.first()], ml.schema)  # one row, found once
+        rec["ml_result"] = as_json(ml.drop(*[c for c in hist.METRIC_FIELDS if c in ml.columns and c != "dataset_name"]))
+        ml = ml.first()
         rec.update(row_id=appended.select("id").first()["id"] if appended.take(1) else None,
                    quality_score=float(ml["quality_score"]), rule_flag=int(ml["anomaly_flag"]),
                    ml_flag=int(ml["ml_flag"]), ml_score=float(ml["anomaly_score"]),

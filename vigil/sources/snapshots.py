@@ -76,12 +76,13 @@ def nan_to_null(df: DataFrame, keep=()) -> DataFrame:
 def infer_types(df: DataFrame, keep=()) -> DataFrame:
     """Type all-text columns the way the CSV loader does: a column whose
     non-null values all parse as integers becomes ``bigint``; else all as
-    numbers -> ``double``; else it stays text. One aggregate pass."""
+    numbers (or none is there, but rows are) -> ``double``; else it stays
+    text. One aggregate pass."""
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in keep]
     if not cols:
         return df
-    r = df.agg(*_parse_counts(cols)).first()
+    r = df.agg(F.count("*").alias("_rows"), *_parse_counts(cols)).first()
     target = {n: _parsed_type(r, i) for i, n in enumerate(cols)}
     return df.select(*[col(f.name).cast(target.get(f.name, f.dataType)).alias(f.name) for f in df.schema.fields])
 
@@ -106,7 +107,7 @@ def _parse_counts(cols) -> list:
 def _parsed_type(r, i: int) -> T.DataType:
     if r[f"n{i}"] and not r[f"l{i}"]:
         return T.LongType()
-    return T.DoubleType() if r[f"n{i}"] and not r[f"d{i}"] else T.StringType()
+    return T.DoubleType() if r["_rows"] and not r[f"d{i}"] else T.StringType()
 
 
 def _read_csv_text(spark: SparkSession, path: str, **opts) -> DataFrame:
@@ -282,7 +283,7 @@ def snapshot_schemas(spark: SparkSession, directory: str, key: str = KEY, multi_
     kinds = F.map_from_arrays(
         F.array(*[F.lit(c) for c in cols]),
         F.array(*[F.lit(known[c]) if c in known else F.when((F.col(f"n{i}") > 0) & (F.col(f"l{i}") == 0), names["l"])
-                  .when((F.col(f"n{i}") > 0) & (F.col(f"d{i}") == 0), names["d"]).otherwise(names["s"])
+                  .when((F.col("_rows") > 0) & (F.col(f"d{i}") == 0), names["d"]).otherwise(names["s"])
                   for i, c in enumerate(cols)]))
     layouts: dict = {}
     for h, days in heads:
