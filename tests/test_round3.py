@@ -172,3 +172,28 @@ def test_run_from_the_command_line(spark, tmpdir_path, capsys):
     assert ml["prediction_label"] == "insufficient_data" and ml["combined_flag"] == record["combined_flag"]
     assert hist.fetch_all_metrics(spark, path, "shop").count() == 1
     assert main([os.path.join(tmpdir_path, "none"), path]) == 1
+
+
+@pytest.mark.parametrize("way", ["whole", "sketch", "miss"])
+def test_quartiles_by_bracket(spark, monkeypatch, way):
+    """Exact in two scans; brackets that hold too much leave the rest to refinement."""
+    import numpy as np
+
+    from vigil.operators import quantiles
+
+    rng = np.random.default_rng(3)
+    inf = float("inf")
+    columns = {"a": rng.normal(size=4000), "b": rng.integers(0, 3, 4000).astype(float), "c": 10.0 ** rng.uniform(*((-6, 6) if way == "miss" else (-300, 300)), 4000),
+               "d": np.where(rng.random(4000) < 0.3, inf, np.where(rng.random(4000) < 0.5, -inf, rng.normal(size=4000)))}
+    rows = [(int(i % 3), *(float(x[i]) for x in columns.values())) for i in range(4000)] + [(9, 1.0, 2.0, 3.0, 4.0), (8, *[None] * 4)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, c double, d double").repartition(5)
+    if way == "miss":
+        monkeypatch.setattr(quantiles, "BRACKET_MAX", 0)
+    if way == "sketch":
+        monkeypatch.setattr(quantiles, "ACCURACY", 100)
+    got = {r.k: r for r in quantiles.select_quantiles(df, "k", list(columns), collect_max=200).collect()}
+    exact = {r.k: r for r in df.groupBy("k").agg(*[F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))).alias(f"q_{i}")
+                                                  for i, c in enumerate(columns)]).collect()}
+    for k in (0, 1, 2, 9):
+        for i in range(4):
+            assert got[k][f"q_{i}"] == pytest.approx(exact[k][f"q_{i}"], rel=1e-12, nan_ok=True), (k, i)

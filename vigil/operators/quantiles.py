@@ -4,10 +4,17 @@ Spark's exact ``percentile`` keeps a value -> count map per group, and one
 task merges the whole map of a snapshot: fine for millions of distinct
 values, not for a multi-TB snapshot of a continuous column. This module
 computes the same exact, linearly interpolated quantiles with bounded
-memory: every wanted order statistic (rank) is located by histogram
-refinement.
+memory: every wanted order statistic (rank) is bracketed by a mergeable sketch
+and then counted exactly; what the bracket misses, or would hold too much of,
+is located by histogram refinement.
 
-* Each target (snapshot, column, rank) starts with the interval
+* The scan that finds counts and ranges also sketches each quantile a little
+  below and above its place (``percentile_approx``, rank error n / ACCURACY).
+* A second scan counts the values under a bracket and each value inside it
+  (map-side combine), which says whether the rank lies inside and which value
+  it is: two scans in all. The sketch only chooses what is counted, so a wrong
+  bracket is found out.
+* Else each target (snapshot, column, rank) starts with the interval
   [min, max], ``below = 0`` values under it and ``n_in`` values inside.
 * A round joins the values to the active targets (a per-target table, which
   the planner broadcasts if it is small), buckets the values inside each target's
@@ -33,6 +40,10 @@ from ..functions.exprs import join_null_safe
 from ..functions.sql import E, q
 
 TKEY = ["ci", "pi", "side"]
+#: of the sketch; a bracket spans two rank errors on either side
+ACCURACY = 10_000
+#: values that a bracket may hold, as the sketch promises
+BRACKET_MAX = 5_000_000
 
 
 def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75), bins: int = 16384,
@@ -45,7 +56,9 @@ def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75)
     stack = ", ".join(f"{i}, CAST({q(c)} AS DOUBLE)" for i, c in enumerate(cols))
     data = (series.selectExpr(k, f"stack({len(cols)}, {stack}) AS (ci, x)")
             .filter("x IS NOT NULL AND NOT isnan(x)"))
-    stats = data.groupBy(key, "ci").agg(E("count(1) AS n"), E("min(x) AS lo"), E("max(x) AS hi"))
+    places = [max(0.0, p - 2 / ACCURACY) for p in probs] + [min(1.0, p + 2 / ACCURACY) for p in probs]
+    sketch = f"percentile_approx(x, array({', '.join(f'{p!r}D' for p in places)}), {ACCURACY}) AS near"
+    stats = _keep(data.groupBy(key, "ci").agg(E("count(1) AS n"), E("min(x) AS lo"), E("max(x) AS hi"), E(sketch)))
     # infinities have buckets of their own; halves keep the range of finite values finite
     big, inf = "1.7976931348623157E308D", "CAST('Infinity' AS DOUBLE)"
     lo, hi = f"greatest(lo, -{big}) / 2", f"least(hi, {big}) / 2"
@@ -59,7 +72,9 @@ def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75)
     targets = (stats.selectExpr(k, "ci", "n", "lo", "hi", f"inline(array({', '.join(rows)}))")
                .selectExpr(*tk, "rank", "lo", "hi", "CAST(0 AS LONG) AS below", "n AS n_in", "n",
                            "lo = hi AS done", "CASE WHEN lo = hi THEN lo END AS value"))
-    targets = _keep(targets)
+    found = _bracketed(data, stats, targets, key, len(probs))
+    targets = _keep(join_null_safe(targets, found, tk, "left").selectExpr(
+        *tk, "rank", "lo", "hi", "below", "n_in", "n", "done OR hit IS NOT NULL AS done", "coalesce(value, hit) AS value"))
     left = None
     while True:
         active = targets.filter("NOT done")
@@ -100,6 +115,24 @@ def select_quantiles(series: DataFrame, key: str, cols: list, probs=(0.25, 0.75)
     return vals.groupBy(key).agg(*agg).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _bracketed(data: DataFrame, stats: DataFrame, targets: DataFrame, key: str, n_probs: int) -> DataFrame:
+    """(target key, hit): values of the targets whose rank lies inside its
+    bracket."""
+    group = [key, "ci", "pi"]
+    few = f"n <= {2 * ACCURACY}"  # all values of a small snapshot: there a rank error is less than a rank
+    ends = ", ".join(f"named_struct('pi', {i}, 'from', CASE WHEN {few} THEN lo ELSE near[{i}] END, "
+                     f"'to', CASE WHEN {few} THEN hi ELSE near[{n_probs + i}] END)" for i in range(n_probs))
+    brackets = stats.filter(f"lo < hi AND n <= {BRACKET_MAX * ACCURACY // 6}L").selectExpr(
+        q(key), "ci", f"inline(array({ends}))")
+    seen = (join_null_safe(data, brackets, [key, "ci"]).filter("x <= `to`")
+            .selectExpr(q(key), "ci", "pi", "CASE WHEN x >= `from` THEN x END AS v")  # null: under the bracket
+            .groupBy(*group, "v").agg(E("count(1) AS c")))
+    upto = F.sum("c").over(Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_first()))
+    ranked = seen.withColumn("upto", upto).filter("v IS NOT NULL")
+    return (join_null_safe(targets.select(key, *TKEY, "rank"), ranked, group)
+            .filter("rank >= upto - c AND rank < upto").selectExpr(q(key), *TKEY, "v AS hit"))
+
+
 def _keep(df: DataFrame) -> DataFrame:
     """Materialise the (small) target table of a round with a reliable
     checkpoint: it cuts the lineage, so the plan of the next round does not
