@@ -11,6 +11,11 @@ states with an edit must then match letter by letter. A state whose word ends
 where a word of the trie ends is a pair of neighbours. Deletions, and
 replacements by earlier letters, are the same pairs seen from the other word.
 
+Near the root a trie branches most, and a state that leaves its word there
+lives on all sides. So words walk two ways: as they are for edits in their
+second half, and from the end, in a trie of reversed words, for those in the
+first. No edit is tried before half of a word's letters.
+
 A level's edges are broadcast only up to ``BROADCAST_EDGES`` of them (a few
 MB; counted, not guessed). Beyond that states and nodes meet by a shuffle in
 which nodes of many states are salted. A state goes on only if the trie has a
@@ -73,34 +78,45 @@ def _bit(letter: Column) -> Column:
         "shiftleft", F.lit(1).cast("bigint"), F.ascii(letter) % 64))
 
 
+def both_ways(vocabulary: DataFrame) -> DataFrame:
+    """(way, word, n, half): words and (way 1) reversed words; ``half``:
+    letters before the first edit. An edit before the middle of a word is one
+    behind the middle of its reverse."""
+    half = F.floor(F.length("word") / 2).cast("int")
+    return vocabulary.select(F.lit(0).alias("way"), "word", "n", half.alias("half")).unionByName(vocabulary.select(
+        F.lit(1).alias("way"), F.reverse("word").alias("word"), "n", (F.length("word") - half).alias("half")))
+
+
 def edges(vocabulary: DataFrame) -> DataFrame:
-    """The trie of (word, n): (depth, node, children: array of struct
-    (letter, rest: bit set of lengths that may follow, ahead: bits of the
-    letters that may, n: count of the word that ends there or null))."""
+    """The tries of (way, word, n): (depth, way, node, children: array of
+    struct (letter, rest: bit set of lengths that may follow, ahead: bits of
+    the letters that may, n: count of the word that ends there or null))."""
     size = F.length("word")
-    steps = vocabulary.select("word", "n", size.alias("size"), F.explode(F.sequence(F.lit(0), size - 1)).alias("depth"))
+    steps = vocabulary.select("way", "word", "n", size.alias("size"), F.explode(F.sequence(F.lit(0), size - 1)).alias("depth"))
     step = steps.select(
-        "depth", F.substring("word", F.lit(1), F.col("depth")).alias("node"), _letter("word", F.col("depth")).alias("letter"),
-        F.expr("shiftleft(1L, size - depth - 1)").alias("bit"), _bit(_letter("word", F.col("depth") + 1)).alias("ahead"), F.when(F.col("depth") == F.col("size") - 1, F.col("n")).alias("n"))
-    child = step.groupBy("depth", "node", "letter").agg(
+        "depth", "way", F.substring("word", F.lit(1), F.col("depth")).alias("node"),
+        _letter("word", F.col("depth")).alias("letter"),
+        F.expr("shiftleft(1L, size - depth - 1)").alias("bit"), _bit(_letter("word", F.col("depth") + 1)).alias("ahead"),
+        F.when(F.col("depth") == F.col("size") - 1, F.col("n")).alias("n"))
+    child = step.groupBy("depth", "way", "node", "letter").agg(
         F.expr("bit_or(bit)").alias("rest"), F.expr("bit_or(ahead)").alias("ahead"), F.max("n").alias("n"))
-    return child.groupBy("depth", "node").agg(F.collect_list(F.struct("letter", "rest", "ahead", "n")).alias("children"))
+    return child.groupBy("depth", "way", "node").agg(F.collect_list(F.struct("letter", "rest", "ahead", "n")).alias("children"))
 
 
 def _meet(states: DataFrame, nodes: DataFrame, n_edges: int) -> DataFrame:
     """States with the children of their node."""
     if n_edges <= BROADCAST_EDGES:
-        return states.join(F.broadcast(nodes), "node")
+        return states.join(F.broadcast(nodes), ["way", "node"])
     states = checkpoint(states)
-    hot = states.groupBy("node").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select(
-        F.col("node").alias("_hot"), F.ceil(F.col("k") / HOT).cast("int").alias("_salts"))
+    hot = states.groupBy("way", "node").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select(
+        "way", "node", F.ceil(F.col("k") / HOT).cast("int").alias("_salts"))
     hot = F.broadcast(checkpoint(hot))  # at most states / HOT rows
     salts = F.coalesce("_salts", F.lit(1))
-    left = states.join(hot, F.col("node") == F.col("_hot"), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64("word", "pos"), salts).cast("int")).drop("_hot", "_salts")
-    right = nodes.join(hot, F.col("node") == F.col("_hot"), "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_hot", "_salts")
-    return left.join(right, ["node", "_salt"]).drop("_salt")
+    left = states.join(hot, ["way", "node"], "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("word", "pos"), salts).cast("int")).drop("_salts")
+    right = nodes.join(hot, ["way", "node"], "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return left.join(right, ["way", "node", "_salt"]).drop("_salt")
 
 
 def _step(states: DataFrame, nodes: DataFrame, n_edges: int) -> DataFrame:
@@ -121,11 +137,11 @@ def _step(states: DataFrame, nodes: DataFrame, n_edges: int) -> DataFrame:
     step = (left > 0) & F.when(first, F.col("letter") > F.col("next")).otherwise(same) & fits(left - 1, "bit1")
     # insert; before an equal letter it is the same word as after it
     insert = first & ~same & fits(left, "bit")
-    made = met.select("word", "n", "size", "there", F.concat("node", "letter").alias("node"), step.alias("step"),
+    made = met.select("way", "word", "n", "size", "there", F.concat("node", "letter").alias("node"), step.alias("step"),
                       insert.alias("insert"), pos).where("step OR insert")
     moves = F.when(F.col("step") & F.col("insert"), F.array(pos + 1, pos)).when(F.col("step"), F.array(pos + 1)).otherwise(
         F.array(pos))
-    return made.select("word", "n", F.explode(moves).alias("pos"), "node", F.lit(True).alias("edited"), "size", "there")
+    return made.select("way", "word", "n", F.explode(moves).alias("pos"), "node", F.lit(True).alias("edited"), "size", "there")
 
 
 def _pairs_long(vocabulary: DataFrame) -> DataFrame:
@@ -152,23 +168,23 @@ def neighbours(vocabulary: DataFrame) -> DataFrame:
     """(word, n, near, n_of: count of near): both directions of all pairs of words of
     ``vocabulary`` (word, n) that differ by one inserted, deleted or replaced
     code point."""
-    short = vocabulary.where(F.length("word") <= TRIE_CHARS)
+    short = both_ways(vocabulary.where(F.length("word") <= TRIE_CHARS))
     trie = checkpoint(edges(short))
     sizes = {r.depth: r.k for r in trie.groupBy("depth").agg(F.sum(F.size("children")).alias("k")).collect()}
-    tasks = max(1, -(-vocabulary.count() // TASK_WORDS))
+    tasks = max(1, -(-2 * vocabulary.count() // TASK_WORDS))
     found, frontier = [_pairs_long(vocabulary).select("word", "n", F.col("b").alias("near"), F.col("n_b").alias("n_of"))], None
     for depth in range(max(sizes, default=-1) + 1):
-        own = short.where(F.length("word") >= depth).select(
-            "word", "n", F.lit(depth).alias("pos"), F.substring("word", F.lit(1), F.lit(depth)).alias("node"),
+        own = short.where((F.col("half") <= depth) & (F.length("word") >= depth)).select(
+            "way", "word", "n", F.lit(depth).alias("pos"), F.substring("word", F.lit(1), F.lit(depth)).alias("node"),
             F.lit(False).alias("edited"))
         states = own if frontier is None else own.unionByName(frontier)
         made = checkpoint(_step(states.coalesce(tasks), trie.where(F.col("depth") == depth).drop("depth"), sizes[depth]))
-        ended = made.where(F.col("pos") == F.col("size"))
-        found.append(ended.where("there is not null").select(
-            "word", "n", F.col("node").alias("near"), F.col("there").alias("n_of")))
-        frontier = made.drop("size", "there")
+        ended = made.where((F.col("pos") == F.col("size")) & F.col("there").isNotNull())
+        plain = lambda c: F.when(F.col("way") == 1, F.reverse(c)).otherwise(F.col(c))
+        found.append(ended.select(plain("word").alias("word"), "n", plain("node").alias("near"), F.col("there").alias("n_of")))
+        frontier = made.where(F.col("pos") < F.col("size")).drop("size", "there")
     way = lambda *c: F.struct(*(F.col(x).alias(y) for x, y in zip(c, ("word", "n", "near", "n_of"), strict=True)))
-    one = checkpoint(reduce(DataFrame.unionByName, found))
+    one = checkpoint(reduce(DataFrame.unionByName, found).distinct())  # a letter put into a run is seen both ways
     return one.select(F.explode(F.array(way("word", "n", "near", "n_of"), way("near", "n_of", "word", "n"))).alias("p")).select("p.*")
 
 
