@@ -162,6 +162,7 @@ def main() -> None:
             fn()
             ts.append(time.perf_counter() - t)
         times[name] = round(statistics.median(ts), 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf}))

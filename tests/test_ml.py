@@ -41,6 +41,36 @@ def test_seed_reproducible_and_contamination(spark, planted):
     assert {r["n"] for r in nodes.collect()} == {256}  # psi rows per tree, no replacement
 
 
+def test_scores_equal_a_plain_walk(spark, planted):
+    """Scores, threshold and flags of every row against one walk per row and
+    tree over the stored nodes, null features and values beyond the sample included."""
+    feats = ("a", "b", "c")
+    m = iforest.fit(planted, "rid", feats, n_trees=20, seed=5)
+    nodes = {(r.tree, r.node): r for r in m.nodes.collect()}
+
+    def path(row, tree):
+        r, depth = nodes[tree, 0], 0
+        while r.feature >= 0:
+            r, depth = nodes[tree, r.left if row[r.feature] < r.threshold else r.right], depth + 1
+        n = r.size
+        more = 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+        return depth + more
+
+    def plain(values):
+        z = [((v if v is not None else 0.0) - mu) / sd for v, mu, sd in zip(values, m.means, m.sigmas)]
+        return -2 ** (-np.mean([path(z, t) for t in range(20)]) / float(iforest.avg_path_length([m.psi])[0]))
+
+    want = {r.rid: plain(r[:3]) for r in planted.select("a", "b", "c", "rid").collect()}
+    assert m.threshold == pytest.approx(np.quantile(list(want.values()), 0.1), abs=1e-12)
+    odd = spark.createDataFrame([(None, 1e300, -1e300, 5000), (None, None, None, 5001)], planted.schema)
+    want |= {r.rid: plain(r[:3]) for r in odd.select("a", "b", "c", "rid").collect()}
+    got = m.score(planted.unionByName(odd), keep=("rid",)).collect()
+    assert len(got) == 2002
+    for r in got:
+        assert r.raw_score == pytest.approx(want[r.rid], abs=1e-12)
+        assert r.anomaly_flag == int(r.raw_score < m.threshold) == int(r.prediction_label == "ANOMALY")
+
+
 def test_model_roundtrip(spark, planted, tmpdir_path):
     m = iforest.fit(planted, "rid", ("a", "b", "c"), n_trees=20, seed=3)
     m.save(spark, tmpdir_path + "/m")

@@ -1,9 +1,10 @@
-"""Stored profiles, neighbours by ranges."""
+"""Stored profiles, neighbours by ranges, history and folders, quartiles, correlations of many columns."""
 
 import dataclasses
 import datetime as dt
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from tests.conftest import SF0001
 from vigil.catalog_io import EVENTS_CSV_SCHEMA
 from vigil.catalog_monitor import AS_OF_EVENTS, EVENTS_CFG
+from vigil.config import blank_config
 from vigil.operators import ordering
 from vigil.plans.run import run_series
 from vigil.sources import history as hist
@@ -197,3 +199,84 @@ def test_quartiles_by_bracket(spark, monkeypatch, way):
     for k in (0, 1, 2, 9):
         for i in range(4):
             assert got[k][f"q_{i}"] == pytest.approx(exact[k][f"q_{i}"], rel=1e-12, nan_ok=True), (k, i)
+
+
+@pytest.mark.parametrize("cells", [16_000_000, 1])
+def test_correlations_of_many_columns(spark, monkeypatch, cells):
+    """Matrix products against the expressions per pair: nulls, NaN, infinity, constants, far-off values, a null
+    key, a snapshot without values; sums handed out at once or batch by batch."""
+    from vigil.operators import gram
+
+    monkeypatch.setattr(gram, "CELLS", cells)
+    rng = np.random.default_rng(3)
+    k, rows = 14, []
+    for i in range(900):
+        x = list(rng.normal(0, 1, k))
+        x[1] = x[0] * 2 + rng.normal() * (1 + i // 300)
+        x[2] = 0.1
+        x[3] = None if i % 3 else x[3]
+        x[4] = 1e9 + x[4]
+        x[5] = float("nan") if i == 701 else x[5]
+        x[6] = float("inf") if i == 10 else x[6]
+        x[7] = 0.7 if x[3] is not None else 0.1 * (i % 7)  # constant where the fourth is present
+        x = [v if v is None else float(v) for v in x]
+        rows.append([i // 300 or None, *(x if i < 600 or i % 2 else [None] * k)])
+    names = [f"c{i}" for i in range(k)]
+    df = spark.createDataFrame(rows, ", ".join(["day int", *(f"{n} double" for n in names)])).repartition(5)
+    runs = [run_series(df, blank_config(corr_columns=tuple(names), row_duplicates=False, gram_columns=g), key="day")
+            for g in (20, 3)]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    narrow = {r.day: [r[f"corr_{p}"] for p in range(len(pairs))] for r in runs[0].checks.p.facts_with(()).collect()}
+    wide = {r.day: r.corr for r in runs[1].checks.p.facts_with(("gram",)).collect()}
+    assert set(narrow) == set(wide) == {None, 1, 2}
+    for day in wide:
+        for pair, a, b in zip(pairs, narrow[day], wide[day], strict=True):
+            if pair == (3, 7):
+                continue  # constant on the rows that both have, which the expressions do not see
+            np.testing.assert_allclose(b, a, atol=1e-6, err_msg=f"{day} {pair}")
+        assert wide[day][pairs.index((3, 7))] == 0
+    clean = df.drop("c5", "c6")
+    names = names[:5] + names[8:]
+    got = [run_series(clean, blank_config(corr_columns=tuple(names), row_duplicates=False, gram_columns=g), key="day")
+           .checks.correlation().orderBy("day").collect() for g in (20, 3)]
+    for a, b in zip(*got, strict=True):
+        assert (a.worst_pair, a.passed) == (b.worst_pair, b.passed)
+        assert (a.max_correlation_drift is None) == (b.max_correlation_drift is None)
+        if a.max_correlation_drift is not None:
+            assert a.max_correlation_drift == pytest.approx(b.max_correlation_drift, abs=1e-6)
+
+
+def test_two_hundred_columns(spark):
+    """20 100 pairs without an expression each."""
+    names = [f"c{i}" for i in range(200)]
+    df = spark.range(3000).selectExpr("CAST(id % 2 AS INT) AS day", *[
+        f"CASE WHEN id % {7 + i % 5} <> 0 THEN sin(id * {i + 1}) + CAST(id % {3 + i % 11} AS DOUBLE) END AS c{i}" for i in range(200)])
+    run = run_series(df, blank_config(corr_columns=tuple(names), row_duplicates=False), key="day")
+    first, second = run.checks.correlation().orderBy("day").collect()
+    assert first.max_correlation_drift is None and first.worst_pair is None and first.passed
+    pdf = df.toPandas()
+    step = (pdf[pdf.day == 1][names].corr(min_periods=1) - pdf[pdf.day == 0][names].corr(min_periods=1)).abs().to_numpy()
+    i, j = np.unravel_index(np.nanargmax(step), step.shape)
+    assert second.max_correlation_drift == pytest.approx(np.nanmax(step), abs=1e-9)
+    assert second.worst_pair == f"('c{min(i, j)}', 'c{max(i, j)}')"
+
+
+def test_monitor_keeps_many_correlations(spark, tmpdir_path):
+    """Stored correlations of a gone day serve the next one, under the same columns only."""
+    from vigil.operators.checks import Checks
+    from vigil.operators.profile import Profile
+
+    ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn("day", F.to_date("ts"))
+    ev = ev.selectExpr("day", *[f"value * {i + 1} + (event_id % {i + 2}) * user_id AS c{i}" for i in range(5)])
+    cfg = blank_config(corr_columns=tuple(f"c{i}" for i in range(5)), row_duplicates=False, gram_columns=2)
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    two = ev.where(F.col("day").isin(d1, d2))
+    both = Profile(two, cfg, key="day")
+    state.save(both, tmpdir_path, "events", [d1])
+    have, stored = state.load(spark, tmpdir_path, "events", [d1], both)
+    assert have == [d1]
+    want = [r for r in Checks(both).correlation().collect() if r.day == d2]
+    got = Checks(Profile(two.where(F.col("day") == d2), cfg, key="day", stored=stored)).correlation().collect()
+    assert got == want and got[0].worst_pair
+    fewer = dataclasses.replace(cfg, corr_columns=cfg.corr_columns[:4])
+    assert state.load(spark, tmpdir_path, "events", [d1], Profile(two, fewer, key="day")) == ([], None)

@@ -422,6 +422,21 @@ def c14_events(spark, sf):
     return tidy(run.checks.correlation())
 
 
+WIDE_BASE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey")
+#: 24 columns, each null in the orders that its number divides
+WIDE = {f"w{i}": f"CASE WHEN l_orderkey % {i + 2} <> 0 THEN CAST({WIDE_BASE[i % 6]} AS DOUBLE) * "
+                 f"{1 + i % 4} + (l_partkey % {i + 3}) * (l_linenumber % {1 + i % 5}) END" for i in range(24)}
+
+
+@register("c14_many_columns", corr_sql(
+    f"(SELECT snapshot, {', '.join(f'{x} AS {c}' for c, x in WIDE.items())} FROM {LINEITEM_SQL})", tuple(WIDE)))
+def c14_wide(spark, sf):
+    """Pairwise complete correlations of 24 columns by matrix products."""
+    wide = lineitem_series(spark, sf).selectExpr(KEY, *[f"{x} AS {c}" for c, x in WIDE.items()])
+    run = run_series(wide, blank_config(corr_columns=tuple(WIDE), row_duplicates=False), key=KEY)
+    return tidy(run.checks.correlation())
+
+
 # ================================================================= C16
 @register("c16_entropy_change", f"""
 WITH h AS (SELECT snapshot, entropy(event_type) AS h FROM {EVENTS_SQL} GROUP BY snapshot),

@@ -206,6 +206,9 @@ class CheckConfig:
     # snapshot) or "approx" (percentile_approx sketch)
     quantiles: str = "select"
     approx_accuracy: int = 100000
+    # correlated columns from which on all pairs are summed by matrix products
+    # instead of by expressions of their own
+    gram_columns: int = 12
     # per-snapshot rows up to which predecessors are found in one window task
     window_rows: int = 20_000
     # text columns whose values are to parse as types: column -> ("int64", "float64", "date", ...)

@@ -46,6 +46,10 @@ def struct_l(pairs) -> str:
     return "named_struct(" + ", ".join(f"{s(k)}, {v}" for k, v in pairs) + ")"
 
 
+def arr_num(values) -> str:
+    return f"array({', '.join(map(str, values))})"
+
+
 EMPTY_ARR = "CAST(array() AS ARRAY<STRING>)"
 # fixed values: message texts of the result details
 NO_PREVIOUS = "No previous snapshot."
@@ -54,7 +58,7 @@ NO_CORRELATION = "Insufficient data."
 # the passes over the data, besides stage A, that a check needs
 NEEDS = {"duplicate_detection": ("ids", "dups"), "outlier_detection_iqr": ("iqr",),
          "outlier_detection_zscore": ("zscore",), "psi_distribution_drift": ("psi",),
-         "entropy_change": ("values",), "time_gap_detection": ("gaps",), "uniqueness_constraints": ("ids",)}
+         "correlation_drift": ("gram",), "entropy_change": ("values",), "time_gap_detection": ("gaps",), "uniqueness_constraints": ("ids",)}
 
 
 class Checks:
@@ -174,15 +178,30 @@ class Checks:
                 out.append((i, j, f"abs(corr_{p} - coalesce(pcorr_{p}, 0.0))"))
         return out
 
+    def _corr_steps(self) -> str:
+        """|difference| of every pair of many columns, as an array by rows."""
+        k = len(self.p.corr_cols)
+        none = f"array_repeat(0.0D, {k * (k + 1) // 2})"
+        return f"zip_with(coalesce(corr, {none}), coalesce(pcorr, {none}), (a, b) -> abs(a - coalesce(b, 0.0D)))"
+
     def _corr_max_sql(self) -> str:
         if len(self.p.corr_cols) < 2:
             return "CAST(NULL AS DOUBLE)"
+        if self.p.gram_on:
+            return f"CASE WHEN has_prev THEN array_max({self._corr_steps()}) END"
         return f"CASE WHEN has_prev THEN {greatest(d for _, _, d in self._corr_diffs())} END"
 
     def _corr_worst_sql(self) -> str:
         if len(self.p.corr_cols) < 2:
             return "CAST(NULL AS STRING)"
         names = self.p.corr_cols
+        if self.p.gram_on:  # the first pair by rows, as below; its name follows from its place
+            at, k = f"array_position({self._corr_steps()}, _corr_max) - 1", len(names)
+            starts = arr_num([i * k - i * (i - 1) // 2 for i in range(k)])
+            row = f"size(filter({starts}, x -> x <= {at}))"
+            label = arr([repr(n) for n in names])
+            return (f"CASE WHEN has_prev THEN concat('(', {label}[{row} - 1], ', ', "
+                    f"{label}[CAST({at} - {starts}[{row} - 1] + {row} - 1 AS INT)], ')') END")
         whens = " ".join(f"WHEN {d} = _corr_max THEN {s(f'({names[i]!r}, {names[j]!r})')}"
                          for i, j, d in self._corr_diffs())
         return f"CASE WHEN has_prev THEN CASE {whens} END END"

@@ -223,6 +223,46 @@ def fit(df: DataFrame, row_id: str, features=FEATURE_COLUMNS, n_trees: int = 100
     return ForestModel(features, means, sigmas, nodes, psi, float(thr), n_trees)
 
 
+def _flat_trees(arr: np.ndarray) -> tuple:
+    """Rows of ``NODE_SCHEMA`` -> (roots, levels, feature, threshold, child,
+    path). Node numbers run over all trees, ``child[2 i]`` and ``child[2 i + 1]``
+    are the right and left child of node ``i``; a leaf is its own child, so a
+    walk takes the same number of steps in every tree. ``path`` is the path
+    length of a leaf: its depth and what its size adds."""
+    arr = arr[np.lexsort((arr[:, 1], arr[:, 0]))]
+    _, roots, nodes = np.unique(arr[:, 0], return_index=True, return_counts=True)
+    start = np.repeat(roots, nodes)
+    inner = arr[:, 2] >= 0
+    here = np.arange(len(arr))
+    left, right = (np.where(inner, arr[:, c].astype(np.int64) + start, here) for c in (4, 5))
+    depth, level, levels = np.zeros(len(arr)), roots, 0
+    while inner[level].any():
+        levels += 1
+        level = level[inner[level]]
+        level = np.concatenate([left[level], right[level]])
+        depth[level] = levels
+    feature = np.where(inner, arr[:, 2], 0).astype(np.int64)
+    child = np.column_stack([right, left]).ravel()
+    return roots, levels, feature, arr[:, 3], child, depth + avg_path_length(arr[:, 6])
+
+
+def _mean_path(x: np.ndarray, trees: tuple, rows: int = 512) -> np.ndarray:
+    """Mean path length over all trees; ``rows`` at a time, so that the nodes
+    at hand (rows x trees) stay in the processor's cache."""
+    roots, levels, feature, threshold, child, path = trees
+    out = np.empty(len(x))
+    for at in range(0, len(x), rows):
+        part = np.ascontiguousarray(x[at:at + rows])
+        first = (np.arange(len(part)) * x.shape[1])[:, None]
+        flat = part.ravel()
+        node = np.broadcast_to(roots, (len(part), len(roots)))
+        for _ in range(levels):
+            goes_left = flat.take(feature.take(node) + first) < threshold.take(node)
+            node = child.take(2 * node + goes_left)
+        out[at:at + rows] = path.take(node).mean(axis=1)
+    return out
+
+
 def _score_raw(z: DataFrame, nodes: DataFrame, features, psi: int, n_trees: int, keep) -> DataFrame:
     """Mean path length over all trees -> raw score, per Arrow batch."""
     rows = nodes.orderBy("tree", "node").collect()  # <= n_trees * (2 * psi - 1) rows
@@ -230,43 +270,15 @@ def _score_raw(z: DataFrame, nodes: DataFrame, features, psi: int, n_trees: int,
     if len(rows) > bound:
         raise ValueError(f"node table larger than its bound {bound}")
     nd = np.array([[r.tree, r.node, r.feature, r.threshold, r.left, r.right, r.size] for r in rows], dtype=float)
-    spark = z.sparkSession
-    bc = spark.sparkContext.broadcast(nd)
+    bc = z.sparkSession.sparkContext.broadcast(nd)
     cpsi = float(avg_path_length([psi])[0])
-    feats = list(features)
-    keep = list(keep)
+    feats, keep = list(features), list(keep)
 
     def walk(it):
-        arr = bc.value
-        # flat node arrays; child pointers made global with per-tree offsets
-        order = np.lexsort((arr[:, 1], arr[:, 0]))
-        arr = arr[order]
-        tree_ids, starts = np.unique(arr[:, 0], return_index=True)
-        offs = np.repeat(starts, np.diff(np.append(starts, len(arr))))
-        feat = arr[:, 2].astype(np.int64)
-        thr = arr[:, 3]
-        left = np.where(arr[:, 4] >= 0, arr[:, 4].astype(np.int64) + offs, -1)
-        right = np.where(arr[:, 5] >= 0, arr[:, 5].astype(np.int64) + offs, -1)
-        leaf_adj = avg_path_length(arr[:, 6])
-        roots = starts.astype(np.int64)
-        ntree = len(roots)
+        trees = _flat_trees(bc.value)
         for pdf in it:
-            x = pdf[feats].to_numpy(dtype=float)
-            idx = np.broadcast_to(roots, (len(x), ntree)).copy()
-            depth = np.zeros((len(x), ntree))
-            while True:
-                f = feat[idx]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                xv = np.take_along_axis(x, np.where(inner, f, 0), axis=1)
-                nxt = np.where(xv < thr[idx], left[idx], right[idx])
-                idx = np.where(inner, nxt, idx)
-                depth += inner
-            eh = (depth + leaf_adj[idx]).mean(axis=1)
-            out = pdf[keep].copy()
-            out["raw_score"] = -np.power(2.0, -eh / cpsi)
-            yield out
+            eh = _mean_path(pdf[feats].to_numpy(dtype=float), trees)
+            yield pdf[keep].assign(raw_score=-np.power(2.0, -eh / cpsi))
 
     schema = T.StructType([z.schema[k] for k in keep] + [T.StructField("raw_score", T.DoubleType())])
     return z.mapInPandas(walk, schema)

@@ -44,7 +44,7 @@ from .ordering import with_neighbours
 
 SMALL_BYTES = 64 << 20  # per-snapshot tables proven to be below this (16 bytes a cell) are broadcast
 SMALL_CANDIDATES = 1 << 18  # repeated row hashes (key, hash) up to this many are broadcast
-PARTS = ("iqr", "zscore", "psi", "ids", "values", "dups", "gaps")
+PARTS = ("iqr", "zscore", "psi", "ids", "values", "dups", "gaps", "gram")
 BLANK_RE = r"(?U)^[\s\x1c-\x1f]*$"  # empty after Python-style strip()
 
 
@@ -142,9 +142,15 @@ class Profile:
     def corr_cols(self):
         return [c for c in self.cfg.corr_columns if _num(self.schema, c)]
 
+    @cached_property
+    def gram_on(self) -> bool:
+        """Many correlated columns: sums of all pairs by matrix products."""
+        return len(self.corr_cols) > self.cfg.gram_columns
+
     @cached_property
     def corr_pairs(self):
-        k = len(self.corr_cols)
+        """Pairs with expressions of their own (none for many columns)."""
+        k = 0 if self.gram_on else len(self.corr_cols)
         return [(i, j) for i in range(k) for j in range(i, k)]
 
     @cached_property
@@ -295,9 +301,13 @@ class Profile:
             a.append(f"{adjusted_skew_sql(f'CAST({q(c)} AS DOUBLE)')} AS sk_{i}")
         for p, (i, j) in enumerate(self.corr_pairs):
             x, y = f"CAST({q(self.corr_cols[i])} AS DOUBLE)", f"CAST({q(self.corr_cols[j])} AS DOUBLE)"
+            # merged means of a constant differ in their last digit, which is no spread
             a += [f"covar_pop({x}, {y}) AS cv_{p}",
-                  f"stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END) AS sx_{p}",
-                  f"stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END) AS sy_{p}"]
+                  f"CASE WHEN min({x}) = max({x}) THEN 0.0D ELSE stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END) END AS sx_{p}",
+                  f"CASE WHEN min({y}) = max({y}) THEN 0.0D ELSE stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END) END AS sy_{p}"]
+        for i, c in enumerate(self.corr_cols) if self.gram_on else ():
+            x = f"CAST({q(c)} AS DOUBLE)"
+            a.append(f"min({x}) FILTER (WHERE abs({x}) < CAST('Infinity' AS DOUBLE)) AS cmin_{i}")
         if _num(self.schema, cfg.psi_column):
             x = f"CAST({q(cfg.psi_column)} AS DOUBLE)"
             a += [f"min({x}) AS pmin", f"max({x}) AS pmax"]
@@ -461,6 +471,16 @@ class Profile:
              .groupBy(self.key, "g").agg(E("CAST(count(1) AS DOUBLE) AS c")))
         return x.groupBy(self.key).agg(E("sum(c) AS ent_n"), E("sum(c * log2(c)) AS ent_s"))
 
+    @cached_property
+    def gram(self) -> DataFrame:
+        """(key, corr array<double>): correlations of many columns."""
+        from .gram import pair_correlations
+
+        low = self.stage_a.selectExpr(self.k, *[f"cmin_{i}" for i in range(len(self.corr_cols))])
+        d = self.attach(self.series, low, "inner")
+        x = [f"CAST({q(c)} AS DOUBLE) - coalesce(cmin_{i}, 0.0D) AS x_{i}" for i, c in enumerate(self.corr_cols)]
+        return pair_correlations(d.selectExpr(self.k, *x), self.key, len(self.corr_cols))
+
     # ------------------------------------------------------------ duplicates
     @cached_property
     def duplicate_rows(self) -> DataFrame | None:
@@ -504,7 +524,7 @@ class Profile:
     def active(self) -> frozenset:
         """The parts this configuration has work for."""
         on = {"iqr": self.iqr_cols, "zscore": self.z_cols, "psi": self.psi_on, "ids": self.id_on,
-              "values": self.ent_on, "dups": self.cfg.row_duplicates, "gaps": self.date_on}
+              "values": self.ent_on, "dups": self.cfg.row_duplicates, "gaps": self.date_on, "gram": self.gram_on}
         return frozenset(p for p in PARTS if on[p])
 
     def facts_with(self, parts=PARTS) -> DataFrame:
@@ -529,6 +549,12 @@ class Profile:
                 seen = seen.unionByName(self.stored.figures.select(self.key, "ent_n", "ent_s"))
                 f = f.drop("ent_n", "ent_s")
             f = self.attach(f, seen)
+        if "gram" in parts:
+            seen = self.gram
+            if self.stored is not None:
+                seen = seen.unionByName(self.stored.figures.select(self.key, "corr"))
+                f = f.drop("corr")
+            f = self.attach(f, seen)
         if "dups" in parts and self.duplicate_rows is not None:
             f = self.attach(f, self.duplicate_rows)
         if "gaps" in parts:
@@ -547,6 +573,8 @@ class Profile:
         if "values" in parts:
             lags["prev_entropy"] = "entropy"
         lags |= {f"pcorr_{p}": f"corr_{p}" for p in range(len(self.corr_pairs))}
+        if "gram" in parts:
+            lags["pcorr"] = "corr"
         if "psi" in parts:
             lags |= {f"pbn_{b}": f"bn_{b}" for b in range(1, cfg.psi_bins + 1)}
         f = with_neighbours(f, self.key, self.n_keys, lags, most=self.cfg.window_rows)

@@ -29,7 +29,8 @@ from ..functions.exprs import col
 
 FIGURES = T.StructType([
     T.StructField("dataset_name", T.StringType()), T.StructField("snapshot", T.DateType()),
-    T.StructField("version", T.LongType()), T.StructField("figures", T.MapType(T.StringType(), T.DoubleType()))])
+    T.StructField("version", T.LongType()), T.StructField("figures", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("corr_columns", T.ArrayType(T.StringType())), T.StructField("corr", T.ArrayType(T.DoubleType()))])
 VALUES = T.StructType([
     T.StructField("dataset_name", T.StringType()), T.StructField("snapshot", T.DateType()),
     T.StructField("version", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("c", T.LongType())])
@@ -37,7 +38,7 @@ VALUES = T.StructType([
 
 @dataclass
 class StoredProfile:
-    """Figures (key, n, pmin, pmax, cv_<p>, sx_<p>, sy_<p>, ent_n, ent_s) and
+    """Figures (key, n, pmin, pmax, cv_<p>, sx_<p>, sy_<p>, corr, ent_n, ent_s) and
     values (key, value, c) of some snapshots."""
 
     figures: DataFrame
@@ -78,6 +79,10 @@ def save(profile, path: str, dataset_name: str, keys: list) -> None:
     f = profile.facts_with()
     figures = F.map_from_arrays(F.array(*[F.lit(x) for x in names.values()]),
                                 F.array(*[F.col(x).cast("double") for x in names]))
+    wide = profile.gram_on
+    f = f.withColumn("corr_columns", F.array(*map(F.lit, profile.corr_cols)) if wide else F.lit(None).cast("array<string>"))
+    if not wide:
+        f = f.withColumn("corr", F.lit(None).cast("array<double>"))
     (mine(f).withColumn("figures", figures).select(*FIGURES.fieldNames())
      .write.mode("append").partitionBy("dataset_name").parquet(f"{path}/figures"))
 
@@ -90,14 +95,19 @@ def load(spark: SparkSession, path: str, dataset_name: str, days: list, profile)
         return [], None
     names = _names(profile)
     newest = (table.where((F.col("dataset_name") == dataset_name) & F.col("snapshot").isin(days))
-              .groupBy("snapshot").agg(F.max_by("figures", "version").alias("figures"), F.max("version").alias("version")))
+              .groupBy("snapshot").agg(*(F.max_by(c, "version").alias(c) for c in ("figures", "corr_columns", "corr")),
+                                       F.max("version").alias("version")))
     whole = newest.where(F.size(F.array_except(F.array(*[F.lit(x) for x in names.values()]), F.map_keys("figures"))) == 0)
+    extra = []
+    if profile.gram_on:
+        whole = whole.where(F.col("corr_columns").eqNullSafe(F.array(*map(F.lit, profile.corr_cols))))
+        extra = ["corr"]
     have = {r.snapshot: r.version for r in whole.select("snapshot", "version").collect()}  # one row a day asked for
     if not have:
         return [], None
     kind = profile.series.schema[profile.key].dataType
     figures = whole.select(F.col("snapshot").cast(kind).alias(profile.key), *(
-        F.col("figures")[x].cast("long" if c == "n" else "double").alias(c) for c, x in names.items()))
+        F.col("figures")[x].cast("long" if c == "n" else "double").alias(c) for c, x in names.items()), *extra)
     values = _table(spark, path, "values", VALUES)
     if values is None:
         values = spark.createDataFrame([], VALUES)
