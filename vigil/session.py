@@ -56,16 +56,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def deal(df: DataFrame) -> DataFrame:
+    """``df`` dealt to ``vigil.spread.partitions`` partitions, for one pass of
+    costly work over it, if the caller sets that option; else as it is."""
+    n = df.sparkSession.conf.get("vigil.spread.partitions", None)
+    return df.repartition(int(n)) if n else df
+
+
 def spread(df: DataFrame, persisted: list | None = None) -> DataFrame:
     """``df`` dealt to ``vigil.spread.partitions`` partitions and kept for the
     passes that follow, if the caller sets that option (one unsplittable file
     on many cores); else ``df`` as it is."""
     from pyspark import StorageLevel
 
-    n = df.sparkSession.conf.get("vigil.spread.partitions", None)
-    if not n:
+    out = deal(df)
+    if out is df:
         return df
-    out = df.repartition(int(n)).persist(StorageLevel.DISK_ONLY)  # a data copy: keep it off the heap
+    out = out.persist(StorageLevel.DISK_ONLY)  # a data copy: keep it off the heap
     if persisted is not None:
         persisted.append(out)
     return out
