@@ -206,11 +206,11 @@ def a8_agree(spark, sf):
         "CAST(anomaly_flag = 1 OR ml_flag = 1 AS INT)")).alias("combined_is_or")))
 
 
-@register("p1_run_pipeline")
-def p1(spark, sf):
+def _one_run(spark, sf):
     """One run over the newest events day against the day before. Cold
     start from a real backfill: the history is first filled by the series
-    run (P2) for the earlier days, so the forest and forecast have data."""
+    run (P2) for the earlier days, so the forest and forecast have data.
+    Returns the run record and the path of the history."""
     from .catalog_monitor import events_metrics
     from .sources import history as hist
 
@@ -219,16 +219,37 @@ def p1(spark, sf):
     m = events_metrics(spark, sf)
     last = m.agg(F.max(KEY)).first()[0]
     hist.append_metrics(spark, path, m.filter(F.col(KEY) < F.lit(last)))
-    rec = run_pipeline(spark, s, path, scratch(spark, "model"), EVENTS_CFG,
-                       dataset_name=DATASET, key=KEY, as_of=last)
-    return rec.select("status", "dataset_name", "quality_score", "rule_flag", "ml_flag", "ml_label",
-                      "combined_flag", "forecast_row_count", "error")
+    return run_pipeline(spark, s, path, scratch(spark, "model"), EVENTS_CFG,
+                        dataset_name=DATASET, key=KEY, as_of=last), path
+
+
+@register("p1_run_pipeline")
+def p1(spark, sf):
+    return _one_run(spark, sf)[0].select(
+        "status", "dataset_name", "quality_score", "rule_flag", "ml_flag", "ml_label",
+        "combined_flag", "forecast_row_count", "error")
+
+
+# what a run leaves in the history and in its record
+P1_STORED = ("row_count", "quality_score", "drift_score", "outlier_count", "volume_change_pct", "checks_passed")
 
 
 @register("p1_run_record", f"""
-SELECT 'success' AS status, dataset_name, quality_score, anomaly_flag AS rule_flag, 1 AS stored, 1 AS combined_is_or
-FROM ({HISTORY_DBL_SQL}) ORDER BY timestamp DESC LIMIT 1""")
+WITH h AS ({HISTORY_DBL_SQL}), n AS (SELECT * FROM h ORDER BY timestamp DESC LIMIT 1),
+f AS ({FORECAST_SQL})
+SELECT 'success' AS status, n.dataset_name, n.anomaly_flag AS rule_flag, (SELECT count(*) FROM h) AS stored_rows,
+       {', '.join(f'CAST(n.{c} AS DOUBLE) AS {x}_{c}' for c in P1_STORED for x in ('stored', 'recorded'))},
+       round(f.yhat, 0) AS forecast_row_count, 1 AS combined_is_or
+FROM n JOIN f ON f.ds = CAST(n.timestamp AS DATE)""")
 def p1_record(spark, sf):
-    return tidy(p1(spark, sf).select(
-        "status", "dataset_name", "quality_score", "rule_flag", F.col("error").isNull().alias("stored"),
-        (F.col("combined_flag") == F.expr("CAST(rule_flag = 1 OR ml_flag = 1 AS INT)")).alias("combined_is_or")))
+    """The record of the run beside the row that the run stored, read back from the history."""
+    from .sources import history as hist
+
+    rec, path = _one_run(spark, sf)
+    kept = hist.fetch_all_metrics(spark, path, DATASET, ordered=False)
+    kept = kept.groupBy("dataset_name").agg(F.count("*").alias("stored_rows"), *(
+        F.max_by(F.col(c).cast("double"), "timestamp").alias(f"stored_{c}") for c in P1_STORED))
+    rec = rec.select("status", "dataset_name", "rule_flag", "forecast_row_count", (F.col("combined_flag") == F.expr(
+        "CAST(rule_flag = 1 OR ml_flag = 1 AS INT)")).alias("combined_is_or"), *(
+        F.get_json_object("metrics", f"$.{c}").cast("double").alias(f"recorded_{c}") for c in P1_STORED))
+    return tidy(rec.join(kept, "dataset_name"))

@@ -173,6 +173,69 @@ def m0_flags(spark, sf):
     return tidy(events_run(spark, sf).results().select(KEY, "check_index", "passed"))
 
 
+# figure -> (check, path in its JSON details, type, SQL over the figures of METRICS_SQL)
+DETAIL_FIGURES = {
+    "null_total": (1, "$.total_nulls", "long", "CAST(total_nulls AS BIGINT)"),
+    "null_pct": (1, "$.overall_null_pct", "double", "round_even(null_pct, 2)"),
+    "null_values": (1, "$.null_counts.value", "long", "CAST(n - vn AS BIGINT)"),
+    "repeated_rows": (2, "$.duplicate_rows", "long", "CAST(n - d AS BIGINT)"),
+    "repeated_ids": (2, "$.duplicate_order_ids", "long", "CAST(n - did - hn AS BIGINT)"),
+    "mistyped": (3, "$.mismatches[*].column", "string", "(SELECT CASE WHEN count(*) = 1 THEN '\"' || max(x.c) || '\"' WHEN "
+                 "count(*) > 1 THEN '[' || string_agg('\"' || x.c || '\"', ',') || ']' END FROM (VALUES {dts}) x(c, exp) JOIN st "
+                 "ON st.column_name = x.c WHERE NOT list_contains(string_split(x.exp, '|'), st.actual))"),
+    "missing_column": (4, "$.missing_columns[0]", "string",
+                       "(SELECT min(c) FROM (VALUES {exp}) x(c) WHERE c NOT IN (SELECT column_name FROM st))"),
+    "out_of_range": (5, "$.violations[0].violation_count", "long", "CAST(nullif(rv, 0) AS BIGINT)"),
+    "off_pattern": (6, "$.props.invalid_count", "long", "CAST(pb AS BIGINT)"),
+    "fence_low": (7, "$.value.lower_bound", "double", "round_even(q1 - 1.5 * (q3 - q1), 2)"),
+    "fence_high": (7, "$.value.upper_bound", "double", "round_even(q3 + 1.5 * (q3 - q1), 2)"),
+    "beyond_fences": (7, "$.value.outlier_count", "long", "CAST(iqo AS BIGINT)"),
+    "beyond_sigmas": (8, "$.value.outlier_count", "long", "CAST(zo AS BIGINT)"),
+    "most_sigmas": (8, "$.value.max_zscore", "double", "round_even(greatest(vmax - mu, mu - vmin) / sd, 2)"),
+    "added": (9, "$.columns_added", "string", "CASE WHEN prev IS NOT NULL THEN '[]' END"),
+    "latest": (10, "$.latest_order_date", "string", "strftime(fmax, '%Y-%m-%d')"),
+    "age": (10, "$.age_days", "long", "age"),
+    "rows_before": (11, "$.previous_rows", "long", "CAST(pn AS BIGINT)"),
+    "change": (11, "$.change_pct", "double", "round_even(abs(n - pn) / CAST(greatest(pn, 1) AS DOUBLE) * 100, 2)"),
+    "missing_pct": (12, "$.per_column.value.missing_pct", "double", "round_even(CAST(n - vn AS DOUBLE) / n * 100, 2)"),
+    "psi": (13, "$.psi_score", "double", "round_even(psi, 4)"),
+    "drift": (13, "$.drift_level", "string", "CASE WHEN round_even(psi, 4) < 0.1 THEN 'none' WHEN round_even(psi, 4) < 0.2 "
+              "THEN 'slight' WHEN psi IS NOT NULL THEN 'significant' END"),
+    "pair": (14, "$.worst_pair", "string", "worst_pair"),
+    "pair_drift": (14, "$.max_correlation_drift", "double", "round_even(cmax, 4)"),
+    "skewness": (15, "$.per_column.value.skewness", "double", "round_even(sk, 4)"),
+    "entropy_before": (16, "$.previous_entropy", "double", "round_even(ph, 4)"),
+    "entropy_now": (16, "$.current_entropy", "double", "round_even(h, 4)"),
+    "gaps": (17, "$.large_gap_count", "long", "CAST(lg AS BIGINT)"),
+    "not_positive": (18, "$.violations.value_positive", "long", "CAST(nullif(br_pos, 0) AS BIGINT)"),
+    "other_types": (18, "$.violations.valid_event_type", "long", "CAST(nullif(br_set, 0) AS BIGINT)"),
+    "unique_ids": (19, "$.event_id.unique_values", "long", "CAST(did AS BIGINT)"),
+    "issue": (20, "$.issues[0]", "string", "CASE WHEN rf_blank > 0 THEN rf_blank || ' rows with empty props' WHEN rf_missing > 0 "
+              "THEN rf_missing || ' rows have event_type but missing props' END"),
+    "amount": (21, "$.message", "string", "'Required columns missing.'"),
+}
+
+
+def _detail_sql() -> str:
+    dts = ", ".join(f"('{c}', '{'|'.join(v)}')" for c, v in EVENTS_CFG.expected_dtypes.items())
+    exp = ", ".join(f"('{c}')" for c in EVENTS_CFG.expected_columns)
+    sel = ", ".join(f"{x.replace('{dts}', dts).replace('{exp}', exp)} AS {name}"
+                    for name, (_, _, _, x) in DETAIL_FIGURES.items())
+    return METRICS_SQL[:METRICS_SQL.rindex(f"SELECT snapshot, '{DATASET}'")] + f"""
+SELECT snapshot, {sel} FROM f JOIN (SELECT snapshot, min(value) AS vmin, max(value) AS vmax, count(value) AS vn
+                                    FROM e GROUP BY snapshot) v USING (snapshot)
+JOIN (SELECT snapshot, worst_pair FROM cor) USING (snapshot)"""
+
+
+@register("m0_detail_figures", _detail_sql())
+def m0_details(spark, sf):
+    """Figures of the JSON details of all 21 checks, every day."""
+    r = events_run(spark, sf).results()
+    return tidy(r.groupBy(KEY).agg(*(
+        F.max(F.when(F.col("check_index") == i, F.get_json_object("details", path))).cast(kind).alias(name)
+        for name, (i, path, kind, _) in DETAIL_FIGURES.items())))
+
+
 @register("m1_quality_score", f"WITH m AS ({METRICS_SQL}) SELECT snapshot, quality_score FROM m")
 def m1(spark, sf):
     """Score recomputed from the envelope rows joined to the weight table."""

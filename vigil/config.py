@@ -49,6 +49,32 @@ VALID_CATEGORIES = (
     "Books", "Groceries", "Kitchen", "Clothing", "Furniture",
     "Beauty", "Home Decor", "Electronics", "Sports", "Toys",
 )
+# Column roles and thresholds of the checks.
+IGNORED_EXTRA_COLUMNS = ("ingestion_timestamp",)
+ID_COLUMN = "Order ID"
+IQR_COLUMNS = ("Sales", "Profit", "Unit Price", "Quantity")
+ZSCORE_COLUMNS = ("Sales", "Profit", "Unit Price")
+ZSCORE_THRESHOLD = 3.0
+SKEW_COLUMNS = ("Sales", "Profit", "Unit Price", "Quantity")
+SKEW_THRESHOLD = 2.0
+DATE_COLUMN = "Order Date"
+FRESHNESS_MAX_DAYS = 30
+MAX_GAP_DAYS = 7
+VOLUME_THRESHOLD_PCT = 30.0
+MISSING_MAX_PCT = 5.0
+PSI_COLUMN = "Sales"
+PSI_BINS = 10
+CORR_COLUMNS = ("Sales", "Profit", "Unit Price", "Quantity", "Discount")
+CORR_THRESHOLD = 0.2
+ENTROPY_COLUMN = "Category"
+ENTROPY_THRESHOLD = 0.5
+POSITIVE_COLUMN = "Sales"
+LE_PAIR = ("Profit", "Sales")
+BOUNDED_COLUMN = ("Discount", 0, 20)
+RULE_NAMES = ("sales_positive", "profit_le_sales", "discount_range")
+PARENT_COLUMN, CHILD_COLUMN = "Category", "Sub-Category"
+AMOUNT_COLUMN, QUANTITY_COLUMN, PRICE_COLUMN, DISCOUNT_COLUMN = "Sales", "Quantity", "Unit Price", "Discount"
+AMOUNT_TOLERANCE_PCT = 1.0
 # Check weights for the quality score (unknown checks weigh 3).
 CHECK_WEIGHTS = {
     "null_value_detection": 10,
@@ -149,51 +175,51 @@ class CheckConfig:
 
     expected_columns: tuple = EXPECTED_COLUMNS
     expected_dtypes: dict = field(default_factory=lambda: dict(EXPECTED_DTYPES))
-    ignored_extra_columns: tuple = ("ingestion_timestamp",)
+    ignored_extra_columns: tuple = IGNORED_EXTRA_COLUMNS
     numeric_ranges: dict = field(default_factory=lambda: dict(NUMERIC_RANGES))
     patterns: dict = field(default_factory=lambda: dict(PATTERNS))
     # duplicate / uniqueness key (None: skipped)
-    id_column: str | None = "Order ID"
+    id_column: str | None = ID_COLUMN
     # outliers
-    iqr_columns: tuple = ("Sales", "Profit", "Unit Price", "Quantity")
-    zscore_columns: tuple = ("Sales", "Profit", "Unit Price")
-    zscore_threshold: float = 3.0
+    iqr_columns: tuple = IQR_COLUMNS
+    zscore_columns: tuple = ZSCORE_COLUMNS
+    zscore_threshold: float = ZSCORE_THRESHOLD
     # skew
-    skew_columns: tuple = ("Sales", "Profit", "Unit Price", "Quantity")
-    skew_threshold: float = 2.0
+    skew_columns: tuple = SKEW_COLUMNS
+    skew_threshold: float = SKEW_THRESHOLD
     # dates
-    date_column: str | None = "Order Date"
-    freshness_max_days: int = 30
-    max_gap_days: int = 7
+    date_column: str | None = DATE_COLUMN
+    freshness_max_days: int = FRESHNESS_MAX_DAYS
+    max_gap_days: int = MAX_GAP_DAYS
     # volume / missing
-    volume_threshold_pct: float = 30.0
-    missing_max_pct: float = 5.0
+    volume_threshold_pct: float = VOLUME_THRESHOLD_PCT
+    missing_max_pct: float = MISSING_MAX_PCT
     # drift
-    psi_column: str | None = "Sales"
-    psi_bins: int = 10
-    corr_columns: tuple = ("Sales", "Profit", "Unit Price", "Quantity", "Discount")
-    corr_threshold: float = 0.2
-    entropy_column: str | None = "Category"
-    entropy_threshold: float = 0.5
+    psi_column: str | None = PSI_COLUMN
+    psi_bins: int = PSI_BINS
+    corr_columns: tuple = CORR_COLUMNS
+    corr_threshold: float = CORR_THRESHOLD
+    entropy_column: str | None = ENTROPY_COLUMN
+    entropy_threshold: float = ENTROPY_THRESHOLD
     # business rules
-    positive_column: str | None = "Sales"
-    le_pair: tuple | None = ("Profit", "Sales")  # first <= second
-    bounded_column: tuple | None = ("Discount", 0, 20)
-    rule_names: tuple = ("sales_positive", "profit_le_sales", "discount_range")
+    positive_column: str | None = POSITIVE_COLUMN
+    le_pair: tuple | None = LE_PAIR  # first <= second
+    bounded_column: tuple | None = BOUNDED_COLUMN
+    rule_names: tuple = RULE_NAMES
     set_rules: tuple = (
         SetRule("valid_region", "Region", VALID_REGIONS),
         SetRule("valid_payment_mode", "Payment Mode", VALID_PAYMENT_MODES),
         SetRule("valid_category", "Category", VALID_CATEGORIES),
     )
     # parent/child consistency
-    parent_column: str | None = "Category"
-    child_column: str | None = "Sub-Category"
+    parent_column: str | None = PARENT_COLUMN
+    child_column: str | None = CHILD_COLUMN
     # amount = quantity * price * (1 - discount / 100)
-    amount_column: str | None = "Sales"
-    quantity_column: str | None = "Quantity"
-    price_column: str | None = "Unit Price"
-    discount_column: str | None = "Discount"
-    amount_tolerance_pct: float = 1.0
+    amount_column: str | None = AMOUNT_COLUMN
+    quantity_column: str | None = QUANTITY_COLUMN
+    price_column: str | None = PRICE_COLUMN
+    discount_column: str | None = DISCOUNT_COLUMN
+    amount_tolerance_pct: float = AMOUNT_TOLERANCE_PCT
     # score
     weights: dict = field(default_factory=lambda: dict(CHECK_WEIGHTS))
     default_weight: int = DEFAULT_WEIGHT
