@@ -84,18 +84,20 @@ class Profile:
                         figures of snapshots that are not in ``series`` but
                         precede some that are. They serve the drift checks and
                         have no rows in the results.
+    ``keep``            every part is a pass of its own: keep the rows of the first
+                        on the executors' disks for the others (text sources).
     """
 
     def __init__(self, series: DataFrame, config: CheckConfig = DEFAULT,
                  key: str = "snapshot_date", as_of: _dt.date | None = None,
                  prev_schema: T.StructType | None = None, keys: list | None = None,
-                 schemas: DataFrame | None = None, stored=None):
+                 schemas: DataFrame | None = None, stored=None, keep: bool = False):
         self._persisted: list[DataFrame] = []
         from ..session import allow_cached_coalescing, spread
 
         allow_cached_coalescing(series.sparkSession)
 
-        self.series = spread(series, self._persisted)
+        self.series = spread(series, self._persisted, keep)
         self.cfg = config
         self.key = key
         self.k = q(key)
@@ -203,14 +205,19 @@ class Profile:
 
     @cached_property
     def date_format(self) -> str | None:
-        """The format that most values of a date column in text parse with:
-        one aggregate counts all candidates. None: ISO, or not text."""
+        """The format that most values of a date column in text parse with.
+        None: ISO, or not text. ISO wins ties, so where it reads every value no
+        other format is tried (a failed try costs many times a good one);
+        else one more aggregate counts the others."""
         cfg = self.cfg
         if not (self.date_on and isinstance(self.schema[cfg.date_column].dataType, T.StringType) and cfg.date_formats):
             return None
         x = self.schema[cfg.date_column].dataType
+        iso, values = self.series.agg(E(f"count({ts_sql(x, cfg.date_column)})"), E(f"count({q(cfg.date_column)})")).first()
+        if iso == values:
+            return None
         tried = [None, *cfg.date_formats]
-        r = self.series.agg(*[E(f"count({ts_sql(x, cfg.date_column, fmt)}) AS f{i}") for i, fmt in enumerate(tried)]).first()
+        r = [iso, *self.series.agg(*[E(f"count({ts_sql(x, cfg.date_column, fmt)}) AS f{i}") for i, fmt in enumerate(tried[1:])]).first()]
         return tried[max(range(len(tried)), key=lambda i: (r[i], -i))]
 
     @cached_property

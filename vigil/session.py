@@ -63,14 +63,15 @@ def deal(df: DataFrame) -> DataFrame:
     return df.repartition(int(n)) if n else df
 
 
-def spread(df: DataFrame, persisted: list | None = None) -> DataFrame:
+def spread(df: DataFrame, persisted: list | None = None, keep: bool = False) -> DataFrame:
     """``df`` dealt to ``vigil.spread.partitions`` partitions and kept for the
     passes that follow, if the caller sets that option (one unsplittable file
-    on many cores); else ``df`` as it is."""
+    on many cores); else ``df`` as it is, kept too with ``keep`` (rows that
+    cost more to read again than to keep, as those of text files)."""
     from pyspark import StorageLevel
 
     out = deal(df)
-    if out is df:
+    if out is df and not keep:
         return df
     out = out.persist(StorageLevel.DISK_ONLY)  # a data copy: keep it off the heap
     if persisted is not None:

@@ -63,12 +63,10 @@ def process_days(spark: SparkSession, days: list, source_dir: str, schema: T.Str
     for f in schema.fields:  # a value that is not of its type raises, as in the batch loader
         c = F.col(q(f.name)).cast(f.dataType) if f.name in series.columns else F.lit(None).cast(f.dataType)
         series = series.withColumn(f.name, c)
-    run = run_series(series.select(*[q(f.name) for f in schema.fields], key), config, key=key, as_of=as_of,
-                     dataset_name=dataset_name, stored=stored)
-    state.save(run.profile, state_path, dataset_name, sorted(check))
-    written = hist.replace_metrics(spark, history_path, run.metrics().filter(F.col(key).isin(list(check)))).count()
-    run.close()
-    return written
+    with run_series(series.select(*[q(f.name) for f in schema.fields], key), config, key=key, as_of=as_of,
+                    dataset_name=dataset_name, stored=stored, keep=True) as run:
+        state.save(run.profile, state_path, dataset_name, sorted(check))
+        return hist.replace_metrics(spark, history_path, run.metrics().filter(F.col(key).isin(list(check)))).count()
 
 
 def stream_monitor(spark: SparkSession, source_dir: str, schema: T.StructType, history_path: str,
