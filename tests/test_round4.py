@@ -1,4 +1,5 @@
-"""Passes of the monitor over text files and formats tried for dates in text."""
+"""Passes of the monitor over text files, formats tried for dates in text,
+and stages of many column expressions."""
 
 import datetime as dt
 import os
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import SF0001
+from vigil import session
 from vigil.catalog_io import EVENTS_CSV_SCHEMA
 from vigil.catalog_monitor import AS_OF_EVENTS, EVENTS_CFG
 from vigil.config import blank_config
 from vigil.operators import profile
+from vigil.plans.run import run_series
 from vigil.sources import snapshots as snap
 from vigil.streaming import monitor
 
@@ -58,3 +61,17 @@ def test_formats_are_tried_where_iso_fails(spark, monkeypatch, days, chosen, tri
     monkeypatch.setattr(profile, "ts_sql", ts_sql)
     assert p.date_format == chosen
     assert len(formats) == tried
+
+
+def test_stages_stay_below_what_the_jvm_compiles(spark):
+    name, df = session.METHOD_LIMIT, spark.createDataFrame([(1, 2.0)], "k int, x double")
+    old = spark.conf.get(name, "65535")
+    try:
+        spark.conf.unset(name)
+        run_series(df, blank_config(row_duplicates=False), key="k").close()
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "30000")  # the user's own
+        run_series(df, blank_config(row_duplicates=False), key="k").close()
+        assert spark.conf.get(name) == "30000"
+    finally:
+        spark.conf.set(name, old)

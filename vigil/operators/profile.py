@@ -93,9 +93,10 @@ class Profile:
                  prev_schema: T.StructType | None = None, keys: list | None = None,
                  schemas: DataFrame | None = None, stored=None, keep: bool = False):
         self._persisted: list[DataFrame] = []
-        from ..session import allow_cached_coalescing, spread
+        from ..session import allow_cached_coalescing, compilable_methods, spread
 
         allow_cached_coalescing(series.sparkSession)
+        compilable_methods(series.sparkSession)
 
         self.series = spread(series, self._persisted, keep)
         self.cfg = config

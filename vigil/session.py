@@ -80,16 +80,29 @@ def spread(df: DataFrame, persisted: list | None = None, keep: bool = False) ->
 
 
 CACHED_AQE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
 
-def allow_cached_coalescing(spark: SparkSession) -> None:
-    """Let AQE coalesce the partitions of cached plans (the engine caches
-    its small per-snapshot tables; without this each keeps
-    ``spark.sql.shuffle.partitions`` tiny tasks). Performance only; an
-    explicit setting by the user is left alone."""
+def _set_default(spark: SparkSession, name: str, default: str, value: str) -> None:
+    """Set an option that still has Spark's default; an explicit setting by
+    the user is left alone."""
     try:
-        explicit = spark.sparkContext.getConf().contains(CACHED_AQE) or CACHED_AQE in spark.conf.getAll
+        explicit = spark.sparkContext.getConf().contains(name) or name in spark.conf.getAll
     except Exception:  # noqa: BLE001 - connect sessions have no getAll
         explicit = False
-    if not explicit and spark.conf.get(CACHED_AQE, "false") == "false":
-        spark.conf.set(CACHED_AQE, "true")
+    if not explicit and spark.conf.get(name, default) == default:
+        spark.conf.set(name, value)
+
+
+def allow_cached_coalescing(spark: SparkSession) -> None:
+    """Let AQE coalesce the partitions of cached plans (the engine caches
+    its small per-snapshot tables; without this each keeps
+    ``spark.sql.shuffle.partitions`` tiny tasks). Performance only."""
+    _set_default(spark, CACHED_AQE, "false", "true")
+
+
+def compilable_methods(spark: SparkSession) -> None:
+    """Let Spark fuse a stage into one method only up to the size that the JVM
+    compiles (8000 bytes of bytecode); a larger one, as dozens of column
+    expressions give, would be interpreted for every row. Performance only."""
+    _set_default(spark, METHOD_LIMIT, "65535", "8000")
