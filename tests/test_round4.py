@@ -15,6 +15,7 @@ from vigil.catalog_monitor import AS_OF_EVENTS, EVENTS_CFG
 from vigil.config import blank_config
 from vigil.operators import profile
 from vigil.plans.run import run_series
+from vigil.sources import history as hist
 from vigil.sources import snapshots as snap
 from vigil.streaming import monitor
 
@@ -41,6 +42,28 @@ def test_monitor_parses_its_files_once(spark, tmpdir_path, monkeypatch):
     assert not seen["series"].storageLevel.useDisk and kept() <= before
 
 
+def test_stream_keeps_rows_and_tries_one_format(spark, tmpdir_path, monkeypatch):
+    ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn("snapshot_date", F.to_date("ts"))
+    src, path = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "h")
+    snap.write_snapshot_files(ev.where(F.col("snapshot_date") <= dt.date(2024, 1, 2)), src, "snapshot_date")
+    levels, formats = [], set()
+
+    def save(prof, *a, f=monitor.state.save):
+        levels.append(prof.series.storageLevel.useDisk)
+        return f(prof, *a)
+
+    def ts_sql(kind, name, fmt=None, f=profile.ts_sql):
+        formats.add(fmt)
+        return f(kind, name, fmt)
+
+    monkeypatch.setattr(monitor.state, "save", save)
+    monkeypatch.setattr(profile, "ts_sql", ts_sql)
+    monitor.stream_monitor(spark, src, T._parse_datatype_string(EVENTS_CSV_SCHEMA), path, os.path.join(tmpdir_path, "ck"),
+                           EVENTS_CFG, "events", as_of=AS_OF_EVENTS)
+    assert levels == [True] and formats == {None}
+    assert hist.fetch_all_metrics(spark, path, "events").count() == 2
+
+
 @pytest.mark.parametrize("days, chosen, tried", [
     (["2024-01-02", "2024-01-03 04:05:06", None], None, 1),   # ISO reads all: no other format is tried
     ([None, None], None, 1),
