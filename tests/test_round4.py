@@ -98,3 +98,29 @@ def test_stages_stay_below_what_the_jvm_compiles(spark):
         assert spark.conf.get(name) == "30000"
     finally:
         spark.conf.set(name, old)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("names, by_pattern", [
+    (["snapshot_2024-01-01-part-0.csv", "snapshot_2024-01-02.csv"], False),
+    (["day=2024-01-01/part-0.csv", "day=2024-01-02/a=b.csv"], False),
+    (["a day=2024-01-01/part 0.csv", "snapshot_2024-01-02 b%20.csv"], False),       # names that a URI encodes
+    (["day=2024-01-01/snapshot_2024-01-01.csv", "d=2024-01-02.csv"], False),
+    (["day=2024-01-01/snapshot_2025-05-05.csv", "snapshot_2024-01-02.csv"], True),  # the folder's date counts
+])
+def test_day_of_a_row_without_a_search_in_its_path(spark, tmpdir_path, names, by_pattern):
+    for i, name in enumerate(names):
+        path = os.path.join(tmpdir_path, name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(f"x\n{i + 1}\n")
+    s = snap.scan_snapshot_series(spark, tmpdir_path)
+    assert {(r.snapshot_date, r.x) for r in s.collect()} == {(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)}
+    assert ("regexp_extract(" in _plan(s)) == by_pattern
+    s.withColumn("y", F.col("x") * 2).write.partitionBy("snapshot_date").parquet(os.path.join(tmpdir_path, "p"))
+    p = snap.scan_snapshot_series(spark, os.path.join(tmpdir_path, "p"))
+    assert {(r.snapshot_date, r.y) for r in p.collect()} == {(dt.date(2024, 1, 1), 2), (dt.date(2024, 1, 2), 4)}
+    assert "regexp_extract(" not in _plan(p)

@@ -187,6 +187,26 @@ def _file_day(path: str):
         return None
 
 
+def _cut_day(path: str) -> str:
+    """What :func:`_day_column` cuts out of a path."""
+    folder, name = path.split("/")[-2:]
+    tail = f"{folder}/{name}"
+    return name[9:19] if name.startswith("snapshot_") else tail[tail.find("=") + 1:][:10]
+
+
+def _day_column(files: list) -> Column:
+    """The day of a row of ``files`` (day, path), from the name of its file.
+    Cut out by its place in the name where that gives the day of every file;
+    else found by pattern, which searches the whole path again for every row
+    and takes longer than parsing it."""
+    path = F.col("_metadata.file_path")
+    if all(_cut_day(p) == d.isoformat() for d, p in files):
+        name, tail = F.col("_metadata.file_name"), F.substring_index(path, "/", -2)
+        return F.when(name.startswith("snapshot_"), F.substring(name, 10, 10)).otherwise(
+            tail.substr(F.instr(tail, "=") + 1, F.lit(10))).cast("date")
+    return F.regexp_extract(path, FILE_DATE, 1).cast("date")
+
+
 def _header(spark: SparkSession, path: str) -> tuple:
     """Column names of one CSV file: its first record, nothing else is read.
     A quoted name may hold line breaks."""
@@ -208,12 +228,12 @@ def _read_days(spark: SparkSession, files: dict, key: str, multi_line: bool = Fa
     columns, Parquet files one scan of their merged columns (footers are read
     by tasks), so the plan grows with the number of layouts, not of files.
     Where both kinds meet, Parquet columns become text too."""
-    day = F.regexp_extract(F.col("_metadata.file_path"), FILE_DATE, 1).cast("date")
     paths = [(d, p) for d, ps in files.items() for p in ps]
     text = [(d, p) for d, p in paths if not p.endswith(".parquet")]
     with ThreadPoolExecutor(16) as pool:
         heads = list(pool.map(lambda x: _header(spark, x[1]), text))
     groups: dict = {}
+    day = _day_column(text)
     for (d, p), h in zip(text, heads, strict=True):
         groups.setdefault(h, ([], set()))
         groups[h][0].append(p)
@@ -222,7 +242,7 @@ def _read_days(spark: SparkSession, files: dict, key: str, multi_line: bool = Fa
     layouts = [(h, sorted(ds)) for h, (_, ds) in groups.items()]
     typed = [(d, p) for d, p in paths if p.endswith(".parquet")]
     if typed:
-        data = spark.read.option("mergeSchema", True).parquet(*[p for _, p in typed]).withColumn(key, day)
+        data = spark.read.option("mergeSchema", True).parquet(*[p for _, p in typed]).withColumn(key, _day_column(typed))
         if scans:
             data = data.select(*[col(c) if c == key else col(c).cast("string").alias(c) for c in data.columns])
         scans.append(data)
