@@ -7,15 +7,17 @@ others almost as near. A query walks an in-memory graph over the centroids
 and visits the lists whose centroids are within a distance ratio of the
 nearest. How many lists and which ratio follow the index: both are calibrated
 on sampled vectors, half of them held back from the fit, whose exact
-neighbours one scan finds. Lists are stored in blocks of bounded size, so a long list is many
-rows; queries meet blocks by an equi-join on the list.
+neighbours one scan finds. Lists are stored by groups of neighbouring lists, in
+blocks of bounded size, so a long list is many rows; a query goes once to every
+block of a group of which it visits a list, with a number and the lists, and
+only its number and its best rows come back. No task holds more at a time than
+a block of vectors, one of queries and a table of ``CELLS``.
 
 Copies of a vector are one entry that keeps the smallest ids (one more than
 asked for, in case the query is among them), which loses no answer."""
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .shared import checkpoint, sample_by_hash
 
-#: vectors in a stored block, queries in a block
-BLOCK, QUERY_BLOCK = 2048, 512
+#: vectors in a stored block, queries in a block, at most; fewer where they are long
+BLOCK, QUERY_BLOCK = 16_384, 16_384
+#: entries of a table that a task makes at a time, values in a block of vectors
+CELLS = 1 << 20
 
 
 # ---------------------------------------------------------------- centroids
@@ -61,49 +65,58 @@ def balanced_centroids(x: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
 
 
 class Graph:
-    """Nearest-neighbour graph over centroids, searched best first."""
+    """Nearest-neighbour graph over centroids, walked by many queries at once."""
 
     def __init__(self, c: np.ndarray, degree: int = 16):
         self.c = c
-        links: list[set[int]] = [set() for _ in range(len(c))]
-        for lo in range(0, len(c), 1024):
-            sims = c[lo:lo + 1024] @ c.T
-            for i, row in enumerate(sims, lo):
-                row[i] = -2
-                for j in np.argpartition(-row, min(degree, len(c) - 1))[:degree].tolist() if len(c) > 1 else []:
-                    if j != i:
-                        links[i].add(j)
-                        links[j].add(i)
-        self.links = [np.array(sorted(x), np.int64) for x in links]
+        near = []
+        for lo in range(0, len(c), step := in_turns(len(c))):
+            sims = c[lo:lo + step] @ c.T
+            sims[np.arange(len(sims)), np.arange(lo, lo + len(sims))] = -2
+            if len(c) > 1:
+                near.append(np.argpartition(-sims, min(degree, len(c) - 1), axis=1)[:, :degree])
+        to = np.concatenate(near) if near else np.zeros((0, 0), np.int64)
+        at = np.repeat(np.arange(len(to)), to.shape[1])
+        both = np.unique(np.concatenate([np.stack([at, to.ravel()], 1), np.stack([to.ravel(), at], 1)]), axis=0)
+        both = both[both[:, 0] != both[:, 1]]
+        #: the nodes linked to node i are links[first[i]:first[i + 1]]
+        self.links, self.first = both[:, 1], np.searchsorted(both[:, 0], np.arange(len(c) + 1))
         self.entries = np.unique(np.linspace(0, len(c) - 1, min(len(c), 32)).astype(np.int64))
 
     def search(self, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, similarities) of about the ``width`` nearest, nearest
-        first."""
-        sims = self.c[self.entries] @ q
-        seen = set(self.entries.tolist())
-        best = [(float(s), int(e)) for s, e in zip(sims, self.entries, strict=True)]
-        todo = [(-s, e) for s, e in best]
-        heapq.heapify(todo)
-        heapq.heapify(best)
-        while len(best) > width:
-            heapq.heappop(best)
-        while todo:
-            s, e = heapq.heappop(todo)
-            if len(best) >= width and -s < best[0][0]:
+        """(centroids, similarities) of about the ``width`` nearest to every
+        row of ``q``, nearest first; similarity -inf: fewer were met. A turn
+        expands, for all rows, what is among the nearest so far and has not
+        been expanded; the walk ends where nothing is left to expand."""
+        n, width = len(self.c), min(width, len(self.c))
+        sims, done = np.full((len(q), n), -np.inf), np.zeros((len(q), n), bool)
+        sims[:, self.entries] = q @ self.c[self.entries].T
+        while True:
+            bar = np.partition(sims, n - width, axis=1)[:, n - width]
+            row, node = np.nonzero((sims >= bar[:, None]) & (sims > -np.inf) & ~done)
+            if not len(row):
                 break
-            fresh = [n for n in self.links[e].tolist() if n not in seen]
-            if not fresh:
-                continue
-            seen.update(fresh)
-            for n, v in zip(fresh, (self.c[fresh] @ q).tolist(), strict=True):
-                if len(best) < width or v > best[0][0]:
-                    heapq.heappush(best, (v, n))
-                    heapq.heappush(todo, (-v, n))
-                    if len(best) > width:
-                        heapq.heappop(best)
-        best.sort(key=lambda x: (-x[0], x[1]))
-        return np.array([n for _, n in best], np.int64), np.array([v for v, _ in best])
+            done[row, node] = True
+            met = np.zeros(sims.shape, bool)
+            for lo in range(0, len(row), 4096):
+                r, e = row[lo:lo + 4096], node[lo:lo + 4096]
+                degree = self.first[e + 1] - self.first[e]
+                at = np.arange(degree.sum()) - np.repeat(np.cumsum(degree) - degree - self.first[e], degree)
+                met[np.repeat(r, degree), self.links[at]] = True
+            row, node = np.nonzero(met & (sims == -np.inf))
+            for lo in range(0, len(row), step := in_turns(q.shape[1])):
+                r, e = row[lo:lo + step], node[lo:lo + step]
+                sims[r, e] = np.einsum("ij,ij->i", q[r], self.c[e])
+        top = np.argpartition(-sims, width - 1, axis=1)[:, :width]
+        top.sort(1)
+        found = np.take_along_axis(sims, top, 1)
+        order = np.argsort(-found, axis=1, kind="stable")
+        return np.take_along_axis(top, order, 1), np.take_along_axis(found, order, 1)
+
+
+def in_turns(entries: int) -> int:
+    """Rows of so many entries that a task takes at a time."""
+    return max(1, CELLS // max(entries, 1))
 
 
 def distance(sims: np.ndarray) -> np.ndarray:
@@ -132,6 +145,11 @@ def distinct_vectors(df: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     return first.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
+def block_rows(dim: int) -> int:
+    """Vectors in a block."""
+    return max(1, min(BLOCK, CELLS // dim))
+
+
 def unit(column: pd.Series) -> np.ndarray:
     x = np.stack(column.to_numpy()).astype(np.float64)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -157,11 +175,78 @@ def fit(vectors: DataFrame, sample: int, list_size: int, probes: int = 0) -> tup
 
 def lists_of(u: np.ndarray, c: np.ndarray, replicas: int, closure: float) -> tuple[np.ndarray, np.ndarray]:
     """(row of ``u``, list) of every list that a vector lies in."""
-    near = distance(u @ c.T)
-    top = np.argsort(near, axis=1, kind="stable")[:, :replicas]
-    d = np.take_along_axis(near, top, 1)
-    row, col = np.nonzero(d <= closure * d[:, :1] + 1e-12)
-    return row, top[row, col]
+    rows, lists = [], []
+    for lo in range(0, len(u), step := in_turns(len(c))):
+        near = distance(u[lo:lo + step] @ c.T)
+        top = np.argpartition(near, min(replicas, len(c)) - 1, axis=1)[:, :replicas]
+        top.sort(1)
+        d = np.take_along_axis(near, top, 1)
+        order = np.argsort(d, axis=1, kind="stable")
+        top, d = np.take_along_axis(top, order, 1), np.take_along_axis(d, order, 1)
+        row, col = np.nonzero(d <= closure * d[:, :1] + 1e-12)
+        rows.append(row + lo)
+        lists.append(top[row, col])
+    return np.concatenate(rows), np.concatenate(lists)
+
+
+def by_group(row: np.ndarray, lists: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, list]:
+    """(row, group, lists) for the pairs (row, list): a group is ``span``
+    lists that follow one another."""
+    order = np.lexsort((lists, row))
+    row, lists = row[order], lists[order]
+    group = lists // span
+    new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(group, prepend=-1) != 0))
+    return row[new], group[new], np.split(lists, new[1:]) if len(new) else []
+
+
+def best_in_block(a: np.ndarray, a_lists: list, b: np.ndarray, b_lists: list, least: np.ndarray, most: int
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``a``, row of ``b``, cosine): the ``most`` nearest rows of ``b``
+    to every row of ``a`` among those that share a list with it, nearest first,
+    ties to the smaller ``least``."""
+    norm_a, norm_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
+
+    def sides(lists: list) -> dict[int, np.ndarray]:
+        flat = np.concatenate([np.asarray(x, np.int64) for x in lists])
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        order = np.argsort(flat, kind="stable")
+        names, first = np.unique(flat[order], return_index=True)
+        return dict(zip(names.tolist(), np.split(row[order], first[1:]), strict=True))
+
+    bar = np.full(len(a), -np.inf)  # no row of b under it is among the nearest
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    kept, held = [none], 0
+
+    def prune() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q, x, s = map(np.concatenate, zip(*kept, strict=True))
+        order = np.lexsort((-s, x, q))
+        q, x, s = q[order], x[order], s[order]
+        once = (np.diff(q, prepend=-1) != 0) | (np.diff(x, prepend=-1) != 0)  # a pair may share several lists
+        q, x, s = q[once], x[once], s[once]
+        order = np.lexsort((x, least[x], -s, q))
+        q, x, s = q[order], x[order], s[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        last = place == most - 1
+        bar[q[last]] = np.maximum(bar[q[last]], s[last])
+        return q[place < most], x[place < most], s[place < most]
+
+    others = sides(b_lists)
+    for name, asked in sides(a_lists).items():
+        x = others.get(name)
+        if x is None:
+            continue
+        for lo in range(0, len(asked), step := in_turns(max(len(x), a.shape[1]))):
+            q = asked[lo:lo + step]
+            sims = (a[q] @ b[x].T) / norm_a[q][:, None] / norm_b[x][None, :]
+            if len(x) >= most and (bar[q] == -np.inf).any():
+                bar[q] = np.maximum(bar[q], np.partition(sims, len(x) - most, axis=1)[:, len(x) - most])
+            row, col = np.nonzero(sims >= bar[q][:, None])
+            kept.append((q[row], x[col], sims[row, col]))
+            held += len(row)
+            if held > max(CELLS, 2 * most * len(a)):
+                kept = [prune()]
+                held = len(kept[0][0])
+    return prune()
 
 
 def exact(vectors: DataFrame, probes: np.ndarray, k: int) -> list:
@@ -230,98 +315,92 @@ def search(df: DataFrame, queries, key: str = "vec_id", vector: str = "embedding
     number. A vector lies in up to ``replicas`` lists within ``closure``
     times its nearest centroid's distance."""
     spark = df.sparkSession
-    vectors = checkpoint(distinct_vectors(df, key, vector, k).withColumn("vid", F.xxhash64("v")))
+    vectors = checkpoint(distinct_vectors(df, key, vector, k))
     centroids, tried = fit(vectors, sample, list_size, probes)
-    shared = spark.sparkContext.broadcast((centroids, Graph(centroids)))
     dim = centroids.shape[1] if len(centroids) else 0
+    if not dim:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    shared = spark.sparkContext.broadcast((centroids, Graph(centroids)))
+    same = vectors.where(F.size("v") == dim)
+    least = calibrate(same, centroids, tried, k, recall, replicas, closure)
+    width, ratio = max(width, least[0]), max(ratio, least[1])
+    # groups of about a block of vectors, and enough of them for small tables to be more than one task
+    groups = max(-(-same.count() // block_rows(dim)), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    span = -(-len(centroids) // min(groups, len(centroids)))
+    groups = -(-len(centroids) // span)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c, _ = shared.value
         for b in batches:
-            for lo in range(0, len(b), 4096):
-                part = b.iloc[lo:lo + 4096]
-                row, at = lists_of(unit(part["v"]), c, replicas, closure)
-                yield pd.DataFrame({"list": at, "v": part["v"].to_numpy()[row],
+            for lo in range(0, len(b), step := in_turns(max(len(c), replicas * dim))):
+                part = b.iloc[lo:lo + step]
+                row, group, lists = by_group(*lists_of(unit(part["v"]), c, replicas, closure), span)
+                yield pd.DataFrame({"group": group, "lists": lists, "v": part["v"].to_numpy()[row],
                                     "ids": part["ids"].to_numpy()[row]})
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         _, graph = shared.value
         for b in batches:
-            out: tuple[list, ...] = ([], [], [])
-            for v, ids, u in zip(b["v"], b["ids"], unit(b["v"]) if len(b) else [], strict=True):
-                lists, sims = graph.search(u, width)
+            for lo in range(0, len(b), step := in_turns(max(len(graph.c), groups * dim))):
+                part = b.iloc[lo:lo + step]
+                at, sims = graph.search(unit(part["v"]), width)
                 d = distance(sims)
-                for at in lists[d <= ratio * d[0] + 1e-9].tolist():
-                    out[0].append(at)
-                    out[1].append(v)
-                    out[2].append(ids)
-            yield pd.DataFrame(dict(zip(("list", "v", "ids"), out, strict=True)))
+                row, col = np.nonzero((d <= ratio * d[:, :1] + 1e-9) & (sims > -np.inf))
+                row, group, lists = by_group(row, at[row, col], span)
+                yield pd.DataFrame({"group": group, "lists": lists, "qid": part["qid"].to_numpy()[row],
+                                    "v": part["v"].to_numpy()[row]})
 
-    if not dim:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    same = vectors.where(F.size("v") == dim)
-    least = calibrate(same, centroids, tried, k, recall, replicas, closure)
-    width, ratio = max(width, least[0]), max(ratio, least[1])
-    lists = same.select("v", "ids").mapInPandas(assign, "list bigint, v array<double>, ids array<bigint>")
     # vectors of another length are one list of that length, which its queries visit
-    by_length = lambda rows: rows.where(F.size("v") != dim).select(
-        (-F.size("v")).cast("bigint").alias("list"), "v", "ids")
-    lists = lists.unionByName(by_length(vectors))
+    by_length = lambda rows, *keep: rows.where(F.size("v") != dim).select(
+        (-F.size("v")).cast("bigint").alias("group"), F.array((-F.size("v")).cast("bigint")).alias("lists"), *keep)
+    stored = same.select("v", "ids").mapInPandas(
+        assign, "group bigint, lists array<bigint>, v array<double>, ids array<bigint>")
+    stored = checkpoint(stored.unionByName(by_length(vectors, "v", "ids")))
     asked = df.where(queries & _valid(vector) & F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("id"), F.transform(vector, lambda x: x.cast("double") + 0.0).alias("v"))
     # queries with one vector ask once; their number does not matter to the search
     asked = asked.distinct()
-    once = asked.select("v").distinct().withColumn("ids", F.array().cast("array<bigint>"))
-    routed = once.where(F.size("v") == dim).mapInPandas(route, "list bigint, v array<double>, ids array<bigint>")
-    routed = routed.unionByName(by_length(once))
-
-    # lists and the queries that visit them, in blocks of bounded size
-    def block(rows: DataFrame, most: int) -> DataFrame:
-        count = rows.groupBy("list").count().select("list", F.ceil(F.col("count") / most).alias("parts"))
-        return rows.join(count, "list").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")))
-
-    stored = block(lists, BLOCK).withColumnRenamed("parts", "of")
-    visits = block(routed, QUERY_BLOCK).withColumnRenamed("part", "qpart").drop("ids")
-    stored = checkpoint(stored)
-    parts = stored.select("list", "part").distinct()
-    visits = visits.join(parts, "list")  # a query visits every block of a list
-    qparts = visits.select("list", "part", "qpart").distinct()
-    work = stored.join(qparts, ["list", "part"]).select("list", "part", "qpart", "v", "ids", F.lit(False).alias("ask"))
-    work = work.unionByName(visits.select("list", "part", "qpart", "v", F.array().cast("array<bigint>").alias("ids"),
-                                          F.lit(True).alias("ask")))
+    once = checkpoint(asked.select("v").distinct().withColumn("qid", F.monotonically_increasing_id()))
+    visits = once.where(F.size("v") == dim).mapInPandas(
+        route, "group bigint, lists array<bigint>, qid bigint, v array<double>")
+    visits = checkpoint(visits.unionByName(by_length(once, "qid", "v")))
+
+    # groups and the queries that visit them, in blocks of bounded size
+    def blocks(rows: DataFrame, most: int) -> DataFrame:
+        """(group, parts): the number of blocks of a group."""
+        size = F.when(F.col("group") < 0, -F.col("group")).otherwise(dim)
+        fit_in = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.lit(CELLS) / size)))
+        return rows.groupBy("group").count().select("group", F.ceil(F.col("count") / fit_in).alias("parts"))
+
+    parts, qparts = blocks(stored, BLOCK), blocks(visits, QUERY_BLOCK)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    both = F.broadcast(checkpoint(parts.join(qparts.withColumnRenamed("parts", "qparts"), "group")))  # a row a group
+    # a vector goes to every block of queries of its group, a query to every block of vectors
+    work = stored.join(both, "group").select(
+        "group", F.pmod(F.xxhash64("v"), F.col("parts")).alias("part"), every("qparts").alias("qpart"), "lists", "v", "ids",
+        F.lit(-1).cast("bigint").alias("qid"))
+    work = work.unionByName(visits.join(both, "group").select(
+        "group", every("parts").alias("part"), F.pmod("qid", F.col("qparts")).alias("qpart"),
+        "lists", "v", F.array().cast("array<bigint>").alias("ids"), "qid"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        ask = frame["ask"].to_numpy()
+        ask = frame["qid"].to_numpy() >= 0
         q, x = frame[ask], frame[~ask]
         if not len(q) or not len(x):
-            return pd.DataFrame({"v": [], "ids": [], "scores": []})
-        a, b = np.stack(q["v"].to_numpy()), np.stack(x["v"].to_numpy())
-        sims = (a @ b.T) / np.linalg.norm(a, axis=1)[:, None] / np.linalg.norm(b, axis=1)[None, :]
+            return pd.DataFrame({"qid": [], "vec_id": [], "score": []})
         ids = x["ids"].tolist()
-        least = np.array([i[0] for i in ids])
-        out = []
-        for row in sims:
-            n = min(k + 1, len(row))
-            bar = np.partition(row, len(row) - n)[len(row) - n]
-            at = np.flatnonzero(row >= bar)
-            at = at[np.lexsort((least[at], -row[at]))]
-            found, values = [], []
-            for j in at.tolist():
-                found += [int(i) for i in ids[j]]
-                values += [float(row[j])] * len(ids[j])
-                if len(found) >= (k + 1) * (k + 1):
-                    break
-            out.append((found, values))
-        return pd.DataFrame({"v": q["v"].to_numpy(), "ids": [o[0] for o in out], "scores": [o[1] for o in out]})
-
-    found = work.groupBy("list", "part", "qpart").applyInPandas(
-        compare, "v array<double>, ids array<bigint>, scores array<double>")
-    best = found.select("v", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select(
-        "v", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
-    best = best.groupBy("v", "vec_id").agg(F.max("score").alias("score"))  # a replica is met in several lists
-    order = F.row_number().over(Window.partitionBy("v").orderBy(F.col("score").desc(), "vec_id"))
+        row, at, score = best_in_block(np.stack(q["v"].to_numpy()), q["lists"].tolist(), np.stack(x["v"].to_numpy()),
+                                       x["lists"].tolist(), np.array([i[0] for i in ids]), k + 1)
+        many = np.array([len(i) for i in ids])[at]
+        vec_id = np.concatenate([ids[j] for j in at.tolist()]) if len(at) else np.zeros(0, np.int64)
+        return pd.DataFrame({"qid": np.repeat(q["qid"].to_numpy()[row], many), "vec_id": vec_id,
+                             "score": np.repeat(score, many)})
+
+    found = work.groupBy("group", "part", "qpart").applyInPandas(compare, "qid bigint, vec_id bigint, score double")
+    best = found.groupBy("qid", "vec_id").agg(F.max("score").alias("score"))  # a vector may be met in several groups
+    order = F.row_number().over(Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id"))
     best = best.withColumn("nth", order).where(F.col("nth") <= k + 1).drop("nth")
-    hits = asked.join(best, "v").where("id <> vec_id")
+    hits = asked.join(once, "v").select("id", "qid").join(best, "qid").where("id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.col("score").desc(), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select(
         F.col("id").alias("query_id"), "rank", "vec_id", "score")
