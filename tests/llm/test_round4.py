@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 from pyspark.sql import functions as F
 
-from vigil.llm import ann
+from vigil.llm import ann, spelling
 
 
 def units(rng, n, dim):
@@ -72,3 +72,27 @@ def test_queries_go_out_in_bounded_frames(spark, monkeypatch):
     best = np.argsort(-sims, axis=1)[:, :5]
     assert len(found) == 750 * 5
     assert sum(r.vec_id in best[r.query_id // 4] for r in found) > 0.93 * len(found)
+
+
+# ------------------------------------------------------------ spelling variants
+
+def test_size_estimates_of_levels_stay_small(spark, monkeypatch):
+    """The planner's estimate of a level is a product of those of its inputs;
+    where the states enter it three times its digits grow threefold a level."""
+    rng = np.random.default_rng(8)
+    words = sorted({"".join(rng.choice(list("abc"), n)) for n in rng.integers(6, 12, 150)})
+    df = spark.createDataFrame([(i, " ".join(words)) for i in range(5)], "doc_id bigint, text string")
+    want = {tuple(r) for r in spelling.variants(df, every=0).collect()}
+    bits = []
+
+    def spy(frame, original=spelling.checkpoint):
+        bits.append(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length())
+        return original(frame)
+
+    monkeypatch.setattr(spelling, "checkpoint", spy)
+    monkeypatch.setattr(spelling, "BROADCAST_EDGES", 0)
+    for hot in (20_000, 20):  # no node of many states, and some
+        monkeypatch.setattr(spelling, "HOT", hot)
+        bits.clear()
+        assert {tuple(r) for r in spelling.variants(df, every=0).collect()} == want
+        assert max(bits) < 20_000

@@ -108,9 +108,13 @@ def _meet(states: DataFrame, nodes: DataFrame, n_edges: int) -> DataFrame:
     if n_edges <= BROADCAST_EDGES:
         return states.join(F.broadcast(nodes), ["way", "node"])
     states = checkpoint(states)
+    # at most states / HOT rows. As values, for a frame made from the states would carry the planner's estimate of their
+    # size into this level's twice more, and the digits of that number would grow threefold a level
     hot = states.groupBy("way", "node").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select(
-        "way", "node", F.ceil(F.col("k") / HOT).cast("int").alias("_salts"))
-    hot = F.broadcast(checkpoint(hot))  # at most states / HOT rows
+        "way", "node", F.ceil(F.col("k") / HOT).cast("int").alias("_salts")).collect()
+    if not hot:
+        return states.join(nodes, ["way", "node"])
+    hot = F.broadcast(states.sparkSession.createDataFrame(hot, "way int, node string, _salts int"))
     salts = F.coalesce("_salts", F.lit(1))
     left = states.join(hot, ["way", "node"], "left").withColumn(
         "_salt", F.pmod(F.xxhash64("word", "pos"), salts).cast("int")).drop("_salts")
